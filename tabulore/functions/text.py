@@ -1,6 +1,9 @@
-"""Column expressions for cleaning and formatting text.
+"""Cleaning and formatting of text.
+
+Expressions that end up in generated sentences are written as SQL text: helpers
+take and return SQL, so that a sentence with dozens of parts is one expression
+parsed once. All of it is built-in functions and stays inside generated code.
 
-All of them are built-in expressions, so they stay inside generated code.
 Number formats follow the C rules (round half to even on the exact binary
 value), which ``format_number`` with an explicit pattern implements and
 ``format_string`` does not.
@@ -14,9 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as whitespace when text is cleaned.
-WHITESPACE = (
-    r"\t\n\x0B\f\r\x1C-\x20\x85   -     　"
-)
+WHITESPACE = r"\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 NOT_RECORDED = "not recorded"
 NOT_AVAILABLE = "N/A"
@@ -31,111 +32,110 @@ def is_blank(text: Column) -> Column:
     return ~text.rlike(f"[^{WHITESPACE}]")
 
 
-def clean_name(name: Column) -> Column:
-    return F.translate(name, "_", " ")
-
-
 def plain_name(name: str) -> str:
-    """``clean_name`` for a name that is known on the driver."""
+    """A name known on the driver, underscores as spaces."""
     return name.replace("_", " ")
 
 
 def readable_name(name: str) -> str:
-    """Title-cased name for a table known on the driver."""
+    """Title-cased name known on the driver."""
     return plain_name(name).title()
 
 
-def pattern(value: Column, digits: int) -> Column:
-    return F.call_function("format_number", value, F.lit("0." + "0" * digits if digits else "0"))
+# ---- SQL text --------------------------------------------------------------------
+
+def sql(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ref(name: str) -> str:
+    """A column reference."""
+    return "`" + name.replace("`", "``") + "`"
+
 
+def clean_name(x: str) -> str:
+    return f"translate({x}, '_', ' ')"
 
-def fixed(value: Column, digits: int) -> Column:
+
+def fixed(x: str, digits: int) -> str:
     """``%.{digits}f``."""
-    return pattern(value.cast("double"), digits)
+    pattern = "0." + "0" * digits if digits else "0"
+    return f"format_number(cast({x} as double), '{pattern}')"
 
 
-def g6(value: Column) -> Column:
+def g6(x: str) -> str:
     """``%.6g``: six significant digits, trailing zeros dropped.
 
-    A value below 10^(k+1) needs at most 5-k decimals, and the ``#`` pattern
-    drops trailing zeros, so one comparison chain picks the pattern; only very
-    small and very large values take the exponent form.
+    A value below 10^(k+1) needs at most 5-k decimals and ``#`` drops trailing
+    zeros, so the magnitude picks how much of one pattern is used. Only very
+    small and very large values take the exponent form, where an exact tie
+    between two mantissas has to go to the even one.
     """
-    x = value.cast("double")
-    size = F.abs(x)
-
-    def short(decimals: int) -> Column:
-        return F.call_function("format_number", x, F.lit("0." + "#" * decimals if decimals else "0"))
-
-    sci = F.call_function("format_number", x, F.lit("0.00000E0"))
-    exponent = F.substring_index(sci, "E", -1).try_cast("int")
-    # An exact tie between two mantissas must go to the even one.
-    unit = F.pow(F.lit(10.0), (exponent - 5).cast("double"))
-    scaled = x / unit
-    is_tie = (exponent >= 6) & (F.abs(scaled - F.floor(scaled).cast("double")) == 0.5)
-    mantissa = F.when(
-        is_tie, F.call_function("format_number", F.rint(scaled) / 100000.0, F.lit("0.#####"))
-    ).otherwise(F.regexp_replace(F.substring_index(sci, "E", 1), r"\.?0+$", ""))
-    sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
-    scientific = F.when(exponent == -4, short(4)).otherwise(
-        F.concat(mantissa, sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    x = f"cast({x} as double)"
+    sci = f"format_number({x}, '0.00000E0')"
+    exponent = f"try_cast(substring_index({sci}, 'E', -1) as int)"
+    scaled = f"({x} / pow(10D, {exponent} - 5))"
+    mantissa = (
+        f"if({exponent} >= 6 and abs({scaled} - floor({scaled})) = 0.5D, "
+        f"format_number(rint({scaled}) / 100000D, '0.#####'), "
+        f"regexp_replace(substring_index({sci}, 'E', 1), '[.]?0+$', ''))"
     )
-
-    chain = (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(x), F.lit("nan"))
-        .when(x == float("inf"), F.lit("inf"))
-        .when(x == float("-inf"), F.lit("-inf"))
-        .when((size < 1e-4) & (x != 0), scientific)
-        .when(size >= 999999.5, scientific)
+    scientific = (
+        f"if({exponent} = -4, format_number({x}, '0.####'), "
+        f"concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), 2, '0')))"
+    )
+    decimals = f"if(abs({x}) >= 1e5D, 1, 7 - cast(floor(log10(abs({x}))) as int))"
+    return (
+        f"case when isnan({x}) then 'nan' "
+        f"when abs({x}) = double('infinity') then if({x} > 0, 'inf', '-inf') "
+        f"when {x} = 0 then format_number({x}, '0') "
+        f"when abs({x}) < 1e-4D or abs({x}) >= 999999.5D then {scientific} "
+        f"else format_number({x}, substring('0.#########', 1, {decimals})) end"
     )
-    for bound, decimals in (
-        (1e-3, 9), (1e-2, 8), (1e-1, 7), (1.0, 6), (1e1, 5), (1e2, 4), (1e3, 3), (1e4, 2), (1e5, 1),
-    ):
-        chain = chain.when(size < bound, short(decimals))
-    return chain.otherwise(short(0))
 
 
-def metric_text(value: Column) -> Column:
+def metric_text(x: str) -> str:
     """Model metric: four decimals, or six significant digits when tiny or large."""
-    size = F.abs(value)
     return (
-        F.when(value.isNull(), F.lit(NOT_AVAILABLE))
-        .when((size < 0.01) | (size > 10000), g6(value))
-        .otherwise(fixed(value, 4))
+        f"case when {x} is null then {sql(NOT_AVAILABLE)} "
+        f"when abs({x}) < 0.01D or abs({x}) > 10000D then {g6(x)} else {fixed(x, 4)} end"
     )
 
 
-def format_value(value: Column, fractional: bool) -> Column:
+def format_value(x: str, fractional: bool) -> str:
     """A cell as text: binary fractions in six digits, NULL as 'not recorded'."""
-    shown = g6(value) if fractional else value.cast("string")
-    return F.coalesce(shown, F.lit(NOT_RECORDED))
+    shown = g6(x) if fractional else f"cast({x} as string)"
+    return f"coalesce({shown}, {sql(NOT_RECORDED)})"
 
 
-def yes_no(flag: Column) -> Column:
-    return F.when(flag, F.lit("Yes")).when(~flag, F.lit("No"))
+def yes_no(x: str) -> str:
+    return f"case when {x} then 'Yes' when not {x} then 'No' end"
 
 
-def fill(template: str, /, **values: Column | str) -> Column:
-    """Fill ``{name}`` places of a fixed text with columns (or driver-side strings)."""
-    parts: list[Column] = []
+def fill(template: str, /, **values: str) -> str:
+    """Fill ``{name}`` places of a fixed text with SQL expressions; NULL if any is NULL."""
+    parts = []
     for literal, place, _, _ in Formatter().parse(template):
         if literal:
-            parts.append(F.lit(literal))
+            parts.append(sql(literal))
         if place is not None:
-            value = values[place]
-            parts.append(F.lit(value) if isinstance(value, str) else value.cast("string"))
-    return F.concat(*parts)
+            parts.append(f"cast({values[place]} as string)")
+    return f"concat({', '.join(parts)})"
 
 
-def optional(condition: Column, text: Column, otherwise: str = "") -> Column:
+def optional(condition: str, text: str, otherwise: str = "") -> str:
     """``text`` where the condition holds and the text exists, else a fixed string."""
-    return F.coalesce(F.when(condition, text), F.lit(otherwise))
+    return f"coalesce(case when {condition} then {text} end, {sql(otherwise)})"
+
+
+def ordered(fields: str, where: str | None = None, limit: int | None = None) -> str:
+    """Aggregate: structs of ``fields`` collected and sorted, NULL rows left out."""
+    item = f"struct({fields})" if where is None else f"case when {where} then struct({fields}) end"
+    collected = f"sort_array(collect_list({item}))"
+    return collected if limit is None else f"slice({collected}, 1, {limit})"
 
 
-def listed(rows: Column, sep: str, limit: int | None = None, of: str = "text") -> Column:
-    """Join field ``of`` of an array of structs, in the order of the structs."""
-    ordered = F.sort_array(rows)
-    if limit is not None:
-        ordered = F.slice(ordered, 1, limit)
-    return F.array_join(F.transform(ordered, lambda item: item.getField(of)), sep)
+def joined(items: str, sep: str, text: str = "i.text") -> str:
+    """Join ``text`` of each struct ``i`` of an array."""
+    return f"array_join(transform({items}, i -> {text}), {sql(sep)})"

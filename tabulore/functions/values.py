@@ -1,31 +1,28 @@
-"""Map and JSON column expressions."""
+"""Map and JSON expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tabulore.functions.text import sql
 
-def sorted_entries(mapping: Column, limit: int | None = None) -> Column:
-    """Entries of a map sorted by key, optionally only the first few."""
-    entries = F.array_sort(F.map_entries(mapping))
-    return entries if limit is None else F.slice(entries, 1, limit)
 
-
-def head_map(mapping: Column, limit: int) -> Column:
-    return F.map_from_entries(sorted_entries(mapping, limit))
+def sorted_entries(mapping: str, limit: int | None = None) -> str:
+    """SQL: entries of a map sorted by key, optionally only the first few."""
+    entries = f"array_sort(map_entries({mapping}))"
+    return entries if limit is None else f"slice({entries}, 1, {limit})"
 
 
-def entries_text(mapping: Column, show, sep: str = "; ", limit: int | None = None, joint: str = ": ") -> Column:
-    """``k: v; k: v`` over sorted entries; entries with NULL values are left out."""
-    kept = F.filter(sorted_entries(mapping, limit), lambda e: e.getField("value").isNotNull())
-    return F.array_join(
-        F.transform(kept, lambda e: F.concat(e.getField("key"), F.lit(joint), show(e.getField("value")))), sep
-    )
+def entries_text(mapping: str, value: str = "e.value", sep: str = "; ", limit: int | None = None) -> str:
+    """SQL: ``k: v; k: v`` over sorted entries ``e``; entries with NULL values are left out."""
+    kept = f"filter({sorted_entries(mapping, limit)}, e -> e.value is not null)"
+    return f"array_join(transform({kept}, e -> concat(e.key, ': ', {value})), {sql(sep)})"
 
 
-def is_filled(mapping: Column) -> Column:
-    return F.coalesce(F.size(mapping), F.lit(0)) > 0
+def head_map(mapping: Column, limit: int) -> Column:
+    """The first few entries of a map by key."""
+    return F.map_from_entries(F.slice(F.array_sort(F.map_entries(mapping)), 1, limit))
 
 
 def user_tags(tags: Column, system_prefix: str = "mlflow.") -> Column:

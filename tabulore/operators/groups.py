@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulore.operators.profile import Profile
+from tabulore.sources.tables import literal_rows
 
 PAIR = ["table", "cat", "cat_position", "num", "num_position"]
 
@@ -70,7 +71,7 @@ def surprising_groups(profile: Profile, top: int = 3, numeric: int = 2, limit: f
         for name in profile.tables.names
         for place, r in enumerate(profile.numeric_roles(name, numeric))
     ]
-    candidates = profile.tables.spark.createDataFrame(leading, "table string, num string, place int")
+    candidates = literal_rows(profile.tables.spark, leading, "table string, num string, place int")
     overall = (
         profile.numeric.filter(F.col("stddev").isNotNull() & (F.col("stddev") != 0))
         .select("table", F.col("column").alias("num"), F.col("avg").alias("overall_avg"), F.col("stddev").alias("overall_stddev"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import fill
+from tabulore.functions.text import fill, joined, ref
 from tabulore.operators.corpus import words
 from tabulore.plans.templates import PROMPTS
 from tabulore.sources.tables import union_all
@@ -30,20 +30,19 @@ def search_qa(qa: DataFrame, term: str, n: int = 5, order_by=("instruction", "re
 
 def to_instruct(qa: DataFrame) -> DataFrame:
     """Add ``text``: question and answer in the instruction template."""
-    text = fill(PROMPTS["instruct"], instruction=F.col("instruction"), response=F.col("response"))
-    return qa.withColumn("text", text)
+    return qa.withColumn("text", F.expr(fill(PROMPTS["instruct"], instruction="instruction", response="response")))
 
 
 def chat_prompt(turns: DataFrame, key: str = "conv_id", turn: str = "turn",
                 role: str = "role", text: str = "text") -> DataFrame:
     """One prompt per conversation from its turns; other roles are ignored."""
-    said = F.when(F.col(role) == "user", fill(PROMPTS["chat_user"], text=F.col(text))).when(
-        F.col(role) == "assistant", fill(PROMPTS["chat_assistant"], text=F.col(text))
+    said = F.expr(
+        f"case {ref(role)} when 'user' then {fill(PROMPTS['chat_user'], text=ref(text))} "
+        f"when 'assistant' then {fill(PROMPTS['chat_assistant'], text=ref(text))} end"
     )
-    parts = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), said.alias("said"))))
-    # collect_list keeps structs whose text is NULL, so every conversation has a prompt.
-    joined = F.array_join(F.transform(parts, lambda p: p.getField("said")), "")
-    return turns.groupBy(key).agg(F.concat(F.lit(PROMPTS["chat_start"]), joined).alias("prompt"))
+    parts = f"sort_array(collect_list(struct({ref(turn)} as turn, said)))"
+    prompt = fill(PROMPTS["chat_start"] + "{said}", said=joined(parts, "", "i.said"))
+    return turns.withColumn("said", said).groupBy(key).agg(F.expr(prompt).alias("prompt"))
 
 
 def extract_response(text: Column, prompt: Column) -> Column:

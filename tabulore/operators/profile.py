@@ -19,13 +19,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import g6
+from tabulore.functions.text import g6, ref, sql
 from tabulore.operators.quantiles import (
     BUCKETS, DIRECT_LIMIT, Target, clean_double, direct_quantiles, select_ranks,
 )
 from tabulore.plans.templates import METADATA_KINDS
 from tabulore.session import cut_lineage
-from tabulore.sources.tables import ColumnRole, TableSet, union_all
+from tabulore.sources.tables import ColumnRole, TableSet, literal_rows, union_all
 
 
 @dataclass(frozen=True)
@@ -45,21 +45,31 @@ class ProfileOptions:
     id_columns: dict[str, str] = field(default_factory=dict)
 
 
+NULL_FIELDS = "struct<column:string,position:int,n_null:bigint>"
 NUMERIC_FIELDS = (
-    "struct<column:string,position:int,n:bigint,min:double,max:double,avg:double,stddev:double,"
-    "min_raw:string,max_raw:string,min_text:string,max_text:string>"
+    "struct<column:string,position:int,is_fractional:boolean,n:bigint,min:double,max:double,avg:double,"
+    "stddev:double,min_raw:string,max_raw:string>"
 )
+PAIR_FIELDS = "struct<col_a:string,pos_a:int,col_b:string,pos_b:int,r:double>"
+GROUP_FIELDS = "struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>"
 
 
-def quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
+def number(name: str) -> str:
+    """SQL: a numeric column as double."""
+    return f"cast({ref(name)} as double)"
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation over rows where both are present; NULL when either is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
-    return F.try_divide(F.covar_pop(a, b), spread)
+def pearson(a: str, b: str) -> str:
+    """SQL: correlation over rows where both are present; NULL when either is constant."""
+    both = f"where {a} is not null and {b} is not null"
+    return (
+        f"try_divide(covar_pop({a}, {b}), "
+        f"stddev_pop({a}) filter ({both}) * stddev_pop({b}) filter ({both}))"
+    )
+
+
+def array_of(items: list[str], fields: str) -> str:
+    return f"cast(array({', '.join(items)}) as array<{fields}>)"
 
 
 class Profile:
@@ -93,49 +103,26 @@ class Profile:
     # ---- pass 1 -------------------------------------------------------------
 
     def _summarise(self, table: str) -> DataFrame:
-        df = self.tables.tables[table]
-        roles = self.tables.roles[table]
         numeric = self.numeric_roles(table, self.options.numeric_columns)
-        n_rows = F.count(F.lit(1))
         nulls = [
-            F.struct(
-                F.lit(r.name).alias("column"), F.lit(r.position).alias("position"),
-                (n_rows - F.count(quoted(r.name))).alias("n_null"),
-            )
-            for r in roles
+            f"struct({sql(r.name)}, {r.position}, count(1) - count({ref(r.name)}))" for r in self.tables.roles[table]
         ]
         stats = []
         for r in numeric:
-            raw, x = quoted(r.name), quoted(r.name).cast("double")
-            low, high = F.min(raw), F.max(raw)
+            raw, x = ref(r.name), number(r.name)
             stats.append(
-                F.struct(
-                    F.lit(r.name).alias("column"), F.lit(r.position).alias("position"),
-                    F.count(raw).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
-                    F.avg(x).alias("avg"), F.stddev_samp(x).alias("stddev"),
-                    low.cast("string").alias("min_raw"), high.cast("string").alias("max_raw"),
-                    (g6(low) if r.is_fractional else low.cast("string")).alias("min_text"),
-                    (g6(high) if r.is_fractional else high.cast("string")).alias("max_text"),
-                )
+                f"struct({sql(r.name)}, {r.position}, {str(r.is_fractional).lower()}, count({raw}), min({x}), max({x}), "
+                f"avg({x}), stddev_samp({x}), cast(min({raw}) as string), cast(max({raw}) as string))"
             )
         pairs = [
-            F.struct(
-                F.lit(a.name).alias("col_a"), F.lit(a.position).alias("pos_a"),
-                F.lit(b.name).alias("col_b"), F.lit(b.position).alias("pos_b"),
-                pearson(quoted(a.name).cast("double"), quoted(b.name).cast("double")).alias("r"),
-            )
+            f"struct({sql(a.name)}, {a.position}, {sql(b.name)}, {b.position}, {pearson(number(a.name), number(b.name))})"
             for a, b in combinations(numeric, 2)
         ]
-        pair_fields = "struct<col_a:string,pos_a:int,col_b:string,pos_b:int,r:double>"
-
-        def array_of(items: list[Column], fields: str) -> Column:
-            return F.array(*items).cast(f"array<{fields}>") if items else F.expr(f"cast(array() as array<{fields}>)")
-
-        return df.agg(
-            n_rows.alias("n_rows"),
-            array_of(nulls, "struct<column:string,position:int,n_null:bigint>").alias("nulls"),
-            array_of(stats, NUMERIC_FIELDS).alias("numeric"),
-            array_of(pairs, pair_fields).alias("pairs"),
+        return self.tables.tables[table].agg(
+            F.expr("count(1)").alias("n_rows"),
+            F.expr(array_of(nulls, NULL_FIELDS)).alias("nulls"),
+            F.expr(array_of(stats, NUMERIC_FIELDS)).alias("numeric"),
+            F.expr(array_of(pairs, PAIR_FIELDS)).alias("pairs"),
         ).select(F.lit(table).alias("table"), "*")
 
     @cached_property
@@ -178,17 +165,18 @@ class Profile:
     def numeric(self) -> DataFrame:
         """Statistics per numeric column, with CV, precision class and 95 % interval."""
         base = self.summary.select("table", "n_rows", F.inline("numeric"))
-        cv = F.abs(F.col("stddev") / F.when(F.col("avg") != 0, F.col("avg")))
-        se = F.when(F.col("n") >= 2, F.col("stddev") / F.sqrt(F.col("n").cast("double")))
-        return (
-            base.withColumn("cv", cv)
-            .withColumn(
-                "precision",
-                F.when(F.col("n") >= 2, F.when(cv < 0.1, "high").when(cv < 0.3, "moderate").when(cv >= 0.3, "low")),
-            )
-            .withColumn("se", se)
-            .withColumn("ci_lo", F.col("avg") - 1.96 * F.col("se"))
-            .withColumn("ci_hi", F.col("avg") + 1.96 * F.col("se"))
+        return base.selectExpr(
+            "*",
+            f"if(is_fractional, {g6('min')}, min_raw) as min_text",
+            f"if(is_fractional, {g6('max')}, max_raw) as max_text",
+            "abs(stddev / nullif(avg, 0D)) as cv",
+            "case when n >= 2 then stddev / sqrt(cast(n as double)) end as se",
+        ).selectExpr(
+            "*",
+            "case when n >= 2 then case when cv < 0.1D then 'high' when cv < 0.3D then 'moderate' "
+            "when cv >= 0.3D then 'low' end end as precision",
+            "avg - 1.96D * se as ci_lo",
+            "avg + 1.96D * se as ci_hi",
         )
 
     @cached_property
@@ -202,18 +190,15 @@ class Profile:
 
     # ---- passes 2 and 3 -----------------------------------------------------
 
-    def _cells(self, table: str, keep: list[Column]) -> DataFrame | None:
-        """Categorical cells of a table in long form, next to the ``keep`` columns."""
+    def _cells(self, table: str, keep: list[str]) -> DataFrame | None:
+        """Categorical cells of a table in long form, next to the ``keep`` expressions."""
         roles = self.categorical_roles(table)
         if not roles:
             return None
-        cells = [
-            F.struct(
-                F.lit(r.name).alias("column"), F.lit(r.position).alias("position"), r.shown().alias("value")
-            )
-            for r in roles
-        ]
-        return self.tables.tables[table].select(*keep, F.inline(F.array(*cells)))
+        cells = ", ".join(
+            f"named_struct('column', {sql(r.name)}, 'position', {r.position}, 'value', {r.shown_sql})" for r in roles
+        )
+        return self.tables.tables[table].selectExpr(*keep, f"inline(array({cells}))")
 
     def _top_digests(self, table: str) -> DataFrame | None:
         cells = self._cells(table, [])
@@ -239,7 +224,7 @@ class Profile:
 
     def _group(self, table: str, with_numeric: bool) -> DataFrame | None:
         numeric = self.numeric_roles(table, self.options.group_columns) if with_numeric else []
-        cells = self._cells(table, [quoted(r.name).cast("double").alias(f"num_{r.position}") for r in numeric])
+        cells = self._cells(table, [f"{number(r.name)} as num_{r.position}" for r in numeric])
         if cells is None:
             return None
         top = self.top_digests.filter(F.col("table") == table) if self.keep else self._top_digests(table)
@@ -247,28 +232,20 @@ class Profile:
         matched = cells.withColumn("digest", F.md5("value")).join(
             F.broadcast(top.select("column", "digest", "rank")), ["column", "digest"]
         )
-        fields = (
-            "array<struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>>"
-        )
         stats = [
-            F.struct(
-                F.lit(r.name).alias("num"), F.lit(r.position).alias("num_position"),
-                F.count(x).alias("n"), F.avg(x).alias("avg"), F.stddev_samp(x).alias("stddev"),
-                F.min(x).alias("min"), F.max(x).alias("max"),
-            )
-            for r, x in ((r, F.col(f"num_{r.position}")) for r in numeric)
+            f"struct({sql(r.name)}, {r.position}, count({x}), avg({x}), stddev_samp({x}), min({x}), max({x}))"
+            for r, x in ((r, f"num_{r.position}") for r in numeric)
         ]
         return matched.groupBy("column", "position", "rank", "value").agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.array(*stats).cast(fields) if stats else F.expr(f"cast(array() as {fields})")).alias("stats"),
+            F.expr("count(1)").alias("n"), F.expr(array_of(stats, GROUP_FIELDS)).alias("stats")
         ).select(F.lit(table).alias("table"), "*")
 
     def _grouped(self, with_numeric: bool) -> DataFrame:
         frames = [f for f in (self._group(name, with_numeric) for name in self.tables.names) if f is not None]
         if not frames:
-            return self.tables.spark.createDataFrame(
+            return literal_rows(self.tables.spark, 
                 [], "table string, column string, position int, rank int, value string, n bigint, "
-                "stats array<struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>>",
+                f"stats array<{GROUP_FIELDS}>",
             )
         return union_all(frames)
 
@@ -305,15 +282,12 @@ class Profile:
         frames = []
         if small:
             cells = union_all(
-                self.tables.tables[name].select(
-                    F.lit(name).alias("table"),
-                    F.inline(F.array(*[
-                        F.struct(
-                            F.lit(r.name).alias("column"), F.lit(r.position).alias("position"),
-                            clean_double(quoted(r.name)).alias("value"),
-                        )
-                        for r in roles
-                    ])),
+                self.tables.tables[name].selectExpr(
+                    f"{sql(name)} as table",
+                    "inline(array(" + ", ".join(
+                        f"named_struct('column', {sql(r.name)}, 'position', {r.position}, "
+                        f"'value', {clean_double(number(r.name))})" for r in roles
+                    ) + "))",
                 )
                 for name, roles in small
             ).filter(F.col("value").isNotNull())
@@ -322,7 +296,7 @@ class Profile:
             sources = []
             for name, roles in large:
                 targets = [
-                    Target(f"{name}\t{r.position}\t{share}", clean_double(quoted(r.name)), share=share)
+                    Target(f"{name}\t{r.position}\t{share}", F.expr(clean_double(number(r.name))), share=share)
                     for r in roles for share in (0.25, 0.75)
                 ]
                 sources.append((self.tables.tables[name], targets))
@@ -331,11 +305,11 @@ class Profile:
                 (name, r.name, r.position, found.get(f"{name}\t{r.position}\t0.25"), found.get(f"{name}\t{r.position}\t0.75"))
                 for name, roles in large for r in roles
             ]
-            frames.append(self.tables.spark.createDataFrame(
+            frames.append(literal_rows(self.tables.spark, 
                 rows, "table string, column string, position int, q1 double, q3 double"
             ).filter(F.col("q1").isNotNull()))
         if not frames:
-            return self.tables.spark.createDataFrame(
+            return literal_rows(self.tables.spark, 
                 [], "table string, column string, position int, q1 double, q3 double"
             )
         return union_all(frames)
@@ -352,43 +326,42 @@ class Profile:
             .withColumn("hi_fence", F.col("q3") + reach * F.col("iqr"))
         )
 
-    def _bounds(self, table: str) -> tuple[Column, Column]:
-        """One-row subqueries holding the fences and the value ranges of a table."""
+    def _with_bounds(self, table: str) -> DataFrame:
+        """The table with its fences and value ranges as two one-row subqueries."""
         roles = self.numeric_roles(table, self.options.outlier_columns)
 
-        def spread(frame: DataFrame, fields: tuple[str, ...]) -> Column:
-            picks = [
-                F.max(F.when(F.col("column") == r.name, F.struct(*fields))).alias(f"c{r.position}") for r in roles
-            ]
-            return frame.filter(F.col("table") == table).agg(F.struct(*picks).alias("bounds")).scalar()
+        def one_row(frame: DataFrame, fields: str) -> Column:
+            picks = ", ".join(
+                f"'c{r.position}', max(case when column = {sql(r.name)} then struct({fields}) end)" for r in roles
+            )
+            return frame.filter(F.col("table") == table).agg(F.expr(f"named_struct({picks})")).scalar()
 
-        return (
-            spread(self.fences, ("lo_fence", "hi_fence")),
-            spread(self.numeric.select("table", "column", "min", "max"), ("min", "max")),
+        return self.tables.tables[table].select(
+            "*",
+            one_row(self.fences, "lo_fence as lo, hi_fence as hi").alias("_fence"),
+            one_row(self.numeric, "min as lo, max as hi").alias("_range"),
         )
 
+    def _outside(self, role: ColumnRole) -> str:
+        x, fence = number(role.name), f"_fence.c{role.position}"
+        return f"({x} < {fence}.lo or {x} > {fence}.hi)"
+
     def _count_spread(self, table: str) -> DataFrame | None:
         roles = self.numeric_roles(table, self.options.outlier_columns)
         if not roles:
             return None
-        fences, ranges = self._bounds(table)
         counts = []
         for index, r in enumerate(roles):
-            x = quoted(r.name).cast("double")
-            fence, extent = fences[f"c{r.position}"], ranges[f"c{r.position}"]
-            low, width = extent["min"], extent["max"] - extent["min"]
-            middle = (extent["min"] + extent["max"]) / 2
-            checked = index < self.options.bimodal_columns
-            nothing = F.lit(None).cast("bigint")
-            counts.append(F.struct(
-                F.lit(r.name).alias("column"), F.lit(r.position).alias("position"),
-                F.count_if((x < fence["lo_fence"]) | (x > fence["hi_fence"])).alias("n_outlier"),
-                (F.count_if(x < middle) if checked else nothing).alias("n_lower_half"),
-                (F.count_if(x >= middle) if checked else nothing).alias("n_upper_half"),
-                (F.count_if((x >= low + width * 0.33) & (x <= low + width * 0.66)) if checked else nothing)
-                .alias("n_middle"),
-            ))
-        counted = self.tables.tables[table].agg(F.array(*counts).alias("counts"))
+            x, lo, hi = number(r.name), f"_range.c{r.position}.lo", f"_range.c{r.position}.hi"
+            halves = [
+                f"count_if({x} < ({lo} + {hi}) / 2)", f"count_if({x} >= ({lo} + {hi}) / 2)",
+                f"count_if({x} >= {lo} + ({hi} - {lo}) * 0.33D and {x} <= {lo} + ({hi} - {lo}) * 0.66D)",
+            ] if index < self.options.bimodal_columns else ["null"] * 3
+            counts.append(f"struct({sql(r.name)}, {r.position}, count_if({self._outside(r)}), {', '.join(halves)})")
+        fields = (
+            "struct<column:string,position:int,n_outlier:bigint,n_lower_half:bigint,n_upper_half:bigint,n_middle:bigint>"
+        )
+        counted = self._with_bounds(table).agg(F.expr(array_of(counts, fields)).alias("counts"))
         return counted.select(F.lit(table).alias("table"), F.inline("counts"))
 
     @cached_property
@@ -412,14 +385,10 @@ class Profile:
         id_column = self.options.id_columns.get(table) or (ids[0] if ids else None)
         if len(self.numeric_roles(table, self.options.numeric_columns)) < 2 or id_column is None:
             return None
-        fences, _ = self._bounds(table)
-        score = F.lit(0)
-        for r in roles:
-            x, fence = quoted(r.name).cast("double"), fences[f"c{r.position}"]
-            score = score + F.when((x < fence["lo_fence"]) | (x > fence["hi_fence"]), 1).otherwise(0)
+        score = " + ".join(f"if({self._outside(r)}, 1, 0)" for r in roles)
         return (
-            self.tables.tables[table]
-            .select(quoted(id_column).cast("string").alias("id"), score.alias("n_outlier"))
+            self._with_bounds(table)
+            .selectExpr(f"cast({ref(id_column)} as string) as id", f"{score} as n_outlier")
             .filter(F.col("n_outlier") >= 2)
             .orderBy(F.desc("n_outlier"), "id")
             .limit(self.options.multi_outlier_rows)
@@ -431,7 +400,7 @@ class Profile:
         """Rows outside the fences of several columns at once, the worst few per table."""
         frames = [f for f in (self._multi_outliers(name) for name in self.tables.names) if f is not None]
         if not frames:
-            return self.tables.spark.createDataFrame([], "table string, id string, n_outlier int")
+            return literal_rows(self.tables.spark, [], "table string, id string, n_outlier int")
         return self._kept(union_all(frames))
 
     # ---- frames derived from the passes ------------------------------------

@@ -44,10 +44,9 @@ class Target:
         return self.result is not None or self.inside == 0
 
 
-def clean_double(value: Column) -> Column:
-    """NaN does not take part in order statistics."""
-    x = value.cast("double")
-    return F.when(~F.isnan(x), x)
+def clean_double(x: str) -> str:
+    """SQL: NaN does not take part in order statistics."""
+    return f"nullif({x}, double('NaN'))"
 
 
 def _scaled(value: Column, logarithmic: bool) -> Column:

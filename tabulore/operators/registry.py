@@ -44,11 +44,9 @@ def direction(metric: Column, match: str = "substring") -> Column:
     return F.when(name_has(metric, LOWER_IS_BETTER, match), "lowest").otherwise("highest")
 
 
-def label(model: Column = None, version: Column = None) -> Column:
-    return fill(
-        CLAUSES["label"], model=F.col("name") if model is None else model,
-        version=F.col("version") if version is None else version,
-    )
+def label(model: str = "name", version: str = "version") -> str:
+    """SQL: display label of a version."""
+    return fill(CLAUSES["label"], model=model, version=version)
 
 
 def model_metrics(versions: DataFrame, match: str = "substring") -> DataFrame:

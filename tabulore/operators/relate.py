@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulore.sources.tables import TableSet, union_all
+from tabulore.sources.tables import TableSet, literal_rows, union_all
 
 
 def shared_columns(columns: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
         "pct_of_smaller double"
     )
     if not shared:
-        return tables.spark.createDataFrame([], schema)
+        return literal_rows(tables.spark, [], schema)
 
     cells, pairs = [], []
     position = {name: index for index, name in enumerate(tables.names)}
@@ -76,7 +76,7 @@ def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
         union_all(cells).groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
         .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
     )
-    pair_rows = tables.spark.createDataFrame(
+    pair_rows = literal_rows(tables.spark, 
         pairs, "column string, column_order int, table_a string, table_b string, a int, b int"
     )
     has_a, has_b = F.array_contains("held_by", F.col("a")), F.array_contains("held_by", F.col("b"))

@@ -2,54 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import fill, fixed
-from tabulore.functions.values import is_filled, sorted_entries
+from tabulore.functions.text import fill, fixed, ordered, sql
+from tabulore.functions.values import sorted_entries
 from tabulore.plans.templates import PROMPTS
 
 SHOWN_PARAMS = 10
 MAX_MODELS = 10
 
 
-def _entries(mapping: Column, show, limit: int | None = None) -> Column:
-    return F.array_join(F.transform(sorted_entries(mapping, limit), lambda e: fill(
-        PROMPTS["model_entry"], key=e.getField("key"), value=show(e.getField("value")))), "\n")
+def _entries(mapping: str, value: str, limit: int | None = None) -> str:
+    entry = fill(PROMPTS["model_entry"], key="e.key", value=value)
+    text = f"array_join(transform({sorted_entries(mapping, limit)}, e -> {entry}), {sql(chr(10))})"
+    return f"if(size({mapping}) > 0, {text}, null)"
 
 
 def models_block(versions: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
-    """(models): one text describing the first ``limit`` versions."""
-    shown = versions.orderBy("name", "version").limit(limit).select(
+    """(models): one text describing the first ``limit`` versions by name."""
+    shown = versions.orderBy("name", "version").limit(limit).selectExpr(
         "name", "version", "stage", "description",
-        F.when(is_filled(F.col("metrics")), _entries(F.col("metrics"), lambda v: fixed(v, 4))).alias("metrics_text"),
-        F.when(is_filled(F.col("params")), _entries(F.col("params"), lambda v: v, SHOWN_PARAMS)).alias("params_text"),
+        f"{_entries('metrics', fixed('e.value', 4))} as metrics_text",
+        f"{_entries('params', 'e.value', SHOWN_PARAMS)} as params_text",
+    )
+    lines = ", ".join([
+        fill(PROMPTS["model_head"], index="k + 1", model="m.name", version="m.version"),
+        fill(PROMPTS["model_stage"], stage="m.stage"),
+        f"if(m.description != '', {fill(PROMPTS['model_description'], description='m.description')}, null)",
+        sql(PROMPTS["model_metrics"]),
+        "m.metrics_text",
+        f"if(m.params_text is null, null, {sql(PROMPTS['model_params'])})",
+        "m.params_text",
+        "''",
+    ])
+    newline = sql("\n")
+    models = ordered("name, version, stage, description, metrics_text, params_text")
+    return shown.agg(F.expr(models).alias("models")).selectExpr(
+        f"array_join(transform(models, (m, k) -> concat_ws({newline}, {lines})), {newline}) as models"
     )
-    first = shown.agg(F.array_sort(F.collect_list(F.struct(*shown.columns))).alias("models"))
-
-    def block(model: Column, index: Column) -> Column:
-        description = model.getField("description")
-        return F.concat_ws(
-            "\n",
-            fill(PROMPTS["model_head"], index=index + 1, model=model.getField("name"), version=model.getField("version")),
-            fill(PROMPTS["model_stage"], stage=model.getField("stage")),
-            F.when(description != "", fill(PROMPTS["model_description"], description=description)),
-            F.lit(PROMPTS["model_metrics"]),
-            model.getField("metrics_text"),
-            F.when(model.getField("params_text").isNotNull(), F.lit(PROMPTS["model_params"])),
-            model.getField("params_text"),
-            F.lit(""),
-        )
-
-    return first.select(F.array_join(F.transform("models", block), "\n").alias("models"))
 
 
 def recommendation_prompt(tasks: DataFrame, versions: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
     """Add ``prompt`` to (task, criteria) rows; the models text is one shared value."""
-    models = models_block(versions, limit).scalar()
-    criteria = F.coalesce(F.when(F.col("criteria") != "", fill(PROMPTS["criteria"], criteria=F.col("criteria"))), F.lit(""))
-    return tasks.withColumn(
-        "prompt", fill(PROMPTS["recommendation"], task=F.col("task"), models=models, criteria=criteria)
+    criteria = f"if(criteria != '', {fill(PROMPTS['criteria'], criteria='criteria')}, null)"
+    prompt = fill(PROMPTS["recommendation"], task="task", models="_models", criteria=f"coalesce({criteria}, '')")
+    return (
+        tasks.withColumn("_models", models_block(versions, limit).scalar())
+        .withColumn("prompt", F.expr(prompt)).drop("_models")
     )
 
 

@@ -5,256 +5,226 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import fixed, listed, metric_text, optional
-from tabulore.functions.values import entries_text, is_filled, names_seed
+from tabulore.functions.text import fixed, joined, metric_text, optional, ordered, sql
+from tabulore.functions.values import entries_text, names_seed
 from tabulore.operators import registry as reg
 from tabulore.plans.qa_tables import clause
-from tabulore.plans.qa_tables import pairs as table_pairs
+from tabulore.plans.qa_tables import pairs as render
 from tabulore.plans.templates import CLAUSES, REGISTRY_QA
 from tabulore.sources.tables import union_all
 
 MANY_PARAMS, SOME_PARAMS = 15, 10
 
+METRICS = entries_text("metrics", metric_text("e.value"))
+LABEL = reg.label()
+VALUE = metric_text("value")
+MODEL = {"model": "name", "label": LABEL}
 
-def pairs(frame: DataFrame, template: str, **values: Column | str) -> DataFrame:
-    return table_pairs(frame, template, REGISTRY_QA, **values)
 
+def pairs(frame: DataFrame, template: str, **values: str) -> DataFrame:
+    return render(frame, template, REGISTRY_QA, **values)
 
-def plain_label(item: Column, template: str = "best_label") -> Column:
-    return clause(template, model=item.getField("name"), version=item.getField("version"))
 
+def label_of(item: str) -> str:
+    return reg.label(f"{item}.name", f"{item}.version")
 
-def metrics_text(mapping: Column, sep: str = "; ", joint: str = ": ") -> Column:
-    return entries_text(mapping, metric_text, sep, joint=joint)
 
+def name_of(item: str) -> str:
+    return clause("best_label", model=f"{item}.name", version=f"{item}.version")
 
-def _described(versions: DataFrame) -> DataFrame:
-    return versions.withColumn("label", reg.label()).withColumn(
-        "about", optional(F.col("description") != "", clause("stage_description", description=F.col("description")))
-    )
 
+def params_text(limit: int) -> str:
+    return entries_text("params", limit=limit)
 
-def model_summary(label: Column) -> Column:
-    metrics = metrics_text(F.col("metrics"))
-    params = entries_text(F.col("params"), lambda v: v, limit=SOME_PARAMS)
-    return F.concat_ws(
-        ". ",
-        clause("summary_head", label=label, stage=F.col("stage")),
-        F.when(F.col("description") != "", clause("summary_description", description=F.col("description"))),
-        F.when(metrics != "", clause("summary_metrics", metrics=metrics)),
-        F.when(is_filled(F.col("params")), clause("summary_params", params=params)),
-    )
+
+def about(description: str = "description") -> str:
+    return optional(f"{description} != ''", clause("stage_description", description=description))
+
+
+def model_summary() -> str:
+    """SQL: label, stage, description, metrics and parameters of a version."""
+    return "concat_ws('. ', " + ", ".join([
+        clause("summary_head", label=LABEL, stage="stage"),
+        f"if(description != '', {clause('summary_description', description='description')}, null)",
+        f"if({METRICS} != '', {clause('summary_metrics', metrics=METRICS)}, null)",
+        f"if(size(params) > 0, {clause('summary_params', params=params_text(SOME_PARAMS))}, null)",
+    ]) + ")"
 
 
 def qa_model_info(versions: DataFrame) -> DataFrame:
-    frame = _described(versions)
-    label, model = F.col("label"), F.col("name")
-    each = frame.select("name", "label", F.explode("metrics").alias("metric", "value")).filter(F.col("value").isNotNull())
+    each = versions.select("name", "version", F.explode("metrics").alias("metric", "value")).filter("value is not null")
     return union_all([
-        pairs(frame, "describe", model=model, summary=model_summary(label)),
-        pairs(frame.filter(is_filled(F.col("metrics"))), "metrics", label=label,
-              metrics=metrics_text(F.col("metrics")), stage=F.col("stage")),
-        pairs(frame.filter(is_filled(F.col("params"))), "params", label=label,
-              params=entries_text(F.col("params"), lambda v: v, limit=MANY_PARAMS)),
-        pairs(frame, "stage", model=model, label=label, stage=F.col("stage"), description=F.col("about")),
-        pairs(each, "one_metric", metric=F.col("metric"), model=model, label=label, value=metric_text(F.col("value"))),
+        pairs(versions, "describe", model="name", summary=model_summary()),
+        pairs(versions.filter("size(metrics) > 0"), "metrics", label=LABEL, metrics=METRICS, stage="stage"),
+        pairs(versions.filter("size(params) > 0"), "params", label=LABEL, params=params_text(MANY_PARAMS)),
+        pairs(versions, "stage", stage="stage", description=about(), **MODEL),
+        pairs(each, "one_metric", metric="metric", value=VALUE, **MODEL),
     ])
 
 
-def qa_model_comparison(versions: DataFrame, mm: DataFrame) -> DataFrame:
-    ranked = reg.rank_metrics(mm).filter(F.col("n_models") >= 2)
-    item = F.struct(
-        "rank", clause("ranked", model=F.col("name"), version=F.col("version"), value=metric_text(F.col("value"))).alias("text")
+def qa_model_comparison(mm: DataFrame) -> DataFrame:
+    item = clause("ranked", model="name", version="version", value=VALUE)
+    at = lambda k: F.expr(f"max(case when rank = {k} then struct(name, version, value) end)")
+    frame = reg.rank_metrics(mm).filter("n_models >= 2").groupBy("metric", "direction").agg(
+        F.expr(joined(ordered(f"rank, {item} as text"), "; ")).alias("ranking"), at(1).alias("best"), at(2).alias("second")
     )
-    at = lambda k: F.max(F.when(F.col("rank") == k, F.struct("name", "version", "value")))
-    frame = ranked.groupBy("metric", "direction").agg(
-        listed(F.collect_list(item), "; ").alias("ranking"), at(1).alias("best"), at(2).alias("second")
+    duel = reg.pairwise_models(mm).selectExpr(
+        "*", f"{reg.label('name_a', 'version_a')} as label_a", f"{reg.label('name_b', 'version_b')} as label_b"
     )
-    best, second = F.col("best"), F.col("second")
-    duel = reg.pairwise_models(mm)
-    label_a = reg.label(F.col("name_a"), F.col("version_a"))
-    label_b = reg.label(F.col("name_b"), F.col("version_b"))
-    parts = F.array_join(F.transform("metrics", lambda m: clause(
-        "pair_metric", metric=m.getField("metric"), label_a=F.col("label_a"), label_b=F.col("label_b"),
-        value_a=metric_text(m.getField("value_a")), value_b=metric_text(m.getField("value_b")))), "; ")
-    duel = duel.withColumn("label_a", label_a).withColumn("label_b", label_b)
-    overall = F.when(F.col("wins_a") > F.col("wins_b"), F.col("label_a")).when(
-        F.col("wins_b") > F.col("wins_a"), F.col("label_b")
-    ).otherwise(F.lit("neither clearly"))
+    part = clause(
+        "pair_metric", metric="i.metric", label_a="label_a", label_b="label_b",
+        value_a=metric_text("i.value_a"), value_b=metric_text("i.value_b"),
+    )
+    overall = "case when wins_a > wins_b then label_a when wins_b > wins_a then label_b else 'neither clearly' end"
+    best_value = metric_text("best.value")
     return union_all([
-        pairs(frame, "ranking", metric=F.col("metric"), direction=F.col("direction"), ranking=F.col("ranking"),
-              best=plain_label(best), best_value=metric_text(best["value"])),
-        pairs(frame, "best_metric", metric=F.col("metric"), best=plain_label(best, "label"),
-              best_value=metric_text(best["value"]), second=plain_label(second, "label"),
-              second_value=metric_text(second["value"])),
-        pairs(duel, "pairwise", model_a=F.col("name_a"), model_b=F.col("name_b"), label_a=F.col("label_a"),
-              label_b=F.col("label_b"), parts=parts, overall=overall),
+        pairs(frame, "ranking", metric="metric", direction="direction", ranking="ranking", best=name_of("best"),
+              best_value=best_value),
+        pairs(frame, "best_metric", metric="metric", best=label_of("best"), best_value=best_value,
+              second=label_of("second"), second_value=metric_text("second.value")),
+        pairs(duel, "pairwise", model_a="name_a", model_b="name_b", label_a="label_a", label_b="label_b",
+              parts=joined("metrics", "; ", part), overall=overall),
     ])
 
 
 def qa_overall(versions: DataFrame, mm: DataFrame) -> DataFrame:
-    winner = reg.overall_winner(reg.rank_metrics(mm)).join(versions.select("name", "version", "description"), reg.VERSION)
-    frame = _described(winner)
-
-    def led(limit: int | None = None) -> Column:
-        items = F.col("led") if limit is None else F.slice("led", 1, limit)
-        return F.array_join(F.transform(items, lambda m: F.concat(
-            m.getField("metric"), F.lit(": "), metric_text(m.getField("value")))), "; ")
-
-    shared = {"label": F.col("label"), "wins": F.col("wins"), "n_metrics": F.col("n_metrics")}
+    frame = reg.overall_winner(reg.rank_metrics(mm)).join(versions.select("name", "version", "description"), reg.VERSION)
+    lead = f"concat(i.metric, ': ', {metric_text('i.value')})"
+    shared = {"label": LABEL, "wins": "wins", "n_metrics": "n_metrics"}
     return pairs(
-        frame, "deploy", led=led(), stage=F.col("stage"), description=F.col("about"), **shared
-    ).unionByName(pairs(frame, "best_model", led=led(5), **shared))
+        frame, "deploy", led=joined("led", "; ", lead), stage="stage", description=about(), **shared
+    ).unionByName(pairs(frame, "best_model", led=joined("slice(led, 1, 5)", "; ", lead), **shared))
 
 
 def qa_speed(mm: DataFrame) -> DataFrame:
-    frame = reg.fastest(mm).withColumn("label", reg.label())
-    accurate = F.col("accurate")
-    other = plain_label(accurate, "label")
-    alternative = optional(accurate.isNotNull() & (other != F.col("label")), clause("more_accurate", label=other))
-    shared = {"label": F.col("label"), "metric": F.col("metric"), "value": metric_text(F.col("value"))}
+    frame = reg.fastest(mm)
+    other = label_of("accurate")
+    alternative = optional(f"accurate is not null and {other} != {LABEL}", clause("more_accurate", label=other))
+    shared = {"label": LABEL, "metric": "metric", "value": VALUE}
     return pairs(frame, "fastest", alternative=alternative, **shared).unionByName(
-        pairs(frame, "low_latency", stage=F.col("stage"), **shared)
+        pairs(frame, "low_latency", stage="stage", **shared)
     )
 
 
 def qa_accuracy(mm: DataFrame) -> DataFrame:
-    shared = {"label": reg.label(), "metric": F.col("metric"), "value": metric_text(F.col("value"))}
-    return pairs(reg.best_accuracy(mm), "max_accuracy", stage=F.col("stage"), **shared).unionByName(
+    shared = {"label": LABEL, "metric": "metric", "value": VALUE}
+    return pairs(reg.best_accuracy(mm), "max_accuracy", stage="stage", **shared).unionByName(
         pairs(reg.lowest_error(mm), "lowest_error", **shared)
     )
 
 
-def _stage_list(versions: DataFrame, suffix: str) -> Column:
+def _stage_list(versions: DataFrame, suffix: str = "") -> Column:
     """One-row subquery: stages in name order with their number of versions."""
-    item = F.struct("stage", F.concat("stage", F.lit(": "), F.col("n_versions").cast("string"), F.lit(suffix)).alias("text"))
-    return reg.stage_counts(versions).agg(listed(F.collect_list(item), ", ").alias("stages")).scalar()
+    item = f"stage, concat(stage, ': ', n_versions, {sql(suffix)}) as text"
+    return reg.stage_counts(versions).agg(F.expr(joined(ordered(item), ", "))).scalar()
 
 
 def qa_deployment(versions: DataFrame) -> DataFrame:
-    frame = versions.withColumn("label", reg.label())
-    live = frame.filter(F.col("stage") == "Production")
+    live = versions.filter("stage = 'Production'")
     in_production = live.agg(
-        listed(F.collect_list(F.struct("name", "version", F.col("label").alias("text"))), "; ").alias("models"),
-        F.count(F.lit(1)).alias("n"),
-    ).filter(F.col("n") > 0)
-    entry = clause("list_entry", model=F.col("name"), version=F.col("version"), stage=F.col("stage"))
-    everything = frame.agg(
-        F.count_distinct("name").alias("n_models"), F.count(F.lit(1)).alias("n_versions"),
-        listed(F.collect_list(F.struct("name", "version", entry.alias("text"))), "; ").alias("models"),
-    )
+        F.expr(joined(ordered(f"name, version, {LABEL} as text"), "; ")).alias("models"), F.expr("count(1)").alias("n")
+    ).filter("n > 0")
+    entry = clause("list_entry", model="name", version="version", stage="stage")
+    everything = versions.agg(
+        F.count_distinct("name").alias("n_models"), F.expr("count(1)").alias("n_versions"),
+        F.expr(joined(ordered(f"name, version, {entry} as text"), "; ")).alias("models"),
+    ).withColumn("stages", _stage_list(versions))
     return union_all([
-        pairs(in_production, "in_production", models=F.col("models")),
-        pairs(live.filter(is_filled(F.col("metrics"))), "production_metrics", model=F.col("name"), label=F.col("label"),
-              metrics=metrics_text(F.col("metrics"))),
-        pairs(everything, "how_many", n_models=F.col("n_models"), n_versions=F.col("n_versions"),
-              stages=_stage_list(versions, "")),
-        pairs(everything, "list_models", models=F.col("models")),
+        pairs(in_production, "in_production", models="models"),
+        pairs(live.filter("size(metrics) > 0"), "production_metrics", metrics=METRICS, **MODEL),
+        pairs(everything, "how_many", n_models="n_models", n_versions="n_versions", stages="stages"),
+        pairs(everything, "list_models", models="models"),
     ])
 
 
 def qa_trade_off(versions: DataFrame, mm: DataFrame) -> DataFrame:
     entry = clause(
-        "trade_off_entry", label=reg.label(), accuracy=F.col("accuracy"), latency=F.col("latency"),
-        accuracy_value=metric_text(F.col("accuracy_value")), latency_value=metric_text(F.col("latency_value")),
+        "trade_off_entry", label=LABEL, accuracy="accuracy", latency="latency",
+        accuracy_value=metric_text("accuracy_value"), latency_value=metric_text("latency_value"),
+    )
+    trade = reg.trade_off(mm).groupBy("accuracy", "latency").agg(
+        F.expr(joined(ordered(f"-accuracy_value as place, name, version, {entry} as text"), "; ")).alias("parts")
+    )
+    shown = (
+        "array_join(transform(filter(i.metrics, e -> e.value is not null), "
+        f"e -> concat(e.key, ': ', {metric_text('e.value')})), ', ')"
+    )
+    step = clause(
+        "history_entry", version="i.version", stage="i.stage",
+        metrics=f"if(size(i.metrics) > 0, {shown}, 'no metrics')",
     )
-    item = F.struct((-F.col("accuracy_value")).alias("order"), "name", "version", entry.alias("text"))
-    trade = reg.trade_off(mm).groupBy("accuracy", "latency").agg(listed(F.collect_list(item), "; ").alias("parts"))
-
-    def step(s: Column) -> Column:
-        shown = F.array_join(F.transform(
-            F.filter(s.getField("metrics"), lambda m: m.getField("value").isNotNull()),
-            lambda m: F.concat(m.getField("key"), F.lit(": "), metric_text(m.getField("value")))), ", ")
-        metrics = F.when(F.size(s.getField("metrics")) > 0, shown).otherwise(F.lit("no metrics"))
-        return clause("history_entry", version=s.getField("version"), stage=s.getField("stage"), metrics=metrics)
-
-    history = reg.version_history(versions)
     return union_all([
-        pairs(trade, "trade_off", accuracy=F.col("accuracy"), latency=F.col("latency"), parts=F.col("parts")),
-        pairs(history, "history", model=F.col("name"), parts=F.array_join(F.transform("steps", step), "; ")),
-        pairs(reg.production_risk(reg.rank_metrics(mm)), "risk", model=F.col("name"), label=reg.label(),
-              metric=F.col("metric"), value=metric_text(F.col("value"))),
+        pairs(trade, "trade_off", accuracy="accuracy", latency="latency", parts="parts"),
+        pairs(reg.version_history(versions), "history", model="name", parts=joined("steps", "; ", step)),
+        pairs(reg.production_risk(reg.rank_metrics(mm)), "risk", metric="metric", value=VALUE, **MODEL),
     ])
 
 
 def qa_overview(versions: DataFrame, mm: DataFrame) -> DataFrame:
-    totals = reg.registry_totals(versions)
-    labels = F.array_join(F.transform("models", lambda m: plain_label(m, "label")), ", ")
-    shared = reg.metric_inventory(mm).withColumn("text", clause("comparable_entry", metric=F.col("metric"), labels=labels))
-    comparable = shared.agg(
-        listed(F.collect_list(F.struct("metric", "text")), "; ").alias("shared"), F.count(F.lit(1)).alias("n")
-    ).filter(F.col("n") > 0)
+    totals = reg.registry_totals(versions).withColumn("stages", _stage_list(versions, " models"))
+    entry = clause("comparable_entry", metric="metric", labels=joined("models", ", ", label_of("i")))
+    comparable = reg.metric_inventory(mm).agg(
+        F.expr(joined(ordered(f"metric, {entry} as text"), "; ")).alias("shared"), F.expr("count(1)").alias("n")
+    ).filter("n > 0")
     return union_all([
-        pairs(totals, "metrics_tracked", n_versions=F.col("n_versions"), metrics=F.array_join("metrics", ", ")),
-        pairs(totals.filter(F.col("n_params") > 0), "params_tracked", params=F.array_join("params", ", ")),
-        pairs(totals, "summary", n_models=F.col("n_models"), n_versions=F.col("n_versions"),
-              stages=_stage_list(versions, " models"), n_metrics=F.col("n_metrics"), n_params=F.col("n_params")),
-        pairs(comparable, "comparable", shared=F.col("shared")),
+        pairs(totals, "metrics_tracked", n_versions="n_versions", metrics="array_join(metrics, ', ')"),
+        pairs(totals.filter("n_params > 0"), "params_tracked", params="array_join(params, ', ')"),
+        pairs(totals, "summary", n_models="n_models", n_versions="n_versions", stages="stages",
+              n_metrics="n_metrics", n_params="n_params"),
+        pairs(comparable, "comparable", shared="shared"),
     ])
 
 
-def qa_reliability(versions: DataFrame, mm: DataFrame) -> DataFrame:
-    item = F.struct("metric", F.concat("metric", F.lit(": "), metric_text(F.col("value"))).alias("text"))
+def _metrics_where(mm: DataFrame, condition: str, joint: str, sep: str) -> DataFrame:
+    item = f"metric, concat(metric, {sql(joint)}, {VALUE}) as text"
+    return mm.filter(condition).groupBy("name", "version").agg(F.expr(joined(ordered(item), sep)).alias("metrics"))
 
-    def by_version(condition: str) -> DataFrame:
-        return mm.filter(condition).groupBy("name", "version").agg(listed(F.collect_list(item), "; ").alias("metrics"))
 
-    shared = {"model": F.col("name"), "label": reg.label()}
-    spread = reg.variability(mm)
-    best, worst = F.col("best"), F.col("worst")
-    value = metric_text(F.col("value"))
+def qa_reliability(versions: DataFrame, mm: DataFrame) -> DataFrame:
     limit = (
-        F.when(F.col("kind") == "variance", clause("limit_variance", metric=F.col("metric"), value=value,
-                                                   pct=fixed(F.col("value") * 100, 0)))
-        .when(F.col("kind") == "misses", clause("limit_misses", metric=F.col("metric"), value=value))
-        .otherwise(clause("limit_params", n=F.col("n_params")))
+        f"case kind when 'variance' then {clause('limit_variance', metric='metric', value=VALUE, pct=fixed('value * 100', 0))} "
+        f"when 'misses' then {clause('limit_misses', metric='metric', value=VALUE)} "
+        f"else {clause('limit_params', n='n_params')} end"
     )
     limits = reg.limitations(versions).groupBy("name", "version").agg(
-        listed(F.collect_list(F.struct("place", "metric", limit.alias("text"))), "; ").alias("limits")
+        F.expr(joined(ordered(f"place, metric, {limit} as text"), "; ")).alias("limits")
     )
     return union_all([
-        pairs(by_version("is_lower and not is_latency"), "reliability", metrics=F.col("metrics"), **shared),
-        pairs(by_version("is_accuracy"), "confidence", metrics=F.col("metrics"), **shared),
-        pairs(spread, "variability", metric=F.col("metric"), best=plain_label(best, "label"),
-              best_value=metric_text(best["value"]), worst=plain_label(worst, "label"), worst_value=metric_text(worst["value"])),
-        pairs(limits, "limitations", limits=F.col("limits"), **shared),
+        pairs(_metrics_where(mm, "is_lower and not is_latency", ": ", "; "), "reliability", metrics="metrics", **MODEL),
+        pairs(_metrics_where(mm, "is_accuracy", ": ", "; "), "confidence", metrics="metrics", **MODEL),
+        pairs(reg.variability(mm), "variability", metric="metric", best=label_of("best"), best_value=metric_text("best.value"),
+              worst=label_of("worst"), worst_value=metric_text("worst.value")),
+        pairs(limits, "limitations", limits="limits", **MODEL),
     ])
 
 
 def qa_reproducibility(versions: DataFrame) -> DataFrame:
-    frame = versions.filter(is_filled(F.col("params")))
-    seed = F.when(names_seed(F.col("params")), F.lit(CLAUSES["seed_logged"])).otherwise(F.lit(CLAUSES["seed_missing"]))
-    return pairs(
-        frame, "reproduce", model=F.col("name"), label=reg.label(), seed=seed,
-        params=entries_text(F.col("params"), lambda v: v, limit=SOME_PARAMS),
-    )
+    frame = versions.filter("size(params) > 0").withColumn("has_seed", names_seed(F.col("params")))
+    seed = f"if(has_seed, {sql(CLAUSES['seed_logged'])}, {sql(CLAUSES['seed_missing'])})"
+    return pairs(frame, "reproduce", seed=seed, params=params_text(SOME_PARAMS), **MODEL)
 
 
 def qa_fitness(versions: DataFrame, mm: DataFrame, shown: int = 5) -> DataFrame:
-    totals = reg.registry_totals(versions).filter(F.col("n_versions") >= 2)
+    totals = reg.registry_totals(versions).filter("n_versions >= 2")
     several = totals.agg(F.count(F.lit(1))).scalar() > 0
-    item = F.struct("metric", F.concat("metric", F.lit("="), metric_text(F.col("value"))).alias("text"))
 
-    def first_models(condition: Column) -> DataFrame:
-        per_model = mm.filter(condition).groupBy("name", "version").agg(listed(F.collect_list(item), ", ").alias("metrics"))
-        text = F.concat(reg.label(), F.lit(": "), F.col("metrics"))
-        first = per_model.orderBy("name", "version").limit(shown)
+    def first_models(condition: str) -> DataFrame:
+        first = _metrics_where(mm, condition, "=", ", ").orderBy("name", "version").limit(shown)
         return first.agg(
-            listed(F.collect_list(F.struct("name", "version", text.alias("text"))), "; ").alias("models"),
-            F.count(F.lit(1)).alias("n"),
+            F.expr(joined(ordered(f"name, version, concat({LABEL}, ': ', metrics) as text"), "; ")).alias("models"),
+            F.expr("count(1)").alias("n"),
         ).filter((F.col("n") > 0) & several)
 
-    no_latency = F.col("is_lower") & ~F.lower("metric").contains("latency")
-    entry = clause("best_entry", metric=F.col("metric"), label=reg.label(), value=metric_text(F.col("value")))
+    entry = clause("best_entry", metric="metric", label=LABEL, value=VALUE)
     best = reg.best_per_metric(reg.rank_metrics(mm)).orderBy("metric").limit(shown).agg(
-        listed(F.collect_list(F.struct("metric", entry.alias("text"))), "; ")
+        F.expr(joined(ordered(f"metric, {entry} as text"), "; "))
     ).scalar()
-    known = totals.filter(F.col("n_metrics") > 0)
-    shared = {"n_versions": F.col("n_versions"), "n_metrics": F.col("n_metrics")}
+    known = totals.filter("n_metrics > 0").withColumn("best", best)
+    shared = {"n_versions": "n_versions", "n_metrics": "n_metrics"}
     return union_all([
-        pairs(first_models(no_latency), "continuous", models=F.col("models")),
-        pairs(first_models(F.col("is_accuracy")), "classification", models=F.col("models")),
-        pairs(known, "choose", best=best, **shared),
+        pairs(first_models("is_lower and not contains(lower(metric), 'latency')"), "continuous", models="models"),
+        pairs(first_models("is_accuracy"), "classification", models="models"),
+        pairs(known, "choose", best="best", **shared),
         pairs(known, "trust", **shared),
     ])
 
@@ -263,7 +233,7 @@ def qa_registry(versions: DataFrame, match: str = "substring") -> DataFrame:
     """Every question-answer pair of a registry."""
     mm = reg.model_metrics(versions, match)
     return union_all([
-        qa_model_info(versions), qa_model_comparison(versions, mm), qa_overall(versions, mm), qa_speed(mm),
-        qa_accuracy(mm), qa_deployment(versions), qa_trade_off(versions, mm), qa_overview(versions, mm),
-        qa_reliability(versions, mm), qa_reproducibility(versions), qa_fitness(versions, mm),
+        qa_model_info(versions), qa_model_comparison(mm), qa_overall(versions, mm), qa_speed(mm), qa_accuracy(mm),
+        qa_deployment(versions), qa_trade_off(versions, mm), qa_overview(versions, mm), qa_reliability(versions, mm),
+        qa_reproducibility(versions), qa_fitness(versions, mm),
     ])

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulore.functions.keys import key_text
-from tabulore.functions.text import clean_name, fill, fixed, format_value, g6, listed, optional, plain_name, readable_name
+from tabulore.functions.text import (
+    clean_name, fill, fixed, format_value, g6, joined, optional, ordered, readable_name, ref, sql,
+)
 from tabulore.operators.groups import compare_groups, subgroups, surprising_groups
-from tabulore.operators.profile import Profile, quoted
+from tabulore.operators.profile import Profile
 from tabulore.operators.ranking import cap_pairs, sample_rows
 from tabulore.operators.relate import column_overlap, join_gain
 from tabulore.plans.templates import CLAUSES, METADATA_KINDS, TABLE_QA
@@ -30,74 +31,79 @@ PRIORITY_CATEGORIES = (
 )
 CELL_LIMIT = "5555"  # md5 prefix below which a cell is asked about: about one in three
 
+IN_TABLE = {"readable": "readable", "table": "table"}
+
 
-def pairs(frame: DataFrame, template: str, texts=TABLE_QA, /, **values: Column | str) -> DataFrame:
-    """Render one template over a frame that has a ``table`` column."""
+def pairs(frame: DataFrame, template: str, texts=TABLE_QA, /, **values: str) -> DataFrame:
+    """Render one template over a frame; ``values`` are SQL expressions on its columns."""
     category, instruction, response = texts[template]
-    table = F.col("table") if "table" in frame.columns else F.lit("")
-    return frame.select(
-        fill(instruction, **values).alias("instruction"), fill(response, **values).alias("response"),
-        F.lit(category).alias("category"), table.alias("table"), F.lit(template).alias("template_id"),
+    table = "table" if "table" in frame.columns else "''"
+    return frame.selectExpr(
+        f"{fill(instruction, **values)} as instruction", f"{fill(response, **values)} as response",
+        f"{sql(category)} as category", f"{table} as table", f"{sql(template)} as template_id",
     )
 
 
 def named(profile: Profile, frame: DataFrame) -> DataFrame:
+    """Add the display name; one row per table is broadcast."""
     return frame.join(F.broadcast(readable_tables(profile)), "table")
 
 
-def clause(key: str, /, **values: Column | str) -> Column:
+def clause(key: str, /, **values: str) -> str:
     return fill(CLAUSES[key], **values)
 
 
-# ---- rows -------------------------------------------------------------------
+# ---- rows ------------------------------------------------------------------------
 
-def _row_pairs(profile: Profile, table: str, key: Sequence[str], n: int) -> list[DataFrame]:
+def _row_pairs(profile: Profile, table: str, key: Sequence[str], n: int) -> DataFrame:
     roles = [r for r in profile.tables.roles[table] if r.role != "nested"]
-    ids = [r for r in roles if r.is_id]
     # First identifier that is present, else the first present column.
-    candidates = ids + [r for r in roles if r not in ids]
-    row_id = F.coalesce(*[r.shown() for r in candidates])
-    id_position = F.coalesce(*[F.when(quoted(r.name).isNotNull(), F.lit(r.position)) for r in candidates])
-    id_column = F.coalesce(*[F.when(quoted(r.name).isNotNull(), F.lit(r.name)) for r in candidates])
-
-    def cell(role) -> Column:
-        shown = format_value(quoted(role.name), role.is_fractional) if role.is_numeric else role.shown()
-        usable = quoted(role.name).isNotNull() & (F.lit(role.position) != F.col("_id_position"))
-        return F.when(usable, F.struct(
-            F.lit(role.position).alias("position"), F.lit(role.name).alias("column"),
-            F.lit(role.is_numeric).alias("is_numeric"), shown.alias("value"),
-        ))
-
-    sampled = sample_rows(profile.tables.tables[table], n, key)
+    candidates = [r for r in roles if r.is_id] + [r for r in roles if not r.is_id]
+    first = lambda shown: "case " + " ".join(
+        f"when {ref(r.name)} is not null then {shown(r)}" for r in candidates
+    ) + " end"
+
+    def cell(r) -> str:
+        shown = format_value(ref(r.name), r.is_fractional) if r.is_numeric else r.shown_sql
+        return (
+            f"if({ref(r.name)} is not null, named_struct('position', {r.position}, 'column', {sql(r.name)}, "
+            f"'is_numeric', {str(r.is_numeric).lower()}, 'value', {shown}), null)"
+        )
+
     rows = (
-        sampled.withColumn("_row_id", row_id).withColumn("_id_position", id_position).withColumn("_id_column", id_column)
-        .filter(F.col("_row_id").isNotNull())
-        .select(
-            F.lit(table).alias("table"), F.col("_row_id").alias("row_id"), F.col("_id_column").alias("id_column"),
-            F.filter(F.array(*[cell(r) for r in roles]), lambda c: c.isNotNull()).alias("cells"),
+        sample_rows(profile.tables.tables[table], n, key)
+        .selectExpr(
+            f"{sql(table)} as table", f"{sql(readable_name(table))} as readable",
+            f"{first(lambda r: r.shown_sql)} as row_id", f"{first(lambda r: sql(r.name))} as id_column",
+            f"array({', '.join(cell(r) for r in roles)}) as cells",
         )
+        .filter(F.col("row_id").isNotNull())
+        .withColumn("cells", F.expr("filter(cells, c -> c is not null and c.column != id_column)"))
+    )
+    part = lambda test, text: joined(f"filter(cells, c -> {test})", "; ", text)
+    described = rows.selectExpr(
+        "*",
+        part("c.is_numeric", clause("measurement", name=clean_name("i.column"), value="i.value")) + " as measurements",
+        part("not c.is_numeric", clause("property", name=clean_name("i.column"), value="i.value")) + " as properties",
     )
+    shared = {"id_name": clean_name("id_column"), "row_id": "row_id", **IN_TABLE}
 
-    def texts(numeric: bool, template: str) -> Column:
-        chosen = F.filter("cells", lambda c: c.getField("is_numeric") == F.lit(numeric))
-        return F.array_join(F.transform(chosen, lambda c: clause(
-            template, name=clean_name(c.getField("column")), value=c.getField("value"))), "; ")
+    def pair(template: str, **values: str) -> str:
+        _, instruction, response = TABLE_QA[template]
+        return (
+            f"named_struct('instruction', {fill(instruction, **values)}, 'response', {fill(response, **values)}, "
+            f"'template_id', {sql(template)})"
+        )
 
-    shared = {"id_name": clean_name(F.col("id_column")), "readable": readable_name(table), "row_id": F.col("row_id")}
-    described = rows.withColumn("measurements", texts(True, "measurement")).withColumn(
-        "properties", texts(False, "property")
-    )
-    whole = pairs(
-        described.filter(F.col("measurements") != ""), "row_measurements", table=table,
-        measurements=F.col("measurements"),
-        properties=optional(F.col("properties") != "", clause("row_properties", properties=F.col("properties"))),
-        **shared,
+    whole = pair(
+        "row_measurements", measurements="measurements",
+        properties=optional("properties != ''", clause("row_properties", properties="properties")), **shared,
     )
-    cells = rows.select("table", "row_id", "id_column", F.explode("cells").alias("cell")).filter(
-        F.substring(F.md5(F.concat("row_id", "cell.column")), 1, len(CELL_LIMIT)) < CELL_LIMIT
-    )
-    single = pairs(cells, "row_cell", table=table, name=clean_name(F.col("cell.column")), value=F.col("cell.value"), **shared)
-    return [whole, single]
+    asked = f"filter(cells, c -> substring(md5(concat(row_id, c.column)), 1, {len(CELL_LIMIT)}) < '{CELL_LIMIT}')"
+    single = pair("row_cell", name=clean_name("c.column"), value="c.value", **shared)
+    return described.selectExpr(
+        "table", f"inline(concat(if(measurements != '', array({whole}), array()), transform({asked}, c -> {single})))"
+    ).selectExpr("instruction", "response", f"{sql(TABLE_QA['row_cell'][0])} as category", "table", "template_id")
 
 
 def qa_rows(profile: Profile, keys: Mapping[str, Sequence[str]] | None = None, n: int = SAMPLED_ROWS) -> DataFrame:
@@ -107,324 +113,271 @@ def qa_rows(profile: Profile, keys: Mapping[str, Sequence[str]] | None = None, n
     for table in profile.tables.names:
         plain = [r.name for r in profile.tables.roles[table] if r.role != "nested"]
         if plain:
-            frames += _row_pairs(profile, table, keys.get(table) or plain, n)
+            frames.append(_row_pairs(profile, table, keys.get(table) or plain, n))
     return union_all(frames)
 
 
-# ---- aggregation, comparison, schema -------------------------------------------
+# ---- aggregation, comparison, schema -------------------------------------------------
 
 def qa_range(profile: Profile) -> DataFrame:
-    stats = named(profile, profile.numeric.filter(F.col("avg").isNotNull()))
-    has_spread = F.col("stddev").isNotNull() & (F.col("stddev") != 0)
     return pairs(
-        stats, "value_range", name=clean_name(F.col("column")), readable=F.col("readable"), table=F.col("table"),
-        min=F.col("min_text"), max=F.col("max_text"), avg=g6(F.col("avg")),
-        stddev=optional(has_spread, clause("range_stddev", stddev=g6(F.col("stddev")))), n=F.col("n"),
+        named(profile, profile.numeric.filter(F.col("avg").isNotNull())), "value_range", name=clean_name("column"),
+        min="min_text", max="max_text", avg=g6("avg"), n="n",
+        stddev=optional("stddev != 0", clause("range_stddev", stddev=g6("stddev"))), **IN_TABLE,
     )
 
 
 def qa_top_values(profile: Profile, shown: int = 5) -> DataFrame:
-    item = F.struct("rank", clause("value_count", value=F.col("value"), n=F.col("n")).alias("text"))
+    item = clause("value_count", value="value", n="n")
     per_column = profile.values.groupBy("table", "column").agg(
-        listed(F.collect_list(item), ", ", shown).alias("values"), F.count(F.lit(1)).alias("n_values"),
-        F.min_by(F.struct("value", "n"), "rank").alias("top"),
+        F.expr(joined(ordered(f"rank, {item} as text", limit=shown), ", ")).alias("values"),
+        F.expr("count(1)").alias("n_values"), F.expr("min_by(struct(value, n), rank)").alias("top"),
     )
     frame = named(profile, per_column.join(profile.summary.select("table", "n_rows"), "table"))
-    shared = {"name": clean_name(F.col("column")), "readable": F.col("readable"), "table": F.col("table")}
-    return pairs(
-        frame, "most_common", values=F.col("values"), n_rows=F.col("n_rows"), **shared
-    ).unionByName(pairs(
-        frame, "distinct_values", n_values=F.col("n_values"), top_value=F.col("top.value"), top_n=F.col("top.n"), **shared
-    ))
+    shared = {"name": clean_name("column"), **IN_TABLE}
+    return pairs(frame, "most_common", values="values", n_rows="n_rows", **shared).unionByName(
+        pairs(frame, "distinct_values", n_values="n_values", top_value="top.value", top_n="top.n", **shared)
+    )
 
 
 def qa_comparison(profile: Profile) -> DataFrame:
-    compared = named(profile, compare_groups(profile)).withColumn("num_name", clean_name(F.col("num")))
-    parts = F.array_join(F.transform("groups", lambda g: clause(
-        "group_average", value=g.getField("value"), num_name=F.col("num_name"), avg=g6(g.getField("avg")),
-        n=g.getField("n"))), "; ")
+    average = clause("group_average", value="i.value", num_name=clean_name("num"), avg=g6("i.avg"), n="i.n")
     return pairs(
-        compared, "compare_groups", num_name=F.col("num_name"), cat_name=clean_name(F.col("cat")),
-        readable=F.col("readable"), table=F.col("table"), parts=parts,
+        named(profile, compare_groups(profile)), "compare_groups", num_name=clean_name("num"),
+        cat_name=clean_name("cat"), parts=joined("groups", "; ", average), **IN_TABLE,
     )
 
 
 def qa_schema(profile: Profile) -> DataFrame:
     tables = profile.tables
-    sizes = named(profile, profile.table_sizes)
-    item = F.struct("table_position", clause("table_size", readable=F.col("readable"), n_rows=F.col("n_rows")).alias("text"))
-    totals = sizes.agg(
-        F.count(F.lit(1)).alias("n_tables"), F.sum("n_rows").alias("n_rows"), F.sum("n_cols").alias("n_cols"),
-        listed(F.collect_list(item), ", ").alias("tables"),
+    size = clause("table_size", readable="readable", n_rows="n_rows")
+    totals = named(profile, profile.table_sizes).agg(
+        F.expr("count(1)").alias("n_tables"), F.sum("n_rows").alias("n_rows"), F.sum("n_cols").alias("n_cols"),
+        F.expr(joined(ordered(f"table_position, {size} as text"), ", ")).alias("tables"),
     )
     shared = shared_text(profile, CLAUSES["shared_column"], "; ", clean=True).filter(F.col("shared").isNotNull())
+    schema = sql(tables.schema_name)
     return union_all([
-        pairs(totals, "tables_available", schema=tables.schema_name, full_schema=tables.full_schema_name,
-              n_tables=F.col("n_tables"), tables=F.col("tables")),
-        pairs(totals, "data_volume", schema=tables.schema_name, n_tables=F.col("n_tables"),
-              n_rows=F.col("n_rows"), n_cols=F.col("n_cols")),
-        pairs(shared, "shared_columns", schema=tables.schema_name, shared=F.col("shared")),
-        pairs(shared, "table_relations", schema=tables.schema_name, shared=F.col("shared")),
+        pairs(totals, "tables_available", schema=schema, full_schema=sql(tables.full_schema_name),
+              n_tables="n_tables", tables="tables"),
+        pairs(totals, "data_volume", schema=schema, n_tables="n_tables", n_rows="n_rows", n_cols="n_cols"),
+        pairs(shared, "shared_columns", schema=schema, shared="shared"),
+        pairs(shared, "table_relations", schema=schema, shared="shared"),
     ])
 
 
-# ---- reasoning, quality, uncertainty, reproducibility -----------------------------
+# ---- reasoning, quality, uncertainty, reproducibility ------------------------------------
 
 def qa_reasoning(profile: Profile) -> DataFrame:
-    variable = profile.numeric.filter((F.col("cv") > 0.3) & (F.col("stddev") != 0)).groupBy("table").agg(
-        F.min_by(F.struct("column", "cv", "min_text", "max_text", "avg", "stddev"), "position").alias("top")
+    variable = profile.numeric.filter("cv > 0.3D and stddev != 0").groupBy("table").agg(
+        F.expr("min_by(struct(column, cv, min_text, max_text, avg, stddev), position)").alias("top")
     )
     frame = named(profile, profile.table_sizes.join(variable, "table", "left"))
-    top = F.col("top")
-    name, cv = clean_name(top["column"]), fixed(top["cv"], 2)
+    name, cv = clean_name("top.column"), fixed("top.cv", 2)
     spread = pairs(
-        frame.filter(top.isNotNull()), "variability", readable=F.col("readable"), table=F.col("table"), name=name, cv=cv,
-        min=top["min_text"], max=top["max_text"], avg=g6(top["avg"]), stddev=g6(top["stddev"]),
+        frame.filter("top is not null"), "variability", name=name, cv=cv, min="top.min_text", max="top.max_text",
+        avg=g6("top.avg"), stddev=g6("top.stddev"), **IN_TABLE,
     )
     quality = pairs(
-        frame, "quality", readable=F.col("readable"), table=F.col("table"), n_rows=F.col("n_rows"), n_cols=F.col("n_cols"),
-        n_numeric=F.col("n_numeric"), n_categorical=F.col("n_categorical"),
-        most_variable=optional(top.isNotNull(), clause("most_variable", name=name, cv=cv)),
+        frame, "quality", n_rows="n_rows", n_cols="n_cols", n_numeric="n_numeric", n_categorical="n_categorical",
+        most_variable=optional("top is not null", clause("most_variable", name=name, cv=cv)), **IN_TABLE,
     )
     balance = pairs(
-        named(profile, profile.class_balance), "class_balance", readable=F.col("readable"), table=F.col("table"),
-        cat_name=clean_name(F.col("column")), top_value=F.col("top_value"), top_n=F.col("top_n"),
-        bottom_value=F.col("bottom_value"), bottom_n=F.col("bottom_n"),
+        named(profile, profile.class_balance), "class_balance", cat_name=clean_name("column"), top_value="top_value",
+        top_n="top_n", bottom_value="bottom_value", bottom_n="bottom_n", **IN_TABLE,
     )
     return union_all([spread, quality, balance])
 
 
 def qa_nulls(profile: Profile) -> DataFrame:
-    item = F.struct(
-        (-F.col("n_null")).alias("order"), "position",
-        clause("null_column", name=clean_name(F.col("column")), n=F.col("n_null"), pct=fixed(F.col("pct_null"), 1)).alias("text"),
-    )
+    item = clause("null_column", name=clean_name("column"), n="n_null", pct=fixed("pct_null", 1))
     gaps = profile.nulls.groupBy("table", "n_rows").agg(
-        F.count(F.lit(1)).alias("n_cols"), F.count_if(F.col("n_null") > 0).alias("n_columns"),
-        listed(F.collect_list(F.when(F.col("n_null") > 0, item)), "; ").alias("columns"),
+        F.expr("count(1)").alias("n_cols"), F.expr("count_if(n_null > 0)").alias("n_columns"),
+        F.expr(joined(ordered(f"-n_null as place, position, {item} as text", "n_null > 0"), "; ")).alias("columns"),
     )
     frame = named(profile, gaps)
-    shared = {"readable": F.col("readable"), "table": F.col("table"), "n_rows": F.col("n_rows")}
     return pairs(
-        frame.filter(F.col("n_columns") > 0), "missing_values", n_columns=F.col("n_columns"), columns=F.col("columns"), **shared
-    ).unionByName(pairs(frame.filter(F.col("n_columns") == 0), "no_missing_values", n_cols=F.col("n_cols"), **shared))
+        frame.filter("n_columns > 0"), "missing_values", n_columns="n_columns", columns="columns", n_rows="n_rows", **IN_TABLE
+    ).unionByName(
+        pairs(frame.filter("n_columns = 0"), "no_missing_values", n_cols="n_cols", n_rows="n_rows", **IN_TABLE)
+    )
 
 
 def qa_outliers(profile: Profile) -> DataFrame:
     frame = named(profile, profile.outliers)
-    shared = {
-        "name": clean_name(F.col("column")), "readable": F.col("readable"), "table": F.col("table"),
-        "n_rows": F.col("n_rows"), "lower": g6(F.col("lo_fence")), "upper": g6(F.col("hi_fence")),
-    }
+    shared = {"name": clean_name("column"), "n_rows": "n_rows", "lower": g6("lo_fence"), "upper": g6("hi_fence"), **IN_TABLE}
     return pairs(
-        frame.filter(F.col("n_outlier") > 0), "outliers", n_outlier=F.col("n_outlier"), q1=g6(F.col("q1")),
-        q3=g6(F.col("q3")), iqr=g6(F.col("iqr")), pct=fixed(F.col("pct_of_rows"), 1), **shared
-    ).unionByName(pairs(frame.filter(F.col("n_outlier") == 0), "no_outliers", **shared))
+        frame.filter("n_outlier > 0"), "outliers", n_outlier="n_outlier", q1=g6("q1"), q3=g6("q3"), iqr=g6("iqr"),
+        pct=fixed("pct_of_rows", 1), **shared
+    ).unionByName(pairs(frame.filter("n_outlier = 0"), "no_outliers", **shared))
 
 
 def qa_sanity(profile: Profile) -> DataFrame:
-    name = clean_name(F.col("column"))
+    name = clean_name("column")
     text = (
-        F.when(F.col("kind") == "nulls", clause("check_nulls", name=name, n=F.col("n"), pct=fixed(F.col("pct"), 1)))
-        .when(F.col("kind") == "constant", clause("check_constant", name=name, value=F.col("value")))
-        .otherwise(clause("check_dominant", name=name, value=F.col("value"), pct=fixed(F.col("pct"), 0)))
-    )
-    checks = profile.sanity.groupBy("table").agg(
-        listed(F.collect_list(F.struct("check", text.alias("text"))), "; ").alias("checks")
+        f"case kind when 'nulls' then {clause('check_nulls', name=name, n='n', pct=fixed('pct', 1))} "
+        f"when 'constant' then {clause('check_constant', name=name, value='value')} "
+        f"else {clause('check_dominant', name=name, value='value', pct=fixed('pct', 0))} end"
     )
+    checks = profile.sanity.groupBy("table").agg(F.expr(joined(ordered(f"check, {text} as text"), "; ")).alias("checks"))
     frame = named(profile, checks.join(profile.summary.select("table", "n_rows"), "table"))
-    return pairs(
-        frame, "sanity_checks", readable=F.col("readable"), table=F.col("table"), n_rows=F.col("n_rows"), checks=F.col("checks")
-    )
+    return pairs(frame, "sanity_checks", n_rows="n_rows", checks="checks", **IN_TABLE)
 
 
 def qa_uncertainty(profile: Profile) -> DataFrame:
-    frame = named(profile, profile.numeric.filter(
-        (F.col("n") >= 2) & F.col("stddev").isNotNull() & F.col("avg").isNotNull()
-    ))
-    shared = {"name": clean_name(F.col("column")), "readable": F.col("readable"), "table": F.col("table"),
-              "n": F.col("n"), "avg": g6(F.col("avg"))}
+    frame = named(profile, profile.numeric.filter("n >= 2 and stddev is not null and avg is not null"))
+    shared = {"name": clean_name("column"), "n": "n", "avg": g6("avg"), **IN_TABLE}
     return pairs(
-        frame.filter(F.col("avg") != 0), "precision", precision=F.col("precision"), cv=fixed(F.col("cv"), 4),
-        cv_pct=fixed(F.col("cv") * 100, 1), stddev=g6(F.col("stddev")), **shared
-    ).unionByName(pairs(
-        frame, "mean_interval", ci_lo=g6(F.col("ci_lo")), ci_hi=g6(F.col("ci_hi")), se=g6(F.col("se")), **shared
-    ))
+        frame.filter("avg != 0"), "precision", precision="precision", cv=fixed("cv", 4), cv_pct=fixed("cv * 100", 1),
+        stddev=g6("stddev"), **shared
+    ).unionByName(pairs(frame, "mean_interval", ci_lo=g6("ci_lo"), ci_hi=g6("ci_hi"), se=g6("se"), **shared))
 
 
 def qa_reproducibility(profile: Profile) -> DataFrame:
-    left = F.lit(100) * (1 - F.try_divide(F.col("n_null").cast("double"), F.col("n_rows")))
-    gap = F.struct("position", clause("gap", name=clean_name(F.col("column")), pct=fixed(F.coalesce(left, F.lit(0.0)), 0)).alias("text"))
+    left = "coalesce(100 * (1 - try_divide(cast(n_null as double), n_rows)), 0D)"
+    gap = clause("gap", name=clean_name("column"), pct=fixed(left, 0))
     gaps = profile.nulls.groupBy("table").agg(
-        F.collect_list(F.when(F.col("n_null") > 0, gap)).alias("gaps")
-    ).select("table", F.when(F.size("gaps") > 0, listed(F.col("gaps"), ", ")).alias("gaps"))
-    frame = named(profile, profile.completeness.join(gaps, "table"))
+        F.expr(f"nullif({joined(ordered(f'position, {gap} as text', 'n_null > 0'), ', ')}, '')").alias("gaps")
+    )
     complete = pairs(
-        frame, "completeness", readable=F.col("readable"), table=F.col("table"), pct=fixed(F.col("pct_complete"), 0),
-        n_complete=F.col("n_complete"), n_cols=F.col("n_cols"),
-        gaps=F.coalesce(clause("gaps", columns=F.col("gaps")), F.lit(CLAUSES["no_gaps"])),
+        named(profile, profile.completeness.join(gaps, "table")), "completeness", pct=fixed("pct_complete", 0),
+        n_complete="n_complete", n_cols="n_cols",
+        gaps=optional("gaps is not null", clause("gaps", columns="gaps"), CLAUSES["no_gaps"]), **IN_TABLE,
     )
-    present = F.concat_ws(", ", *[
-        F.when(F.col(f"has_{kind}"), F.lit(wording)) for kind, _, _, wording in METADATA_KINDS if wording
-    ])
-    missing = F.concat_ws(", ", *[
-        F.when(~F.col(f"has_{kind}"), F.lit(wording)) for kind, _, wording, _ in METADATA_KINDS
-    ])
-    known = named(profile, profile.metadata_presence.withColumn("present", present).withColumn("missing", missing))
-    metadata = pairs(
-        known, "missing_metadata", readable=F.col("readable"), table=F.col("table"),
-        present=optional(F.col("present") != "", clause("metadata_present", present=F.col("present"))),
-        missing=optional(F.col("missing") != "", clause("metadata_missing", missing=F.col("missing")), CLAUSES["metadata_all"]),
+    present = ", ".join(f"if(has_{kind}, {sql(word)}, null)" for kind, _, _, word in METADATA_KINDS if word)
+    missing = ", ".join(f"if(has_{kind}, null, {sql(word)})" for kind, _, word, _ in METADATA_KINDS)
+    known = named(profile, profile.metadata_presence).selectExpr(
+        "table", "readable", f"concat_ws(', ', {present}) as present", f"concat_ws(', ', {missing}) as missing"
     )
-    return complete.unionByName(metadata)
+    return complete.unionByName(pairs(
+        known, "missing_metadata",
+        present=optional("present != ''", clause("metadata_present", present="present")),
+        missing=optional("missing != ''", clause("metadata_missing", missing="missing"), CLAUSES["metadata_all"]),
+        **IN_TABLE,
+    ))
 
 
-# ---- correlation, cross-table, subgroup, anomaly, interpretation --------------------
+# ---- correlation, cross-table, subgroup, anomaly, interpretation -----------------------------
 
-def _pair_text(template: str, **more: Column) -> Column:
-    return clause(template, a=clean_name(F.col("col_a")), b=clean_name(F.col("col_b")), r=fixed(F.col("r"), 3), **more)
+PAIR = {"a": clean_name("col_a"), "b": clean_name("col_b"), "r": fixed("r", 3)}
 
 
 def qa_correlation(profile: Profile) -> DataFrame:
     classes = profile.corr_classes
-
-    def chosen(condition: Column, template: str, limit: int) -> Column:
-        items = F.collect_list(F.when(condition, F.struct("rank", _pair_text(template).alias("text"))))
-        return F.slice(F.sort_array(items), 1, limit)
-
-    by_table = classes.groupBy("table").agg(
-        F.concat(
-            chosen(F.col("class") == "strong_positive", "strong_positive", 5),
-            chosen(F.col("class") == "strong_negative", "strong_negative", 5),
-        ).alias("strong"),
-        chosen(F.col("class") == "weak", "pair", 5).alias("weak"),
-        F.slice(F.sort_array(F.collect_list(F.when(
-            F.col("is_redundant"), F.struct("pos_a", "pos_b", _pair_text("pair").alias("text"))))), 1, 3).alias("redundant"),
+    chosen = lambda test, template, limit, order="rank": ordered(
+        f"{order}, {clause(template, **PAIR)} as text", test, limit
     )
-    frame = named(profile, by_table)
-    texts = lambda c: F.array_join(F.transform(c, lambda item: item.getField("text")), "; ")
-    shared = {"readable": F.col("readable"), "table": F.col("table")}
-    a, b, r = clean_name(F.col("col_a")), clean_name(F.col("col_b")), F.col("r")
-    affects = named(profile, classes.filter((F.col("rank") <= 3) & (F.abs("r") >= 0.3)))
-    connected = named(profile, profile.most_connected)
-    partners = F.array_join(F.transform("partners", lambda p: clause(
-        "partner", name=clean_name(p.getField("partner")), r=fixed(p.getField("r"), 3))), "; ")
+    strong = "concat({}, {})".format(*[
+        f"transform({chosen(f'class = {sql(name)}', name, 5)}, i -> i.text)" for name in ("strong_positive", "strong_negative")
+    ])
+    frame = named(profile, classes.groupBy("table").agg(
+        F.expr(f"array_join({strong}, '; ')").alias("strong"),
+        F.expr(joined(chosen("class = 'weak'", "pair", 5), "; ")).alias("weak"),
+        F.expr(joined(chosen("is_redundant", "pair", 3, "pos_a, pos_b"), "; ")).alias("redundant"),
+    ))
+    meaning = f"if(r > 0, {clause('meaning_up', a=PAIR['a'], b=PAIR['b'])}, {clause('meaning_down', a=PAIR['a'], b=PAIR['b'])})"
+    partner = clause("partner", name=clean_name("i.partner"), r=fixed("i.r", 3))
     return union_all([
-        pairs(frame.filter(F.size("strong") > 0), "correlated", pairs=texts("strong"), **shared),
-        pairs(frame.filter(F.size("weak") > 0), "independent", pairs=texts("weak"), **shared),
+        pairs(frame.filter("strong != ''"), "correlated", pairs="strong", **IN_TABLE),
+        pairs(frame.filter("weak != ''"), "independent", pairs="weak", **IN_TABLE),
         pairs(
-            affects, "affects", a=a, b=b, r=fixed(r, 3),
-            strength=F.when(F.abs(r) > 0.7, "strong").otherwise("moderate"),
-            direction=F.when(r > 0, "positive").otherwise("negative"),
-            meaning=F.when(r > 0, clause("meaning_up", a=a, b=b)).otherwise(clause("meaning_down", a=a, b=b)), **shared,
+            named(profile, classes.filter("rank <= 3 and abs(r) >= 0.3D")), "affects",
+            strength="if(abs(r) > 0.7D, 'strong', 'moderate')", direction="if(r > 0, 'positive', 'negative')",
+            meaning=meaning, **PAIR, **IN_TABLE,
+        ),
+        pairs(frame.filter("redundant != ''"), "redundant", pairs="redundant", **IN_TABLE),
+        pairs(
+            named(profile, profile.most_connected), "most_connected", name=clean_name("column"),
+            mean_r=fixed("mean_r", 3), partners=joined("partners", "; ", partner), **IN_TABLE,
         ),
-        pairs(frame.filter(F.size("redundant") > 0), "redundant", pairs=texts("redundant"), **shared),
-        pairs(connected, "most_connected", name=clean_name(F.col("column")), mean_r=fixed(F.col("mean_r"), 3),
-              partners=partners, **shared),
     ])
 
 
 def qa_cross_table(profile: Profile, overlap: DataFrame | None = None) -> DataFrame:
     overlap = column_overlap(profile.tables) if overlap is None else overlap
-    gains = join_gain(profile.tables.columns_frame(), overlap)
     names = readable_tables(profile)
     frame = (
-        overlap.join(gains, ["column", "table_a", "table_b"])
+        overlap.join(join_gain(profile.tables.columns_frame(), overlap), ["column", "table_a", "table_b"])
         .join(F.broadcast(names.toDF("table_a", "readable_a")), "table_a")
         .join(F.broadcast(names.toDF("table_b", "readable_b")), "table_b")
         .withColumn("table", F.col("table_a"))
     )
-    cleaned = lambda c: F.array_join(F.transform(c, clean_name), ", ")
-    has_a, has_b = F.size("gain_a") > 0, F.size("gain_b") > 0
-    shared = {
-        "readable_a": F.col("readable_a"), "readable_b": F.col("readable_b"), "table_a": F.col("table_a"),
-        "table_b": F.col("table_b"), "name": clean_name(F.col("column")),
-    }
+    cleaned = lambda c: joined(c, ", ", clean_name("i"))
+    shared = {key: key for key in ("readable_a", "readable_b", "table_a", "table_b")} | {"name": clean_name("column")}
+    has_a, has_b = "size(gain_a) > 0", "size(gain_b) > 0"
     return pairs(
-        frame, "tables_related", n_a=F.col("n_a"), n_b=F.col("n_b"), n_overlap=F.col("n_overlap"),
-        pct=fixed(F.col("pct_of_smaller"), 0), **shared
+        frame, "tables_related", n_a="n_a", n_b="n_b", n_overlap="n_overlap", pct=fixed("pct_of_smaller", 0), **shared
     ).unionByName(pairs(
-        frame.filter(has_a | has_b), "join_gain",
-        gain_a=optional(has_a, clause("gain_a", table=F.col("table_a"), columns=cleaned("gain_a"))),
-        joint=optional(has_a & has_b, F.lit("with ")),
-        gain_b=optional(has_b, clause("gain_b", table=F.col("table_b"), columns=cleaned("gain_b"))), **shared,
+        frame.filter(f"{has_a} or {has_b}"), "join_gain",
+        gain_a=optional(has_a, clause("gain_a", table="table_a", columns=cleaned("gain_a"))),
+        joint=optional(f"{has_a} and {has_b}", sql("with ")),
+        gain_b=optional(has_b, clause("gain_b", table="table_b", columns=cleaned("gain_b"))), **shared,
     ))
 
 
 def qa_subgroups(profile: Profile) -> DataFrame:
     frame = named(profile, subgroups(profile))
-    low, high = F.col("low"), F.col("high")
-    zero = F.lit(0.0)
-    detail = F.array_join(F.transform("groups", lambda g: clause(
-        "group_detail", value=g.getField("value"), avg=g6(F.coalesce(g.getField("avg"), zero)),
-        stddev=g6(F.coalesce(g.getField("stddev"), zero)), n=g.getField("n"))), "; ")
-    shared = {
-        "cat_name": clean_name(F.col("cat")), "num_name": clean_name(F.col("num")), "readable": F.col("readable"),
-        "table": F.col("table"), "pct": fixed(F.col("pct_diff"), 1),
-    }
+    detail = clause(
+        "group_detail", value="i.value", avg=g6("coalesce(i.avg, 0D)"), stddev=g6("coalesce(i.stddev, 0D)"), n="i.n"
+    )
+    shared = {"cat_name": clean_name("cat"), "num_name": clean_name("num"), "pct": fixed("pct_diff", 1), **IN_TABLE}
     return pairs(
-        frame, "highest_group", high_value=high["value"], high_avg=g6(high["avg"]), high_n=high["n"],
-        low_value=low["value"], low_avg=g6(low["avg"]), low_n=low["n"], diff=g6(F.col("diff")), **shared
-    ).unionByName(pairs(frame.filter(F.col("pct_diff") > 20), "groups_differ", groups=detail, **shared))
+        frame, "highest_group", high_value="high.value", high_avg=g6("high.avg"), high_n="high.n",
+        low_value="low.value", low_avg=g6("low.avg"), low_n="low.n", diff=g6("diff"), **shared
+    ).unionByName(pairs(frame.filter("pct_diff > 20"), "groups_differ", groups=joined("groups", "; ", detail), **shared))
 
 
 def qa_anomaly(profile: Profile) -> DataFrame:
-    item = F.struct((-F.col("n_outlier")).alias("order"), "id", clause("multi_outlier", id=F.col("id"), n=F.col("n_outlier")).alias("text"))
-    several = profile.multi_outliers.groupBy("table").agg(listed(F.collect_list(item), "; ").alias("samples"))
+    item = clause("multi_outlier", id="id", n="n_outlier")
+    several = profile.multi_outliers.groupBy("table").agg(
+        F.expr(joined(ordered(f"-n_outlier as place, id, {item} as text"), "; ")).alias("samples")
+    )
     first = F.row_number().over(Window.partitionBy("table").orderBy("position"))
-    bimodal = profile.bimodality.filter("is_bimodal").withColumn("first", first).filter(F.col("first") == 1)
-    surprising = surprising_groups(profile)
-    shared = {"readable": F.col("readable"), "table": F.col("table")}
+    bimodal = profile.bimodality.filter("is_bimodal").withColumn("first", first).filter("first = 1")
     return union_all([
-        pairs(named(profile, several), "multi_outliers", samples=F.col("samples"), **shared),
+        pairs(named(profile, several), "multi_outliers", samples="samples", **IN_TABLE),
         pairs(
-            named(profile, bimodal), "bimodal", name=clean_name(F.col("column")), pct=fixed(F.col("middle_pct"), 0),
-            n_lower=F.col("n_lower_half"), n_upper=F.col("n_upper_half"), **shared,
+            named(profile, bimodal), "bimodal", name=clean_name("column"), pct=fixed("middle_pct", 0),
+            n_lower="n_lower_half", n_upper="n_upper_half", **IN_TABLE,
         ),
         pairs(
-            named(profile, surprising), "surprising_group", num_name=clean_name(F.col("num")),
-            cat_name=clean_name(F.col("cat")), value=F.col("value"),
-            direction=F.when(F.col("is_high"), "unusually high").otherwise("unusually low"),
-            group_avg=g6(F.col("avg")), avg=g6(F.col("overall_avg")), z=fixed(F.col("z"), 1), **shared,
+            named(profile, surprising_groups(profile)), "surprising_group", num_name=clean_name("num"),
+            cat_name=clean_name("cat"), value="value", direction="if(is_high, 'unusually high', 'unusually low')",
+            group_avg=g6("avg"), avg=g6("overall_avg"), z=fixed("z", 1), **IN_TABLE,
         ),
     ])
 
 
 def qa_interpretation(profile: Profile) -> DataFrame:
-    frame = named(profile, profile.highlights)
-    rows = F.col("n_rows")
-    cleaned = lambda c: F.array_join(F.transform(c, clean_name), ", ")
-    focus = F.concat_ws(
-        ". ",
-        clause("focus_cv", name=clean_name(F.col("top_cv_column")), cv=fixed(F.col("top_cv"), 2)),
-        clause("focus_pair", a=clean_name(F.col("col_a")), b=clean_name(F.col("col_b")), r=fixed(F.col("r"), 3)),
-        F.when(rows < 30, clause("focus_few", n_rows=rows)).when(rows > 1000, clause("focus_many", n_rows=rows)),
-    )
-    findings = F.concat_ws(
-        ". ",
-        F.when(F.size("stable") > 0, clause("story_stable", columns=cleaned("stable"))),
-        F.when(F.size("variable") > 0, clause("story_variable", columns=cleaned("variable"))),
-        F.when(F.col("n_strong") > 0, clause("story_strong", n=F.col("n_strong"))),
-    )
-    told = frame.withColumn("focus", focus).withColumn("findings", findings)
-    shared = {"readable": F.col("readable"), "table": F.col("table")}
-    opening = clause("story_size", table=F.col("table"), n_rows=rows, n_numeric=F.col("n_numeric"))
-    related = F.struct("rank", _pair_text(
-        "related_pair", direction=F.when(F.col("r") > 0, "positively").otherwise("negatively")).alias("text"))
-    strongest = profile.correlations.filter(F.col("rank") <= 5).groupBy("table").agg(
-        listed(F.collect_list(related), "; ").alias("pairs")
+    cleaned = lambda c: joined(c, ", ", clean_name("i"))
+    when = lambda test, text: f"case when {test} then {text} end"
+    focus = ", ".join([
+        clause("focus_cv", name=clean_name("top_cv_column"), cv=fixed("top_cv", 2)),
+        clause("focus_pair", **PAIR),
+        when("n_rows < 30", clause("focus_few", n_rows="n_rows")),
+        when("n_rows > 1000", clause("focus_many", n_rows="n_rows")),
+    ])
+    findings = ", ".join([
+        when("size(stable) > 0", clause("story_stable", columns=cleaned("stable"))),
+        when("size(variable) > 0", clause("story_variable", columns=cleaned("variable"))),
+        when("n_strong > 0", clause("story_strong", n="n_strong")),
+    ])
+    told = named(profile, profile.highlights).selectExpr(
+        "*", f"concat_ws('. ', {focus}) as focus", f"concat_ws('. ', {findings}) as findings"
     )
-    ratio = fixed(F.col("ratio"), 0)
-    note = (
-        F.when(F.col("power") == "underpowered", clause("underpowered", ratio=ratio))
-        .when(F.col("power") == "adequate", clause("adequate", ratio=ratio))
-        .otherwise(clause("well_powered", ratio=ratio))
+    opening = clause("story_size", table="table", n_rows="n_rows", n_numeric="n_numeric")
+    related = clause("related_pair", direction="if(r > 0, 'positively', 'negatively')", **PAIR)
+    strongest = profile.correlations.filter("rank <= 5").groupBy("table").agg(
+        F.expr(joined(ordered(f"rank, {related} as text"), "; ")).alias("pairs")
     )
+    note = "case power " + " ".join(
+        f"when {sql(power)} then {clause(power, ratio=fixed('ratio', 0))}" for power in ("underpowered", "adequate", "well_powered")
+    ) + " end"
     return union_all([
-        pairs(told.filter(F.col("focus") != ""), "focus", highlights=F.col("focus"), **shared),
-        pairs(told.filter(F.col("findings") != ""), "story", parts=F.concat_ws(". ", opening, F.col("findings")), **shared),
-        pairs(named(profile, strongest), "relationships", pairs=F.col("pairs"), **shared),
-        pairs(named(profile, profile.sufficiency), "sufficiency", n_rows=rows, n_numeric=F.col("n_numeric"), note=note, **shared),
+        pairs(told.filter("focus != ''"), "focus", highlights="focus", **IN_TABLE),
+        pairs(told.filter("findings != ''"), "story", parts=f"concat_ws('. ', {opening}, findings)", **IN_TABLE),
+        pairs(named(profile, strongest), "relationships", pairs="pairs", **IN_TABLE),
+        pairs(named(profile, profile.sufficiency), "sufficiency", n_rows="n_rows", n_numeric="n_numeric", note=note, **IN_TABLE),
     ])
 
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import fill, g6, listed, plain_name, readable_name, yes_no
-from tabulore.operators.profile import Profile, quoted
+from tabulore.functions.text import clean_name, fill, g6, joined, ordered, plain_name, readable_name, ref, sql, yes_no
+from tabulore.operators.profile import Profile
 from tabulore.operators.ranking import number_rows
 from tabulore.operators.relate import shared_columns
 from tabulore.plans.templates import PASSAGES
-from tabulore.sources.tables import ColumnRole, has_hint, union_all
+from tabulore.sources.tables import ColumnRole, has_hint, literal_rows, union_all
 
 # Hints that make a string column an identification field.
 IDENTIFICATION_HINTS = ("id", "name", "code", "key", "sample")
@@ -27,25 +27,23 @@ def _group_of(role: ColumnRole) -> str:
     return "properties"
 
 
-def row_text(table: str, roles: Sequence[ColumnRole]) -> Column:
-    """One row as a sentence; NULL cells and empty groups are left out."""
-    groups: dict[str, list[Column]] = {"identification": [], "measurements": [], "properties": []}
+def row_text(table: str, roles: Sequence[ColumnRole]) -> str:
+    """SQL: one row as a sentence; NULL cells and empty groups are left out."""
+    groups: dict[str, list[str]] = {"identification": [], "measurements": [], "properties": []}
     for role in roles:
-        if role.role == "nested":
-            continue
-        value = quoted(role.name)
-        shown = g6(value) if role.is_fractional else yes_no(value) if role.is_boolean else value.cast("string")
-        groups[_group_of(role)].append(fill(PASSAGES["field"], name=plain_name(role.name), value=shown))
-    parts = [F.lit(PASSAGES["record"].format(readable=readable_name(table), table=table))]
+        if role.role != "nested":
+            x = ref(role.name)
+            shown = g6(x) if role.is_fractional else yes_no(x) if role.is_boolean else x
+            groups[_group_of(role)].append(fill(PASSAGES["field"], name=sql(plain_name(role.name)), value=shown))
+    parts = [sql(PASSAGES["record"].format(readable=readable_name(table), table=table))]
     for group, fields in groups.items():
         if fields:
-            joined = F.concat_ws("; ", *fields)
-            parts.append(F.when(joined != "", fill(PASSAGES[group], fields=joined)))
-    return F.concat_ws(" ", *parts)
+            parts.append(fill(PASSAGES[group], fields=f"nullif(concat_ws('; ', {', '.join(fields)}), '')"))
+    return f"concat_ws(' ', {', '.join(parts)})"
 
 
 def row_to_text(df: DataFrame, table: str, roles: Sequence[ColumnRole], keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*keep, row_text(table, roles).alias("text"))
+    return df.select(*keep, F.expr(row_text(table, roles)).alias("text"))
 
 
 def build_passages(
@@ -53,80 +51,64 @@ def build_passages(
     order_by: Sequence[str] = (), rows_per_passage: int = ROWS_PER_PASSAGE,
 ) -> DataFrame:
     """(table, passage_id, text): consecutive rows in groups of ``rows_per_passage``."""
-    numbered = number_rows(df, order_by, "_row")
-    sentences = numbered.select(
-        F.floor((F.col("_row") - 1) / rows_per_passage).cast("bigint").alias("passage_id"),
-        F.struct(F.col("_row").alias("row"), row_text(table, roles).alias("text")).alias("line"),
+    lines = number_rows(df, order_by, "_row").selectExpr(
+        f"(_row - 1) div {rows_per_passage} as passage_id", "_row as row", f"{row_text(table, roles)} as text"
     )
-    passage = PASSAGES["passage"]
-    return sentences.groupBy("passage_id").agg(F.collect_list("line").alias("lines")).select(
-        F.lit(table).alias("table"), "passage_id",
-        fill(
-            passage, readable=readable_name(table), table=table, name=plain_name(table),
-            rows=listed(F.col("lines"), "\n"), n_rows=str(n_rows), n_cols=str(len(roles)),
-        ).alias("text"),
+    passage = fill(
+        PASSAGES["passage"], readable=sql(readable_name(table)), table=sql(table), name=sql(plain_name(table)),
+        rows=joined("lines", "\n"), n_rows=str(n_rows), n_cols=str(len(roles)),
+    )
+    return lines.groupBy("passage_id").agg(F.expr(ordered("row, text")).alias("lines")).selectExpr(
+        f"{sql(table)} as table", "passage_id", f"{passage} as text"
     )
-
-
-def _names(flag: Column) -> Column:
-    kept = F.sort_array(F.collect_list(F.when(flag, F.struct("position", F.col("column").alias("text")))))
-    joined = F.array_join(F.transform(kept, lambda item: item.getField("text")), ", ")
-    return F.when(F.size(kept) > 0, joined).otherwise(F.lit("None"))
-
-
-def readable_column(name: Column) -> Column:
-    return F.initcap(F.translate(name, "_", " "))
 
 
 def readable_tables(profile: Profile) -> DataFrame:
     """(table, readable): display names, computed from metadata."""
     rows = [(name, readable_name(name)) for name in profile.tables.names]
-    return profile.tables.spark.createDataFrame(rows, "table string, readable string")
+    return literal_rows(profile.tables.spark, rows, "table string, readable string")
 
 
 def table_overviews(profile: Profile) -> DataFrame:
     """(table, text): what a table holds."""
+    names = lambda flag: (
+        f"coalesce(nullif({joined(ordered('position, column as text', flag), ', ')}, ''), 'None')"
+    )
     described = profile.tables.columns_frame().groupBy("table").agg(
-        listed(F.collect_list(F.struct(
-            "position", F.concat("column", F.lit(" ("), "data_type", F.lit(")")).alias("text"))), ", "
-        ).alias("columns"),
-        _names(F.col("is_numeric")).alias("numeric"),
-        _names(F.col("is_string")).alias("strings"),
+        F.expr(joined(ordered("position, concat(column, ' (', data_type, ')') as text"), ", ")).alias("columns"),
+        F.expr(names("is_numeric")).alias("numeric"),
+        F.expr(names("is_string")).alias("strings"),
     )
-    return (
-        profile.table_sizes.join(described, "table").join(readable_tables(profile), "table")
-        .select("table", fill(
-            PASSAGES["table_overview"], table=F.col("table"), readable=F.col("readable"), n_rows=F.col("n_rows"),
-            n_cols=F.col("n_cols"), columns=F.col("columns"), numeric=F.col("numeric"), text=F.col("strings"),
-        ).alias("text"))
+    text = fill(
+        PASSAGES["table_overview"], table="table", readable="readable", n_rows="n_rows", n_cols="n_cols",
+        columns="columns", numeric="numeric", text="strings",
+    )
+    return profile.table_sizes.join(described, "table").join(readable_tables(profile), "table").selectExpr(
+        "table", f"{text} as text"
     )
 
 
 def shared_text(profile: Profile, template: str, sep: str, clean: bool) -> DataFrame:
     """One row: all shared columns joined into one text (NULL when there are none)."""
     shared = shared_columns(profile.tables.columns_frame())
-    name = F.translate("column", "_", " ") if clean else F.col("column")
-    entry = fill(template, name=name, column=name, tables=F.array_join("tables", ", "))
-    rows = F.collect_list(F.struct("first_seen", entry.alias("text")))
-    return shared.agg(F.when(F.count(F.lit(1)) > 0, listed(rows, sep)).alias("shared"))
+    name = clean_name("column") if clean else "column"
+    entry = fill(template, name=name, column=name, tables="array_join(tables, ', ')")
+    return shared.agg(F.expr(f"nullif({joined(ordered(f'first_seen, {entry} as text'), sep)}, '')").alias("shared"))
 
 
 def schema_overview(profile: Profile) -> DataFrame:
     """(text): one overview of the whole schema."""
-    lines = F.collect_list(F.struct(
-        "table_position",
-        fill(PASSAGES["schema_table"], readable=F.col("readable"), table=F.col("table"),
-             n_rows=F.col("n_rows"), n_cols=F.col("n_cols")).alias("text"),
-    ))
-    sizes = profile.table_sizes.join(readable_tables(profile), "table").agg(
-        F.count(F.lit(1)).alias("n_tables"), F.sum("n_rows").alias("n_rows"), listed(lines, "").alias("tables")
+    line = fill(PASSAGES["schema_table"], readable="readable", table="table", n_rows="n_rows", n_cols="n_cols")
+    totals = profile.table_sizes.join(readable_tables(profile), "table").agg(
+        F.expr("count(1)").alias("n_tables"), F.sum("n_rows").alias("n_rows"),
+        F.expr(joined(ordered(f"table_position, {line} as text"), "")).alias("tables"),
     )
     shared = shared_text(profile, PASSAGES["schema_shared"], "", clean=False).scalar()
-    tail = F.coalesce(F.concat(F.lit(PASSAGES["schema_shared_head"]), shared), F.lit(""))
-    return sizes.select(fill(
-        PASSAGES["schema_overview"], full_schema=profile.tables.full_schema_name, n_tables=F.col("n_tables"),
-        n_rows=F.col("n_rows"), tables=F.col("tables"), shared=tail,
-    ).alias("text"))
+    text = fill(
+        PASSAGES["schema_overview"], full_schema=sql(profile.tables.full_schema_name), n_tables="n_tables",
+        n_rows="n_rows", tables="tables", shared=f"coalesce({sql(PASSAGES['schema_shared_head'])} || shared, '')",
+    )
+    return totals.withColumn("shared", shared).selectExpr(f"{text} as text")
 
 
 def build_corpus(profile: Profile, order_by: dict[str, Sequence[str]] | None = None,
@@ -134,15 +116,14 @@ def build_corpus(profile: Profile, order_by: dict[str, Sequence[str]] | None = N
     """(kind, table, passage_id, text): schema overview, table overviews and all passages."""
     order_by = order_by or {}
     sizes = profile.tables.row_counts()
-    nothing = F.lit(None).cast("bigint").alias("passage_id")
     parts = [
-        schema_overview(profile).select(F.lit("schema").alias("kind"), F.lit("").alias("table"), nothing, "text"),
-        table_overviews(profile).select(F.lit("table").alias("kind"), "table", nothing, "text"),
+        schema_overview(profile).selectExpr("'schema' as kind", "'' as table", "cast(null as bigint) as passage_id", "text"),
+        table_overviews(profile).selectExpr("'table' as kind", "table", "cast(null as bigint) as passage_id", "text"),
     ]
     for name in profile.tables.names:
         passages = build_passages(
             profile.tables.tables[name], name, profile.tables.roles[name], sizes[name],
             order_by.get(name, ()), rows_per_passage,
         )
-        parts.append(passages.select(F.lit("passage").alias("kind"), "table", "passage_id", "text"))
-    return union_all(parts).filter(F.trim("text") != "")
+        parts.append(passages.selectExpr("'passage' as kind", "table", "passage_id", "text"))
+    return union_all(parts).filter("trim(text) != ''")

@@ -6,11 +6,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulore.functions.text import is_blank
+from tabulore.functions.text import is_blank, ref, sql
 
 # Name hints and preferred text column names.
 ID_ONLY_HINTS = ("id", "key")
@@ -57,10 +57,11 @@ class ColumnRole:
     def is_boolean(self) -> bool:
         return isinstance(self.data_type, T.BooleanType)
 
-    def shown(self) -> Column:
-        """The cell as displayed text (booleans capitalised)."""
-        text = F.col(f"`{self.name}`").cast("string")
-        return F.initcap(text) if self.is_boolean else text
+    @property
+    def shown_sql(self) -> str:
+        """SQL: the cell as displayed text (booleans capitalised)."""
+        text = f"cast({ref(self.name)} as string)"
+        return f"initcap({text})" if self.is_boolean else text
 
 
 def classify(schema: T.StructType, whole_words: bool = False) -> list[ColumnRole]:
@@ -158,7 +159,7 @@ class TableSet:
             "table string, table_position int, position int, column string, data_type string, "
             "is_numeric boolean, is_categorical boolean, is_id boolean, is_string boolean"
         )
-        return self.spark.createDataFrame(rows, schema)
+        return literal_rows(self.spark, rows, schema)
 
 
 def list_parquet(spark: SparkSession, path: str) -> list[str]:
@@ -174,6 +175,28 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Metadata rows as an inline table, which the optimizer sees as a local relation."""
+    fields = T.StructType.fromDDL(schema).fields
+
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, str):
+            return sql(value)
+        return f"double('{value!r}')" if isinstance(value, float) else str(value).lower()
+
+    types = [f.dataType.simpleString() for f in fields]
+    if not rows:
+        nothing = ", ".join(f"cast(null as {t}) as {ref(f.name)}" for f, t in zip(fields, types))
+        return spark.sql(f"select {nothing} where false")
+    names = ", ".join(ref(f.name) for f in fields)
+    lines = ", ".join(
+        "(" + ", ".join(f"cast({literal(v)} as {t})" for v, t in zip(row, types)) + ")" for row in rows
+    )
+    return spark.sql(f"select * from values {lines} as t({names})")
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
