@@ -89,7 +89,7 @@ def corpus_sql() -> dict[str, str]:
             n AS (SELECT conv_id, turn, least({n_words}, 64) AS n_tokens, len({words("substr(text, 1, instr(text, '[/INST]') + 6)")}) AS head FROM t)
             SELECT conv_id, turn, n_tokens::INT AS n_tokens, least(head, n_tokens)::INT AS n_masked, (n_tokens - least(head, n_tokens))::INT AS n_trainable,
             least(head, n_tokens)::INT AS n_ignored, n_tokens::INT AS n_labels FROM n""",
-        "number_texts": f"""SELECT l_orderkey, l_linenumber, l_partkey, {g6('l_extendedprice * pow(10, l_linenumber * 3 - 11)')} AS g6, {metric('l_discount')} AS metric,
+        "number_texts": f"""SELECT l_orderkey, l_linenumber, l_partkey, {g6('l_extendedprice * [1e-8, 1e-5, 1e-2, 10, 1e4, 1e7, 1e10][l_linenumber]')} AS g6, {metric('l_discount')} AS metric,
             {fixed('l_extendedprice / 8', 2)} AS two, {fixed('l_quantity / 2', 0)} AS whole, {g6('l_tax')} AS value,
             CASE WHEN l_discount > 0.05::DOUBLE THEN 'Yes' ELSE 'No' END AS high FROM lineitem""",
         "json_values": """SELECT event_id, CASE WHEN event_id % 4 < 3 THEN (props->>'k')::BIGINT END AS k,

@@ -77,14 +77,14 @@ def subgroups(spark, sf_dir):
 
 
 def iqr_outliers(spark, sf_dir):
-    df = profile(spark, sf_dir).outliers.select(
+    df = profile(spark, sf_dir, keep=True).outliers.select(
         "table", "column", "q1", "q3", "iqr", "lo_fence", "hi_fence", "n_outlier", "pct_of_rows"
     )
     return rounded(rounded(df, 4, "q1", "q3", "iqr", "lo_fence", "hi_fence"), 6, "pct_of_rows")
 
 
 def bimodality(spark, sf_dir):
-    return rounded(profile(spark, sf_dir).bimodality.select(
+    return rounded(profile(spark, sf_dir, keep=True).bimodality.select(
         "table", "column", "n_lower_half", "n_upper_half", "n_middle", "middle_pct", "is_bimodal"), 6, "middle_pct")
 
 
@@ -94,7 +94,7 @@ def metadata_presence(spark, sf_dir):
 
 
 def highlights(spark, sf_dir):
-    df = profile(spark, sf_dir).highlights.select("table", "top_cv_column", "top_cv", "col_a", "col_b", "r", "n_strong")
+    df = profile(spark, sf_dir, keep=True).highlights.select("table", "top_cv_column", "top_cv", "col_a", "col_b", "r", "n_strong")
     return rounded(df, 6, "top_cv", "r")
 
 
@@ -219,7 +219,7 @@ def cap_pairs(spark, sf_dir):
 
 def number_texts(spark, sf_dir):
     part, lineitem = read(spark, sf_dir, "part"), read(spark, sf_dir, "lineitem")
-    x = "(l_extendedprice * pow(10D, l_linenumber * 3 - 11))"
+    x = "(l_extendedprice * element_at(array(1e-8D, 1e-5D, 1e-2D, 10D, 1e4D, 1e7D, 1e10D), l_linenumber))"
     return lineitem.selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", f"{g6(x)} as g6", f"{metric_text('l_discount')} as metric",
         f"{fixed('l_extendedprice / 8', 2)} as two", f"{fixed('l_quantity / 2', 0)} as whole",
@@ -466,14 +466,14 @@ QUERIES: dict[str, Query] = {
     "corr_classes": on_profile(lambda p: p.corr_classes.drop("pos_a", "pos_b", "r")),
     "most_connected": on_profile(lambda p: rounded(p.most_connected.drop("partners"), 6, "mean_r")),
     "iqr_outliers": iqr_outliers,
-    "multi_outliers": on_profile(lambda p: p.multi_outliers),
+    "multi_outliers": on_profile(lambda p: p.multi_outliers, keep=True),
     "bimodality": bimodality,
     "class_balance": on_profile(lambda p: p.class_balance),
     "compare_groups": compare_groups,
     "subgroups": subgroups,
     "surprising_groups": on_profile(lambda p: rounded(
-        groups.surprising_groups(p).select("table", "cat", "num", "value", "z", "is_high"), 4, "z")),
-    "sanity_checks": on_profile(lambda p: rounded(p.sanity.drop("check"), 4, "pct")),
+        groups.surprising_groups(p).select("table", "cat", "num", "value", "z", "is_high"), 4, "z"), keep=True),
+    "sanity_checks": on_profile(lambda p: rounded(p.sanity.drop("check"), 4, "pct"), keep=True),
     "metadata_presence": metadata_presence,
     "sufficiency": on_profile(lambda p: rounded(p.sufficiency, 6, "ratio")),
     "highlights": highlights,

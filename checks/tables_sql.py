@@ -40,7 +40,7 @@ LABELLED = "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM document
 SCHEMA_NAME, FULL_NAME = "shop", "lake.shop"
 KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
-    "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+    "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
     "events": ["event_id"], "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"],
     "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"], "labelled": ["doc_id"],
 }
@@ -281,33 +281,33 @@ RELATED = {
 }
 
 
-def related_ctes() -> str:
+def related_ctes(tables: dict[str, dict[str, str]] = RELATED) -> str:
     holders: dict[str, list[tuple[str, str]]] = {}
-    for t, renames in RELATED.items():
+    for t, renames in tables.items():
         for c, k in TABLES[t]:
             if k != "a":
                 holders.setdefault(renames.get(c, c), []).append((t, c))
-    position = {t: i for i, t in enumerate(RELATED)}
+    position = {t: i for i, t in enumerate(tables)}
     rows, order = [], 0
     for column, holding in holders.items():
         if len(holding) > 1:
             for (a, ca), (b, cb) in combinations(holding, 2):
                 rows.append(
                     f"SELECT {lit(column)} AS col, {order} AS col_order, {lit(a)} AS a, {lit(b)} AS b, {position[a]} AS pa, {position[b]} AS pb, "
-                    f"(SELECT count(DISTINCT {ca}) FROM {a}) AS n_a, (SELECT count(DISTINCT {cb}) FROM {b}) AS n_b, "
-                    f"(SELECT count(*) FROM (SELECT DISTINCT {ca} AS v FROM {a} WHERE {ca} IS NOT NULL) p JOIN "
-                    f"(SELECT DISTINCT {cb} AS v FROM {b} WHERE {cb} IS NOT NULL) q ON p.v = q.v) AS n_overlap"
+                    f"(SELECT count(DISTINCT {ca}) FROM {source(a)} x) AS n_a, (SELECT count(DISTINCT {cb}) FROM {source(b)} x) AS n_b, "
+                    f"(SELECT count(*) FROM (SELECT DISTINCT {ca} AS v FROM {source(a)} x WHERE {ca} IS NOT NULL) p JOIN "
+                    f"(SELECT DISTINCT {cb} AS v FROM {source(b)} x WHERE {cb} IS NOT NULL) q ON p.v = q.v) AS n_overlap"
                 )
             order += 1
     names = ", ".join(
         f"({lit(t)}, {lit(renames.get(c, c))}, {p}, {str(k in 'ild').lower()})"
-        for t, renames in RELATED.items() for p, (c, k) in enumerate(TABLES[t])
+        for t, renames in tables.items() for p, (c, k) in enumerate(TABLES[t])
     )
     gain = lambda this, other: (
         f"(SELECT list(n.col ORDER BY n.pos)[1:3] FROM rcols n WHERE n.tbl = o.{this} AND n.is_num "
         f"AND n.col NOT IN (SELECT m.col FROM rcols m WHERE m.tbl = o.{other}))"
     )
-    return f"""WITH overlap0 AS ({union(rows)}),
+    return f"""overlap0 AS ({union(rows)}),
 overlap AS (SELECT *, 100.0::DOUBLE * n_overlap / least(n_a, n_b) AS pct FROM overlap0 WHERE n_overlap > 0 ORDER BY col_order, pa, pb LIMIT 15),
 rcols(tbl, col, pos, is_num) AS (VALUES {names}),
 gains AS (SELECT o.*, coalesce({gain('a', 'b')}, []) AS gain_a, coalesce({gain('b', 'a')}, []) AS gain_b FROM overlap o)
@@ -315,10 +315,19 @@ gains AS (SELECT o.*, coalesce({gain('a', 'b')}, []) AS gain_a, coalesce({gain('
 
 
 def related_sql() -> dict[str, str]:
-    R = related_ctes()
+    R = "WITH " + related_ctes()
+    return {
+        "column_overlap": R + 'SELECT col AS "column", a AS table_a, b AS table_b, n_a, n_b, n_overlap, round(pct, 6) AS pct_of_smaller FROM overlap',
+        "join_gain": R + """SELECT col AS "column", a AS table_a, b AS table_b, array_to_string(gain_a, ', ') AS gain_a,
+            array_to_string(gain_b, ', ') AS gain_b FROM gains""",
+        "qa_cross_table": R + cross_table_pairs(RELATED),
+    }
+
+
+def cross_table_pairs(tables) -> str:
     shared = {"readable_a": "ra", "readable_b": "rb", "table_a": "a", "table_b": "b", "name": clean("col")}
     names = lambda c: f"(SELECT string_agg({clean('u.x')}, ', ' ORDER BY u.k) FROM (SELECT unnest({c}) AS x, generate_subscripts({c}, 1) AS k) u)"
-    readable = ", ".join(f"({lit(t)}, {lit(title(t))})" for t in RELATED)
+    readable = ", ".join(f"({lit(t)}, {lit(title(t))})" for t in tables)
     frame = f"(SELECT g.*, x.r AS ra, y.r AS rb FROM gains g JOIN (VALUES {readable}) x(t, r) ON x.t = g.a JOIN (VALUES {readable}) y(t, r) ON y.t = g.b) f"
 
     def qa(key: str, where: str = "true", /, **values: str) -> str:
@@ -327,18 +336,13 @@ def related_sql() -> dict[str, str]:
                 f"a AS \"table\", {lit(key)} AS template_id FROM {frame} WHERE {where}")
 
     has_a, has_b = "len(gain_a) > 0", "len(gain_b) > 0"
-    return {
-        "column_overlap": R + 'SELECT col AS "column", a AS table_a, b AS table_b, n_a, n_b, n_overlap, round(pct, 6) AS pct_of_smaller FROM overlap',
-        "join_gain": R + """SELECT col AS "column", a AS table_a, b AS table_b, array_to_string(gain_a, ', ') AS gain_a,
-            array_to_string(gain_b, ', ') AS gain_b FROM gains""",
-        "qa_cross_table": R + union([
-            qa("tables_related", n_a="n_a", n_b="n_b", n_overlap="n_overlap", pct=fixed("pct", 0), **shared),
-            qa("join_gain", f"{has_a} OR {has_b}",
-               gain_a=f"CASE WHEN {has_a} THEN {clause('gain_a', table='a', columns=names('gain_a'))} ELSE '' END",
-               joint=f"CASE WHEN {has_a} AND {has_b} THEN 'with ' ELSE '' END",
-               gain_b=f"CASE WHEN {has_b} THEN {clause('gain_b', table='b', columns=names('gain_b'))} ELSE '' END", **shared),
-        ]),
-    }
+    return union([
+        qa("tables_related", n_a="n_a", n_b="n_b", n_overlap="n_overlap", pct=fixed("pct", 0), **shared),
+        qa("join_gain", f"{has_a} OR {has_b}",
+           gain_a=f"CASE WHEN {has_a} THEN {clause('gain_a', table='a', columns=names('gain_a'))} ELSE '' END",
+           joint=f"CASE WHEN {has_a} AND {has_b} THEN 'with ' ELSE '' END",
+           gain_b=f"CASE WHEN {has_b} THEN {clause('gain_b', table='b', columns=names('gain_b'))} ELSE '' END", **shared),
+    ])
 
 
 def qa(key: str, frame: str, where: str = "true", owner: str = "tbl", /, **values: str) -> str:
@@ -509,7 +513,14 @@ def qa_sql() -> dict[str, str]:
             qa("relationships", named(f"(SELECT tbl, string_agg({related}, '; ' ORDER BY rnk) AS parts FROM corr WHERE rnk <= 5 GROUP BY tbl)"), pairs="parts", **in_table),
             qa("sufficiency", "sizes q", n_rows="n_rows", n_numeric="n_num", note=note, **in_table)],
     }
-    return {key: P + union(parts) for key, parts in queries.items()}
+    whole_set = {t: {} for t in TABLES}
+    every = union([part for parts in queries.values() for part in parts] + [cross_table_pairs(whole_set)])
+    priority = "category IN ('schema', 'reasoning', 'correlation', 'cross_table', 'anomaly', 'interpretation', 'subgroup')"
+    capped = f""", {related_ctes(whole_set)}, every_pair AS ({every}), total AS (SELECT count(*) AS n, count(*) FILTER (WHERE {priority}) AS n_first FROM every_pair)
+        SELECT * FROM every_pair WHERE (SELECT n FROM total) <= 2500 OR {priority}
+        UNION ALL SELECT * FROM (SELECT * FROM every_pair WHERE (SELECT n FROM total) > 2500 AND NOT {priority}
+          QUALIFY row_number() OVER (ORDER BY md5(instruction || '|' || response)) <= greatest(0, 2500 - (SELECT n_first FROM total)))"""
+    return {key: P + union(parts) for key, parts in queries.items()} | {"qa_tables": P + capped}
 
 
 # ---- verbalisation ---------------------------------------------------------------

@@ -64,34 +64,43 @@ def fixed(x: str, digits: int) -> str:
     return f"format_number(cast({x} as double), '{pattern}')"
 
 
-def g6(x: str) -> str:
-    """``%.6g``: six significant digits, trailing zeros dropped.
-
-    A value below 10^(k+1) needs at most 5-k decimals and ``#`` drops trailing
-    zeros, so the magnitude picks how much of one pattern is used. Only very
-    small and very large values take the exponent form, where an exact tie
-    between two mantissas has to go to the even one.
-    """
-    x = f"cast({x} as double)"
-    sci = f"format_number({x}, '0.00000E0')"
+def _exponent_form() -> str:
+    """SQL over ``v``: exponent form of a very small or very large number."""
+    sci = "format_number(v, '0.00000E0')"
     exponent = f"try_cast(substring_index({sci}, 'E', -1) as int)"
-    scaled = f"({x} / pow(10D, {exponent} - 5))"
+    scaled = f"(v / pow(10D, {exponent} - 5))"
     mantissa = (
         f"if({exponent} >= 6 and abs({scaled} - floor({scaled})) = 0.5D, "
         f"format_number(rint({scaled}) / 100000D, '0.#####'), "
         f"regexp_replace(substring_index({sci}, 'E', 1), '[.]?0+$', ''))"
     )
-    scientific = (
-        f"if({exponent} = -4, format_number({x}, '0.####'), "
-        f"concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), 2, '0')))"
+    return (
+        "case when isnan(v) then 'nan' when abs(v) = double('infinity') then if(v > 0, 'inf', '-inf') "
+        f"when {exponent} = -4 then format_number(v, '0.####') "
+        f"else concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), 2, '0')) end"
+    )
+
+
+EXPONENT_FORM = _exponent_form()
+
+
+def g6(x: str) -> str:
+    """``%.6g``: six significant digits, trailing zeros dropped.
+
+    A value below 10^(k+1) needs at most 5-k decimals and ``#`` drops trailing
+    zeros, so the magnitude picks one of ten constant patterns (a constant
+    pattern is compiled once per task). Only very small and very large values
+    take the exponent form, where an exact tie between two mantissas has to go
+    to the even one; as a lambda it stays out of the generated method.
+    """
+    x = f"cast({x} as double)"
+    plain = " ".join(
+        f"when abs({x}) < 1e{power}D then format_number({x}, '0.{'#' * (6 - power)}')" for power in range(-3, 6)
     )
-    decimals = f"if(abs({x}) >= 1e5D, 1, 7 - cast(floor(log10(abs({x}))) as int))"
     return (
-        f"case when isnan({x}) then 'nan' "
-        f"when abs({x}) = double('infinity') then if({x} > 0, 'inf', '-inf') "
-        f"when {x} = 0 then format_number({x}, '0') "
-        f"when abs({x}) < 1e-4D or abs({x}) >= 999999.5D then {scientific} "
-        f"else format_number({x}, substring('0.#########', 1, {decimals})) end"
+        f"case when {x} = 0 then format_number({x}, '0') "
+        f"when abs({x}) < 1e-4D or abs({x}) >= 999999.5D then element_at(transform(array({x}), v -> {EXPONENT_FORM}), 1) "
+        f"{plain} else format_number({x}, '0') end"
     )
 
 

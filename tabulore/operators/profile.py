@@ -326,25 +326,24 @@ class Profile:
             .withColumn("hi_fence", F.col("q3") + reach * F.col("iqr"))
         )
 
-    def _with_bounds(self, table: str) -> DataFrame:
-        """The table with its fences and value ranges as two one-row subqueries."""
-        roles = self.numeric_roles(table, self.options.outlier_columns)
+    @cached_property
+    def _limits(self) -> dict[tuple[str, str], dict[str, float | None]]:
+        """Fences and value range per column, on the driver: one row per profiled numeric column.
 
-        def one_row(frame: DataFrame, fields: str) -> Column:
-            picks = ", ".join(
-                f"'c{r.position}', max(case when column = {sql(r.name)} then struct({fields}) end)" for r in roles
-            )
-            return frame.filter(F.col("table") == table).agg(F.expr(f"named_struct({picks})")).scalar()
+        As literals they reach the scan as pushed filters and need no join.
+        """
+        fences = self.fences.select("table", "column", "lo_fence", "hi_fence")
+        rows = self.numeric.select("table", "column", "min", "max").join(fences, ["table", "column"], "left").collect()
+        return {(row["table"], row["column"]): row.asDict() for row in rows}
 
-        return self.tables.tables[table].select(
-            "*",
-            one_row(self.fences, "lo_fence as lo, hi_fence as hi").alias("_fence"),
-            one_row(self.numeric, "min as lo, max as hi").alias("_range"),
-        )
+    def _limit(self, table: str, column: str, name: str) -> str:
+        """SQL: one limit as a literal."""
+        value = self._limits[table, column][name]
+        return "cast(null as double)" if value is None else f"double('{value!r}')"
 
-    def _outside(self, role: ColumnRole) -> str:
-        x, fence = number(role.name), f"_fence.c{role.position}"
-        return f"({x} < {fence}.lo or {x} > {fence}.hi)"
+    def _outside(self, table: str, role: ColumnRole) -> str:
+        x = number(role.name)
+        return f"({x} < {self._limit(table, role.name, 'lo_fence')} or {x} > {self._limit(table, role.name, 'hi_fence')})"
 
     def _count_spread(self, table: str) -> DataFrame | None:
         roles = self.numeric_roles(table, self.options.outlier_columns)
@@ -352,16 +351,16 @@ class Profile:
             return None
         counts = []
         for index, r in enumerate(roles):
-            x, lo, hi = number(r.name), f"_range.c{r.position}.lo", f"_range.c{r.position}.hi"
+            x, lo, hi = number(r.name), self._limit(table, r.name, "min"), self._limit(table, r.name, "max")
             halves = [
                 f"count_if({x} < ({lo} + {hi}) / 2)", f"count_if({x} >= ({lo} + {hi}) / 2)",
                 f"count_if({x} >= {lo} + ({hi} - {lo}) * 0.33D and {x} <= {lo} + ({hi} - {lo}) * 0.66D)",
             ] if index < self.options.bimodal_columns else ["null"] * 3
-            counts.append(f"struct({sql(r.name)}, {r.position}, count_if({self._outside(r)}), {', '.join(halves)})")
+            counts.append(f"struct({sql(r.name)}, {r.position}, count_if({self._outside(table, r)}), {', '.join(halves)})")
         fields = (
             "struct<column:string,position:int,n_outlier:bigint,n_lower_half:bigint,n_upper_half:bigint,n_middle:bigint>"
         )
-        counted = self._with_bounds(table).agg(F.expr(array_of(counts, fields)).alias("counts"))
+        counted = self.tables.tables[table].agg(F.expr(array_of(counts, fields)).alias("counts"))
         return counted.select(F.lit(table).alias("table"), F.inline("counts"))
 
     @cached_property
@@ -385,9 +384,10 @@ class Profile:
         id_column = self.options.id_columns.get(table) or (ids[0] if ids else None)
         if len(self.numeric_roles(table, self.options.numeric_columns)) < 2 or id_column is None:
             return None
-        score = " + ".join(f"if({self._outside(r)}, 1, 0)" for r in roles)
+        outside = [self._outside(table, r) for r in roles]
+        score = " + ".join(f"if({test}, 1, 0)" for test in outside)
         return (
-            self._with_bounds(table)
+            self.tables.tables[table].filter(" or ".join(outside))
             .selectExpr(f"cast({ref(id_column)} as string) as id", f"{score} as n_outlier")
             .filter(F.col("n_outlier") >= 2)
             .orderBy(F.desc("n_outlier"), "id")
