@@ -462,9 +462,9 @@ QUERIES: dict[str, Query] = {
     "null_profile": on_profile(lambda p: rounded(p.nulls.drop("position"), 6, "pct_null")),
     "completeness": on_profile(lambda p: rounded(p.completeness, 6, "pct_complete")),
     "value_counts": on_profile(lambda p: p.values.drop("position")),
-    "correlations": on_profile(lambda p: rounded(p.correlations.select("table", "col_a", "col_b", "r"), 6, "r")),
-    "corr_classes": on_profile(lambda p: p.corr_classes.drop("pos_a", "pos_b", "r")),
-    "most_connected": on_profile(lambda p: rounded(p.most_connected.drop("partners"), 6, "mean_r")),
+    "correlations": on_profile(lambda p: rounded(p.correlations.select("table", "col_a", "col_b", "r"), 6, "r"), keep=True),
+    "corr_classes": on_profile(lambda p: p.corr_classes.drop("pos_a", "pos_b", "r"), keep=True),
+    "most_connected": on_profile(lambda p: rounded(p.most_connected.drop("partners"), 6, "mean_r"), keep=True),
     "iqr_outliers": iqr_outliers,
     "multi_outliers": on_profile(lambda p: p.multi_outliers, keep=True),
     "bimodality": bimodality,

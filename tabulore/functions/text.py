@@ -16,8 +16,10 @@ from string import Formatter
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as whitespace when text is cleaned.
-WHITESPACE = r"\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# Fixed value: whitespace when text is cleaned, Unicode white space and the four
+# separator control characters.
+WHITESPACE = r"(?U)[\s\x1C-\x1F]"
+NOT_WHITESPACE = r"(?U)[^\s\x1C-\x1F]"
 
 NOT_RECORDED = "not recorded"
 NOT_AVAILABLE = "N/A"
@@ -25,11 +27,11 @@ NOT_AVAILABLE = "N/A"
 
 def clean_text(text: Column) -> Column:
     """Collapse whitespace runs to one space and strip; NULL becomes ''."""
-    return F.coalesce(F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(text, WHITESPACE + "+", " ")), F.lit(""))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(f"[^{WHITESPACE}]")
+    return ~text.rlike(NOT_WHITESPACE)
 
 
 def plain_name(name: str) -> str:

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import clean_text, is_blank
+from tabulore.functions.text import WHITESPACE, clean_text, is_blank
 from tabulore.operators.ranking import split_exact
+from tabulore.session import cut_lineage
 from tabulore.sources.tables import union_all
 
 CHARS_PER_TOKEN = 4
@@ -46,9 +47,16 @@ def dedup_exact(df: DataFrame, order_by: Sequence[str], column: str = "text") ->
 def prepare_documents(
     df: DataFrame, key: str, lo: int = 100, hi: int = 50_000, val_share: float = 0.05, column: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean, filter by length, deduplicate and split; returns (train, val)."""
-    ready = dedup_exact(filter_by_length(clean_column(df, column), lo, hi, column), [key], column)
-    return split_exact(ready, [key], val_share)
+    """Clean, filter by length, deduplicate and split; returns (train, val).
+
+    Copies have equal length, so the length filter may follow the deduplication;
+    there it reuses the cleaned text instead of cleaning once more below it.
+    Cleaning only shortens, so texts that are too short go first.
+    """
+    long_enough = df.filter(F.length(column) >= lo)
+    ready = filter_by_length(dedup_exact(clean_column(long_enough, column), [key], column), lo, hi, column)
+    # The split passes over the keys several times; they read only the key column of this table.
+    return split_exact(cut_lineage(ready), [key], val_share)
 
 
 def corpus_stats(df: DataFrame, column: str = "text", by: Sequence[str] = ()) -> DataFrame:
@@ -77,8 +85,7 @@ def funnel(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Whitespace tokens; the empty text has none."""
-    cleaned = clean_text(text)
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(F.split(cleaned, " "))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITESPACE + "+"), "")
 
 
 def sequence_budget(df: DataFrame, max_len: int = 2048, column: str = "text", by: Sequence[str] = ()) -> DataFrame:

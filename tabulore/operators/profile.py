@@ -1,6 +1,7 @@
 """Table profiles in a few passes per table.
 
-Pass 1  one aggregation: row count, nulls, numeric statistics, correlations.
+Pass 1  one aggregation: row count, nulls, numeric statistics; then one sum per
+        pair of numeric columns for the correlations, centred on the means.
 Pass 2  digests of categorical cells counted, the top ones kept per column.
 Pass 3  statistics of the first numeric columns within the top categories.
 Pass 4  exact quartiles, then conditional counts around fences and midpoints.
@@ -54,18 +55,45 @@ PAIR_FIELDS = "struct<col_a:string,pos_a:int,col_b:string,pos_b:int,r:double>"
 GROUP_FIELDS = "struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>"
 
 
+@dataclass(frozen=True)
+class Moments:
+    """What pass 1 found out about a numeric column."""
+
+    role: ColumnRole
+    n_rows: int
+    n: int
+    avg: float | None
+    stddev: float | None
+
+    @property
+    def centred(self) -> str:
+        """SQL: distance from the mean."""
+        return f"({number(self.role.name)} - double('{self.avg!r}'))"
+
+
 def number(name: str) -> str:
     """SQL: a numeric column as double."""
     return f"cast({ref(name)} as double)"
 
 
-def pearson(a: str, b: str) -> str:
-    """SQL: correlation over rows where both are present; NULL when either is constant."""
-    both = f"where {a} is not null and {b} is not null"
-    return (
-        f"try_divide(covar_pop({a}, {b}), "
-        f"stddev_pop({a}) filter ({both}) * stddev_pop({b}) filter ({both}))"
-    )
+def pearson(a: Moments, b: Moments) -> str | None:
+    """SQL: correlation over rows where both are present; NULL when either is constant.
+
+    Values are centred on the known means, so plain sums of products lose no
+    digits, and a pair without NULLs costs a single sum. With NULLs the moments
+    of the rows where both are present are summed as well.
+    """
+    if not (a.stddev and b.stddev):
+        return None
+    da, db = a.centred, b.centred
+    if a.n == a.n_rows and b.n == b.n_rows:
+        return f"sum({da} * {db}) / ({a.n - 1} * double('{a.stddev!r}') * double('{b.stddev!r}'))"
+    both = f"filter (where {da} is not null and {db} is not null)"
+    n = f"count({da} * {db})"
+    sa, sb = f"sum({da}) {both}", f"sum({db}) {both}"
+    spread_a, spread_b = f"(sum({da} * {da}) {both} - {sa} * {sa} / {n})", f"(sum({db} * {db}) {both} - {sb} * {sb} / {n})"
+    varies = f"min({da}) {both} < max({da}) {both} and min({db}) {both} < max({db}) {both}"
+    return f"case when {varies} then (sum({da} * {db}) - {sa} * {sb} / {n}) / sqrt({spread_a} * {spread_b}) end"
 
 
 def array_of(items: list[str], fields: str) -> str:
@@ -114,20 +142,15 @@ class Profile:
                 f"struct({sql(r.name)}, {r.position}, {str(r.is_fractional).lower()}, count({raw}), min({x}), max({x}), "
                 f"avg({x}), stddev_samp({x}), cast(min({raw}) as string), cast(max({raw}) as string))"
             )
-        pairs = [
-            f"struct({sql(a.name)}, {a.position}, {sql(b.name)}, {b.position}, {pearson(number(a.name), number(b.name))})"
-            for a, b in combinations(numeric, 2)
-        ]
         return self.tables.tables[table].agg(
             F.expr("count(1)").alias("n_rows"),
             F.expr(array_of(nulls, NULL_FIELDS)).alias("nulls"),
             F.expr(array_of(stats, NUMERIC_FIELDS)).alias("numeric"),
-            F.expr(array_of(pairs, PAIR_FIELDS)).alias("pairs"),
         ).select(F.lit(table).alias("table"), "*")
 
     @cached_property
     def summary(self) -> DataFrame:
-        """One row per table: n_rows, nulls[], numeric[], pairs[]."""
+        """One row per table: n_rows, nulls[], numeric[]."""
         return self._kept(union_all(self._summarise(name) for name in self.tables.names))
 
     @cached_property
@@ -179,13 +202,37 @@ class Profile:
             "avg + 1.96D * se as ci_hi",
         )
 
+    @cached_property
+    def _moments(self) -> dict[tuple[str, str], tuple]:
+        """Counts, means and deviations on the driver: one row per profiled numeric column."""
+        rows = self.numeric.select("table", "column", "n_rows", "n", "avg", "stddev").collect()
+        return {(row["table"], row["column"]): (row["n_rows"], row["n"], row["avg"], row["stddev"]) for row in rows}
+
+    def _pairs(self, table: str) -> DataFrame | None:
+        known = [
+            Moments(r, *self._moments[table, r.name]) for r in self.numeric_roles(table, self.options.numeric_columns)
+        ]
+        structs = [
+            f"struct({sql(a.role.name)}, {a.role.position}, {sql(b.role.name)}, {b.role.position}, {r})"
+            for a, b in combinations(known, 2) if (r := pearson(a, b)) is not None
+        ]
+        if not structs:
+            return None
+        summed = self.tables.tables[table].agg(F.expr(array_of(structs, PAIR_FIELDS)).alias("pairs"))
+        return summed.select(F.lit(table).alias("table"), F.inline("pairs"))
+
     @cached_property
     def correlations(self) -> DataFrame:
         """(table, col_a, pos_a, col_b, pos_b, r, rank) with rank by |r| descending."""
+        frames = [f for f in (self._pairs(name) for name in self.tables.names) if f is not None]
         by_size = Window.partitionBy("table").orderBy(F.abs("r").desc(), "pos_a", "pos_b")
-        return (
-            self.summary.select("table", F.inline("pairs")).filter(F.col("r").isNotNull())
-            .withColumn("rank", F.row_number().over(by_size))
+        if not frames:
+            return literal_rows(
+                self.tables.spark, [],
+                "table string, col_a string, pos_a int, col_b string, pos_b int, r double, rank int",
+            )
+        return self._kept(
+            union_all(frames).filter(F.col("r").isNotNull()).withColumn("rank", F.row_number().over(by_size))
         )
 
     # ---- passes 2 and 3 -----------------------------------------------------
@@ -243,8 +290,8 @@ class Profile:
     def _grouped(self, with_numeric: bool) -> DataFrame:
         frames = [f for f in (self._group(name, with_numeric) for name in self.tables.names) if f is not None]
         if not frames:
-            return literal_rows(self.tables.spark, 
-                [], "table string, column string, position int, rank int, value string, n bigint, "
+            return literal_rows(
+                self.tables.spark, [], "table string, column string, position int, rank int, value string, n bigint, "
                 f"stats array<{GROUP_FIELDS}>",
             )
         return union_all(frames)
@@ -305,12 +352,12 @@ class Profile:
                 (name, r.name, r.position, found.get(f"{name}\t{r.position}\t0.25"), found.get(f"{name}\t{r.position}\t0.75"))
                 for name, roles in large for r in roles
             ]
-            frames.append(literal_rows(self.tables.spark, 
-                rows, "table string, column string, position int, q1 double, q3 double"
+            frames.append(literal_rows(
+                self.tables.spark, rows, "table string, column string, position int, q1 double, q3 double"
             ).filter(F.col("q1").isNotNull()))
         if not frames:
-            return literal_rows(self.tables.spark, 
-                [], "table string, column string, position int, q1 double, q3 double"
+            return literal_rows(
+                self.tables.spark, [], "table string, column string, position int, q1 double, q3 double"
             )
         return union_all(frames)
 

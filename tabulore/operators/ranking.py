@@ -23,7 +23,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_nu
     are range-partitioned and sorted; the position inside the partition comes
     with ``monotonically_increasing_id`` and only one count per partition is
     summed up. The tie column splits runs of equal keys over partitions. The
-    placed rows are checkpointed because both uses must see the same placement.
+    placed rows are written once because both uses must see the same placement;
+    counting the partitions reads the position column only.
     """
     if order_by:
         tied = df.withColumn("_tie", F.monotonically_increasing_id())

@@ -76,8 +76,8 @@ def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
         union_all(cells).groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
         .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
     )
-    pair_rows = literal_rows(tables.spark, 
-        pairs, "column string, column_order int, table_a string, table_b string, a int, b int"
+    pair_rows = literal_rows(
+        tables.spark, pairs, "column string, column_order int, table_a string, table_b string, a int, b int"
     )
     has_a, has_b = F.array_contains("held_by", F.col("a")), F.array_contains("held_by", F.col("b"))
     counted = (
