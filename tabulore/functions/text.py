@@ -61,7 +61,7 @@ def clean_name(x: str) -> str:
 
 
 def fixed(x: str, digits: int) -> str:
-    """``%.{digits}f``."""
+    """``%.{digits}f``; zeros stand in beyond the 17 digits a double holds."""
     pattern = "0." + "0" * digits if digits else "0"
     return f"format_number(cast({x} as double), '{pattern}')"
 
@@ -79,7 +79,7 @@ def _exponent_form() -> str:
     return (
         "case when isnan(v) then 'nan' when abs(v) = double('infinity') then if(v > 0, 'inf', '-inf') "
         f"when {exponent} = -4 then format_number(v, '0.####') "
-        f"else concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), lpad(abs({exponent}), 2, '0')) end"
+        f"else concat({mantissa}, if({exponent} < 0, 'e-', 'e+'), if(abs({exponent}) < 10, '0', ''), abs({exponent})) end"
     )
 
 
