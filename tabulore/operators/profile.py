@@ -13,6 +13,7 @@ question-answer templates are projections over them.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import combinations
@@ -340,12 +341,21 @@ class Profile:
             ).filter(F.col("value").isNotNull())
             frames.append(direct_quantiles(cells, ["table", "column", "position"], {"q1": 0.25, "q3": 0.75}))
         if large:
+            # Pass 1 knows count and range of a column, unless it holds NaN (which sorts last).
+            known = {
+                (row["table"], row["column"]): row for row in self.numeric.select("table", "column", "n", "min", "max").collect()
+            }
             sources = []
             for name, roles in large:
-                targets = [
-                    Target(f"{name}\t{r.position}\t{share}", F.expr(clean_double(number(r.name))), share=share)
-                    for r in roles for share in (0.25, 0.75)
-                ]
+                targets = []
+                for r in roles:
+                    stats = known[name, r.name]
+                    counted = stats["n"] and not math.isnan(stats["max"])
+                    bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if counted else {}
+                    targets += [
+                        Target(f"{name}\t{r.position}\t{share}", F.expr(clean_double(number(r.name))), share=share, **bounds)
+                        for share in (0.25, 0.75)
+                    ]
                 sources.append((self.tables.tables[name], targets))
             found = select_ranks(sources, self.options.direct_limit, self.options.buckets)
             rows = [

@@ -84,20 +84,23 @@ def select_ranks(
     """Resolve all targets; values come back by target key (absent when there are no rows)."""
     targets = {t.key: t for _, group in sources for t in group}
 
-    unbounded = _long(sources, lambda t: F.when(t.value.isNotNull(), F.lit(0)))
-    bounds = unbounded.groupBy("key").agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    seen = {row["key"]: row for row in bounds.collect()}
-    for key, target in targets.items():
-        row = seen.get(key)
-        target.inside = row["n"] if row else 0
-        if row:
-            target.lo, target.hi = row["lo"], row["hi"]
-            if target.rank is None:
-                target.rank = max(1, math.ceil(target.share * row["n"]))
-            if not 1 <= target.rank <= row["n"]:
-                target.inside = 0
-            elif target.lo == target.hi:
-                target.result = target.lo
+    unbounded = [(df, [t for t in group if t.inside is None]) for df, group in sources]
+    if any(group for _, group in unbounded):
+        rows = _long(unbounded, lambda t: F.when(t.value.isNotNull(), F.lit(0)))
+        bounds = rows.groupBy("key").agg(
+            F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        )
+        for row in bounds.collect():
+            target = targets[row["key"]]
+            target.inside, target.lo, target.hi = row["n"], row["lo"], row["hi"]
+    for target in targets.values():
+        n = target.inside = target.inside or 0
+        if target.rank is None:
+            target.rank = max(1, math.ceil(target.share * n))
+        if not 1 <= target.rank <= n:
+            target.inside = 0
+        elif target.lo == target.hi:
+            target.result = target.lo
 
     logarithmic = False
     while any(not t.done and t.inside > direct_limit for t in targets.values()):

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from tabulore.sources.tables import TableSet, literal_rows, union_all
 
 
+WORD = 62  # table bits per bigint
+
+
 def shared_columns(columns: DataFrame) -> DataFrame:
     """(column, column_order, tables[]) for names that occur in several tables."""
     first_seen = F.min(F.struct("table_position", "position"))
@@ -37,9 +40,10 @@ def _common_type(types: list[T.DataType]) -> str:
 def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
     """Distinct values of each shared column per table pair, and how many are common.
 
-    A value is reduced to the set of tables that hold it (one row per value,
-    combined map-side), then equal sets are counted; pairs are only formed from
-    those few counted sets, never from rows. NULL is not a value.
+    A value is reduced to the set of tables that hold it, kept as bits so that
+    the aggregation has fixed-size buffers and combines map-side; then equal
+    sets are counted. Pairs are only formed from those few counted sets, never
+    from rows. NULL is not a value.
     """
     holders: dict[str, list[str]] = {}
     for name in tables.names:
@@ -72,14 +76,23 @@ def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
             (column, order, a, b, position[a], position[b])
             for i, a in enumerate(names) for b in names[i + 1:]
         ]
+    words = range(-(-len(tables.names) // WORD))
+    bits = [
+        F.bit_or(F.expr(f"if(held_by div {WORD} = {w}, shiftleft(1L, held_by % {WORD}), 0L)")).alias(f"word_{w}")
+        for w in words
+    ]
+    names = [f"word_{w}" for w in words]
     signatures = (
-        union_all(cells).groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
-        .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
+        union_all(cells).groupBy("column", "value").agg(*bits)
+        .groupBy("column", *names).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("held_by", F.array(*names))
     )
     pair_rows = literal_rows(
         tables.spark, pairs, "column string, column_order int, table_a string, table_b string, a int, b int"
     )
-    has_a, has_b = F.array_contains("held_by", F.col("a")), F.array_contains("held_by", F.col("b"))
+    has_a, has_b = (
+        F.expr(f"(shiftright(held_by[{side} div {WORD}], {side} % {WORD}) & 1) = 1") for side in ("a", "b")
+    )
     counted = (
         signatures.join(F.broadcast(pair_rows), "column")
         .groupBy("column", "column_order", "table_a", "table_b", "a", "b")
