@@ -353,7 +353,7 @@ class Profile:
                     counted = stats["n"] and not math.isnan(stats["max"])
                     bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if counted else {}
                     targets += [
-                        Target(f"{name}\t{r.position}\t{share}", F.expr(clean_double(number(r.name))), share=share, **bounds)
+                        Target(f"{name}\t{r.position}\t{share}", clean_double(number(r.name)), share=share, **bounds)
                         for share in (0.25, 0.75)
                     ]
                 sources.append((self.tables.tables[name], targets))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulore.sources.tables import union_all
@@ -27,10 +27,13 @@ LARGEST = 1.7e308
 
 @dataclass
 class Target:
-    """The ``rank``-th smallest (1-based) of ``value`` over the rows of a frame."""
+    """The ``rank``-th smallest (1-based) of ``value`` (SQL) over the rows of a frame.
+
+    ``share`` asks for the smallest value whose running count reaches that share.
+    """
 
     key: str
-    value: Column
+    value: str
     rank: int | None = None
     share: float | None = None
     lo: Any = None
@@ -43,37 +46,56 @@ class Target:
     def done(self) -> bool:
         return self.result is not None or self.inside == 0
 
+    @property
+    def bracket(self) -> tuple:
+        return self.value, self.lo, self.hi
+
 
 def clean_double(x: str) -> str:
     """SQL: NaN does not take part in order statistics."""
     return f"nullif({x}, double('NaN'))"
 
 
-def _scaled(value: Column, logarithmic: bool) -> Column:
-    x = F.least(F.greatest(value.cast("double"), F.lit(-LARGEST)), F.lit(LARGEST))
-    return F.signum(x) * F.log1p(F.abs(x)) if logarithmic else x * 0.5
+def _literal(value: float | int) -> str:
+    return f"{value}L" if isinstance(value, int) else f"double('{value!r}')"
+
+
+def _inside(x: str, lo, hi) -> str:
+    return f"{x} >= {_literal(lo)} and {x} <= {_literal(hi)}"
 
 
-def _bucket(target: Target, logarithmic: bool, buckets: int) -> Column:
-    low, high = _scaled(F.lit(target.lo), logarithmic), _scaled(F.lit(target.hi), logarithmic)
-    share = (_scaled(target.value, logarithmic) - low) / F.when(high > low, high - low).otherwise(1.0)
-    position = F.floor(share * float(buckets)).cast("int")
-    inside = (target.value >= F.lit(target.lo)) & (target.value <= F.lit(target.hi))
-    return F.when(inside, F.least(F.greatest(position, F.lit(0)), F.lit(buckets - 1)))
+def _bucket(x: str, lo, hi, logarithmic: bool, buckets: int) -> str:
+    """SQL: histogram bucket of ``x`` between ``lo`` and ``hi``; never decreases with ``x``."""
+    if isinstance(lo, int):
+        share = f"cast({x} - {lo}L as double) / {float(hi - lo)!r}D"
+    else:
+        def scaled(v: str) -> str:
+            v = f"least(greatest({v}, -{LARGEST}D), {LARGEST}D)"
+            return f"signum({v}) * log1p(abs({v}))" if logarithmic else f"{v} * 0.5D"
 
+        low, high = scaled(_literal(lo)), scaled(_literal(hi))
+        share = f"coalesce(try_divide({scaled(x)} - {low}, {high} - {low}), 0D)"
+    return f"least(greatest(cast(floor({share} * {buckets}) as int), 0), {buckets - 1})"
 
-def _long(sources: Sequence[tuple[DataFrame, Sequence[Target]]], bucket) -> DataFrame:
-    """(key, bucket, value) for every row inside an open bracket."""
-    frames = []
+
+def _long(sources: Sequence[tuple[DataFrame, Sequence[Target]]], cell) -> tuple[DataFrame, dict[int, list[Target]]]:
+    """(id, bucket, value) for every row inside an open bracket, and the targets per bracket id.
+
+    Targets of one frame with the same bracket share its rows.
+    """
+    frames, owners = [], {}
     for df, targets in sources:
-        open_targets = [t for t in targets if not t.done]
-        if open_targets:
-            cells = [
-                F.struct(F.lit(t.key).alias("key"), bucket(t).alias("bucket"), t.value.alias("value"))
-                for t in open_targets
-            ]
-            frames.append(df.select(F.inline(F.array(*cells))).filter(F.col("bucket").isNotNull()))
-    return union_all(frames)
+        brackets: dict[tuple, list[Target]] = {}
+        for t in targets:
+            if not t.done:
+                brackets.setdefault(t.bracket, []).append(t)
+        cells = []
+        for (value, lo, hi), waiting in brackets.items():
+            owners[len(owners)] = waiting
+            cells.append(f"named_struct('id', {len(owners) - 1}, 'bucket', {cell(value, lo, hi)}, 'value', {value})")
+        if cells:
+            frames.append(df.selectExpr(f"inline(array({', '.join(cells)}))").filter("bucket is not null"))
+    return union_all(frames), owners
 
 
 def select_ranks(
@@ -82,62 +104,62 @@ def select_ranks(
     buckets: int = BUCKETS,
 ) -> dict[str, Any]:
     """Resolve all targets; values come back by target key (absent when there are no rows)."""
-    targets = {t.key: t for _, group in sources for t in group}
+    targets = [t for _, group in sources for t in group]
 
     unbounded = [(df, [t for t in group if t.inside is None]) for df, group in sources]
     if any(group for _, group in unbounded):
-        rows = _long(unbounded, lambda t: F.when(t.value.isNotNull(), F.lit(0)))
-        bounds = rows.groupBy("key").agg(
-            F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-        )
+        rows, owners = _long(unbounded, lambda x, lo, hi: f"if({x} is not null, 0, null)")
+        bounds = rows.groupBy("id").agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         for row in bounds.collect():
-            target = targets[row["key"]]
-            target.inside, target.lo, target.hi = row["n"], row["lo"], row["hi"]
-    for target in targets.values():
-        n = target.inside = target.inside or 0
-        if target.rank is None:
-            target.rank = max(1, math.ceil(target.share * n))
-        if not 1 <= target.rank <= n:
-            target.inside = 0
-        elif target.lo == target.hi:
-            target.result = target.lo
+            for t in owners[row["id"]]:
+                t.inside, t.lo, t.hi = row["n"], row["lo"], row["hi"]
+    for t in targets:
+        t.inside = t.inside or 0
+        if t.rank is None:
+            t.rank = max(1, math.ceil(t.share * t.inside))
+        if not 1 <= t.rank <= t.inside:
+            t.inside = 0
+        elif t.lo == t.hi:
+            t.result = t.lo
 
     logarithmic = False
-    while any(not t.done and t.inside > direct_limit for t in targets.values()):
+    while any(not t.done and t.inside > direct_limit for t in targets):
         wide = [(df, [t for t in group if not t.done and t.inside > direct_limit]) for df, group in sources]
+        rows, owners = _long(
+            wide, lambda x, lo, hi, log=logarithmic: f"if({_inside(x, lo, hi)}, {_bucket(x, lo, hi, log, buckets)}, null)"
+        )
+        running = Window.partitionBy("id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = (
-            _long(wide, lambda t, log=logarithmic: _bucket(t, log, buckets))
-            .groupBy("key", "bucket")
+            rows.groupBy("id", "bucket")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+            .withColumn("upto", F.sum("n").over(running))
         )
-        running = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        ranks = {t.key: t.rank - t.below for _, group in wide for t in group}
-        wanted = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])[F.col("key")]
-        hit = counts.withColumn("upto", F.sum("n").over(running)).filter(
-            (F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)
+        hit = " or ".join(
+            f"(id = {key} and upto >= {t.rank - t.below} and upto - n < {t.rank - t.below})"
+            for key, waiting in owners.items() for t in waiting
         )
-        for row in hit.collect():
-            target = targets[row["key"]]
-            target.below += row["upto"] - row["n"]
-            target.inside, target.lo, target.hi = row["n"], row["lo"], row["hi"]
-            if target.lo == target.hi:
-                target.result = target.lo
+        wanted = {t.key: t.rank - t.below for waiting in owners.values() for t in waiting}
+        for row in counts.filter(hit).collect():
+            for t in owners[row["id"]]:
+                if row["upto"] - row["n"] < wanted[t.key] <= row["upto"]:
+                    t.below += row["upto"] - row["n"]
+                    t.inside, t.lo, t.hi = row["n"], row["lo"], row["hi"]
+                    if t.lo == t.hi:
+                        t.result = t.lo
         logarithmic = not logarithmic
 
-    last = [t for t in targets.values() if not t.done]
-    if last:
-        values = _long(
-            sources,
-            lambda t: F.when((t.value >= F.lit(t.lo)) & (t.value <= F.lit(t.hi)), F.lit(0)),
-        )
-        ranks = {t.key: t.rank - t.below for t in last}
-        wanted = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])[F.col("key")]
-        for row in (
-            _running_counts(values, ["key"]).groupBy("key")
-            .agg(F.min(F.when(F.col("upto") >= wanted, F.col("value"))).alias("value")).collect()
-        ):
-            targets[row["key"]].result = row["value"]
-    return {key: t.result for key, t in targets.items() if t.result is not None}
+    if any(not t.done for t in targets):
+        rows, owners = _long(sources, lambda x, lo, hi: f"if({_inside(x, lo, hi)}, 0, null)")
+        waiting = [(key, t) for key, group in owners.items() for t in group]
+        ranked = _running_counts(rows, ["id"])
+        picks = [
+            F.expr(f"min(case when id = {key} and upto >= {t.rank - t.below} then value end)").alias(f"pick_{n}")
+            for n, (key, t) in enumerate(waiting)
+        ]
+        row = ranked.agg(*picks).first()
+        for n, (_, t) in enumerate(waiting):
+            t.result = row[f"pick_{n}"]
+    return {t.key: t.result for t in targets if t.result is not None}
 
 
 def _running_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -80,7 +80,8 @@ def split_at_rank(
     if n_first <= 0:
         return nothing, df
     position = key_position(key)
-    cut = select_ranks([(df, [Target("cut", position, rank=n_first)])], direct_limit, buckets).get("cut")
+    positions = df.select(position.alias("_position"))
+    cut = select_ranks([(positions, [Target("cut", "_position", rank=n_first)])], direct_limit, buckets).get("cut")
     if cut is None:
         return df, nothing
     counts = df.agg(

@@ -27,18 +27,25 @@ CASES = {
 def test_order_statistics_equal_brute_force(spark, case):
     values = CASES[case](random.Random(5))
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    value = F.expr(clean_double("x"))
+    value = clean_double("x")
     targets = [Target(str(s), value, share=s) for s in (0.01, 0.25, 0.5, 0.75, 1.0)]
     found = select_ranks([(df, targets)], direct_limit=20, buckets=8)
     assert found == {str(s): brute(values, s) for s in (0.01, 0.25, 0.5, 0.75, 1.0)}
-    rows = df.select(F.lit("x").alias("k"), value.alias("value")).filter("value is not null")
+    rows = df.select(F.lit("x").alias("k"), F.expr(value).alias("value")).filter("value is not null")
     direct = direct_quantiles(rows, ["k"], {"q1": 0.25, "q3": 0.75}).first()
     assert (direct.q1, direct.q3) == (brute(values, 0.25), brute(values, 0.75))
 
 
+def test_order_statistics_of_close_large_integers(spark):
+    values = [2**60] * 60 + [2**60 + 1] * 70 + [5]
+    df = spark.createDataFrame([(v,) for v in values], "x bigint")
+    found = select_ranks([(df, [Target(str(r), "x", rank=r) for r in (1, 61, 62, 131)])], direct_limit=10, buckets=4)
+    assert found == {"1": 5, "61": 2**60, "62": 2**60 + 1, "131": 2**60 + 1}
+
+
 def test_order_statistics_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
-    assert select_ranks([(df, [Target("q", F.col("x"), share=0.5)])]) == {}
+    assert select_ranks([(df, [Target("q", "x", share=0.5)])]) == {}
 
 
 def test_number_rows_with_a_hot_key(spark):
