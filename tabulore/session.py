@@ -17,6 +17,8 @@ def build_session(app_name: str = "tabulore", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Plans here hold many expressions; recording the call site of each one doubles planning time.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
