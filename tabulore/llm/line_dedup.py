@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BOILERPLATE_RATIO = 0.2
+BOILERPLATE_RATIO = 0.05
 LEAST_PAGES = 4
 SALTS = 32
 
