@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulore.llm import bpe, line_dedup, token_counts
+from tabulore.llm import bpe, jaccard_join, licenses, line_dedup, packing, token_counts
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -17,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("line_licenses", F.array_join("line_licenses", ","))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -32,12 +46,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
+    "op2_packing": op2_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op1_licenses": licenses.scan_sql(),
     "op5_line_dedup": f"""
 WITH pages AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
 lines AS (
