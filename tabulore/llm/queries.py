@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulore.llm import bpe, jaccard_join, licenses, line_dedup, packing, token_counts
+from tabulore.llm import bpe, fingerprints, jaccard_join, licenses, line_dedup, packing, token_counts
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -39,6 +39,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(documents, f"{TOKENIZERS}/word_bpe_49k.json")
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op7_fingerprints": op7_fingerprints,
     "op9_token_counts": op9_token_counts,
 }
 
