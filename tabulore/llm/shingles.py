@@ -29,6 +29,7 @@ FOLDED = EXACT.copy()
 FOLDED[65:91] = EXACT[97:123]  # A-Z count as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+WORD_BYTES = ~_SPACE
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -62,12 +63,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte and end of every word, and the offsets of each text's words."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = WORD_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of every word (a run of ``word_bytes``), and the offsets of each text's words."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = word_bytes[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     borders = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
