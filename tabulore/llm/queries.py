@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable
-from pathlib import Path
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulore.llm import bpe, fingerprints, jaccard_join, licenses, line_dedup, packing, token_counts
+from tabulore.llm import (
+    bpe, embedding_dedup, fingerprints, jaccard_join, language_id, licenses, line_dedup, packing, quality, token_counts,
+)
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -39,24 +40,50 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = language_id.fit(documents.where(~F.coalesce(held_out, F.lit(False))), f"{TOKENIZERS}/piece_bpe_32k.model")
+    rows = documents.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return language_id.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(documents, f"{TOKENIZERS}/word_bpe_49k.json")
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.resample(table(spark, sf_dir, "documents"), good)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run`` of corpus_pipeline.py at the repository top."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
@@ -83,20 +110,6 @@ FROM pages p LEFT JOIN joined j USING (r)
 }
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``run`` of corpus_pipeline.py at the repository top."""
-    return _pipeline_module().run(spark, sf_dir)
-
-
-def _pipeline_module():
-    top = str(Path(__file__).resolve().parents[2])
-    if top not in sys.path:
-        sys.path.insert(0, top)
-    import corpus_pipeline
-
-    return corpus_pipeline
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
