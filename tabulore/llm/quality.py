@@ -1,8 +1,8 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, sampled by Gumbel top-k.
 
 Counts of hashed byte n-grams, and of which of the two words before it a word repeats, give one generative model for the target (texts labelled good, a bounded sample)
-and one for the raw text (all of it). A text's log weight is the sum of log(target / raw) over its n-grams; a
-Gumbel variate from a hash of the row is added, and the k rows with the largest sums are the sample: k draws
+and one for the raw text (all of it). A text's log weight is the mean of log(target / raw) over its n-grams,
+times a fixed length; a Gumbel variate from a hash of the row is added, and the k rows with the largest sums are the sample: k draws
 without replacement with probabilities in proportion to the weights.
 """
 
@@ -24,7 +24,8 @@ GRAMS = (2, 3, 4)
 BUCKET_BITS = 16
 FEATURES = (1 << BUCKET_BITS) + 4  # the last four: which of the two words before it a word repeats
 SMOOTHING = 1.0
-SLACK = 20.0
+LENGTH = 100
+SLACK = 24.0
 HISTOGRAM = 4096
 FEW = 10_000
 _BLOCK = 4 << 20
@@ -91,14 +92,21 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def text_log_weights(column: pa.Array, ratios: np.ndarray) -> np.ndarray:
+    """Log weight of each text as if it had ``LENGTH`` words and ``LENGTH`` byte n-grams, a share for each n.
+
+    Without this a slight difference between the mixtures of the two corpora, such as the share of a language,
+    would outweigh everything else in long texts.
+    """
     data, offsets = text_buffers(column)
     out = np.zeros(len(column))
     for first, last, part, inner in _blocks(data, offsets):
         for place, bucket in gram_buckets(part, inner):
-            each = np.zeros(len(part) + 1)
-            each[place + 1] = ratios[bucket]
-            sums = np.cumsum(each)
-            out[first:last] += sums[inner[1:]] - sums[inner[:-1]]
+            each, some = np.zeros(len(part) + 1), np.zeros(len(part) + 1)
+            each[place + 1], some[place + 1] = ratios[bucket], 1
+            each, some = np.cumsum(each), np.cumsum(some)
+            share = 1 if len(bucket) and bucket[0] >= 1 << BUCKET_BITS else 1 / len(GRAMS)
+            mean = (each[inner[1:]] - each[inner[:-1]]) / np.maximum(some[inner[1:]] - some[inner[:-1]], 1)
+            out[first:last] += LENGTH * share * mean
     return out
 
 
