@@ -61,8 +61,8 @@ def corpus_sql() -> dict[str, str]:
             SELECT 0 AS step, 'raw' AS stage, a AS n_before, a AS n_after FROM n UNION ALL SELECT 1, 'clean', a, b FROM n
             UNION ALL SELECT 2, 'length', b, d FROM n UNION ALL SELECT 3, 'dedup', d, e FROM n""",
         "split_exact": f"""SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id::VARCHAR)) <= (SELECT count(*) - floor(count(*) * (1 - 0.05::DOUBLE)) FROM {READY}) AS is_val FROM {READY}""",
-        "split_hash": "SELECT o_orderkey, substr(md5(o_orderkey::VARCHAR), 1, 4) < '0ccd' AS is_val FROM orders",
-        "replay_mix": """WITH d AS (SELECT doc_id FROM documents WHERE lang = 'en'), p AS (SELECT item_id AS doc_id FROM benchmark ORDER BY item_id LIMIT 10000),
+        "split_hash": "SELECT o_orderkey, substr(md5(o_orderkey::VARCHAR), 1, 15) < '" + format(round(0.05 * 16**15), '015x') + "' AS is_val FROM orders",
+        "replay_mix": """WITH d AS (SELECT doc_id FROM documents WHERE lang = 'en'), p AS (SELECT item_id AS doc_id FROM benchmark),
             r AS (SELECT doc_id FROM p QUALIFY row_number() OVER (ORDER BY md5(doc_id::VARCHAR)) <=
               (SELECT least(floor(count(*) * 0.2::DOUBLE / (1 - 0.2::DOUBLE)), (SELECT count(*) FROM p)) FROM d))
             SELECT doc_id, 'domain' AS source_tag, md5('domain|' || doc_id) AS mix_key FROM d UNION ALL
@@ -115,8 +115,7 @@ latest AS (SELECT * FROM ver QUALIFY row_number() OVER (PARTITION BY name, stage
 REG = BASE + """, mv AS (SELECT name, version, stage, run_id, n, part, version <> 7 AS has_run,
   CASE WHEN description <> '' THEN description WHEN s_nationkey % 2 = 0 THEN 'Model of nation ' || s_nationkey ELSE '' END AS description, s_nationkey,
   disc AS rmse, tax AS mae, qty AS accuracy, round(1 - tax * 4, 6) AS r2, CASE WHEN version % 2 = 1 THEN 1 - disc END AS f1, price AS inference_latency_ms, total AS training_time
-  FROM latest WHERE name IN (SELECT DISTINCT name FROM ver ORDER BY name LIMIT 50)
-  QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) <= 5),
+  FROM latest),
 mm0 AS (""" + union(f"SELECT name, version, stage, '{m}' AS metric, {m}::DOUBLE AS value FROM mv WHERE has_run AND {m} IS NOT NULL" for m in METRICS) + f"""),
 mm AS (SELECT *, metric IN ({', '.join(map(lit, LOWER))}) AS is_lower, metric IN ({', '.join(map(lit, ACCURATE))}) AS is_acc,
   metric IN ({', '.join(map(lit, LATENCY))}) AS is_lat, CASE WHEN metric IN ({', '.join(map(lit, LOWER))}) THEN value ELSE -value END AS cost,
@@ -129,11 +128,12 @@ mtext AS (SELECT name, version, string_agg(metric || ': ' || {metric('value')},
 ptext AS (SELECT name, version, count(*) AS n_params, string_agg(p || ': ' || v, '; ' ORDER BY p) AS params FROM params GROUP BY ALL),
 full_mv AS (SELECT m.name, m.version, m.stage, m.description, t.metrics, p.params, coalesce(p.n_params, 0) AS n_params
   FROM mv m LEFT JOIN mtext t ON m.name = t.name AND m.version = t.version LEFT JOIN ptext p ON m.name = p.name AND m.version = p.version),
+nxt AS (SELECT name, version, lead(name) OVER w AS name_b, lead(version) OVER w AS version_b FROM (SELECT DISTINCT name, version FROM mm) WINDOW w AS (ORDER BY name, version)),
 duel AS (SELECT a.name AS name_a, a.version AS version_a, b.name AS name_b, b.version AS version_b, count(*) FILTER (WHERE a.cost < b.cost) AS wins_a,
   count(*) FILTER (WHERE b.cost < a.cost) AS wins_b, count(*) FILTER (WHERE a.value = b.value) AS ties, count(*) AS n_shared,
   string_agg({say(CLAUSES['pair_metric'], metric='a.metric', label_a=clause('label', model='a.name', version='a.version'),
                   label_b=clause('label', model='b.name', version='b.version'), value_a=metric('a.value'), value_b=metric('b.value'))}, '; ' ORDER BY a.metric) AS parts
-  FROM mm a JOIN mm b ON a.metric = b.metric AND (a.name, a.version) < (b.name, b.version) GROUP BY ALL),
+  FROM mm a JOIN nxt ON a.name = nxt.name AND a.version = nxt.version JOIN mm b ON b.name = nxt.name_b AND b.version = nxt.version_b AND a.metric = b.metric GROUP BY ALL),
 wins AS (SELECT name, version, stage, count(*) AS wins, list(metric || ': ' || {metric('value')} ORDER BY metric) AS led FROM ranked WHERE rnk = 1 GROUP BY ALL),
 winner AS (SELECT *, (SELECT count(DISTINCT metric) FROM mm) AS n_metrics FROM wins ORDER BY wins DESC, name, version LIMIT 1),
 acc1 AS (SELECT name, version FROM mm WHERE is_acc ORDER BY metric, value DESC, name, version LIMIT 1),
@@ -150,8 +150,9 @@ vary AS (SELECT metric, count(*) AS k, arg_min(struct_pack(name, version, value)
 stages AS (SELECT stage, count(*) AS n_versions, count(DISTINCT name) AS n_models FROM mv GROUP BY stage),
 totals AS (SELECT count(DISTINCT name) AS n_models, count(*) AS n_versions, (SELECT count(DISTINCT metric) FROM mm) AS n_metrics, (SELECT count(DISTINCT p) FROM params) AS n_params,
   (SELECT string_agg(DISTINCT metric, ', ' ORDER BY metric) FROM mm) AS metrics, (SELECT string_agg(DISTINCT p, ', ' ORDER BY p) FROM params) AS params FROM mv),
-inv AS (SELECT metric, count(*) AS k, string_agg({clause('label', model='name', version='version')}, ', ' ORDER BY name, version) AS labels FROM mm GROUP BY metric
-  HAVING count(*) > 1 ORDER BY metric LIMIT 10),
+inv AS (SELECT metric, count(*) AS k FROM mm GROUP BY metric HAVING count(*) > 1),
+inv_list AS (SELECT metric, string_agg({clause('label', model='name', version='version')}, ', ' ORDER BY name, version) AS labels FROM
+  (SELECT *, (row_number() OVER (PARTITION BY metric ORDER BY name, version) - 1) // 100 AS block FROM mm) WHERE metric IN (SELECT metric FROM inv) GROUP BY metric, block),
 limits AS (SELECT name, version, 1 AS place, CASE WHEN metric IN ('accuracy', 'r2') THEN 'variance' ELSE 'misses' END AS kind, metric, value, NULL::INT AS n_params FROM mm
   WHERE (metric IN ('accuracy', 'r2') AND value < 0.8) OR (metric = 'f1' AND value < 0.7)
   UNION ALL SELECT m.name, m.version, 2, 'params', '', NULL, f.n_params::INT FROM mv m JOIN full_mv f ON m.name = f.name AND m.version = f.version WHERE m.has_run AND f.n_params < 3)
@@ -175,26 +176,30 @@ def registry_qa_sql() -> dict[str, list[str]]:
         f"CASE WHEN description <> '' THEN {clause('summary_description', description='description')} END",
         clause("summary_metrics", metrics="metrics"), clause("summary_params", params="params")]) + ")"
     of = lambda item: clause("label", model=f"{item}.name", version=f"{item}.version")
-    ranking = f"""(SELECT metric, direction, string_agg({clause('ranked', model='name', version='version', value=value)}, '; ' ORDER BY rnk) AS ranking,
-        max(CASE WHEN rnk = 1 THEN struct_pack(name, version, value) END) AS best, max(CASE WHEN rnk = 2 THEN struct_pack(name, version, value) END) AS second
-        FROM ranked WHERE k >= 2 GROUP BY ALL) q"""
+    first_two = """(SELECT metric, direction, max(CASE WHEN rnk = 1 THEN struct_pack(name, version, value) END) AS best,
+        max(CASE WHEN rnk = 2 THEN struct_pack(name, version, value) END) AS second FROM ranked WHERE k >= 2 GROUP BY ALL)"""
+    ranking = f"""(SELECT f.*, r.ranking FROM {first_two} f JOIN (SELECT metric, string_agg({clause('ranked', model='name', version='version', value=value)}, '; ' ORDER BY rnk) AS ranking
+        FROM ranked WHERE k >= 2 GROUP BY metric, (rnk - 1) // 100) r ON f.metric = r.metric) q"""
     label_a, label_b = clause("label", model="name_a", version="version_a"), clause("label", model="name_b", version="version_b")
     winner = "(SELECT w.*, m.description FROM winner w JOIN mv m ON w.name = m.name AND w.version = m.version) q"
     other = "(SELECT " + label + " FROM acc1)"
     stage_list = lambda suffix: f"(SELECT string_agg(stage || ': ' || n_versions || '{suffix}', ', ' ORDER BY stage) FROM stages)"
-    listed = lambda text, where="true": f"(SELECT string_agg({text}, '; ' ORDER BY name, version) FROM mv WHERE {where})"
+    listed = lambda text, where="true": (
+        f"(SELECT string_agg({text}, '; ' ORDER BY name, version) AS models FROM (SELECT *, (row_number() OVER (ORDER BY name, version) - 1) // 100 AS block "
+        f"FROM mv WHERE {where}) GROUP BY block) q")
     entry = clause("trade_off_entry", label=label, accuracy="accuracy", latency="latency", accuracy_value=metric("av"), latency_value=metric("lv"))
-    trade = f"(SELECT accuracy, latency, string_agg({entry}, '; ' ORDER BY av DESC, name, version) AS parts FROM trade GROUP BY ALL) q"
+    trade = (f"(SELECT accuracy, latency, string_agg({entry}, '; ' ORDER BY av DESC, name, version) AS parts FROM "
+             "(SELECT *, (row_number() OVER (ORDER BY av DESC, name, version) - 1) // 100 AS block FROM trade) GROUP BY accuracy, latency, block) q")
     first5 = f"""(SELECT name, version, string_agg(metric || ': ' || {value}, ', ' ORDER BY metric) AS shown FROM
-        (SELECT * FROM mm QUALIFY row_number() OVER (PARTITION BY name, version ORDER BY metric) <= 5) GROUP BY ALL)"""
+        mm GROUP BY ALL)"""
     history = f"""(SELECT m.name, string_agg({clause('history_entry', version='m.version', stage='m.stage', metrics="coalesce(s.shown, 'no metrics')")}, '; ' ORDER BY m.version) AS parts
         FROM mv m LEFT JOIN {first5} s ON m.name = s.name AND m.version = s.version GROUP BY m.name HAVING count(*) >= 2) q"""
     by_version = lambda test, joint, sep: f"(SELECT name, version, string_agg(metric || '{joint}' || {value}, '{sep}' ORDER BY metric) AS metrics FROM mm WHERE {test} GROUP BY ALL)"
     limit = (f"CASE kind WHEN 'variance' THEN {clause('limit_variance', metric='metric', value=value, pct=fixed('value * 100', 0))} "
              f"WHEN 'misses' THEN {clause('limit_misses', metric='metric', value=value)} ELSE {clause('limit_params', n='n_params')} END")
     limits = f"(SELECT name, version, string_agg({limit}, '; ' ORDER BY place, metric) AS limits FROM limits GROUP BY ALL) q"
-    fit = lambda test: f"(SELECT string_agg({label} || ': ' || metrics, '; ' ORDER BY name, version) AS models FROM (SELECT * FROM {by_version(test, '=', ', ')} ORDER BY name, version LIMIT 5)) q"
-    best = f"(SELECT string_agg({clause('best_entry', metric='metric', label=label, value=value)}, '; ' ORDER BY metric) FROM (SELECT * FROM ranked WHERE rnk = 1 ORDER BY metric LIMIT 5))"
+    fit = lambda test: f"(SELECT string_agg({label} || ': ' || metrics, '; ' ORDER BY name, version) AS models FROM (SELECT *, (row_number() OVER (ORDER BY name, version) - 1) // 100 AS block FROM {by_version(test, '=', ', ')}) GROUP BY block) q"
+    best = f"(SELECT string_agg({clause('best_entry', metric='metric', label=label, value=value)}, '; ' ORDER BY metric) FROM ranked WHERE rnk = 1)"
     shared_totals = {"n_versions": "n_versions", "n_metrics": "n_metrics"}
     return {
         "qa_model_info": [
@@ -206,21 +211,21 @@ def registry_qa_sql() -> dict[str, list[str]]:
         "qa_model_comparison": [
             qa("ranking", ranking, metric="metric", direction="direction", ranking="ranking", best=clause("best_label", model="best.name", version="best.version"),
                best_value=metric("best.value")),
-            qa("best_metric", ranking, metric="metric", best=of("best"), best_value=metric("best.value"), second=of("second"), second_value=metric("second.value")),
+            qa("best_metric", first_two + " q", metric="metric", best=of("best"), best_value=metric("best.value"), second=of("second"), second_value=metric("second.value")),
             qa("pairwise", "duel", model_a="name_a", model_b="name_b", label_a=label_a, label_b=label_b, parts="parts",
                overall=f"CASE WHEN wins_a > wins_b THEN {label_a} WHEN wins_b > wins_a THEN {label_b} ELSE 'neither clearly' END")],
         "qa_recommendation": [
             qa("deploy", winner, label=label, wins="wins", n_metrics="n_metrics", led="array_to_string(led, '; ')", stage="stage", description=about),
-            qa("best_model", winner, label=label, wins="wins", n_metrics="n_metrics", led="array_to_string(led[1:5], '; ')"),
+            qa("best_model", winner, label=label, wins="wins", n_metrics="n_metrics", led="array_to_string(led, '; ')"),
             qa("fastest", "fast", label=label, metric="metric", value=value, alternative=opt(f"{other} <> {label}", clause("more_accurate", label=other))),
             qa("low_latency", "fast", label=label, metric="metric", value=value, stage="stage"),
             qa("max_accuracy", "best_acc", label=label, metric="metric", value=value, stage="stage"),
             qa("lowest_error", "best_err", label=label, metric="metric", value=value)],
         "qa_deployment": [
-            qa("in_production", f"(SELECT {listed(label, chr(115) + 'tage = ' + lit('Production'))} AS models) q", "models IS NOT NULL", models="models"),
+            qa("in_production", listed(label, "stage = 'Production'"), models="models"),
             qa("production_metrics", "full_mv", "stage = 'Production' AND metrics IS NOT NULL", metrics="metrics", **model),
             qa("how_many", "totals", n_models="n_models", n_versions="n_versions", stages=stage_list("")),
-            qa("list_models", f"(SELECT {listed(clause('list_entry', model='name', version='version', stage='stage'))} AS models) q", models="models")],
+            qa("list_models", listed(clause("list_entry", model="name", version="version", stage="stage")), models="models")],
         "qa_trade_off": [
             qa("trade_off", trade, accuracy="accuracy", latency="latency", parts="parts"),
             qa("history", history, model="name", parts="parts"),
@@ -229,7 +234,7 @@ def registry_qa_sql() -> dict[str, list[str]]:
             qa("metrics_tracked", "totals", n_versions="n_versions", metrics="metrics"),
             qa("params_tracked", "totals", params="params"),
             qa("summary", "totals", n_models="n_models", n_versions="n_versions", stages=stage_list(" models"), n_metrics="n_metrics", n_params="n_params"),
-            qa("comparable", f"(SELECT string_agg({clause('comparable_entry', metric='metric', labels='labels')}, '; ' ORDER BY metric) AS shared FROM inv) q", shared="shared")],
+            qa("comparable", "inv_list q", shared=clause("comparable_entry", metric="metric", labels="labels"))],
         "qa_reliability": [
             qa("reliability", by_version("is_lower AND NOT is_lat", ": ", "; ") + " q", metrics="metrics", **model),
             qa("confidence", by_version("is_acc", ": ", "; ") + " q", metrics="metrics", **model),
@@ -279,7 +284,7 @@ def registry_sql() -> dict[str, str]:
         "metric_leaders": REG + """SELECT metric, k AS n_models, name, version, stage, value, 'accuracy' AS kind FROM best_acc
             UNION ALL SELECT metric, k, name, version, stage, value, 'error' FROM best_err""",
         "trade_off": REG + "SELECT name, version, accuracy, av AS accuracy_value, latency, lv AS latency_value FROM trade",
-        "version_history": REG + """SELECT name, version, stage, least(5, (SELECT count(*) FROM mm x WHERE x.name = m.name AND x.version = m.version))::INT AS n_shown
+        "version_history": REG + """SELECT name, version, stage, (SELECT count(*) FROM mm x WHERE x.name = m.name AND x.version = m.version)::INT AS n_shown
             FROM mv m WHERE name IN (SELECT name FROM mv GROUP BY name HAVING count(*) >= 2)""",
         "production_risk": REG + "SELECT name, version, metric, value, direction FROM risk",
         "variability": REG + "SELECT metric, k AS n_models, best.name AS best, worst.name AS worst, best.value AS best_value, worst.value AS worst_value FROM vary",
@@ -304,7 +309,7 @@ def registry_sql() -> dict[str, str]:
 def evals_sql() -> dict[str, str]:
     scored = lambda model, train: f"""SELECT e.doc_id, '{model}' AS model, count(*) AS n_tokens, avg(-ln((coalesce(m.c, 0) + 1) / z.total)) AS loss
         FROM held e LEFT JOIN {train} m ON e.token = m.token, (SELECT (sum(c) + count(*) + 1)::DOUBLE AS total FROM {train}) z GROUP BY e.doc_id"""
-    cte = f"""WITH d AS (SELECT doc_id, lang, substr(md5(doc_id::VARCHAR), 1, 4) < '4000' AS is_val, {words('text')} AS w FROM documents),
+    cte = f"""WITH d AS (SELECT doc_id, lang, substr(md5(doc_id::VARCHAR), 1, 15) < '400000000000000' AS is_val, {words('text')} AS w FROM documents),
         held AS (SELECT doc_id, unnest(w) AS token FROM d WHERE is_val AND lang = 'en'),
         base AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM d WHERE NOT is_val AND lang <> 'en') GROUP BY token),
         adapted AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM d WHERE NOT is_val) GROUP BY token),

@@ -274,7 +274,7 @@ def registry_parts(spark, sf_dir):
 
 def model_versions(spark, sf_dir) -> DataFrame:
     registered, versions, runs = registry_parts(spark, sf_dir)
-    chosen = models.cap_versions(models.latest_versions(models.exclude_models(versions)))
+    chosen = models.latest_versions(versions)
     return models.attach_runs(chosen, runs, registered)
 
 
@@ -324,7 +324,8 @@ def leaders(spark, sf_dir):
 
 
 def pairwise(spark, sf_dir):
-    return registry.pairwise_models(metric_rows(spark, sf_dir)).drop("metrics")
+    rows = metric_rows(spark, sf_dir)
+    return registry.pairwise_models(rows, registry.neighbours(rows)).drop("metrics")
 
 
 def overall_winner(spark, sf_dir):
@@ -368,7 +369,7 @@ def tasks(spark, sf_dir) -> DataFrame:
 def recommendation_record(spark, sf_dir):
     versions, asked = model_versions(spark, sf_dir), tasks(spark, sf_dir)
     answers = asked.select("task", F.concat(F.lit("Use the first model for: "), "task").alias("recommendation"))
-    record = prompts.recommendation_record(prompts.recommendation_prompt(asked, versions), versions, answers)
+    record = prompts.recommendation_record(prompts.recommendation_prompt(asked, versions, 10), versions, answers, 10)
     return record.select(
         "task", "recommendation", F.length("prompt_used").alias("prompt_chars"), F.size("models_evaluated").alias("n_models"),
         F.col("models_evaluated")[0]["name"].alias("first_model"))
@@ -452,7 +453,7 @@ def passages(spark, sf_dir):
 
 
 def all_table_pairs(spark, sf_dir):
-    return qa_tables.capped(cut_lineage(qa_tables.qa_tables(profile(spark, sf_dir, keep=True), KEYS)))
+    return qa_tables.qa_tables(profile(spark, sf_dir, keep=True), KEYS)
 
 
 QUERIES: dict[str, Query] = {
@@ -561,8 +562,8 @@ QUERIES: dict[str, Query] = {
         "n_models", "n_versions", "n_metrics", "n_params", F.array_join("metrics", ", ").alias("metrics")),
     "limitations": limitations,
     "acceptance": acceptance,
-    "models_block": lambda s, d: prompts.models_block(model_versions(s, d)),
-    "recommendation_prompt": lambda s, d: prompts.recommendation_prompt(tasks(s, d), model_versions(s, d)).select("task", "prompt"),
+    "models_block": lambda s, d: prompts.models_block(model_versions(s, d), 10),
+    "recommendation_prompt": lambda s, d: prompts.recommendation_prompt(tasks(s, d), model_versions(s, d), 10).select("task", "prompt"),
     "recommendation_record": recommendation_record,
     "qa_model_info": registry_family(lambda v, mm: qa_registry.qa_model_info(v)),
     "qa_model_comparison": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm)),

@@ -80,8 +80,8 @@ def title(name: str) -> str:
     return name.replace("_", " ").title()
 
 
-def numeric(table: str, limit: int | None = None):
-    return [(c, p, k) for p, (c, k) in enumerate(TABLES[table]) if k in "ild"][:limit]
+def numeric(table: str):
+    return [(c, p, k) for p, (c, k) in enumerate(TABLES[table]) if k in "ild"]
 
 
 def categorical(table: str):
@@ -124,12 +124,12 @@ def prelude() -> str:
         f"avg({c}::DOUBLE) AS av, stddev_samp({c}::DOUBLE) AS sd, "
         f"{g6(f'min({c})') if k == 'd' else f'min({c})::VARCHAR'} AS mn_text, "
         f"{g6(f'max({c})') if k == 'd' else f'max({c})::VARCHAR'} AS mx_text, min({c})::VARCHAR AS mn_raw FROM {source(t)} x"
-        for t in TABLES for c, p, k in numeric(t, 10)
+        for t in TABLES for c, p, k in numeric(t)
     )
     corr = union(
         f"SELECT {lit(t)} AS tbl, {lit(a)} AS col_a, {pa} AS pos_a, {lit(b)} AS col_b, {pb} AS pos_b, "
         f"corr({a}::DOUBLE, {b}::DOUBLE) AS r FROM {source(t)} x"
-        for t in TABLES for (a, pa, _), (b, pb, _) in combinations(numeric(t, 10), 2)
+        for t in TABLES for (a, pa, _), (b, pb, _) in combinations(numeric(t), 2)
     )
     vals = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, {c}::VARCHAR AS val, count(*) AS n FROM {source(t)} x GROUP BY {c}"
@@ -140,12 +140,12 @@ def prelude() -> str:
         f"avg(x.{c}::DOUBLE) AS av, stddev_samp(x.{c}::DOUBLE) AS sd, min(x.{c})::DOUBLE AS mn, max(x.{c})::DOUBLE AS mx "
         f"FROM vals v JOIN {source(t)} x ON v.val = x.{cat}::VARCHAR WHERE v.tbl = {lit(t)} AND v.col = {lit(cat)} "
         "GROUP BY ALL"
-        for t in TABLES for cat, _, _ in categorical(t) for c, p, _ in numeric(t, 3)
+        for t in TABLES for cat, _, _ in categorical(t) for c, p, _ in numeric(t)
     )
     quart = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, quantile_disc({c}::DOUBLE, 0.25) AS q1, "
         f"quantile_disc({c}::DOUBLE, 0.75) AS q3 FROM {source(t)} x"
-        for t in TABLES for c, p, _ in numeric(t, 5)
+        for t in TABLES for c, p, _ in numeric(t)
     )
     spread = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, "
@@ -154,9 +154,8 @@ def prelude() -> str:
         f"count(*) FILTER (WHERE {c} >= m.mn + (m.mx - m.mn) * 0.33::DOUBLE AND {c} <= m.mn + (m.mx - m.mn) * 0.66::DOUBLE) AS n_middle "
         f"FROM {source(t)} x, (SELECT max(lo) AS lo, max(hi) AS hi FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) f, "
         f"(SELECT max(mn) AS mn, max(mx) AS mx FROM num WHERE tbl = {lit(t)} AND col = {lit(c)}) m"
-        for t in TABLES for c, p, _ in numeric(t, 5)
+        for t in TABLES for c, p, _ in numeric(t)
     )
-    few = {t: [c for c, _, _ in numeric(t, 2)] for t in TABLES}
     return f"""WITH cols(tbl, tpos, readable, pos, col, dtype, is_num, is_cat, is_id, is_str) AS (VALUES {cols}),
 nrows AS ({rows}),
 sizes AS (SELECT c.tbl, c.tpos, c.readable, max(r.n_rows) AS n_rows, count(*) AS n_cols, count(*) FILTER (WHERE is_num) AS n_num,
@@ -171,6 +170,7 @@ vals0 AS ({vals}),
 vals1 AS (SELECT *, row_number() OVER (PARTITION BY tbl, col ORDER BY n DESC, md5(val) NULLS LAST) AS r0 FROM vals0),
 vals AS (SELECT tbl, col, pos, val, n, row_number() OVER (PARTITION BY tbl, col ORDER BY r0) AS rnk FROM vals1
   WHERE r0 <= 20 AND val IS NOT NULL),
+tail AS (SELECT tbl, col, pos, count(*) AS k, arg_max(val, (-n, md5(val))) AS low_val, min(n) AS low_n FROM vals0 WHERE val IS NOT NULL GROUP BY ALL),
 grp AS ({grp}),
 quart AS ({quart}),
 fences AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM quart WHERE q3 - q1 <> 0),
@@ -178,8 +178,8 @@ spread AS ({spread}),
 connected0 AS (SELECT tbl, col, pos, avg(abs(r)) AS mean_r FROM (SELECT tbl, col_a AS col, pos_a AS pos, r FROM corr
   UNION ALL SELECT tbl, col_b, pos_b, r FROM corr) GROUP BY ALL),
 connected AS (SELECT tbl, col, mean_r FROM connected0 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY round(mean_r, 12) DESC, pos) = 1),
-balance0 AS (SELECT tbl, col, pos, max_by(val, -rnk) AS top_val, max(n) AS top_n, max_by(val, rnk) AS low_val, max_by(n, rnk) AS low_n
-  FROM vals GROUP BY tbl, col, pos HAVING count(*) >= 2),
+balance0 AS (SELECT t.tbl, t.col, t.pos, v.val AS top_val, v.n AS top_n, low_val, low_n
+  FROM tail t JOIN vals v ON t.tbl = v.tbl AND t.col = v.col AND v.rnk = 1 WHERE k >= 2),
 balance AS (SELECT * FROM balance0 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY pos) = 1),
 cmp0 AS (SELECT tbl, cat, cat_pos, num, num_pos, count(*) AS k FROM grp WHERE rnk <= 3 AND av IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
 cmp AS (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY cat_pos, num_pos) AS place FROM cmp0),
@@ -190,15 +190,12 @@ sub1 AS (SELECT lo.tbl, lo.cat, lo.num, lo.num_pos, lo.val AS low_val, lo.av AS
   hi.n AS high_n, hi.av - lo.av AS diff, CASE WHEN hi.av <> 0 THEN 100.0::DOUBLE * abs(hi.av - lo.av) / abs(hi.av) ELSE 0 END AS pct
   FROM sub0 lo JOIN sub0 hi ON lo.tbl = hi.tbl AND lo.cat = hi.cat AND lo.num = hi.num AND lo.lo_place = 1 AND hi.hi_place = 1
   WHERE lo.k >= 2 AND lo.av IS NOT NULL AND hi.av IS NOT NULL),
-sub AS (SELECT * FROM sub1 QUALIFY row_number() OVER (PARTITION BY tbl, cat ORDER BY num_pos) = 1),
-lead_num AS (SELECT n.tbl, n.col, n.av, n.sd FROM num n WHERE n.sd <> 0 AND ({' OR '.join(f"(n.tbl = {lit(t)} AND n.col IN ({', '.join(map(lit, c))}))" for t, c in few.items() if c)})
-  QUALIFY row_number() OVER (PARTITION BY n.tbl ORDER BY n.pos) = 1),
-surprise0 AS (SELECT g.*, l.av AS all_avg, abs(g.av - l.av) / l.sd AS z, count(*) OVER (PARTITION BY g.tbl, g.cat) AS k
-  FROM grp g JOIN lead_num l ON g.tbl = l.tbl AND g.num = l.col WHERE g.rnk <= 3),
-surprise AS (SELECT * FROM surprise0 WHERE k >= 2 AND z > 2 QUALIFY row_number() OVER (PARTITION BY tbl, cat ORDER BY rnk) = 1),
+sub AS (SELECT * FROM sub1),
+surprise0 AS (SELECT g.*, l.av AS all_avg, abs(g.av - l.av) / l.sd AS z, count(*) OVER (PARTITION BY g.tbl, g.cat, g.num) AS k
+  FROM grp g JOIN num l ON g.tbl = l.tbl AND g.num = l.col WHERE g.rnk <= 3 AND l.sd <> 0),
+surprise AS (SELECT * FROM surprise0 WHERE k >= 2 AND z > 2),
 bimodal AS (SELECT s.*, n.sd, s.n_lower + s.n_upper AS n_valid, 100.0::DOUBLE * s.n_middle / nullif(s.n_lower + s.n_upper, 0) AS middle_pct
-  FROM spread s JOIN num n ON s.tbl = n.tbl AND s.col = n.col
-  WHERE {' OR '.join(f"(s.tbl = {lit(t)} AND s.col IN ({', '.join(lit(c) for c, _, _ in numeric(t, 3))}))" for t in TABLES if numeric(t))}),
+  FROM spread s JOIN num n ON s.tbl = n.tbl AND s.col = n.col),
 sanity AS (
   SELECT tbl, 1 AS chk, 'nulls' AS kind, col, NULL::VARCHAR AS val, n_null AS n, 100.0::DOUBLE * n_null / n_rows AS pct FROM nulls WHERE n_null > 0
     QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY n_null DESC, pos) = 1
@@ -221,10 +218,10 @@ def profile_sql() -> dict[str, str]:
                          ("documents", "doc_id"), ("lineitem", "l_orderkey")):
         score = " + ".join(
             f"CASE WHEN {c} < (SELECT lo FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) OR "
-            f"{c} > (SELECT hi FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) THEN 1 ELSE 0 END" for c, _, _ in numeric(t, 5)
+            f"{c} > (SELECT hi FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) THEN 1 ELSE 0 END" for c, _, _ in numeric(t)
         )
         multi.append(f"(SELECT {lit(t)} AS \"table\", {id_column}::VARCHAR AS id, {score} AS n_outlier FROM {t} "
-                     f"WHERE {score} >= 2 ORDER BY n_outlier DESC, id LIMIT 5)")
+                     f"WHERE {score} >= 2)")
     kinds = ", ".join(
         f"bool_or({' OR '.join(f'lower(c.col) LIKE {lit(chr(37) + h + chr(37))}' for h in hints)}) AS has_{k}"
         for k, hints, _, _ in METADATA_KINDS
@@ -251,7 +248,7 @@ def profile_sql() -> dict[str, str]:
             coalesce(sd <> 0 AND middle_pct < 15 AND n_valid > 20, false) AS is_bimodal FROM bimodal""",
         "class_balance": P + f"SELECT {T}, {C}, top_val AS top_value, top_n, low_val AS bottom_value, low_n AS bottom_n FROM balance",
         "compare_groups": P + """SELECT g.tbl AS "table", g.cat, g.num, g.val AS value, round(g.av, 4) AS avg, g.n FROM grp g JOIN cmp c
-            ON g.tbl = c.tbl AND g.cat = c.cat AND g.num = c.num WHERE c.place <= 5 AND g.rnk <= 3 AND g.av IS NOT NULL""",
+            ON g.tbl = c.tbl AND g.cat = c.cat AND g.num = c.num WHERE g.rnk <= 3 AND g.av IS NOT NULL""",
         "subgroups": P + f"""SELECT {T}, cat, num, high_val AS high_value, round(high_avg, 4) AS high_avg, low_val AS low_value,
             round(low_avg, 4) AS low_avg, round(diff, 4) AS diff, round(pct, 4) AS pct_diff FROM sub""",
         "surprising_groups": P + f"SELECT {T}, cat, num, val AS value, round(z, 4) AS z, av > all_avg AS is_high FROM surprise",
@@ -304,11 +301,11 @@ def related_ctes(tables: dict[str, dict[str, str]] = RELATED) -> str:
         for t, renames in tables.items() for p, (c, k) in enumerate(TABLES[t])
     )
     gain = lambda this, other: (
-        f"(SELECT list(n.col ORDER BY n.pos)[1:3] FROM rcols n WHERE n.tbl = o.{this} AND n.is_num "
+        f"(SELECT list(n.col ORDER BY n.pos) FROM rcols n WHERE n.tbl = o.{this} AND n.is_num "
         f"AND n.col NOT IN (SELECT m.col FROM rcols m WHERE m.tbl = o.{other}))"
     )
     return f"""overlap0 AS ({union(rows)}),
-overlap AS (SELECT *, 100.0::DOUBLE * n_overlap / least(n_a, n_b) AS pct FROM overlap0 WHERE n_overlap > 0 ORDER BY col_order, pa, pb LIMIT 15),
+overlap AS (SELECT *, 100.0::DOUBLE * n_overlap / least(n_a, n_b) AS pct FROM overlap0 WHERE n_overlap > 0),
 rcols(tbl, col, pos, is_num) AS (VALUES {names}),
 gains AS (SELECT o.*, coalesce({gain('a', 'b')}, []) AS gain_a, coalesce({gain('b', 'a')}, []) AS gain_b FROM overlap o)
 """
@@ -401,10 +398,10 @@ def qa_sql() -> dict[str, str]:
     top = named("""(SELECT s.tbl, v.col, v.cv, v.mn_text, v.mx_text, v.av, v.sd, s.n_num, s.n_cat FROM sizes s LEFT JOIN
         (SELECT * FROM num WHERE cv > 0.3 AND sd <> 0 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY pos) = 1) v ON s.tbl = v.tbl)""")
     values = named(f"""(SELECT tbl, col, string_agg(CASE WHEN rnk <= 5 THEN {clause('value_count', value='val', n='n')} END, ', ' ORDER BY rnk) AS vals,
-        count(*) AS k, min_by(val, rnk) AS top_val, max(n) AS top_n FROM vals GROUP BY tbl, col)""")
+        (SELECT max(t.k) FROM tail t WHERE t.tbl = vals.tbl AND t.col = vals.col) AS k, min_by(val, rnk) AS top_val, max(n) AS top_n FROM vals GROUP BY tbl, col)""")
     compared = named(f"""(SELECT g.tbl, g.cat, g.num, string_agg({clause('group_average', value='g.val', num_name=clean('g.num'), avg=g6('g.av'), n='g.n')},
         '; ' ORDER BY g.rnk) AS parts FROM grp g JOIN cmp c ON g.tbl = c.tbl AND g.cat = c.cat AND g.num = c.num
-        WHERE c.place <= 5 AND g.rnk <= 3 AND g.av IS NOT NULL GROUP BY ALL)""")
+        WHERE g.rnk <= 3 AND g.av IS NOT NULL GROUP BY ALL)""")
     totals = f"""(SELECT count(*) AS n_tables, sum(n_rows)::BIGINT AS n_rows, sum(n_cols)::BIGINT AS n_cols,
         string_agg({clause('table_size', readable='readable', n_rows='n_rows')}, ', ' ORDER BY tpos) AS tables FROM sizes) q"""
     shared = f"""(SELECT string_agg({clause('shared_column', name=name, tables='tables')}, '; ' ORDER BY first_seen) AS shared FROM shared) q"""
@@ -437,7 +434,8 @@ def qa_sql() -> dict[str, str]:
         WHERE s.tbl = b.tbl AND s.cat = b.cat AND s.num = b.num) AS groups FROM sub b)""")
     sub_shared = {"cat_name": clean("cat"), "num_name": clean("num"), "pct": fixed("pct", 1), **in_table}
     multi = named(f"""(SELECT tbl, string_agg({clause('multi_outlier', id='id', n='n_outlier')}, '; ' ORDER BY n_outlier DESC, id) AS samples
-        FROM ({profile_sql()['multi_outliers'][len(P):].replace('AS "table"', 'AS tbl')}) GROUP BY tbl)""")
+        FROM (SELECT * FROM ({profile_sql()['multi_outliers'][len(P):].replace('AS "table"', 'AS tbl')})
+        QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY n_outlier DESC, id) <= 5) GROUP BY tbl)""")
     first_bimodal = named("(SELECT * FROM bimodal WHERE sd <> 0 AND middle_pct < 15 AND n_valid > 20 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY pos) = 1)")
     cv_list = lambda test: (
         f"(SELECT string_agg({clean('u.col')}, ', ' ORDER BY u.cv DESC, u.pos) FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY cv DESC, pos) AS k "
@@ -515,12 +513,8 @@ def qa_sql() -> dict[str, str]:
     }
     whole_set = {t: {} for t in TABLES}
     every = union([part for parts in queries.values() for part in parts] + [cross_table_pairs(whole_set)])
-    priority = "category IN ('schema', 'reasoning', 'correlation', 'cross_table', 'anomaly', 'interpretation', 'subgroup')"
-    capped = f""", {related_ctes(whole_set)}, every_pair AS ({every}), total AS (SELECT count(*) AS n, count(*) FILTER (WHERE {priority}) AS n_first FROM every_pair)
-        SELECT * FROM every_pair WHERE (SELECT n FROM total) <= 2500 OR {priority}
-        UNION ALL SELECT * FROM (SELECT * FROM every_pair WHERE (SELECT n FROM total) > 2500 AND NOT {priority}
-          QUALIFY row_number() OVER (ORDER BY md5(instruction || '|' || response)) <= greatest(0, 2500 - (SELECT n_first FROM total)))"""
-    return {key: P + union(parts) for key, parts in queries.items()} | {"qa_tables": P + capped}
+    every_pair = f", {related_ctes(whole_set)} {every}"
+    return {key: P + union(parts) for key, parts in queries.items()} | {"qa_tables": P.rstrip() + every_pair}
 
 
 # ---- verbalisation ---------------------------------------------------------------

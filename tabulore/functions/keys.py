@@ -30,13 +30,8 @@ def key_position(columns: Sequence[str | Column]) -> Column:
     return F.conv(F.substring(key_md5(columns), 1, PREFIX_DIGITS), 16, 10).cast("bigint")
 
 
-def hex_threshold(share: float, digits: int = 4) -> str:
-    """Prefix below which a ``share`` of all md5 values lies."""
+def in_share(columns: Sequence[str | Column], share: float) -> Column:
+    """Whether a key lies in the first ``share`` of all 60-bit positions."""
     if not 0.0 <= share <= 1.0:
         raise ValueError("share must lie between 0 and 1")
-    steps = round(share * 16**digits)
-    return "g" if steps >= 16**digits else format(steps, f"0{digits}x")
-
-
-def in_share(columns: Sequence[str | Column], share: float, digits: int = 4) -> Column:
-    return F.substring(key_md5(columns), 1, digits) < hex_threshold(share, digits)
+    return key_position(columns) < F.lit(round(share * 16**PREFIX_DIGITS)).cast("bigint")

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulore.operators.profile import Profile
-from tabulore.sources.tables import literal_rows
 
 PAIR = ["table", "cat", "cat_position", "num", "num_position"]
 
@@ -25,8 +24,8 @@ def top_k_filter(df: DataFrame, top: DataFrame, column: str, k: int) -> DataFram
     return df.join(F.broadcast(kept), F.col(column).cast("string") == F.col("_top"), "left_semi")
 
 
-def compare_groups(profile: Profile, top: int = 3, cap: int = 5) -> DataFrame:
-    """Average and count per top category; at most ``cap`` column pairs per table."""
+def compare_groups(profile: Profile, top: int = 3) -> DataFrame:
+    """Average and count per top category, for every pair of a category and a numeric column."""
     parts = F.sort_array(F.collect_list(F.struct("rank", "value", "avg", "n")))
     compared = (
         profile.groups.filter((F.col("rank") <= top) & F.col("avg").isNotNull())
@@ -34,11 +33,11 @@ def compare_groups(profile: Profile, top: int = 3, cap: int = 5) -> DataFrame:
         .filter(F.size("groups") >= 2)
     )
     place = F.row_number().over(Window.partitionBy("table").orderBy("cat_position", "num_position"))
-    return compared.withColumn("place", place).filter(F.col("place") <= cap)
+    return compared.withColumn("place", place)
 
 
 def subgroups(profile: Profile, top: int = 5) -> DataFrame:
-    """Highest and lowest group of the first usable numeric column per category column."""
+    """Highest and lowest group of each numeric column per category column."""
     ordered = F.sort_array(F.collect_list(F.struct(
         F.coalesce("avg", F.lit(0.0)).alias("key"), "rank", "value", "avg", "stddev", "n",
     )))
@@ -49,11 +48,9 @@ def subgroups(profile: Profile, top: int = 5) -> DataFrame:
         .withColumn("high", F.element_at("groups", -1))
         .filter(F.col("low.avg").isNotNull() & F.col("high.avg").isNotNull())
     )
-    first = F.row_number().over(Window.partitionBy("table", "cat").orderBy("num_position"))
     diff = F.col("high.avg") - F.col("low.avg")
     return (
-        spread.withColumn("place", first).filter(F.col("place") == 1).drop("place")
-        .withColumn("diff", diff)
+        spread.withColumn("diff", diff)
         .withColumn(
             "pct_diff",
             F.when(F.col("high.avg") != 0, F.lit(100.0) * F.abs(diff) / F.abs("high.avg")).otherwise(F.lit(0.0)),
@@ -61,23 +58,10 @@ def subgroups(profile: Profile, top: int = 5) -> DataFrame:
     )
 
 
-def surprising_groups(profile: Profile, top: int = 3, numeric: int = 2, limit: float = 2.0) -> DataFrame:
-    """First top category whose mean lies more than ``limit`` deviations off the overall mean.
-
-    Only the first of the leading numeric columns with a spread is examined.
-    """
-    leading = [
-        (name, r.name, place)
-        for name in profile.tables.names
-        for place, r in enumerate(profile.numeric_roles(name, numeric))
-    ]
-    candidates = literal_rows(profile.tables.spark, leading, "table string, num string, place int")
-    overall = (
-        profile.numeric.filter(F.col("stddev").isNotNull() & (F.col("stddev") != 0))
-        .select("table", F.col("column").alias("num"), F.col("avg").alias("overall_avg"), F.col("stddev").alias("overall_stddev"))
-        .join(candidates, ["table", "num"])
-        .withColumn("first", F.row_number().over(Window.partitionBy("table").orderBy("place")))
-        .filter(F.col("first") == 1).drop("first", "place")
+def surprising_groups(profile: Profile, top: int = 3, limit: float = 2.0) -> DataFrame:
+    """Top categories in which a numeric column's mean lies more than ``limit`` deviations off its overall mean."""
+    overall = profile.numeric.filter(F.col("stddev").isNotNull() & (F.col("stddev") != 0)).select(
+        "table", F.col("column").alias("num"), F.col("avg").alias("overall_avg"), F.col("stddev").alias("overall_stddev")
     )
     several = (
         profile.groups.filter(F.col("rank") <= top).withColumn(
@@ -85,10 +69,8 @@ def surprising_groups(profile: Profile, top: int = 3, numeric: int = 2, limit: f
         ).filter((F.col("n_values") >= 2) & F.col("avg").isNotNull())
     )
     z = F.abs(F.col("avg") - F.col("overall_avg")) / F.col("overall_stddev")
-    first_hit = F.row_number().over(Window.partitionBy("table", "cat").orderBy("rank"))
     return (
         several.join(overall, ["table", "num"]).withColumn("z", z).filter(F.col("z") > limit)
-        .withColumn("hit", first_hit).filter(F.col("hit") == 1)
         .select("table", "cat", "cat_position", "num", "value", "avg", "overall_avg", "z",
                 (F.col("avg") > F.col("overall_avg")).alias("is_high"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulore.functions.text import fill, joined, ref
+from tabulore.functions.text import WHITESPACE, fill, joined, ref
 from tabulore.operators.corpus import words
 from tabulore.plans.templates import PROMPTS
 from tabulore.sources.tables import union_all
@@ -46,10 +46,11 @@ def chat_prompt(turns: DataFrame, key: str = "conv_id", turn: str = "turn",
 
 
 def extract_response(text: Column, prompt: Column) -> Column:
-    """Text after the last instruction end, else after the prompt's length."""
+    """Text after the last instruction end, else after the prompt's length, without white space around it."""
     end = PROMPTS["instruction_end"]
     after_prompt = F.substring(text, F.length(prompt) + 1, F.length(text))
-    return F.trim(F.when(text.contains(end), F.substring_index(text, end, -1)).otherwise(after_prompt))
+    answer = F.when(text.contains(end), F.substring_index(text, end, -1)).otherwise(after_prompt)
+    return F.regexp_replace(answer, rf"^{WHITESPACE}+|{WHITESPACE}+$", "")
 
 
 def mask_spans(df: DataFrame, max_len: int = 1024, column: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@
 Pass 1  one aggregation: row count, nulls, numeric statistics; then one sum per
         pair of numeric columns for the correlations, centred on the means.
 Pass 2  digests of categorical cells counted, the top ones kept per column.
-Pass 3  statistics of the first numeric columns within the top categories.
+Pass 3  statistics of the numeric columns within the top categories.
 Pass 4  exact quartiles, then conditional counts around fences and midpoints.
 
 The results are small frames (metadata size: a bounded number of rows per
@@ -13,7 +13,6 @@ question-answer templates are projections over them.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import combinations
@@ -34,12 +33,7 @@ from tabulore.sources.tables import ColumnRole, TableSet, literal_rows, union_al
 class ProfileOptions:
     """Fixed values of the profiling rules, open to change per run."""
 
-    numeric_columns: int = 10
-    outlier_columns: int = 5
-    bimodal_columns: int = 3
-    group_columns: int = 3
     top_values: int = 20
-    multi_outlier_rows: int = 5
     fence_factor: float = 1.5
     direct_limit: int = DIRECT_LIMIT
     buckets: int = BUCKETS
@@ -73,8 +67,8 @@ class Moments:
 
 
 def number(name: str) -> str:
-    """SQL: a numeric column as double."""
-    return f"cast({ref(name)} as double)"
+    """SQL: a numeric column as double; NaN is a missing value."""
+    return clean_double(f"cast({ref(name)} as double)")
 
 
 def pearson(a: Moments, b: Moments) -> str | None:
@@ -116,12 +110,11 @@ class Profile:
     def _kept(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df.repartition("table")) if self.keep else df
 
-    def numeric_roles(self, table: str, limit: int | None = None) -> list[ColumnRole]:
-        roles = [
+    def numeric_roles(self, table: str) -> list[ColumnRole]:
+        return [
             r for r in self.tables.roles[table]
             if r.is_numeric and r.name not in self.options.exclude_columns
         ]
-        return roles[:limit]
 
     def categorical_roles(self, table: str) -> list[ColumnRole]:
         return [
@@ -132,7 +125,7 @@ class Profile:
     # ---- pass 1 -------------------------------------------------------------
 
     def _summarise(self, table: str) -> DataFrame:
-        numeric = self.numeric_roles(table, self.options.numeric_columns)
+        numeric = self.numeric_roles(table)
         nulls = [
             f"struct({sql(r.name)}, {r.position}, count(1) - count({ref(r.name)}))" for r in self.tables.roles[table]
         ]
@@ -140,7 +133,7 @@ class Profile:
         for r in numeric:
             raw, x = ref(r.name), number(r.name)
             stats.append(
-                f"struct({sql(r.name)}, {r.position}, {str(r.is_fractional).lower()}, count({raw}), min({x}), max({x}), "
+                f"struct({sql(r.name)}, {r.position}, {str(r.is_fractional).lower()}, count({x}), min({x}), max({x}), "
                 f"avg({x}), stddev_samp({x}), cast(min({raw}) as string), cast(max({raw}) as string))"
             )
         return self.tables.tables[table].agg(
@@ -211,7 +204,7 @@ class Profile:
 
     def _pairs(self, table: str) -> DataFrame | None:
         known = [
-            Moments(r, *self._moments[table, r.name]) for r in self.numeric_roles(table, self.options.numeric_columns)
+            Moments(r, *self._moments[table, r.name]) for r in self.numeric_roles(table)
         ]
         structs = [
             f"struct({sql(a.role.name)}, {a.role.position}, {sql(b.role.name)}, {b.role.position}, {r})"
@@ -260,31 +253,36 @@ class Profile:
         top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= self.options.top_values)
         # NULL takes one of the top places and is dropped afterwards.
         again = F.row_number().over(Window.partitionBy("column", "position").orderBy("rank"))
-        return top.filter(F.col("digest").isNotNull()).select(
-            F.lit(table).alias("table"), "column", "digest", again.alias("rank")
-        )
+        top = top.filter(F.col("digest").isNotNull()).select("column", "digest", again.cast("bigint").alias("rank"))
+        # The least frequent value, whose rank is the number of distinct values.
+        last = counts.filter(F.col("digest").isNotNull()).groupBy("column", "position").agg(
+            F.max_by("digest", F.struct(-F.col("n"), F.col("digest"))).alias("digest"), F.count(F.lit(1)).alias("rank")
+        ).select("column", "digest", "rank")
+        both = top.unionByName(last).groupBy("column", "digest").agg(F.min("rank").alias("rank"), F.max("rank").alias("n_values"))
+        is_last = F.max("n_values").over(Window.partitionBy("column"))
+        return both.withColumn("n_values", is_last).select(F.lit(table).alias("table"), "column", "digest", "rank", "n_values")
 
     @cached_property
     def top_digests(self) -> DataFrame | None:
-        """(table, column, digest, rank): at most ``top_values`` rows per categorical column."""
+        """(table, column, digest, rank, n_values): the ``top_values`` most and the one least frequent value per column."""
         frames = [f for f in (self._top_digests(name) for name in self.tables.names) if f is not None]
         return self._kept(union_all(frames)) if frames else None
 
     def _group(self, table: str, with_numeric: bool) -> DataFrame | None:
-        numeric = self.numeric_roles(table, self.options.group_columns) if with_numeric else []
+        numeric = self.numeric_roles(table) if with_numeric else []
         cells = self._cells(table, [f"{number(r.name)} as num_{r.position}" for r in numeric])
         if cells is None:
             return None
         top = self.top_digests.filter(F.col("table") == table) if self.keep else self._top_digests(table)
-        # Bounded: top_values rows per categorical column of one table.
+        # Bounded: top_values + 1 rows per categorical column of one table.
         matched = cells.withColumn("digest", F.md5("value")).join(
-            F.broadcast(top.select("column", "digest", "rank")), ["column", "digest"]
+            F.broadcast(top.select("column", "digest", "rank", "n_values")), ["column", "digest"]
         )
         stats = [
             f"struct({sql(r.name)}, {r.position}, count({x}), avg({x}), stddev_samp({x}), min({x}), max({x}))"
             for r, x in ((r, f"num_{r.position}") for r in numeric)
         ]
-        return matched.groupBy("column", "position", "rank", "value").agg(
+        return matched.groupBy("column", "position", "rank", "n_values", "value").agg(
             F.expr("count(1)").alias("n"), F.expr(array_of(stats, GROUP_FIELDS)).alias("stats")
         ).select(F.lit(table).alias("table"), "*")
 
@@ -292,7 +290,7 @@ class Profile:
         frames = [f for f in (self._group(name, with_numeric) for name in self.tables.names) if f is not None]
         if not frames:
             return literal_rows(
-                self.tables.spark, [], "table string, column string, position int, rank int, value string, n bigint, "
+                self.tables.spark, [], "table string, column string, position int, rank bigint, n_values bigint, value string, n bigint, "
                 f"stats array<{GROUP_FIELDS}>",
             )
         return union_all(frames)
@@ -301,18 +299,28 @@ class Profile:
     def _group_frame(self) -> DataFrame:
         return self._kept(self._grouped(with_numeric=True))
 
+    @cached_property
+    def _value_frame(self) -> DataFrame:
+        source = self._group_frame if self.keep else self._grouped(with_numeric=False)
+        return source.select("table", "column", "position", "rank", "n_values", "value", "n")
+
     @cached_property
     def values(self) -> DataFrame:
         """(table, column, position, rank, value, n): the most frequent values per column."""
-        source = self._group_frame if self.keep else self._grouped(with_numeric=False)
-        return source.select("table", "column", "position", "rank", "value", "n")
+        top = self._value_frame.filter(F.col("rank") <= self.options.top_values)
+        return top.select("table", "column", "position", F.col("rank").cast("int").alias("rank"), "value", "n")
+
+    @cached_property
+    def distinct_values(self) -> DataFrame:
+        """(table, column, n_values): how many values a categorical column has."""
+        return self._value_frame.groupBy("table", "column").agg(F.max("n_values").alias("n_values"))
 
     @cached_property
     def groups(self) -> DataFrame:
-        """Statistics of the first numeric columns within each top category."""
-        return self._group_frame.select(
-            "table", F.col("column").alias("cat"), F.col("position").alias("cat_position"), "rank", "value",
-            F.inline("stats"),
+        """Statistics of the numeric columns within each top category."""
+        return self._group_frame.filter(F.col("rank") <= self.options.top_values).select(
+            "table", F.col("column").alias("cat"), F.col("position").alias("cat_position"), F.col("rank").cast("int").alias("rank"),
+            "value", F.inline("stats"),
         )
 
     # ---- pass 4 -------------------------------------------------------------
@@ -324,7 +332,7 @@ class Profile:
         )
         small, large = [], []
         for name in self.tables.names:
-            roles = self.numeric_roles(name, self.options.outlier_columns)
+            roles = self.numeric_roles(name)
             if roles:
                 (small if sizes[name] <= self.options.direct_limit else large).append((name, roles))
         frames = []
@@ -334,14 +342,14 @@ class Profile:
                     f"{sql(name)} as table",
                     "inline(array(" + ", ".join(
                         f"named_struct('column', {sql(r.name)}, 'position', {r.position}, "
-                        f"'value', {clean_double(number(r.name))})" for r in roles
+                        f"'value', {number(r.name)})" for r in roles
                     ) + "))",
                 )
                 for name, roles in small
             ).filter(F.col("value").isNotNull())
             frames.append(direct_quantiles(cells, ["table", "column", "position"], {"q1": 0.25, "q3": 0.75}))
         if large:
-            # Pass 1 knows count and range of a column, unless it holds NaN (which sorts last).
+            # Pass 1 knows count and range of a column.
             known = {
                 (row["table"], row["column"]): row for row in self.numeric.select("table", "column", "n", "min", "max").collect()
             }
@@ -350,10 +358,9 @@ class Profile:
                 targets = []
                 for r in roles:
                     stats = known[name, r.name]
-                    counted = stats["n"] and not math.isnan(stats["max"])
-                    bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if counted else {}
+                    bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if stats["n"] else {}
                     targets += [
-                        Target(f"{name}\t{r.position}\t{share}", clean_double(number(r.name)), share=share, **bounds)
+                        Target(f"{name}\t{r.position}\t{share}", number(r.name), share=share, **bounds)
                         for share in (0.25, 0.75)
                     ]
                 sources.append((self.tables.tables[name], targets))
@@ -373,7 +380,7 @@ class Profile:
 
     @cached_property
     def fences(self) -> DataFrame:
-        """Quartiles and outlier fences of the first numeric columns with a spread."""
+        """Quartiles and outlier fences of the numeric columns with a spread."""
         reach = self.options.fence_factor
         return self._kept(
             self._fence_rows()
@@ -403,16 +410,16 @@ class Profile:
         return f"({x} < {self._limit(table, role.name, 'lo_fence')} or {x} > {self._limit(table, role.name, 'hi_fence')})"
 
     def _count_spread(self, table: str) -> DataFrame | None:
-        roles = self.numeric_roles(table, self.options.outlier_columns)
+        roles = self.numeric_roles(table)
         if not roles:
             return None
         counts = []
-        for index, r in enumerate(roles):
+        for r in roles:
             x, lo, hi = number(r.name), self._limit(table, r.name, "min"), self._limit(table, r.name, "max")
             halves = [
                 f"count_if({x} < ({lo} + {hi}) / 2)", f"count_if({x} >= ({lo} + {hi}) / 2)",
                 f"count_if({x} >= {lo} + ({hi} - {lo}) * 0.33D and {x} <= {lo} + ({hi} - {lo}) * 0.66D)",
-            ] if index < self.options.bimodal_columns else ["null"] * 3
+            ]
             counts.append(f"struct({sql(r.name)}, {r.position}, count_if({self._outside(table, r)}), {', '.join(halves)})")
         fields = (
             "struct<column:string,position:int,n_outlier:bigint,n_lower_half:bigint,n_upper_half:bigint,n_middle:bigint>"
@@ -436,10 +443,10 @@ class Profile:
         )
 
     def _multi_outliers(self, table: str) -> DataFrame | None:
-        roles = self.numeric_roles(table, self.options.outlier_columns)
+        roles = self.numeric_roles(table)
         ids = [r.name for r in self.tables.roles[table] if r.is_id]
         id_column = self.options.id_columns.get(table) or (ids[0] if ids else None)
-        if len(self.numeric_roles(table, self.options.numeric_columns)) < 2 or id_column is None:
+        if len(self.numeric_roles(table)) < 2 or id_column is None:
             return None
         outside = [self._outside(table, r) for r in roles]
         score = " + ".join(f"if({test}, 1, 0)" for test in outside)
@@ -447,14 +454,12 @@ class Profile:
             self.tables.tables[table].filter(" or ".join(outside))
             .selectExpr(f"cast({ref(id_column)} as string) as id", f"{score} as n_outlier")
             .filter(F.col("n_outlier") >= 2)
-            .orderBy(F.desc("n_outlier"), "id")
-            .limit(self.options.multi_outlier_rows)
             .select(F.lit(table).alias("table"), "id", "n_outlier")
         )
 
     @cached_property
     def multi_outliers(self) -> DataFrame:
-        """Rows outside the fences of several columns at once, the worst few per table."""
+        """Rows outside the fences of several columns at once."""
         frames = [f for f in (self._multi_outliers(name) for name in self.tables.names) if f is not None]
         if not frames:
             return literal_rows(self.tables.spark, [], "table string, id string, n_outlier int")
@@ -468,7 +473,7 @@ class Profile:
         stats = self.numeric.select("table", "column", "stddev")
         total = F.col("n_lower_half") + F.col("n_upper_half")
         return (
-            self.spread.filter(F.col("n_lower_half").isNotNull()).join(stats, ["table", "column"])
+            self.spread.join(stats, ["table", "column"])
             .withColumn("n_valid", total)
             .withColumn("middle_pct", F.try_divide(F.lit(100.0) * F.col("n_middle"), F.col("n_valid")))
             .withColumn(
@@ -482,9 +487,9 @@ class Profile:
 
     @cached_property
     def class_balance(self) -> DataFrame:
-        """Most and least frequent kept value of the first category with two values."""
-        ranked = self.values.groupBy("table", "column", "position").agg(
-            F.count(F.lit(1)).alias("n_values"),
+        """Most and least frequent value of the first category with two values."""
+        ranked = self._value_frame.groupBy("table", "column", "position").agg(
+            F.max("n_values").alias("n_values"),
             F.min_by(F.struct("value", "n"), "rank").alias("top"),
             F.max_by(F.struct("value", "n"), "rank").alias("bottom"),
         ).filter(F.col("n_values") >= 2)

@@ -135,13 +135,11 @@ def replay_count(n_domain: int, n_pool: int, share: float) -> int:
 
 def mix_replay(
     domain: DataFrame, pool: DataFrame, key: Sequence[str], share: float = 0.2,
-    pool_cap: int = 10_000, pool_order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Domain rows plus a seeded pick from a bounded replay pool, tagged by source.
+    """Domain rows plus a seeded pick from the whole replay pool, tagged by source.
 
     ``mix_key`` is the reproducible shuffle position of each row.
     """
-    pool = take_first(pool, pool_cap, pool_order or key)
     n_replay = replay_count(domain.count(), pool.count(), share)
     picked = sample_rows(pool, n_replay, key)
     return (
@@ -155,8 +153,6 @@ def cap_pairs(
     qa: DataFrame, max_pairs: int, priority: Sequence[str], key: Sequence[str] = ("instruction", "response"),
 ) -> DataFrame:
     """Keep every priority category and fill up to ``max_pairs`` from the others."""
-    if qa.count() <= max_pairs:
-        return qa
     first = qa.filter(F.col("category").isin(*priority))
     rest = qa.filter(~F.col("category").isin(*priority))
     return first.unionByName(sample_rows(rest, max(0, max_pairs - first.count()), key))

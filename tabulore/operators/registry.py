@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulore.functions.text import fill
+from tabulore.operators.ranking import number_rows
 from tabulore.plans.templates import CLAUSES
+from tabulore.session import cut_lineage
 
 # Parts of metric names that tell which direction is better, and
 # which class a metric belongs to.
@@ -20,6 +22,8 @@ LOWER_IS_BETTER = (
     "rmse", "mse", "mae", "loss", "error", "log_loss", "logloss",
     "inference_latency_ms", "latency", "latency_ms", "training_time",
 )
+# Names of errors that the list above only holds as parts of other words.
+OTHER_ERRORS = ("mape", "smape", "msle", "rmsle", "nll", "perplexity", "wer", "cer")
 HIGHER_IS_BETTER = (
     "accuracy", "r2", "r2_score", "f1", "precision", "recall", "auc", "roc_auc", "ap", "map", "ndcg",
 )
@@ -32,7 +36,7 @@ FEW_PARAMS = 3
 VERSION = ["name", "version"]
 
 
-def name_has(metric: Column, hints: Sequence[str], match: str = "substring") -> Column:
+def name_has(metric: Column, hints: Sequence[str], match: str = "token") -> Column:
     """Whether a metric name contains one of the hints, anywhere or as a whole token."""
     lowered = F.lower(metric)
     if match == "token":
@@ -40,8 +44,8 @@ def name_has(metric: Column, hints: Sequence[str], match: str = "substring") ->
     return lowered.rlike("|".join(hints))
 
 
-def direction(metric: Column, match: str = "substring") -> Column:
-    return F.when(name_has(metric, LOWER_IS_BETTER, match), "lowest").otherwise("highest")
+def direction(metric: Column, match: str = "token") -> Column:
+    return F.when(name_has(metric, LOWER_IS_BETTER + OTHER_ERRORS, match), "lowest").otherwise("highest")
 
 
 def label(model: str = "name", version: str = "version") -> str:
@@ -49,7 +53,7 @@ def label(model: str = "name", version: str = "version") -> str:
     return fill(CLAUSES["label"], model=model, version=version)
 
 
-def model_metrics(versions: DataFrame, match: str = "substring") -> DataFrame:
+def model_metrics(versions: DataFrame, match: str = "token") -> DataFrame:
     """(name, version, stage, metric, value, direction, class flags) for recorded values."""
     rows = versions.select("name", "version", "stage", F.explode("metrics").alias("metric", "value")).filter(
         F.col("value").isNotNull()
@@ -57,8 +61,8 @@ def model_metrics(versions: DataFrame, match: str = "substring") -> DataFrame:
     name = F.col("metric")
     return (
         rows.withColumn("direction", direction(name, match))
-        .withColumn("is_latency", name_has(name, LATENCY_HINTS))
-        .withColumn("is_lower", name_has(name, LOWER_IS_BETTER, match))
+        .withColumn("is_latency", name_has(name, LATENCY_HINTS, match))
+        .withColumn("is_lower", name_has(name, LOWER_IS_BETTER + OTHER_ERRORS, match))
         .withColumn("is_accuracy", name_has(name, HIGHER_IS_BETTER, match))
     )
 
@@ -69,14 +73,21 @@ def signed(value: Column, direction_: Column) -> Column:
 
 
 def rank_metrics(mm: DataFrame) -> DataFrame:
-    """Add per metric: rank (1 = best), worst_rank (1 = every holder of the worst value), n_models."""
-    best = Window.partitionBy("metric").orderBy(signed(F.col("value"), F.col("direction")), "name", "version")
-    worst = Window.partitionBy("metric").orderBy(-signed(F.col("value"), F.col("direction")))
-    every = Window.partitionBy("metric")
-    return (
-        mm.withColumn("rank", F.row_number().over(best))
-        .withColumn("worst_rank", F.rank().over(worst))
-        .withColumn("n_models", F.count(F.lit(1)).over(every))
+    """Add per metric: rank (1 = best), worst_rank (1 = every holder of the worst value), n_models.
+
+    Versions are numbered in one range-partitioned order of metric and value, so a metric that every version
+    records does not meet in one task; its ranks are the numbers less the metric's first.
+    """
+    columns = mm.columns
+    order = ["metric", "_cost", "name", "version"]
+    numbered = cut_lineage(
+        number_rows(mm.withColumn("_cost", signed(F.col("value"), F.col("direction"))), order, "_number")
+    )
+    metrics = numbered.groupBy("metric").agg(F.min("_number").alias("_first"), F.count(F.lit(1)).alias("n_models"))
+    ties = numbered.groupBy("metric", "_cost").agg(F.max("_number").alias("_last"))
+    return numbered.join(ties, ["metric", "_cost"]).join(metrics, "metric").select(
+        *columns, (F.col("_number") - F.col("_first") + 1).cast("int").alias("rank"),
+        (F.col("_first") + F.col("n_models") - F.col("_last")).cast("int").alias("worst_rank"), "n_models",
     )
 
 
@@ -84,24 +95,30 @@ def best_per_metric(ranked: DataFrame) -> DataFrame:
     return ranked.filter(F.col("rank") == 1)
 
 
-def pairwise_models(mm: DataFrame, tie: str = "apart") -> DataFrame:
-    """Wins of each pair of versions over their shared metrics.
+def neighbours(mm: DataFrame) -> DataFrame:
+    """(name_a, version_a, name_b, version_b): each version with the next in name order."""
+    numbered = cut_lineage(number_rows(mm.select("name", "version").distinct(), ["name", "version"], "n"))
+    after = numbered.select((F.col("n") - 1).alias("n"), F.col("name").alias("name_b"), F.col("version").alias("version_b"))
+    return numbered.join(after, "n").select(
+        F.col("name").alias("name_a"), F.col("version").alias("version_a"), "name_b", "version_b"
+    )
+
+
+def pairwise_models(mm: DataFrame, pairs: DataFrame, tie: str = "apart") -> DataFrame:
+    """Wins of each given pair (name_a, version_a, name_b, version_b) over their shared metrics.
 
-    The number of versions is bounded by ``cap_versions``. Ties count for
-    neither side, or for the second with ``tie="second"``.
+    Ties count for neither side, or for the second with ``tie="second"``.
     """
     side = lambda suffix: mm.select(
-        "metric", "direction",
+        "metric", F.col("direction").alias(f"direction_{suffix}"),
         F.col("name").alias(f"name_{suffix}"), F.col("version").alias(f"version_{suffix}"),
         F.col("value").alias(f"value_{suffix}"),
     )
-    a, b = side("a"), side("b").drop("direction")
-    ordered = F.struct("name_a", "version_a") < F.struct("name_b", "version_b")
-    better = signed(F.col("value_a"), F.col("direction")) < signed(F.col("value_b"), F.col("direction"))
+    better = signed(F.col("value_a"), F.col("direction_a")) < signed(F.col("value_b"), F.col("direction_a"))
     tied = F.col("value_a") == F.col("value_b")
     b_wins = ~better if tie == "second" else (~better & ~tied)
     return (
-        a.join(b, "metric").filter(ordered)
+        pairs.join(side("a"), ["name_a", "version_a"]).join(side("b"), ["name_b", "version_b", "metric"])
         .groupBy("name_a", "version_a", "name_b", "version_b")
         .agg(
             F.count_if(better).alias("wins_a"), F.count_if(b_wins).alias("wins_b"),
@@ -111,6 +128,12 @@ def pairwise_models(mm: DataFrame, tie: str = "apart") -> DataFrame:
     )
 
 
+def blocked(versions: DataFrame, size: int) -> DataFrame:
+    """Add ``block``: consecutive numbers for every ``size`` rows in name order, so that lists have a bounded length."""
+    numbered = number_rows(versions, ["name", "version"], "_n")
+    return numbered.withColumn("block", F.floor((F.col("_n") - 1) / size)).drop("_n")
+
+
 def overall_winner(ranked: DataFrame) -> DataFrame:
     """The version that leads most metrics, with the metrics it leads."""
     led = F.sort_array(F.collect_list(F.struct("metric", "value")))
@@ -169,16 +192,14 @@ def trade_off(mm: DataFrame) -> DataFrame:
     accuracy = mm.filter("is_accuracy").select(
         "name", "version", F.col("metric").alias("accuracy"), F.col("value").alias("accuracy_value")
     )
-    both = accuracy.join(latency, VERSION).withColumn(
-        "n_models", F.count(F.lit(1)).over(Window.partitionBy("accuracy"))
-    ).filter(F.col("n_models") >= 2)
-    first = F.min("accuracy").over(Window.partitionBy("latency"))
-    return both.withColumn("first", first).filter(F.col("accuracy") == F.col("first")).drop("first", "n_models")
+    both = accuracy.join(latency, VERSION)
+    first = both.groupBy("accuracy").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").agg(F.min("accuracy")).scalar()
+    return both.filter(F.col("accuracy") == first)
 
 
-def version_history(versions: DataFrame, limit: int = 5) -> DataFrame:
-    """Versions of each model in order, with the first few metrics of each."""
-    entries = F.slice(F.array_sort(F.map_entries("metrics")), 1, limit)
+def version_history(versions: DataFrame) -> DataFrame:
+    """Versions of each model in order, with the metrics of each."""
+    entries = F.array_sort(F.map_entries("metrics"))
     steps = F.sort_array(F.collect_list(F.struct("version", "stage", entries.alias("metrics"))))
     return versions.groupBy("name").agg(F.count(F.lit(1)).alias("n_versions"), steps.alias("steps")).filter(
         F.col("n_versions") >= 2
@@ -206,14 +227,9 @@ def variability(mm: DataFrame) -> DataFrame:
     )
 
 
-def metric_inventory(mm: DataFrame, limit: int = 10) -> DataFrame:
-    """Versions per metric for the first comparable metrics (two or more versions)."""
-    return (
-        mm.groupBy("metric")
-        .agg(F.count(F.lit(1)).alias("n_models"),
-             F.sort_array(F.collect_list(F.struct("name", "version"))).alias("models"))
-        .filter(F.col("n_models") > 1).orderBy("metric").limit(limit)
-    )
+def metric_inventory(mm: DataFrame) -> DataFrame:
+    """Versions per comparable metric (two or more versions)."""
+    return mm.groupBy("metric").agg(F.count(F.lit(1)).alias("n_models")).filter(F.col("n_models") > 1)
 
 
 def stage_counts(versions: DataFrame) -> DataFrame:
@@ -224,11 +240,15 @@ def stage_counts(versions: DataFrame) -> DataFrame:
 
 def registry_totals(versions: DataFrame) -> DataFrame:
     """One row: models, versions, distinct metrics and parameters, with their names."""
-    merged = lambda names: F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_keys(names)))))
+    names = lambda column: F.sort_array(F.collect_set(column))  # noqa: E731  one entry per distinct name
+    known = lambda column, alias: (
+        versions.select(F.explode(F.map_keys(column)).alias("key")).distinct().agg(names("key").alias(alias)).scalar()
+    )
     return versions.agg(
         F.count_distinct("name").alias("n_models"), F.count(F.lit(1)).alias("n_versions"),
-        merged("metrics").alias("metrics"), merged("params").alias("params"),
-    ).withColumn("n_metrics", F.size("metrics").cast("bigint")).withColumn("n_params", F.size("params").cast("bigint"))
+    ).withColumn("metrics", known("metrics", "metrics")).withColumn("params", known("params", "params")).withColumn(
+        "n_metrics", F.size("metrics").cast("bigint")
+    ).withColumn("n_params", F.size("params").cast("bigint"))
 
 
 def limitations(versions: DataFrame) -> DataFrame:

@@ -32,12 +32,18 @@ def _common_type(types: list[T.DataType]) -> str:
     """Type in which the values of a shared column are compared."""
     if all(isinstance(t, T.IntegralType) for t in types):
         return "bigint"
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        # A double would make neighbouring keys equal beyond 2**53.
+        scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
+        return f"decimal(38,{scale})"
+    if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in types) and len(set(types)) > 1:
+        return "timestamp_ntz"
     if all(isinstance(t, T.NumericType) for t in types):
         return "double"
     return "string"
 
 
-def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
+def column_overlap(tables: TableSet) -> DataFrame:
     """Distinct values of each shared column per table pair, and how many are common.
 
     A value is reduced to the set of tables that hold it, kept as bits so that
@@ -103,16 +109,14 @@ def column_overlap(tables: TableSet, cap: int | None = 15) -> DataFrame:
         )
         .filter(F.col("n_overlap") > 0)
     )
-    if cap is not None:
-        counted = counted.orderBy("column_order", "a", "b").limit(cap)
     return counted.select(
         "column", "table_a", "table_b", "n_a", "n_b", "n_overlap",
         (F.lit(100.0) * F.col("n_overlap") / F.least("n_a", "n_b")).alias("pct_of_smaller"),
     )
 
 
-def join_gain(columns: DataFrame, overlap: DataFrame, limit: int = 3) -> DataFrame:
-    """First numeric columns each table of a related pair adds to the other."""
+def join_gain(columns: DataFrame, overlap: DataFrame) -> DataFrame:
+    """Numeric columns each table of a related pair adds to the other."""
     numeric = columns.filter("is_numeric").select("table", "column", "position")
     names = columns.select(F.col("table").alias("other"), F.col("column").alias("other_column"))
     pairs = overlap.select("column", "table_a", "table_b")
@@ -125,10 +129,7 @@ def join_gain(columns: DataFrame, overlap: DataFrame, limit: int = 3) -> DataFra
             names, (F.col(other) == F.col("other")) & (F.col("gain") == F.col("other_column")), "left_anti"
         )
         return new.groupBy("column", "table_a", "table_b").agg(
-            F.slice(
-                F.transform(F.sort_array(F.collect_list(F.struct("position", "gain"))), lambda g: g.getField("gain")),
-                1, limit,
-            ).alias(alias)
+            F.transform(F.sort_array(F.collect_list(F.struct("position", "gain"))), lambda g: g.getField("gain")).alias(alias)
         )
 
     key = ["column", "table_a", "table_b"]

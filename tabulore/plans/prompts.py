@@ -9,22 +9,19 @@ from tabulore.functions.text import fill, fixed, ordered, sql
 from tabulore.functions.values import sorted_entries
 from tabulore.plans.templates import PROMPTS
 
-SHOWN_PARAMS = 10
-MAX_MODELS = 10
 
-
-def _entries(mapping: str, value: str, limit: int | None = None) -> str:
+def _entries(mapping: str, value: str) -> str:
     entry = fill(PROMPTS["model_entry"], key="e.key", value=value)
-    text = f"array_join(transform({sorted_entries(mapping, limit)}, e -> {entry}), {sql(chr(10))})"
+    text = f"array_join(transform({sorted_entries(mapping)}, e -> {entry}), {sql(chr(10))})"
     return f"if(size({mapping}) > 0, {text}, null)"
 
 
-def models_block(versions: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
+def models_block(versions: DataFrame, limit: int) -> DataFrame:
     """(models): one text describing the first ``limit`` versions by name."""
     shown = versions.orderBy("name", "version").limit(limit).selectExpr(
         "name", "version", "stage", "description",
         f"{_entries('metrics', fixed('e.value', 4))} as metrics_text",
-        f"{_entries('params', 'e.value', SHOWN_PARAMS)} as params_text",
+        f"{_entries('params', 'e.value')} as params_text",
     )
     lines = ", ".join([
         fill(PROMPTS["model_head"], index="k + 1", model="m.name", version="m.version"),
@@ -43,7 +40,7 @@ def models_block(versions: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
     )
 
 
-def recommendation_prompt(tasks: DataFrame, versions: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
+def recommendation_prompt(tasks: DataFrame, versions: DataFrame, limit: int) -> DataFrame:
     """Add ``prompt`` to (task, criteria) rows; the models text is one shared value."""
     criteria = f"if(criteria != '', {fill(PROMPTS['criteria'], criteria='criteria')}, null)"
     prompt = fill(PROMPTS["recommendation"], task="task", models="_models", criteria=f"coalesce({criteria}, '')")
@@ -53,7 +50,7 @@ def recommendation_prompt(tasks: DataFrame, versions: DataFrame, limit: int = MA
     )
 
 
-def recommendation_record(prompts: DataFrame, versions: DataFrame, responses: DataFrame, limit: int = MAX_MODELS) -> DataFrame:
+def recommendation_record(prompts: DataFrame, versions: DataFrame, responses: DataFrame, limit: int) -> DataFrame:
     """(task, models_evaluated, recommendation, prompt_used) from generated responses by task."""
     evaluated = versions.orderBy("name", "version").limit(limit).agg(
         F.collect_list(F.struct("name", "version", "stage", "metrics"))

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from tabulore.functions.text import fixed, joined, metric_text, optional, ordered, sql
 from tabulore.functions.values import entries_text, names_seed
 from tabulore.operators import registry as reg
+from tabulore.operators.ranking import number_rows
 from tabulore.plans.qa_tables import clause
 from tabulore.plans.qa_tables import pairs as render
 from tabulore.plans.templates import CLAUSES, REGISTRY_QA
 from tabulore.sources.tables import union_all
 
-MANY_PARAMS, SOME_PARAMS = 15, 10
+LIST_BLOCK = 100  # versions named in one text; longer lists go on in further pairs
 
 METRICS = entries_text("metrics", metric_text("e.value"))
 LABEL = reg.label()
@@ -33,8 +34,8 @@ def name_of(item: str) -> str:
     return clause("best_label", model=f"{item}.name", version=f"{item}.version")
 
 
-def params_text(limit: int) -> str:
-    return entries_text("params", limit=limit)
+def params_text() -> str:
+    return entries_text("params")
 
 
 def about(description: str = "description") -> str:
@@ -47,7 +48,7 @@ def model_summary() -> str:
         clause("summary_head", label=LABEL, stage="stage"),
         f"if(description != '', {clause('summary_description', description='description')}, null)",
         f"if({METRICS} != '', {clause('summary_metrics', metrics=METRICS)}, null)",
-        f"if(size(params) > 0, {clause('summary_params', params=params_text(SOME_PARAMS))}, null)",
+        f"if(size(params) > 0, {clause('summary_params', params=params_text())}, null)",
     ]) + ")"
 
 
@@ -56,7 +57,7 @@ def qa_model_info(versions: DataFrame) -> DataFrame:
     return union_all([
         pairs(versions, "describe", model="name", summary=model_summary()),
         pairs(versions.filter("size(metrics) > 0"), "metrics", label=LABEL, metrics=METRICS, stage="stage"),
-        pairs(versions.filter("size(params) > 0"), "params", label=LABEL, params=params_text(MANY_PARAMS)),
+        pairs(versions.filter("size(params) > 0"), "params", label=LABEL, params=params_text()),
         pairs(versions, "stage", stage="stage", description=about(), **MODEL),
         pairs(each, "one_metric", metric="metric", value=VALUE, **MODEL),
     ])
@@ -65,10 +66,13 @@ def qa_model_info(versions: DataFrame) -> DataFrame:
 def qa_model_comparison(mm: DataFrame) -> DataFrame:
     item = clause("ranked", model="name", version="version", value=VALUE)
     at = lambda k: F.expr(f"max(case when rank = {k} then struct(name, version, value) end)")
-    frame = reg.rank_metrics(mm).filter("n_models >= 2").groupBy("metric", "direction").agg(
-        F.expr(joined(ordered(f"rank, {item} as text"), "; ")).alias("ranking"), at(1).alias("best"), at(2).alias("second")
-    )
-    duel = reg.pairwise_models(mm).selectExpr(
+    ranked = reg.rank_metrics(mm).filter("n_models >= 2")
+    leaders = ranked.filter("rank <= 2").groupBy("metric", "direction").agg(at(1).alias("best"), at(2).alias("second"))
+    listed = ranked.withColumn("block", F.floor((F.col("rank") - 1) / LIST_BLOCK)).groupBy("metric", "block").agg(
+        F.expr(joined(ordered(f"rank, {item} as text"), "; ")).alias("ranking")
+    ).join(leaders, "metric")
+    frame = leaders
+    duel = reg.pairwise_models(mm, reg.neighbours(mm)).selectExpr(
         "*", f"{reg.label('name_a', 'version_a')} as label_a", f"{reg.label('name_b', 'version_b')} as label_b"
     )
     part = clause(
@@ -78,7 +82,7 @@ def qa_model_comparison(mm: DataFrame) -> DataFrame:
     overall = "case when wins_a > wins_b then label_a when wins_b > wins_a then label_b else 'neither clearly' end"
     best_value = metric_text("best.value")
     return union_all([
-        pairs(frame, "ranking", metric="metric", direction="direction", ranking="ranking", best=name_of("best"),
+        pairs(listed, "ranking", metric="metric", direction="direction", ranking="ranking", best=name_of("best"),
               best_value=best_value),
         pairs(frame, "best_metric", metric="metric", best=label_of("best"), best_value=best_value,
               second=label_of("second"), second_value=metric_text("second.value")),
@@ -93,7 +97,7 @@ def qa_overall(versions: DataFrame, mm: DataFrame) -> DataFrame:
     shared = {"label": LABEL, "wins": "wins", "n_metrics": "n_metrics"}
     return pairs(
         frame, "deploy", led=joined("led", "; ", lead), stage="stage", description=about(), **shared
-    ).unionByName(pairs(frame, "best_model", led=joined("slice(led, 1, 5)", "; ", lead), **shared))
+    ).unionByName(pairs(frame, "best_model", led=joined("led", "; ", lead), **shared))
 
 
 def qa_speed(mm: DataFrame) -> DataFrame:
@@ -121,19 +125,21 @@ def _stage_list(versions: DataFrame, suffix: str = "") -> Column:
 
 def qa_deployment(versions: DataFrame) -> DataFrame:
     live = versions.filter("stage = 'Production'")
-    in_production = live.agg(
-        F.expr(joined(ordered(f"name, version, {LABEL} as text"), "; ")).alias("models"), F.expr("count(1)").alias("n")
-    ).filter("n > 0")
+    in_production = reg.blocked(live, LIST_BLOCK).groupBy("block").agg(
+        F.expr(joined(ordered(f"name, version, {LABEL} as text"), "; ")).alias("models")
+    )
     entry = clause("list_entry", model="name", version="version", stage="stage")
     everything = versions.agg(
         F.count_distinct("name").alias("n_models"), F.expr("count(1)").alias("n_versions"),
-        F.expr(joined(ordered(f"name, version, {entry} as text"), "; ")).alias("models"),
     ).withColumn("stages", _stage_list(versions))
+    listed = reg.blocked(versions, LIST_BLOCK).groupBy("block").agg(
+        F.expr(joined(ordered(f"name, version, {entry} as text"), "; ")).alias("models")
+    )
     return union_all([
         pairs(in_production, "in_production", models="models"),
         pairs(live.filter("size(metrics) > 0"), "production_metrics", metrics=METRICS, **MODEL),
         pairs(everything, "how_many", n_models="n_models", n_versions="n_versions", stages="stages"),
-        pairs(everything, "list_models", models="models"),
+        pairs(listed, "list_models", models="models"),
     ])
 
 
@@ -142,8 +148,9 @@ def qa_trade_off(versions: DataFrame, mm: DataFrame) -> DataFrame:
         "trade_off_entry", label=LABEL, accuracy="accuracy", latency="latency",
         accuracy_value=metric_text("accuracy_value"), latency_value=metric_text("latency_value"),
     )
-    trade = reg.trade_off(mm).groupBy("accuracy", "latency").agg(
-        F.expr(joined(ordered(f"-accuracy_value as place, name, version, {entry} as text"), "; ")).alias("parts")
+    traded = number_rows(reg.trade_off(mm).withColumn("place", -F.col("accuracy_value")), ["place", "name", "version"], "n")
+    trade = traded.withColumn("block", F.floor((F.col("n") - 1) / LIST_BLOCK)).groupBy("accuracy", "latency", "block").agg(
+        F.expr(joined(ordered(f"place, name, version, {entry} as text"), "; ")).alias("parts")
     )
     shown = (
         "array_join(transform(filter(i.metrics, e -> e.value is not null), "
@@ -162,10 +169,11 @@ def qa_trade_off(versions: DataFrame, mm: DataFrame) -> DataFrame:
 
 def qa_overview(versions: DataFrame, mm: DataFrame) -> DataFrame:
     totals = reg.registry_totals(versions).withColumn("stages", _stage_list(versions, " models"))
-    entry = clause("comparable_entry", metric="metric", labels=joined("models", ", ", label_of("i")))
-    comparable = reg.metric_inventory(mm).agg(
-        F.expr(joined(ordered(f"metric, {entry} as text"), "; ")).alias("shared"), F.expr("count(1)").alias("n")
-    ).filter("n > 0")
+    shared = number_rows(mm.join(reg.metric_inventory(mm), "metric"), ["metric", "name", "version"], "n")
+    starts = shared.groupBy("metric").agg(F.min("n").alias("first"))
+    listed = shared.join(starts, "metric").withColumn("block", F.floor((F.col("n") - F.col("first")) / LIST_BLOCK))
+    labels = listed.groupBy("metric", "block").agg(F.expr(joined(ordered(f"name, version, {LABEL} as text"), ", ")).alias("labels"))
+    comparable = labels.selectExpr(f"{clause('comparable_entry', metric='metric', labels='labels')} as shared")
     return union_all([
         pairs(totals, "metrics_tracked", n_versions="n_versions", metrics="array_join(metrics, ', ')"),
         pairs(totals.filter("n_params > 0"), "params_tracked", params="array_join(params, ', ')"),
@@ -201,35 +209,33 @@ def qa_reliability(versions: DataFrame, mm: DataFrame) -> DataFrame:
 def qa_reproducibility(versions: DataFrame) -> DataFrame:
     frame = versions.filter("size(params) > 0").withColumn("has_seed", names_seed(F.col("params")))
     seed = f"if(has_seed, {sql(CLAUSES['seed_logged'])}, {sql(CLAUSES['seed_missing'])})"
-    return pairs(frame, "reproduce", seed=seed, params=params_text(SOME_PARAMS), **MODEL)
+    return pairs(frame, "reproduce", seed=seed, params=params_text(), **MODEL)
 
 
-def qa_fitness(versions: DataFrame, mm: DataFrame, shown: int = 5) -> DataFrame:
+def qa_fitness(versions: DataFrame, mm: DataFrame) -> DataFrame:
     totals = reg.registry_totals(versions).filter("n_versions >= 2")
     several = totals.agg(F.count(F.lit(1))).scalar() > 0
 
-    def first_models(condition: str) -> DataFrame:
-        first = _metrics_where(mm, condition, "=", ", ").orderBy("name", "version").limit(shown)
-        return first.agg(
-            F.expr(joined(ordered(f"name, version, concat({LABEL}, ': ', metrics) as text"), "; ")).alias("models"),
-            F.expr("count(1)").alias("n"),
-        ).filter((F.col("n") > 0) & several)
+    def models_with(condition: str) -> DataFrame:
+        return reg.blocked(_metrics_where(mm, condition, "=", ", "), LIST_BLOCK).groupBy("block").agg(
+            F.expr(joined(ordered(f"name, version, concat({LABEL}, ': ', metrics) as text"), "; ")).alias("models")
+        ).filter(several)
 
     entry = clause("best_entry", metric="metric", label=LABEL, value=VALUE)
-    best = reg.best_per_metric(reg.rank_metrics(mm)).orderBy("metric").limit(shown).agg(
+    best = reg.best_per_metric(reg.rank_metrics(mm)).agg(
         F.expr(joined(ordered(f"metric, {entry} as text"), "; "))
     ).scalar()
     known = totals.filter("n_metrics > 0").withColumn("best", best)
     shared = {"n_versions": "n_versions", "n_metrics": "n_metrics"}
     return union_all([
-        pairs(first_models("is_lower and not contains(lower(metric), 'latency')"), "continuous", models="models"),
-        pairs(first_models("is_accuracy"), "classification", models="models"),
+        pairs(models_with("is_lower and not contains(lower(metric), 'latency')"), "continuous", models="models"),
+        pairs(models_with("is_accuracy"), "classification", models="models"),
         pairs(known, "choose", best="best", **shared),
         pairs(known, "trust", **shared),
     ])
 
 
-def qa_registry(versions: DataFrame, match: str = "substring") -> DataFrame:
+def qa_registry(versions: DataFrame, match: str = "token") -> DataFrame:
     """Every question-answer pair of a registry."""
     mm = reg.model_metrics(versions, match)
     return union_all([

@@ -25,7 +25,6 @@ from tabulore.sources.tables import union_all
 
 # Limits of the generated set.
 SAMPLED_ROWS = 20
-MAX_PAIRS = 2500
 PRIORITY_CATEGORIES = (
     "schema", "reasoning", "correlation", "cross_table", "anomaly", "interpretation", "subgroup",
 )
@@ -131,8 +130,8 @@ def qa_top_values(profile: Profile, shown: int = 5) -> DataFrame:
     item = clause("value_count", value="value", n="n")
     per_column = profile.values.groupBy("table", "column").agg(
         F.expr(joined(ordered(f"rank, {item} as text", limit=shown), ", ")).alias("values"),
-        F.expr("count(1)").alias("n_values"), F.expr("min_by(struct(value, n), rank)").alias("top"),
-    )
+        F.expr("min_by(struct(value, n), rank)").alias("top"),
+    ).join(profile.distinct_values, ["table", "column"])
     frame = named(profile, per_column.join(profile.summary.select("table", "n_rows"), "table"))
     shared = {"name": clean_name("column"), **IN_TABLE}
     return pairs(frame, "most_common", values="values", n_rows="n_rows", **shared).unionByName(
@@ -327,9 +326,10 @@ def qa_subgroups(profile: Profile) -> DataFrame:
     ).unionByName(pairs(frame.filter("pct_diff > 20"), "groups_differ", groups=joined("groups", "; ", detail), **shared))
 
 
-def qa_anomaly(profile: Profile) -> DataFrame:
+def qa_anomaly(profile: Profile, shown: int = 5) -> DataFrame:
     item = clause("multi_outlier", id="id", n="n_outlier")
-    several = profile.multi_outliers.groupBy("table").agg(
+    worst = F.row_number().over(Window.partitionBy("table").orderBy(F.desc("n_outlier"), "id"))
+    several = profile.multi_outliers.withColumn("place", worst).filter(F.col("place") <= shown).drop("place").groupBy("table").agg(
         F.expr(joined(ordered(f"-n_outlier as place, id, {item} as text"), "; ")).alias("samples")
     )
     first = F.row_number().over(Window.partitionBy("table").orderBy("position"))
@@ -391,5 +391,5 @@ def qa_tables(profile: Profile, keys: Mapping[str, Sequence[str]] | None = None)
     ])
 
 
-def capped(qa: DataFrame, max_pairs: int = MAX_PAIRS) -> DataFrame:
+def capped(qa: DataFrame, max_pairs: int) -> DataFrame:
     return cap_pairs(qa, max_pairs, PRIORITY_CATEGORIES)

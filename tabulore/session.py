@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,20 +26,14 @@ def build_session(app_name: str = "tabulore", master: str | None = None, **conf:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder named in ``spark.checkpoint.dir``.
-
-    A machine-local folder is only ever chosen in local mode, where driver and
-    executors are the same machine; on a cluster the setting is required.
-    """
+    """Use the folder named in ``spark.checkpoint.dir``, or one beside the warehouse, which executors share too."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tabulore-checkpoint-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(folder)
     return folder
 

@@ -9,10 +9,11 @@ from tabulore import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", master="local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -5,7 +5,7 @@ from tabulore.operators import registry as reg
 from tabulore.plans import prompts, qa_registry
 from tabulore.sources import registry as src
 
-NN, XGB, LINEAR = "neutron_flux_predictor_nn", "neutron_flux_predictor_xgboost", "neutron_flux_predictor_linear"
+LOAF, ROLL, RYE = "bread_loaf", "bread_roll", "bread_rye"
 
 
 @pytest.fixture(scope="module")
@@ -19,31 +19,39 @@ def mm(versions):
 
 
 def test_best_per_metric(mm):
-    best = {r.metric: r["name"] for r in reg.best_per_metric(reg.rank_metrics(mm)).collect()}
-    assert best == {"rmse": NN, "mae": NN, "r2": NN, "inference_latency_ms": LINEAR}
-    winner = reg.overall_winner(reg.rank_metrics(mm)).first()
-    assert (winner["name"], winner.version, winner.wins, winner.n_metrics) == (NN, 2, 3, 4)
+    ranked = reg.rank_metrics(mm)
+    best = {r.metric: (r["name"], r.version) for r in reg.best_per_metric(ranked).collect()}
+    assert best == {"mae": (RYE, 2), "accuracy": (RYE, 2), "latency_ms": (LOAF, 1)}
+    winner = reg.overall_winner(ranked).first()
+    assert (winner["name"], winner.version, winner.wins, winner.n_metrics) == (RYE, 2, 2, 3)
+    rows = [r for r in ranked.collect() if r.metric == "latency_ms"]
+    assert sorted(r.rank for r in rows) == [1, 2, 3, 4, 5, 6] and {r.n_models for r in rows} == {6}
+    # 3, 6, 6, 9, 9 and 12 ms: holders of one value share their place from the end.
+    assert sorted((r.value, r.worst_rank) for r in rows) == [(3.0, 6), (6.0, 4), (6.0, 4), (9.0, 2), (9.0, 2), (12.0, 1)]
 
 
 def test_production_risk_is_first_by_name(mm):
     risk = reg.production_risk(reg.rank_metrics(mm)).collect()
-    assert [(r["name"], r.metric, r.value) for r in risk] == [(LINEAR, "mae", 0.0334)]
+    assert [(r["name"], r.metric, r.value) for r in risk] == [(LOAF, "accuracy", 0.6)]
 
 
 def test_direction_by_substring_and_token(spark):
     df = spark.createDataFrame([(m,) for m in ("mape", "val_loss", "training_time", "r2", "swap")], "m string")
-    sub = [r[0] for r in df.select(reg.direction(F.col("m"))).collect()]
-    assert sub == ["highest", "lowest", "lowest", "highest", "highest"]
-    accuracy = [r[0] for r in df.select(reg.name_has(F.col("m"), reg.HIGHER_IS_BETTER)).collect()]
+    whole = [r[0] for r in df.select(reg.direction(F.col("m"))).collect()]
+    assert whole == ["lowest", "lowest", "lowest", "highest", "highest"]
+    accuracy = [r[0] for r in df.select(reg.name_has(F.col("m"), reg.HIGHER_IS_BETTER, "substring")).collect()]
     assert accuracy == [True, False, False, True, True]
-    tokens = [r[0] for r in df.select(reg.name_has(F.col("m"), reg.HIGHER_IS_BETTER, "token")).collect()]
+    tokens = [r[0] for r in df.select(reg.name_has(F.col("m"), reg.HIGHER_IS_BETTER)).collect()]
     assert tokens == [False, False, False, True, False]
+    times = spark.createDataFrame([("sentiment_f1", ), ("fit_time",)], "m string")
+    assert [r[0] for r in times.select(reg.name_has(F.col("m"), reg.LATENCY_HINTS)).collect()] == [False, True]
 
 
 def test_pairwise_ties(spark):
     rows = [("a", 1, "None", "", None, {"rmse": 1.0, "f1": 0.5}, {}, {}), ("b", 1, "None", "", None, {"rmse": 1.0, "f1": 0.4}, {}, {})]
     mm = reg.model_metrics(spark.createDataFrame(rows, src.MODEL_VERSION_SCHEMA))
-    apart, second = reg.pairwise_models(mm).first(), reg.pairwise_models(mm, tie="second").first()
+    pairs = reg.neighbours(mm)
+    apart, second = reg.pairwise_models(mm, pairs).first(), reg.pairwise_models(mm, pairs, tie="second").first()
     assert (apart.wins_a, apart.wins_b, apart.ties) == (1, 0, 1)
     assert (second.wins_a, second.wins_b) == (1, 1)
 
@@ -71,10 +79,11 @@ def test_runs_are_attached_per_version(spark):
 
 
 def test_listing_and_limits(spark):
-    names = ["Llama-2", "my_gpt_model", "sales", "churn", "system.ai", "cpt_model_mistral"]
+    names = ["Oak-2", "my_elm_model", "sales", "churn", "garden.oaks", "first_sales"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    assert sorted(r["name"] for r in src.exclude_models(df).collect()) == ["churn", "sales"]
-    assert [r["name"] for r in src.registry_models(df, like="%s%", limit=2).collect()] == ["cpt_model_mistral", "sales"]
+    assert sorted(r["name"] for r in src.exclude_models(df, ["first_sales"], ["oak", "elm"]).collect()) == ["churn", "sales"]
+    assert src.exclude_models(df).count() == 6
+    assert [r["name"] for r in src.registry_models(df, like="%s%", limit=2).collect()] == ["first_sales", "garden.oaks"]
     rows = [(n, v, "Staging" if v % 2 else "None") for n in ("a", "b", "c") for v in range(1, 13)]
     versions = spark.createDataFrame(rows, "name string, version int, stage string")
     newest = {(r["name"], r.stage): r.version for r in src.latest_versions(versions).collect()}
@@ -85,11 +94,12 @@ def test_listing_and_limits(spark):
 
 
 def test_limitations_and_acceptance(spark, versions, mm):
-    assert [(r["name"], r.kind, r.n_params) for r in reg.limitations(versions).collect()] == [(LINEAR, "params", 2)]
-    limits = spark.createDataFrame([("r2", ">", 0.9), ("rmse", "<", 0.03), ("inference_latency_ms", "<", 100.0)],
+    found = {(r["name"], r.version, r.kind) for r in reg.limitations(versions).collect()}
+    assert {(LOAF, 1, "params"), (LOAF, 1, "variance"), (ROLL, 2, "variance")} <= found and len({x[:2] for x in found}) == 6
+    limits = spark.createDataFrame([("accuracy", ">", 0.7), ("mae", "<", 6.5), ("latency_ms", "<", 100.0)],
                                    "metric string, op string, threshold double")
-    checked = {(r["name"], r.metric): (r.result, r.overall) for r in reg.acceptance(mm, limits).collect()}
-    assert checked[NN, "r2"] == ("PASS", "PASS") and checked[LINEAR, "inference_latency_ms"] == ("PASS", "FAIL")
+    checked = {(r["name"], r.version, r.metric): (r.result, r.overall) for r in reg.acceptance(mm, limits).collect()}
+    assert checked[ROLL, 2, "accuracy"] == ("PASS", "PASS") and checked[LOAF, 1, "latency_ms"] == ("PASS", "FAIL")
 
 
 def test_texts(versions):
@@ -97,12 +107,21 @@ def test_texts(versions):
     for r in qa_registry.qa_registry(versions).collect():
         answers.setdefault(r.instruction, []).append(r.response)
     assert answers["Which model is fastest for real-time inference?"] == [
-        f"The fastest model is {LINEAR} (v1) with inference_latency_ms of 2.1000. However, if accuracy is more important, "
-        f"{NN} (v2) may be preferred despite higher latency."]
+        f"The fastest model is {LOAF} (v1) with latency_ms of 3.0000. However, if accuracy is more important, "
+        f"{RYE} (v2) may be preferred despite higher latency."]
     assert answers["How many models are registered in MLflow?"] == [
-        "There are 3 registered models in MLflow with 3 total versions tracked. Stages: Production: 1, Staging: 2."]
-    assert answers[f"Compare {LINEAR} and {XGB}."][0].endswith(
-        f"Overall, {XGB} (v3) performs better across the majority of metrics.")
+        "There are 3 registered models in MLflow with 6 total versions tracked. Stages: Production: 3, Staging: 3."]
+    assert answers[f"Compare {LOAF} and {ROLL}."][0].endswith("better across the majority of metrics.")
+
+
+def test_long_lists_go_on_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(qa_registry, "LIST_BLOCK", 4)
+    rows = [(f"m{i:02d}", 1, "Production", "", None, {"rmse": float(i), "f1": 1.0 - i / 100}, {}, {}) for i in range(10)]
+    versions = spark.createDataFrame(rows, src.MODEL_VERSION_SCHEMA)
+    deployed = [r.response for r in qa_registry.qa_deployment(versions).filter("template_id = 'in_production'").collect()]
+    assert len(deployed) == 3 and sorted(x for x in (f"m{i:02d}" for i in range(10)) if any(x in d for d in deployed))[-1] == "m09"
+    compared = qa_registry.qa_model_comparison(reg.model_metrics(versions))
+    assert compared.filter("template_id = 'ranking'").count() == 6 and compared.filter("template_id = 'best_metric'").count() == 2
 
 
 def test_prompt_and_record(spark, versions):
@@ -111,7 +130,7 @@ def test_prompt_and_record(spark, versions):
     texts = {r.task: r.prompt for r in asked.collect()}
     assert "## Additional Criteria to Consider\nfast\n\n## Response\n" in texts["t1"]
     assert texts["t2"].endswith("monitoring recommendations\n\n## Response\n")
-    assert f"### Model 2: {NN} (v2)" in texts["t1"] and XGB not in texts["t1"]
-    answers = spark.createDataFrame([("t1", "take nn")], "task string, recommendation string")
+    assert f"### Model 2: {LOAF} (v2)" in texts["t1"] and ROLL not in texts["t1"]
+    answers = spark.createDataFrame([("t1", "take loaf")], "task string, recommendation string")
     record = prompts.recommendation_record(asked, versions, answers, limit=2).collect()
-    assert len(record) == 1 and [m["name"] for m in record[0].models_evaluated] == [LINEAR, NN]
+    assert len(record) == 1 and [m["name"] for m in record[0].models_evaluated] == [LOAF, LOAF]

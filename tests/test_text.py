@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabulore.functions.keys import hex_threshold, in_share, key_position
+from tabulore.functions.keys import in_share, key_position
 from tabulore.functions.text import clean_text, fill, fixed, format_value, g6, is_blank, metric_text, sql, yes_no
 from tabulore.functions.values import head_map, lenient_json, merge_tags, names_seed, user_tags
 
@@ -56,10 +56,10 @@ def test_fill_quotes_and_nulls(spark):
 
 
 def test_hash_share(spark):
-    assert hex_threshold(0.05) == "0ccd" and hex_threshold(1.0) > "ffff"
     with pytest.raises(ValueError):
-        hex_threshold(1.5)
+        in_share(["id"], 1.5)
     df = spark.range(4000)
+    assert df.filter(in_share(["id"], 1.0)).count() == 4000 and df.filter(in_share(["id"], 0.0)).count() == 0
     n = df.filter(in_share(["id"], 0.25)).count()
     assert 850 < n < 1150
     top = df.select(key_position(["id"]).alias("p"), F.md5(F.col("id").cast("string")).alias("m"))
