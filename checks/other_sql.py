@@ -53,6 +53,15 @@ def corpus_sql() -> dict[str, str]:
         "clean_text": f"SELECT doc_id, {cleaned('text')} AS text FROM documents",
         "length_filter": "SELECT doc_id, text FROM documents WHERE length(text) BETWEEN 100 AND 50000",
         "drop_blank": f"SELECT page_id, url FROM pages WHERE html IS NOT NULL AND NOT {blank('html')}",
+        "drop_blanked": "SELECT page_id, url FROM pages WHERE page_id % 3 <> 0 AND page_id % 5 <> 0",
+        "table_overwrite": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 1",
+        "json_result": "SELECT s_suppkey, s_name AS name, s_nationkey AS nation FROM supplier",
+        "catalog_tables": """SELECT 'nation' AS "table", count(*) AS n_rows FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+        "overlap_types": """WITH w AS (SELECT DISTINCT o_orderkey AS k FROM orders), e AS (SELECT DISTINCT o_orderkey * 2 AS k FROM orders)
+            SELECT 'key' AS "column", 'whole' AS table_a, 'exact' AS table_b, (SELECT count(*) FROM w) AS n_a, (SELECT count(*) FROM e) AS n_b, count(*) AS n_overlap,
+            round(100.0::DOUBLE * count(*) / least((SELECT count(*) FROM w), (SELECT count(*) FROM e)), 6) AS pct_of_smaller FROM w JOIN e ON w.k = e.k""",
+        "metric_direction": """SELECT ['mape', 'sentiment_f1', 'fit_time', 'val_loss', 'r2'][s_suppkey % 5 + 1] AS metric, count(*) AS n,
+            CASE WHEN metric IN ('mape', 'val_loss') THEN 'lowest' ELSE 'highest' END AS direction, metric = 'fit_time' AS is_latency FROM supplier GROUP BY metric""",
         "dedup_exact": f"SELECT doc_id, text FROM {READY}",
         "corpus_stats": f"""SELECT lang, count(*) AS n_docs, sum({size})::BIGINT AS n_chars, sum({size})::DOUBLE / 4 AS est_tokens,
             round(avg({size}), 4) AS avg_chars FROM documents GROUP BY lang""",

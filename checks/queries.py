@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables_sql import FULL_NAME, KEYS, RELATED, TABLES
+from checks.tables_sql import FULL_NAME, KEYS, RELATED, TABLES, gaps_sql
 from tabulore.functions.text import fixed, format_value, g6, metric_text, yes_no
 from tabulore.functions.values import head_map, lenient_json, user_tags
 from tabulore.operators import corpus, evals, groups, instruct, ranking, registry, relate
@@ -56,8 +56,15 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 # ---- profiles --------------------------------------------------------------------
 
-def numeric_profile(spark, sf_dir):
-    df = profile(spark, sf_dir).numeric.select(
+def gaps(spark: SparkSession, sf_dir: str, keep: bool = True) -> Profile:
+    """events with skewed, constant and related columns, NULL and NaN."""
+    read(spark, sf_dir, "events").createOrReplaceTempView("events_with_gaps")
+    df = spark.sql(gaps_sql("double('NaN')").replace("FROM events", "FROM events_with_gaps"))
+    return Profile(TableSet(spark, {"gaps": df}), ProfileOptions(id_columns={"gaps": "event_id"}), keep=keep)
+
+
+def numeric_profile(spark, sf_dir, of=None):
+    df = (of or profile)(spark, sf_dir).numeric.select(
         "table", "column", "n", "min", "max", "avg", "stddev", "cv", "precision", "se", "ci_lo", "ci_hi"
     )
     return rounded(rounded(df, 4, "min", "max", "avg", "stddev", "se", "ci_lo", "ci_hi"), 6, "cv")
@@ -68,23 +75,23 @@ def compare_groups(spark, sf_dir):
     return rounded(df.select("table", "cat", "num", "value", "avg", "n"), 4, "avg")
 
 
-def subgroups(spark, sf_dir):
-    df = groups.subgroups(profile(spark, sf_dir)).select(
+def subgroups(spark, sf_dir, of=None):
+    df = groups.subgroups((of or profile)(spark, sf_dir)).select(
         "table", "cat", "num", F.col("high.value").alias("high_value"), F.col("high.avg").alias("high_avg"),
         F.col("low.value").alias("low_value"), F.col("low.avg").alias("low_avg"), "diff", "pct_diff",
     )
     return rounded(df, 4, "high_avg", "low_avg", "diff", "pct_diff")
 
 
-def iqr_outliers(spark, sf_dir):
-    df = profile(spark, sf_dir, keep=True).outliers.select(
+def iqr_outliers(spark, sf_dir, of=None):
+    df = (of or profile)(spark, sf_dir, keep=True).outliers.select(
         "table", "column", "q1", "q3", "iqr", "lo_fence", "hi_fence", "n_outlier", "pct_of_rows"
     )
     return rounded(rounded(df, 4, "q1", "q3", "iqr", "lo_fence", "hi_fence"), 6, "pct_of_rows")
 
 
-def bimodality(spark, sf_dir):
-    return rounded(profile(spark, sf_dir, keep=True).bimodality.select(
+def bimodality(spark, sf_dir, of=None):
+    return rounded((of or profile)(spark, sf_dir, keep=True).bimodality.select(
         "table", "column", "n_lower_half", "n_upper_half", "n_middle", "middle_pct", "is_bimodal"), 6, "middle_pct")
 
 
@@ -197,7 +204,7 @@ def combined_pairs(spark, sf_dir) -> DataFrame:
 
 def extract_response(spark, sf_dir):
     turns = read(spark, sf_dir, "conversations")
-    wrapped = F.concat(F.lit("<s>[INST] "), "text", F.lit(" [/INST]  "), "role", F.lit(" "))
+    wrapped = F.concat(F.lit("<s>[INST] "), "text", F.lit(" [/INST]\n  "), "role", F.lit("\t\n"))
     generated = F.when(F.col("turn") % 2 == 0, wrapped).otherwise(F.concat("text", F.lit(" "), "role"))
     return turns.select("conv_id", "turn", instruct.extract_response(generated, F.col("text")).alias("response"))
 
@@ -456,6 +463,58 @@ def all_table_pairs(spark, sf_dir):
     return qa_tables.qa_tables(profile(spark, sf_dir, keep=True), KEYS)
 
 
+def drop_blanked(spark, sf_dir):
+    """pages where every third is blank and every fifth has no text."""
+    pages = read(spark, sf_dir, "pages").withColumn("html", F.expr(
+        "case when page_id % 3 = 0 then ' \\n\\t' when page_id % 5 = 0 then null else html end"))
+    return corpus.drop_blank(pages, "html").select("page_id", "url")
+
+
+def table_overwrite(spark, sf_dir):
+    """The second of two tables saved under one name."""
+    name = f"overwritten_{uuid.uuid4().hex}"
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    files.save_table(orders.filter("o_orderkey % 2 = 0"), name)
+    files.save_table(orders.filter("o_orderkey % 2 = 1"), name)
+    return spark.table(name)
+
+
+def json_result(spark, sf_dir):
+    folder = f"{ensure_checkpoint_dir(spark)}/result-{uuid.uuid4().hex}"
+    nested = read(spark, sf_dir, "supplier").selectExpr("s_suppkey", "struct(s_name as name, s_nationkey as nation) as about")
+    files.write_result(nested, folder)
+    return spark.read.schema("s_suppkey long, about struct<name: string, nation: int>").json(folder).select(
+        "s_suppkey", "about.name", "about.nation")
+
+
+def catalog_tables(spark, sf_dir):
+    """Row counts of two tables found by listing a database."""
+    database = f"listed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for name in ("nation", "supplier", "region"):
+        files.save_table(read(spark, sf_dir, name), f"{database}.{name}")
+    found = TableSet.from_catalog(spark, database, exclude=("region",))
+    return union_all(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows") for name, df in found.tables.items())
+
+
+def overlap_types(spark, sf_dir):
+    """Whole numbers beyond 2**53 as bigint and as decimal."""
+    orders = read(spark, sf_dir, "orders")
+    tables = TableSet(spark, {
+        "whole": orders.selectExpr("o_orderkey + 9007199254740992 as key"),
+        "exact": orders.selectExpr("cast(o_orderkey * 2 + 9007199254740992 as decimal(20, 0)) as key"),
+    })
+    return rounded(relate.column_overlap(tables), 6, "pct_of_smaller")
+
+
+def metric_direction(spark, sf_dir):
+    named = read(spark, sf_dir, "supplier").selectExpr(
+        "element_at(array('mape', 'sentiment_f1', 'fit_time', 'val_loss', 'r2'), cast(s_suppkey % 5 as int) + 1) as metric")
+    return named.groupBy("metric").agg(F.count(F.lit(1)).alias("n")).select(
+        "metric", "n", registry.direction(F.col("metric")).alias("direction"),
+        registry.name_has(F.col("metric"), registry.LATENCY_HINTS).alias("is_latency"))
+
+
 QUERIES: dict[str, Query] = {
     # profiles
     "table_profile": on_profile(lambda p: p.table_sizes.drop("table_position")),
@@ -530,6 +589,26 @@ QUERIES: dict[str, Query] = {
     "qa_reasoning": on_profile(qa_tables.qa_reasoning, keep=True),
     "qa_nulls": on_profile(qa_tables.qa_nulls, keep=True),
     "qa_outliers": on_profile(qa_tables.qa_outliers, keep=True),
+    # a table with NULL, NaN, constant, skewed and related columns
+    "gaps_numeric": lambda s, d: numeric_profile(s, d, gaps),
+    "gaps_nulls": lambda s, d: rounded(gaps(s, d).nulls.drop("position"), 6, "pct_null"),
+    "gaps_corr_classes": lambda s, d: gaps(s, d).corr_classes.drop("pos_a", "pos_b", "r"),
+    "gaps_outliers": lambda s, d: iqr_outliers(s, d, gaps),
+    "gaps_multi_outliers": lambda s, d: gaps(s, d).multi_outliers,
+    "gaps_bimodality": lambda s, d: bimodality(s, d, gaps),
+    "gaps_subgroups": lambda s, d: subgroups(s, d, gaps),
+    "gaps_surprising": lambda s, d: rounded(groups.surprising_groups(gaps(s, d)).select("table", "cat", "num", "value", "z", "is_high"), 4, "z"),
+    "gaps_sanity": lambda s, d: rounded(gaps(s, d).sanity.drop("check"), 4, "pct"),
+    "gaps_qa_correlation": lambda s, d: qa_tables.qa_correlation(gaps(s, d)),
+    "gaps_qa_anomaly": lambda s, d: qa_tables.qa_anomaly(gaps(s, d)),
+    "gaps_qa_sanity": lambda s, d: qa_tables.qa_sanity(gaps(s, d)),
+    # sinks, sources and types
+    "drop_blanked": drop_blanked,
+    "table_overwrite": table_overwrite,
+    "json_result": json_result,
+    "catalog_tables": catalog_tables,
+    "overlap_types": overlap_types,
+    "metric_direction": metric_direction,
     "qa_sanity": on_profile(qa_tables.qa_sanity, keep=True),
     "qa_uncertainty": on_profile(qa_tables.qa_uncertainty, keep=True),
     "qa_reproducibility": on_profile(qa_tables.qa_reproducibility, keep=True),

@@ -36,6 +36,20 @@ SPARK_TYPES = {
 TABLES = {t: [tuple(c.split()) for c in cols.split(", ")] for t, cols in SCHEMAS.items()}
 # documents with the labels that exist: the one table with NULLs.
 TABLES["labelled"] = [("doc_id", "l"), ("lang", "s"), ("n_chars", "l"), ("quality", "i"), ("toxic", "i")]
+# events with skewed, constant and related columns, NULL and NaN; not one of the shop's tables.
+GAPS = {"gaps": [tuple(c.split()) for c in
+                 "event_id l, kind s, value d, twice d, minus d, flat i, heavy d, halves d, shift d".split(", ")]}
+GAPS_KIND = "CASE WHEN event_id % 40 = 0 THEN 'rare' WHEN event_id % 10 = 3 THEN event_type ELSE 'usual' END"
+
+
+def gaps_sql(nan: str) -> str:
+    """``nan``: what stands for NaN. Statistics are to treat it as missing, which the SQL has as NULL."""
+    return f"""SELECT event_id, {GAPS_KIND} AS kind,
+  CASE WHEN event_id % 97 = 0 THEN {nan} WHEN event_id % 89 = 0 THEN NULL ELSE value END AS value, value * 2 + event_id % 7 AS twice,
+  event_id % 13 * 5 - value AS minus, 7 AS flat, CASE WHEN event_id % 50 = 0 THEN value * 1000 ELSE value + event_id % 3 END AS heavy,
+  value / 1000000 + event_id % 2 * 1000 AS halves, CASE WHEN event_id % 40 = 0 THEN 9000 ELSE 0 END + value AS shift FROM events"""
+
+
 LABELLED = "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 SCHEMA_NAME, FULL_NAME = "shop", "lake.shop"
 KEYS = {
@@ -81,71 +95,71 @@ def title(name: str) -> str:
 
 
 def numeric(table: str):
-    return [(c, p, k) for p, (c, k) in enumerate(TABLES[table]) if k in "ild"]
+    return [(c, p, k) for p, (c, k) in enumerate((TABLES | GAPS)[table]) if k in "ild"]
 
 
 def categorical(table: str):
     """Columns used as categories: everything but numbers, arrays and id/key strings."""
     return [
-        (c, p, k) for p, (c, k) in enumerate(TABLES[table])
+        (c, p, k) for p, (c, k) in enumerate((TABLES | GAPS)[table])
         if k == "t" or (k == "s" and not ("id" in c or "key" in c))
     ]
 
 
 def id_columns(table: str):
-    return [c for c, k in TABLES[table] if k == "s" and any(h in c for h in ("id", "key", "name", "code", "sample"))]
+    return [c for c, k in (TABLES | GAPS)[table] if k == "s" and any(h in c for h in ("id", "key", "name", "code", "sample"))]
 
 
-def source(table: str) -> str:
-    return f"({LABELLED})" if table == "labelled" else table
+def source(table: str, nan: str = "NULL") -> str:
+    return f"({gaps_sql(nan)})" if table == "gaps" else f"({LABELLED})" if table == "labelled" else table
 
 
 def union(parts) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def prelude() -> str:
+def prelude(tables: dict = TABLES) -> str:
     """Common table expressions shared by the profile queries."""
-    order = {t: i for i, t in enumerate(TABLES)}
-    ids = {t: id_columns(t) for t in TABLES}
-    cats = {t: [c for c, _, _ in categorical(t)] for t in TABLES}
+    order = {t: i for i, t in enumerate(tables)}
+    ids = {t: id_columns(t) for t in tables}
+    cats = {t: [c for c, _, _ in categorical(t)] for t in tables}
     cols = ", ".join(
         f"({lit(t)}, {order[t]}, {lit(title(t))}, {p}, {lit(c)}, {lit(SPARK_TYPES[k])}, {str(k in 'ild').lower()}, "
         f"{str(c in cats[t]).lower()}, {str(c in ids[t]).lower()}, {str(k == 's').lower()})"
-        for t, columns in TABLES.items() for p, (c, k) in enumerate(columns)
+        for t, columns in tables.items() for p, (c, k) in enumerate(columns)
     )
-    rows = union(f"SELECT {lit(t)} AS tbl, count(*) AS n_rows FROM {source(t)} x" for t in TABLES)
+    rows = union(f"SELECT {lit(t)} AS tbl, count(*) AS n_rows FROM {source(t)} x" for t in tables)
     nulls = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, count(*) AS n_rows, count(*) - count({c}) AS n_null "
-        f"FROM {source(t)} x" for t, columns in TABLES.items() for p, (c, _) in enumerate(columns)
+        f"FROM {source(t, chr(39) + 'nan' + chr(39) + '::DOUBLE')} x" for t, columns in tables.items() for p, (c, _) in enumerate(columns)
     )
     num = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, count({c}) AS n, min({c})::DOUBLE AS mn, max({c})::DOUBLE AS mx, "
         f"avg({c}::DOUBLE) AS av, stddev_samp({c}::DOUBLE) AS sd, "
         f"{g6(f'min({c})') if k == 'd' else f'min({c})::VARCHAR'} AS mn_text, "
         f"{g6(f'max({c})') if k == 'd' else f'max({c})::VARCHAR'} AS mx_text, min({c})::VARCHAR AS mn_raw FROM {source(t)} x"
-        for t in TABLES for c, p, k in numeric(t)
+        for t in tables for c, p, k in numeric(t)
     )
     corr = union(
         f"SELECT {lit(t)} AS tbl, {lit(a)} AS col_a, {pa} AS pos_a, {lit(b)} AS col_b, {pb} AS pos_b, "
         f"corr({a}::DOUBLE, {b}::DOUBLE) AS r FROM {source(t)} x"
-        for t in TABLES for (a, pa, _), (b, pb, _) in combinations(numeric(t), 2)
+        for t in tables for (a, pa, _), (b, pb, _) in combinations(numeric(t), 2)
     )
     vals = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, {c}::VARCHAR AS val, count(*) AS n FROM {source(t)} x GROUP BY {c}"
-        for t in TABLES for c, p, _ in categorical(t)
+        for t in tables for c, p, _ in categorical(t)
     )
     grp = union(
         f"SELECT v.tbl, v.col AS cat, v.pos AS cat_pos, v.rnk, v.val, {lit(c)} AS num, {p} AS num_pos, count(x.{c}) AS n, "
         f"avg(x.{c}::DOUBLE) AS av, stddev_samp(x.{c}::DOUBLE) AS sd, min(x.{c})::DOUBLE AS mn, max(x.{c})::DOUBLE AS mx "
         f"FROM vals v JOIN {source(t)} x ON v.val = x.{cat}::VARCHAR WHERE v.tbl = {lit(t)} AND v.col = {lit(cat)} "
         "GROUP BY ALL"
-        for t in TABLES for cat, _, _ in categorical(t) for c, p, _ in numeric(t)
+        for t in tables for cat, _, _ in categorical(t) for c, p, _ in numeric(t)
     )
     quart = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, quantile_disc({c}::DOUBLE, 0.25) AS q1, "
         f"quantile_disc({c}::DOUBLE, 0.75) AS q3 FROM {source(t)} x"
-        for t in TABLES for c, p, _ in numeric(t)
+        for t in tables for c, p, _ in numeric(t)
     )
     spread = union(
         f"SELECT {lit(t)} AS tbl, {lit(c)} AS col, {p} AS pos, "
@@ -154,7 +168,7 @@ def prelude() -> str:
         f"count(*) FILTER (WHERE {c} >= m.mn + (m.mx - m.mn) * 0.33::DOUBLE AND {c} <= m.mn + (m.mx - m.mn) * 0.66::DOUBLE) AS n_middle "
         f"FROM {source(t)} x, (SELECT max(lo) AS lo, max(hi) AS hi FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) f, "
         f"(SELECT max(mn) AS mn, max(mx) AS mx FROM num WHERE tbl = {lit(t)} AND col = {lit(c)}) m"
-        for t in TABLES for c, p, _ in numeric(t)
+        for t in tables for c, p, _ in numeric(t)
     )
     return f"""WITH cols(tbl, tpos, readable, pos, col, dtype, is_num, is_cat, is_id, is_str) AS (VALUES {cols}),
 nrows AS ({rows}),
@@ -211,17 +225,36 @@ PRELUDE = prelude()
 T, C = 'tbl AS "table"', 'col AS "column"'
 
 
-def profile_sql() -> dict[str, str]:
-    """Profile frames."""
-    multi = []
-    for t, id_column in (("customer", "c_name"), ("supplier", "s_name"), ("part", "p_name"), ("events", "event_id"),
-                         ("documents", "doc_id"), ("lineitem", "l_orderkey")):
+def multi_sql(ids: dict[str, str]) -> str:
+    parts = []
+    for t, id_column in ids.items():
         score = " + ".join(
             f"CASE WHEN {c} < (SELECT lo FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) OR "
             f"{c} > (SELECT hi FROM fences WHERE tbl = {lit(t)} AND col = {lit(c)}) THEN 1 ELSE 0 END" for c, _, _ in numeric(t)
         )
-        multi.append(f"(SELECT {lit(t)} AS \"table\", {id_column}::VARCHAR AS id, {score} AS n_outlier FROM {t} "
-                     f"WHERE {score} >= 2)")
+        parts.append(f"(SELECT {lit(t)} AS \"table\", {id_column}::VARCHAR AS id, {score} AS n_outlier FROM {source(t)} x WHERE {score} >= 2)")
+    return union(parts)
+
+
+IDS = {"customer": "c_name", "supplier": "s_name", "part": "p_name", "events": "event_id", "documents": "doc_id", "lineitem": "l_orderkey"}
+
+
+def gaps_queries() -> dict[str, str]:
+    """Some of the profile frames and questions over the table with gaps."""
+    names = {
+        "gaps_numeric": "numeric_profile", "gaps_nulls": "null_profile", "gaps_corr_classes": "corr_classes", "gaps_outliers": "iqr_outliers",
+        "gaps_bimodality": "bimodality", "gaps_subgroups": "subgroups", "gaps_surprising": "surprising_groups", "gaps_sanity": "sanity_checks",
+    }
+    own, frames, asked = prelude(GAPS), profile_sql(), qa_sql()
+    out = {key: own + frames[name][len(PRELUDE):] for key, name in names.items()}
+    out["gaps_multi_outliers"] = own + multi_sql({"gaps": "event_id"})
+    for key, name in (("gaps_qa_correlation", "qa_correlation"), ("gaps_qa_anomaly", "qa_anomaly"), ("gaps_qa_sanity", "qa_sanity")):
+        out[key] = own + asked[name][len(PRELUDE):].replace(multi_sql(IDS), multi_sql({"gaps": "event_id"}))
+    return out
+
+
+def profile_sql() -> dict[str, str]:
+    """Profile frames."""
     kinds = ", ".join(
         f"bool_or({' OR '.join(f'lower(c.col) LIKE {lit(chr(37) + h + chr(37))}' for h in hints)}) AS has_{k}"
         for k, hints, _, _ in METADATA_KINDS
@@ -243,7 +276,7 @@ def profile_sql() -> dict[str, str]:
         "iqr_outliers": P + f"""SELECT f.tbl AS "table", f.col AS "column", round(q1, 4) AS q1, round(q3, 4) AS q3, round(iqr, 4) AS iqr, round(lo, 4) AS lo_fence,
             round(hi, 4) AS hi_fence, n_outlier, round(100.0::DOUBLE * n_outlier / n_rows, 6) AS pct_of_rows
             FROM fences f JOIN spread s ON f.tbl = s.tbl AND f.col = s.col JOIN nrows r ON f.tbl = r.tbl""",
-        "multi_outliers": P + union(multi),
+        "multi_outliers": P + multi_sql(IDS),
         "bimodality": P + f"""SELECT {T}, {C}, n_lower AS n_lower_half, n_upper AS n_upper_half, n_middle, round(middle_pct, 6) AS middle_pct,
             coalesce(sd <> 0 AND middle_pct < 15 AND n_valid > 20, false) AS is_bimodal FROM bimodal""",
         "class_balance": P + f"SELECT {T}, {C}, top_val AS top_value, top_n, low_val AS bottom_value, low_n AS bottom_n FROM balance",
@@ -434,8 +467,8 @@ def qa_sql() -> dict[str, str]:
         WHERE s.tbl = b.tbl AND s.cat = b.cat AND s.num = b.num) AS groups FROM sub b)""")
     sub_shared = {"cat_name": clean("cat"), "num_name": clean("num"), "pct": fixed("pct", 1), **in_table}
     multi = named(f"""(SELECT tbl, string_agg({clause('multi_outlier', id='id', n='n_outlier')}, '; ' ORDER BY n_outlier DESC, id) AS samples
-        FROM (SELECT * FROM ({profile_sql()['multi_outliers'][len(P):].replace('AS "table"', 'AS tbl')})
-        QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY n_outlier DESC, id) <= 5) GROUP BY tbl)""")
+        FROM (SELECT "table" AS tbl, id, n_outlier FROM ({multi_sql(IDS)})
+        QUALIFY row_number() OVER (PARTITION BY "table" ORDER BY n_outlier DESC, id) <= 5) GROUP BY tbl)""")
     first_bimodal = named("(SELECT * FROM bimodal WHERE sd <> 0 AND middle_pct < 15 AND n_valid > 20 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY pos) = 1)")
     cv_list = lambda test: (
         f"(SELECT string_agg({clean('u.col')}, ', ' ORDER BY u.cv DESC, u.pos) FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY cv DESC, pos) AS k "

@@ -111,8 +111,8 @@ class TableSet:
     def from_catalog(
         cls, spark: SparkSession, database: str, exclude: Sequence[str] = (), **kwargs
     ) -> TableSet:
-        """Every table of a catalog schema except the named output tables."""
-        names = [t.name for t in spark.catalog.listTables(database) if t.name not in set(exclude)]
+        """Every table of a catalog schema except the named output tables and temporary views."""
+        names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.name not in set(exclude)]
         kwargs.setdefault("schema_name", database.split(".")[-1])
         return cls(spark, {name: read_table(spark, f"{database}.{name}") for name in names}, **kwargs)
 
