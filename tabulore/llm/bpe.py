@@ -26,7 +26,7 @@ from tabulore.llm.shingles import span_hashes, text_buffers, word_spans
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KNOWN_UNITS = 1_000_000
-_BLOCK = 4 << 20
+_BLOCK = 2 << 20
 _OTHER_SPACE = regex.compile(r"[^\S \t\n\x0b\x0c\r]|[\x1c-\x1f]")
 _loaded: dict = {}
 

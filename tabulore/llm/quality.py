@@ -28,7 +28,7 @@ LENGTH = 100
 SLACK = 24.0
 HISTOGRAM = 4096
 FEW = 10_000
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 
 
 def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

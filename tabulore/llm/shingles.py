@@ -11,8 +11,7 @@ import pyarrow as pa
 
 WORDS = 5
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20  # bytes of text at a time; temporary arrays are a few dozen times as large
 
 
 def mix(x: np.ndarray) -> np.ndarray:
