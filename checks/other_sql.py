@@ -71,7 +71,7 @@ def corpus_sql() -> dict[str, str]:
             UNION ALL SELECT 2, 'length', b, d FROM n UNION ALL SELECT 3, 'dedup', d, e FROM n""",
         "split_exact": f"""SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id::VARCHAR)) <= (SELECT count(*) - floor(count(*) * (1 - 0.05::DOUBLE)) FROM {READY}) AS is_val FROM {READY}""",
         "split_hash": "SELECT o_orderkey, substr(md5(o_orderkey::VARCHAR), 1, 15) < '" + format(round(0.05 * 16**15), '015x') + "' AS is_val FROM orders",
-        "replay_mix": """WITH d AS (SELECT doc_id FROM documents WHERE lang = 'en'), p AS (SELECT item_id AS doc_id FROM benchmark),
+        "replay_mix": """WITH d AS (SELECT doc_id FROM documents), p AS (SELECT item_id AS doc_id FROM benchmark),
             r AS (SELECT doc_id FROM p QUALIFY row_number() OVER (ORDER BY md5(doc_id::VARCHAR)) <=
               (SELECT least(floor(count(*) * 0.2::DOUBLE / (1 - 0.2::DOUBLE)), (SELECT count(*) FROM p)) FROM d))
             SELECT doc_id, 'domain' AS source_tag, md5('domain|' || doc_id) AS mix_key FROM d UNION ALL
@@ -319,7 +319,7 @@ def evals_sql() -> dict[str, str]:
     scored = lambda model, train: f"""SELECT e.doc_id, '{model}' AS model, count(*) AS n_tokens, avg(-ln((coalesce(m.c, 0) + 1) / z.total)) AS loss
         FROM held e LEFT JOIN {train} m ON e.token = m.token, (SELECT (sum(c) + count(*) + 1)::DOUBLE AS total FROM {train}) z GROUP BY e.doc_id"""
     cte = f"""WITH d AS (SELECT doc_id, lang, substr(md5(doc_id::VARCHAR), 1, 15) < '400000000000000' AS is_val, {words('text')} AS w FROM documents),
-        held AS (SELECT doc_id, unnest(w) AS token FROM d WHERE is_val AND lang = 'en'),
+        held AS (SELECT doc_id, unnest(w) AS token FROM d WHERE is_val),
         base AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM d WHERE NOT is_val AND lang <> 'en') GROUP BY token),
         adapted AS (SELECT token, count(*) AS c FROM (SELECT unnest(w) AS token FROM d WHERE NOT is_val) GROUP BY token),
         losses AS ({scored('base', 'base')} UNION ALL {scored('adapted', 'adapted')}),
@@ -329,7 +329,7 @@ def evals_sql() -> dict[str, str]:
     return {
         "unigram_losses": cte + "SELECT doc_id, model, n_tokens, round(loss, 6) AS loss FROM losses",
         "perplexity": cte + "SELECT model, round(perplexity, 4) AS perplexity, round(avg_loss, 6) AS avg_loss, round(std_loss, 6) AS std_loss, num_samples, total_tokens FROM scores",
-        "verdict": cte + """SELECT 'en' AS domain, round(b.perplexity, 4) AS base_perplexity, round(a.perplexity, 4) AS adapted_perplexity,
+        "verdict": cte + """SELECT 'all' AS domain, round(b.perplexity, 4) AS base_perplexity, round(a.perplexity, 4) AS adapted_perplexity,
             round((b.perplexity - a.perplexity) / b.perplexity * 100, 4) AS improvement_pct,
             CASE WHEN (b.perplexity - a.perplexity) / b.perplexity * 100 > 15 THEN 'SUCCESS' WHEN (b.perplexity - a.perplexity) / b.perplexity * 100 > 5 THEN 'PARTIAL' ELSE 'MINIMAL' END AS verdict
             FROM scores b JOIN scores a ON b.model = 'base' AND a.model = 'adapted'""",

@@ -178,7 +178,7 @@ nulls AS ({nulls}),
 num0 AS ({num}),
 num AS (SELECT *, abs(sd / nullif(av, 0)) AS cv, CASE WHEN n >= 2 THEN sd / sqrt(n) END AS se FROM num0),
 corr0 AS ({corr}),
-corr AS (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY abs(r) DESC, pos_a, pos_b) AS rnk FROM corr0
+corr AS (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY round(abs(r), 12) DESC, pos_a, pos_b) AS rnk FROM corr0
   WHERE r IS NOT NULL AND NOT isnan(r)),
 vals0 AS ({vals}),
 vals1 AS (SELECT *, row_number() OVER (PARTITION BY tbl, col ORDER BY n DESC, md5(val) NULLS LAST) AS r0 FROM vals0),
@@ -594,10 +594,9 @@ def verbal_sql() -> dict[str, str]:
          f"SELECT 'table', \"table\", NULL::BIGINT, text FROM ({overview})"]
         + [f"SELECT 'passage', \"table\", passage_id, text FROM ({p})" for p in passages]
     )
-    row_tables = ("nation", "supplier", "part", "orders", "lineitem", "labelled")
     return {
-        "row_text": union(f"SELECT {lit(t)} AS \"table\", {row_text(t)} AS text FROM {source(t)} s" for t in row_tables),
-        "passages": union(passages_sql(t, orders[t]) for t in ("part", "orders", "lineitem")),
+        "row_text": union(f"SELECT {lit(t)} AS \"table\", {row_text(t)} AS text FROM {source(t)} s" for t in TABLES),
+        "passages": union(passages),
         "table_overview": P + overview,
         "schema_overview": P + schema,
         "corpus": P + corpus,

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tabulore.operators.corpus import words
 from tabulore.session import cut_lineage
 
-VOCABULARY_BROADCAST_LIMIT = 500_000
 SALTS = 16
 
 
@@ -33,24 +32,20 @@ def token_counts(df: DataFrame, by: Sequence[str], column: str = "text") -> Data
     )
 
 
-def unigram_losses(train: DataFrame, evaluated: DataFrame, key: str, column: str = "text",
-                   broadcast_limit: int = VOCABULARY_BROADCAST_LIMIT, salts: int = SALTS) -> DataFrame:
+def unigram_losses(train: DataFrame, evaluated: DataFrame, key: str, column: str = "text", salts: int = SALTS) -> DataFrame:
     """(key, n_tokens, loss): mean negative log likelihood of each evaluated text.
 
     The model is an add-one smoothed unigram count of the training texts, with
     one extra class for unseen tokens. A frequent token occurs in nearly every
-    text, so when the vocabulary is too large to broadcast the join key carries
-    a salt of the text key and each vocabulary row is repeated once per salt.
+    text, so the join key carries a salt of the text key and each vocabulary row
+    is repeated once per salt; Spark broadcasts the vocabulary where it is small.
     """
     model = cut_lineage(token_counts(train, [], column).withColumnRenamed("n", "n_seen"))
     size = model.agg(F.count(F.lit(1)).alias("types"), F.coalesce(F.sum("n_seen"), F.lit(0)).alias("tokens")).first()
     total = float(size["tokens"] + size["types"] + 1)
     counted = token_counts(evaluated, [key], column)
-    if size["types"] <= broadcast_limit:
-        joined = counted.join(F.broadcast(model), "token", "left")
-    else:
-        salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = counted.withColumn("_salt", F.pmod(F.hash(key), F.lit(salts))).join(salted, ["token", "_salt"], "left")
+    salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = counted.withColumn("_salt", F.pmod(F.hash(key), F.lit(salts))).join(salted, ["token", "_salt"], "left")
     nll = -F.log((F.coalesce("n_seen", F.lit(0)) + 1) / F.lit(total))
     return joined.groupBy(key).agg(
         F.sum("n").alias("n_tokens"), (F.sum(F.col("n") * nll) / F.sum("n")).alias("loss")

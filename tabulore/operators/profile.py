@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tabulore.functions.text import g6, ref, sql
 from tabulore.operators.quantiles import (
-    BUCKETS, DIRECT_LIMIT, Target, clean_double, direct_quantiles, select_ranks,
+    BUCKETS, DIRECT_LIMIT, Target, clean_double, select_ranks,
 )
 from tabulore.plans.templates import METADATA_KINDS
 from tabulore.session import cut_lineage
@@ -219,7 +219,8 @@ class Profile:
     def correlations(self) -> DataFrame:
         """(table, col_a, pos_a, col_b, pos_b, r, rank) with rank by |r| descending."""
         frames = [f for f in (self._pairs(name) for name in self.tables.names) if f is not None]
-        by_size = Window.partitionBy("table").orderBy(F.abs("r").desc(), "pos_a", "pos_b")
+        # Equal up to rounding errors counts as equal.
+        by_size = Window.partitionBy("table").orderBy(F.round(F.abs("r"), 12).desc(), "pos_a", "pos_b")
         if not frames:
             return literal_rows(
                 self.tables.spark, [],
@@ -326,57 +327,30 @@ class Profile:
     # ---- pass 4 -------------------------------------------------------------
 
     def _fence_rows(self) -> DataFrame:
-        sizes = (
-            {row["table"]: row["n_rows"] for row in self.summary.select("table", "n_rows").collect()}
-            if self.keep else self.tables.row_counts()
-        )
-        small, large = [], []
+        """Quartiles by bracket narrowing, all columns of a table in one round; pass 1 gives the first brackets."""
+        known = {
+            (row["table"], row["column"]): row for row in self.numeric.select("table", "column", "n", "min", "max").collect()
+        }
+        sources, columns = [], []
         for name in self.tables.names:
-            roles = self.numeric_roles(name)
-            if roles:
-                (small if sizes[name] <= self.options.direct_limit else large).append((name, roles))
-        frames = []
-        if small:
-            cells = union_all(
-                self.tables.tables[name].selectExpr(
-                    f"{sql(name)} as table",
-                    "inline(array(" + ", ".join(
-                        f"named_struct('column', {sql(r.name)}, 'position', {r.position}, "
-                        f"'value', {number(r.name)})" for r in roles
-                    ) + "))",
-                )
-                for name, roles in small
-            ).filter(F.col("value").isNotNull())
-            frames.append(direct_quantiles(cells, ["table", "column", "position"], {"q1": 0.25, "q3": 0.75}))
-        if large:
-            # Pass 1 knows count and range of a column.
-            known = {
-                (row["table"], row["column"]): row for row in self.numeric.select("table", "column", "n", "min", "max").collect()
-            }
-            sources = []
-            for name, roles in large:
-                targets = []
-                for r in roles:
-                    stats = known[name, r.name]
-                    bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if stats["n"] else {}
-                    targets += [
-                        Target(f"{name}\t{r.position}\t{share}", number(r.name), share=share, **bounds)
-                        for share in (0.25, 0.75)
-                    ]
+            targets = []
+            for r in self.numeric_roles(name):
+                stats = known[name, r.name]
+                bounds = {"lo": stats["min"], "hi": stats["max"], "inside": stats["n"]} if stats["n"] else {}
+                targets += [
+                    Target(f"{name}\t{r.position}\t{share}", number(r.name), share=share, **bounds) for share in (0.25, 0.75)
+                ]
+                columns.append((name, r))
+            if targets:
                 sources.append((self.tables.tables[name], targets))
-            found = select_ranks(sources, self.options.direct_limit, self.options.buckets)
-            rows = [
-                (name, r.name, r.position, found.get(f"{name}\t{r.position}\t0.25"), found.get(f"{name}\t{r.position}\t0.75"))
-                for name, roles in large for r in roles
-            ]
-            frames.append(literal_rows(
-                self.tables.spark, rows, "table string, column string, position int, q1 double, q3 double"
-            ).filter(F.col("q1").isNotNull()))
-        if not frames:
-            return literal_rows(
-                self.tables.spark, [], "table string, column string, position int, q1 double, q3 double"
-            )
-        return union_all(frames)
+        found = select_ranks(sources, self.options.direct_limit, self.options.buckets) if sources else {}
+        rows = [
+            (name, r.name, r.position, found.get(f"{name}\t{r.position}\t0.25"), found.get(f"{name}\t{r.position}\t0.75"))
+            for name, r in columns
+        ]
+        return literal_rows(
+            self.tables.spark, rows, "table string, column string, position int, q1 double, q3 double"
+        ).filter(F.col("q1").isNotNull())
 
     @cached_property
     def fences(self) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabulore.sources.tables import union_all
 
-DIRECT_LIMIT = 1_000_000
+DIRECT_LIMIT = 10_000  # rows in a bracket that are ranked one by one
 BUCKETS = 4096
 LARGEST = 1.7e308
 
@@ -167,15 +167,3 @@ def _running_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     running = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return counts.withColumn("upto", F.sum("n").over(running))
 
-
-def direct_quantiles(values: DataFrame, keys: Sequence[str], shares: dict[str, float]) -> DataFrame:
-    """Lazy exact quantiles per key, for groups known to be small.
-
-    A quantile is the smallest value whose running count reaches share * n.
-    """
-    ranked = _running_counts(values, keys).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
-    picks = [
-        F.min(F.when(F.col("upto") >= F.greatest(F.ceil(F.col("total") * share), F.lit(1)), F.col("value"))).alias(name)
-        for name, share in shares.items()
-    ]
-    return ranked.groupBy(*keys).agg(*picks)

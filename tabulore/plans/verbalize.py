@@ -50,9 +50,14 @@ def build_passages(
     df: DataFrame, table: str, roles: Sequence[ColumnRole], n_rows: int,
     order_by: Sequence[str] = (), rows_per_passage: int = ROWS_PER_PASSAGE,
 ) -> DataFrame:
-    """(table, passage_id, text): consecutive rows in groups of ``rows_per_passage``."""
-    lines = number_rows(df, order_by, "_row").selectExpr(
-        f"(_row - 1) div {rows_per_passage} as passage_id", "_row as row", f"{row_text(table, roles)} as text"
+    """(table, passage_id, text): consecutive rows in groups of ``rows_per_passage``.
+
+    Only the order's columns and the finished sentences are numbered and moved.
+    """
+    keys = [f"_key{i}" for i in range(len(order_by))]
+    told = df.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys, strict=True)], F.expr(row_text(table, roles)).alias("text"))
+    lines = number_rows(told, keys, "_row").selectExpr(
+        f"(_row - 1) div {rows_per_passage} as passage_id", "_row as row", "text"
     )
     passage = fill(
         PASSAGES["passage"], readable=sql(readable_name(table)), table=sql(table), name=sql(plain_name(table)),

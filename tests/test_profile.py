@@ -128,6 +128,33 @@ def test_narrowed_fences_equal_direct_fences(tables, profile):
     assert key(narrow) == key(profile)
 
 
+def test_every_column_is_profiled_and_fenced(spark):
+    columns = ", ".join(f"cast(id * {i + 1} % 37 as double) as c{i}" for i in range(15))
+    wide = Profile(TableSet(spark, {"wide": spark.range(200).selectExpr(columns)}))
+    names = {f"c{i}" for i in range(15)}
+    assert {r.column for r in wide.numeric.collect()} == names == {r.column for r in wide.fences.collect()}
+    assert wide.correlations.count() == 105 and wide.bimodality.count() == 15
+
+
+def test_nan_is_missing(spark):
+    rows = [(float(i), 2.0 * i, "a" if i % 2 else "b") for i in range(40)] + [(float("nan"), 1.0, "a"), (None, 3.0, "b")]
+    p = Profile(TableSet(spark, {"t": spark.createDataFrame(rows, "x double, y double, g string")}))
+    x = p.numeric.filter("column = 'x'").first()
+    assert (x.n, x.max, x.avg) == (40, 39.0, 19.5)
+    assert p.correlations.first().r == pytest.approx(1.0)
+    assert not p.bimodality.filter("is_bimodal").count() and p.outliers.filter("n_outlier > 0").count() == 0
+    assert groups.subgroups(p).filter("num = 'x'").first().high.avg == 20.0
+    assert p.nulls.filter("column = 'x'").first().n_null == 1
+
+
+def test_least_frequent_and_distinct_values(spark):
+    rows = [(f"v{i:02d}",) for i in range(30) for _ in range(40 - i)]
+    p = Profile(TableSet(spark, {"t": spark.createDataFrame(rows, "kind string")}))
+    balance = p.class_balance.first()
+    assert (balance.top_value, balance.top_n, balance.bottom_value, balance.bottom_n) == ("v00", 40, "v29", 11)
+    assert p.distinct_values.first().n_values == 30 and p.values.count() == 20
+
+
 def test_empty_table_survives_every_family(profile):
     pairs = qa_tables.qa_tables(profile).collect()
     assert {r.template_id for r in pairs if r.table == "t_empty"} >= {"quality", "no_missing_values", "completeness", "sufficiency"}
