@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulore.llm.shingles import byte_blocks, mix, powers, span_hashes, text_buffers, word_spans
+from tabulore.llm.shingles import KnownWords, byte_blocks, mix, powers, small_batches, span_hashes, text_buffers, word_spans
 from tabulore.session import cut_lineage
 
 FIT_DOCS = 500  # labelled texts per language
 ROUNDS = 3
 LONGEST_PIECE = 10
+KNOWN_WORDS = 400_000  # words whose likelihoods a worker keeps
 LONGEST_WORD = 48  # longer runs of letters are scored in parts
 UNKNOWN = 1e-7
 UNDETERMINED = "und"
@@ -158,17 +159,6 @@ def _lower(column: pa.Array) -> pa.Array:
     return pa.array([x.lower() if x else "" for x in column.to_pylist()], pa.large_string())
 
 
-def block_words(data: np.ndarray, offsets: np.ndarray):
-    """(distinct words, index into them for each word, offsets of the texts' words) of lower-cased text."""
-    starts, ends, of_text = word_spans(data, offsets, _LETTER_BYTES)
-    if not len(starts):
-        return [], np.zeros(0, np.int64), of_text
-    _, example, index = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    words = [raw[a:b].decode(errors="replace") for a, b in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
-    return words, index, of_text
-
-
 def word_log_likelihoods(words: Sequence[str], pieces: Pieces, chances: np.ndarray) -> np.ndarray:
     """A row per word; words over ``LONGEST_WORD`` letters are the product of their parts."""
     parts, owner = [], []
@@ -189,14 +179,15 @@ class Model:
 
     def __init__(self, languages: list[str], pieces: list[str], chances: np.ndarray):
         self.languages, self.pieces, self.chances = languages, pieces, chances
-        self._finder = None
+        self._finder = self._known = None
 
     def __getstate__(self):
-        return {"languages": self.languages, "pieces": self.pieces, "chances": self.chances, "_finder": None}
+        return self.__dict__ | {"_finder": None, "_known": None}
 
     def score(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, its probability among the languages) for each text of an Arrow column."""
-        self._finder = self._finder or Pieces(self.pieces)
+        if self._finder is None:
+            self._finder, self._known = Pieces(self.pieces), KnownWords(len(self.languages), KNOWN_WORDS)
         column = _lower(column)
         data, offsets = text_buffers(column)
         total = np.zeros((len(column), max(1, len(self.languages))))
@@ -207,10 +198,18 @@ class Model:
         for begin, end in byte_blocks(data, offsets) if self.languages else ():
             first = int(np.searchsorted(offsets, begin, "right")) - 1
             last = int(np.searchsorted(offsets, end, "left"))
-            words, index, of_text = block_words(data[begin:end], np.clip(offsets[first : last + 1] - begin, 0, end - begin))
-            if not words:
+            block = data[begin:end]
+            starts, ends, of_text = word_spans(block, np.clip(offsets[first : last + 1] - begin, 0, end - begin), _LETTER_BYTES)
+            if not len(starts):
                 continue
-            each = word_log_likelihoods(words, self._finder, self.chances)
+            distinct, example, index = np.unique(span_hashes(block, starts, ends), return_index=True, return_inverse=True)
+            raw, first_byte, end_byte = block.tobytes(), starts[example].tolist(), ends[example].tolist()
+
+            def compute(places: list[int], raw=raw, first_byte=first_byte, end_byte=end_byte) -> np.ndarray:
+                words = [raw[first_byte[i] : end_byte[i]].decode(errors="replace") for i in places]
+                return word_log_likelihoods(words, self._finder, self.chances)
+
+            each = self._known.of(distinct, compute)
             for j in range(each.shape[1]):
                 sums = np.concatenate([[0.0], np.cumsum(each[index, j])])
                 total[first:last, j] += sums[of_text[1:]] - sums[of_text[:-1]]
@@ -277,8 +276,8 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, score = shared.value.score(batch.column(batch.schema.names.index(text)))
+        for batch in small_batches(batches, kept.index(text)):
+            names, score = shared.value.score(batch.column(kept.index(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], names=schema.names)
 
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

@@ -6,6 +6,8 @@ A text of fewer words than the shingle length is one shingle; a text without wor
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -104,6 +106,40 @@ def byte_blocks(data: np.ndarray, offsets: np.ndarray, size: int = _BLOCK):
         at = end
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], text: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about ``size`` bytes of the text column (its number); a longer text is a batch of its own."""
+    for batch in batches:
+        offsets, at = text_buffers(batch.column(text))[1], 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+class KnownWords:
+    """Rows of numbers for words by hash, kept from block to block in a worker; takes no more at ``limit`` words."""
+
+    def __init__(self, width: int, limit: int):
+        self.hashes, self.rows, self.limit = np.zeros(0, np.uint64), np.zeros((0, width)), limit
+
+    def of(self, hashes: np.ndarray, compute: Callable[[list[int]], np.ndarray]) -> np.ndarray:
+        """A row for each of the distinct sorted ``hashes``; ``compute`` gives those of the given places."""
+        place = np.searchsorted(self.hashes, hashes)
+        seen = np.zeros(len(hashes), bool)
+        inside = place < len(self.hashes)
+        seen[inside] = self.hashes[place[inside]] == hashes[inside]
+        out = np.empty((len(hashes), self.rows.shape[1]))
+        out[seen] = self.rows[place[seen]]
+        new = np.flatnonzero(~seen)
+        if len(new):
+            out[new] = compute(new.tolist())
+            kept = new[: max(0, self.limit - len(self.hashes))]
+            if len(kept):
+                self.hashes = np.insert(self.hashes, place[kept], hashes[kept])
+                self.rows = np.insert(self.rows, place[kept], out[kept], axis=0)
+        return out
+
+
 def shingles(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted within it, and the len + 1 offsets of the texts."""
     data, offsets = text_buffers(column)

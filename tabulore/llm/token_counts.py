@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulore.llm.shingles import byte_blocks, span_hashes, text_buffers, word_spans
+from tabulore.llm.shingles import KnownWords, byte_blocks, span_hashes, text_buffers, word_spans
 
 TOKEN_LIMIT = 2048
 KNOWN_WORDS = 3_000_000
@@ -26,29 +26,19 @@ _loaded: dict[int, object] = {}
 
 
 class WordCounts:
-    """Token counts of words by hash, kept from block to block in a worker; forgets all at ``KNOWN_WORDS``."""
+    """Token counts of words in one vocabulary."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.tokenizer, self.known = tokenizer, KnownWords(1, KNOWN_WORDS)
 
     def of(self, hashes: np.ndarray, word) -> np.ndarray:
         """Counts of distinct sorted ``hashes``; ``word(i)`` gives the i-th word."""
-        place = np.searchsorted(self.hashes, hashes)
-        place[place == len(self.hashes)] = 0
-        seen = self.hashes[place] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
-        out = np.zeros(len(hashes), np.int64)
-        out[seen] = self.counts[place[seen]]
-        new = np.flatnonzero(~seen)
-        if len(new):
-            encoded = self.tokenizer.encode_batch_fast([word(i) for i in new.tolist()], add_special_tokens=False)
-            out[new] = [len(e) for e in encoded]
-            if len(self.hashes) + len(new) > KNOWN_WORDS:
-                self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            hashes = np.concatenate([self.hashes, hashes[new]])
-            order = np.argsort(hashes, kind="stable")
-            self.hashes, self.counts = hashes[order], np.concatenate([self.counts, out[new]])[order]
-        return out
+
+        def encode(places: list[int]) -> np.ndarray:
+            encoded = self.tokenizer.encode_batch_fast([word(i) for i in places], add_special_tokens=False)
+            return np.array([[len(e)] for e in encoded])
+
+        return self.known.of(hashes, encode)[:, 0].astype(np.int64)
 
 
 def word_counts(definition: str) -> WordCounts:
