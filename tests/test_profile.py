@@ -119,7 +119,7 @@ def test_multi_outliers_and_surprise(profile):
     assert answers["multi_outliers"].startswith(
         "The following samples in t_wild are outliers in more than one measurement simultaneously: odd (outlier in 2 measurements).")
     far = rows(groups.surprising_groups(profile), table="t_wild", cat="part")
-    assert [(r.value, r.is_high) for r in far] == [("far", True)]
+    assert sorted((r.num, r.value, r.is_high) for r in far) == [("p", "far", True), ("q", "far", True)]
 
 
 def test_narrowed_fences_equal_direct_fences(tables, profile):
@@ -129,8 +129,8 @@ def test_narrowed_fences_equal_direct_fences(tables, profile):
 
 
 def test_every_column_is_profiled_and_fenced(spark):
-    columns = ", ".join(f"cast(id * {i + 1} % 37 as double) as c{i}" for i in range(15))
-    wide = Profile(TableSet(spark, {"wide": spark.range(200).selectExpr(columns)}))
+    columns = [f"cast(id * {i + 1} % 37 as double) as c{i}" for i in range(15)]
+    wide = Profile(TableSet(spark, {"wide": spark.range(200).selectExpr(*columns)}))
     names = {f"c{i}" for i in range(15)}
     assert {r.column for r in wide.numeric.collect()} == names == {r.column for r in wide.fences.collect()}
     assert wide.correlations.count() == 105 and wide.bimodality.count() == 15
@@ -187,7 +187,6 @@ def test_overlap_ignores_null_and_type(spark):
     answers = {(r.template_id, r.instruction): r.response for r in qa_tables.qa_cross_table(Profile(tables)).collect()}
     assert answers["tables_related", "How are A and B related?"]
     assert any("measurements from b (m). This would give" in text for text in answers.values())
-    assert relate.column_overlap(tables, cap=1).count() == 1
 
 
 def test_row_questions(profile):
