@@ -86,9 +86,12 @@ def gram_counts(df: DataFrame, text: str, target: str) -> np.ndarray:
 
 
 def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """log(target / raw) of each bucket, smoothed; all 0 without target text."""
-    raw, target = counts + SMOOTHING
-    return np.log(target / target.sum()) - np.log(raw / raw.sum()) if counts[1].any() else np.zeros(counts.shape[1])
+    """log(target / raw) of each bucket; smoothed towards 0, which it is where nothing was counted or without target text."""
+    raw, target = counts
+    if not target.any():
+        return np.zeros(counts.shape[1])
+    share = target.sum() / raw.sum()
+    return np.log((target + SMOOTHING * share) / (raw + SMOOTHING) / share)
 
 
 def text_log_weights(column: pa.Array, ratios: np.ndarray) -> np.ndarray:
