@@ -221,14 +221,18 @@ class Model:
 
 
 def fit(df: DataFrame, model_file: str, text: str = "text", lang: str = "lang", docs: int = FIT_DOCS, rounds: int = ROUNDS) -> Model:
-    """Learn from the rows with a language: the ``docs`` first texts of each by hash, so the fit does not grow with the table.
+    """Learn from the rows with a language: ``docs`` texts of each by hash, so the fit does not grow with the table.
 
     Rows with a null text or language teach nothing. Without any the model knows no language.
     """
     given = df.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")).dropna()
     by_hash = Window.partitionBy("lang").orderBy("h")
     hashed = given.select("lang", F.xxhash64("text").alias("h")).distinct()
-    chosen = cut_lineage(hashed.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs).drop("r"))
+    # A share of the hashes holds about four times as many as wanted, however many rows a language has.
+    shares = hashed.groupBy("lang").agg((F.lit(4.0 * docs) / F.count(F.lit(1))).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("h"), 11).cast("double") * F.lit(2.0**-53)
+    some = hashed.join(shares, "lang").where(place < F.col("share")).select("lang", "h")
+    chosen = cut_lineage(some.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs).drop("r"))
     # At most ``docs`` rows per language.
     sample = given.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
     words = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
