@@ -197,9 +197,9 @@ balance0 AS (SELECT t.tbl, t.col, t.pos, v.val AS top_val, v.n AS top_n, low_val
 balance AS (SELECT * FROM balance0 QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY pos) = 1),
 cmp0 AS (SELECT tbl, cat, cat_pos, num, num_pos, count(*) AS k FROM grp WHERE rnk <= 3 AND av IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
 cmp AS (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY cat_pos, num_pos) AS place FROM cmp0),
-sub0 AS (SELECT *, row_number() OVER w AS lo_place, row_number() OVER (PARTITION BY tbl, cat, num ORDER BY coalesce(av, 0) DESC, rnk DESC) AS hi_place,
+sub0 AS (SELECT *, row_number() OVER w AS lo_place, row_number() OVER (PARTITION BY tbl, cat, num ORDER BY round(coalesce(av, 0), 9) DESC, rnk DESC) AS hi_place,
   count(*) OVER (PARTITION BY tbl, cat, num) AS k FROM grp WHERE rnk <= 5
-  WINDOW w AS (PARTITION BY tbl, cat, num ORDER BY coalesce(av, 0), rnk)),
+  WINDOW w AS (PARTITION BY tbl, cat, num ORDER BY round(coalesce(av, 0), 9), rnk)),
 sub1 AS (SELECT lo.tbl, lo.cat, lo.num, lo.num_pos, lo.val AS low_val, lo.av AS low_avg, lo.n AS low_n, hi.val AS high_val, hi.av AS high_avg,
   hi.n AS high_n, hi.av - lo.av AS diff, CASE WHEN hi.av <> 0 THEN 100.0::DOUBLE * abs(hi.av - lo.av) / abs(hi.av) ELSE 0 END AS pct
   FROM sub0 lo JOIN sub0 hi ON lo.tbl = hi.tbl AND lo.cat = hi.cat AND lo.num = hi.num AND lo.lo_place = 1 AND hi.hi_place = 1

@@ -39,7 +39,7 @@ def compare_groups(profile: Profile, top: int = 3) -> DataFrame:
 def subgroups(profile: Profile, top: int = 5) -> DataFrame:
     """Highest and lowest group of each numeric column per category column."""
     ordered = F.sort_array(F.collect_list(F.struct(
-        F.coalesce("avg", F.lit(0.0)).alias("key"), "rank", "value", "avg", "stddev", "n",
+        F.round(F.coalesce("avg", F.lit(0.0)), 9).alias("key"), "rank", "value", "avg", "stddev", "n",
     )))
     spread = (
         profile.groups.filter(F.col("rank") <= top).groupBy(*PAIR).agg(ordered.alias("groups"))
