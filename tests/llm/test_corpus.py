@@ -53,6 +53,13 @@ def test_jaccard_edges(spark, docs, no_docs):
     assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [2, 3, 4, 7, 8, 9, 10, 11, None]
 
 
+def test_batches_of_equal_texts_in_another_order(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (2, b), (3, b), (4, a)]
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), TEXTS))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 2, 4: 1}
+
+
 def test_threshold_is_inclusive(spark):
     # n and n + 1 words share n - 4 of n - 3 shingles.
     for n, linked in ((7, True), (6, False)):
