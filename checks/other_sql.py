@@ -168,6 +168,15 @@ limits AS (SELECT name, version, 1 AS place, CASE WHEN metric IN ('accuracy', 'r
 """
 
 
+# As duel, with every two versions instead of each and its next.
+EVERY = REG + f""", duel_all AS (SELECT a.name AS name_a, a.version AS version_a, b.name AS name_b, b.version AS version_b, count(*) FILTER (WHERE a.cost < b.cost) AS wins_a,
+  count(*) FILTER (WHERE b.cost < a.cost) AS wins_b, count(*) FILTER (WHERE a.value = b.value) AS ties, count(*) AS n_shared,
+  string_agg({say(CLAUSES['pair_metric'], metric='a.metric', label_a=clause('label', model='a.name', version='a.version'),
+                  label_b=clause('label', model='b.name', version='b.version'), value_a=metric('a.value'), value_b=metric('b.value'))}, '; ' ORDER BY a.metric) AS parts
+  FROM mm a JOIN mm b ON a.metric = b.metric AND (a.name < b.name OR (a.name = b.name AND a.version < b.version)) GROUP BY ALL)
+"""
+
+
 def qa(key: str, frame: str, where: str = "true", /, **values: str) -> str:
     category, question, answer = REGISTRY_QA[key]
     return (f"SELECT {say(question, **values)} AS instruction, {say(answer, **values)} AS response, {lit(category)} AS category, '' AS \"table\", "
@@ -312,6 +321,10 @@ def registry_sql() -> dict[str, str]:
     families = registry_qa_sql()
     sql |= {key: REG + union(parts) for key, parts in families.items()}
     sql["qa_registry"] = REG + union(part for parts in families.values() for part in parts)
+    every = {key: [part.replace(" FROM duel WHERE ", " FROM duel_all WHERE ") for part in parts] for key, parts in families.items()}
+    sql["qa_model_comparison_all"] = EVERY + union(every["qa_model_comparison"])
+    sql["qa_registry_all"] = EVERY + union(part for parts in every.values() for part in parts)
+    sql["pairwise_all"] = EVERY + "SELECT name_a, version_a, name_b, version_b, wins_a, wins_b, ties, n_shared FROM duel_all"
     return sql
 
 

@@ -335,6 +335,10 @@ def pairwise(spark, sf_dir):
     return registry.pairwise_models(rows, registry.neighbours(rows)).drop("metrics")
 
 
+def pairwise_all(spark, sf_dir):
+    return registry.pairwise_all(metric_rows(spark, sf_dir)).drop("metrics")
+
+
 def overall_winner(spark, sf_dir):
     return registry.overall_winner(registry.rank_metrics(metric_rows(spark, sf_dir))).select(
         "name", "version", "wins", "n_metrics")
@@ -383,6 +387,12 @@ def recommendation_record(spark, sf_dir):
 
 
 def registry_qa(spark, sf_dir) -> DataFrame:
+    """All pairs of texts, but versions compared with the next one only, as in the SQL."""
+    versions = model_versions(spark, sf_dir).transform(cut_lineage)
+    return qa_registry.qa_registry(versions, compared=registry.neighbours(registry.model_metrics(versions)))
+
+
+def registry_qa_all(spark, sf_dir) -> DataFrame:
     return qa_registry.qa_registry(model_versions(spark, sf_dir).transform(cut_lineage))
 
 
@@ -628,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "run_tags": run_tags,
     "rank_metrics": ranked,
     "pairwise_models": pairwise,
+    "pairwise_all": pairwise_all,
     "overall_winner": overall_winner,
     "fastest": fastest,
     "metric_leaders": leaders,
@@ -645,7 +656,8 @@ QUERIES: dict[str, Query] = {
     "recommendation_prompt": lambda s, d: prompts.recommendation_prompt(tasks(s, d), model_versions(s, d), 10).select("task", "prompt"),
     "recommendation_record": recommendation_record,
     "qa_model_info": registry_family(lambda v, mm: qa_registry.qa_model_info(v)),
-    "qa_model_comparison": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm)),
+    "qa_model_comparison": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm, registry.neighbours(mm))),
+    "qa_model_comparison_all": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm)),
     "qa_recommendation": registry_family(lambda v, mm: union_all(
         [qa_registry.qa_overall(v, mm), qa_registry.qa_speed(mm), qa_registry.qa_accuracy(mm)])),
     "qa_deployment": registry_family(lambda v, mm: qa_registry.qa_deployment(v)),
@@ -655,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "qa_registry_reproducibility": registry_family(lambda v, mm: qa_registry.qa_reproducibility(v)),
     "qa_fitness": registry_family(qa_registry.qa_fitness),
     "qa_registry": registry_qa,
+    "qa_registry_all": registry_qa_all,
     # evaluation
     "unigram_losses": unigram_losses,
     "perplexity": perplexity,

@@ -34,6 +34,7 @@ MISS_METRICS, MISS_LIMIT = ("f1", "precision", "recall"), 0.7
 FEW_PARAMS = 3
 
 VERSION = ["name", "version"]
+PAIR_BLOCK = 128  # versions on each side of the pairs that one task compares at a time
 
 
 def name_has(metric: Column, hints: Sequence[str], match: str = "token") -> Column:
@@ -104,6 +105,44 @@ def neighbours(mm: DataFrame) -> DataFrame:
     )
 
 
+def pairwise_all(mm: DataFrame, tie: str = "apart") -> DataFrame:
+    """``pairwise_models`` for every pair of versions that share a metric, the first in name order as a.
+
+    The versions are numbered and cut into blocks, and every two blocks meet under a key of their own with each
+    version's metrics in one row. The V(V-1)/2 pairs are thus made and counted where they are read.
+    """
+    held = F.sort_array(F.collect_list(F.struct("metric", "direction", "value")))
+    numbered = number_rows(mm.groupBy(*VERSION).agg(held.alias("held")), VERSION, "n")
+    block = F.floor((F.col("n") - 1) / PAIR_BLOCK)
+    numbered = cut_lineage(numbered.withColumn("block", block))
+    last = numbered.agg(F.max("block")).first()[0] or 0
+    side = lambda suffix: [F.col(c).alias(f"{c}_{suffix}") for c in ("name", "version", "n")]
+    a = numbered.select(
+        *side("a"), F.col("held").alias("held_a"), F.col("block").alias("block_a"),
+        F.explode(F.sequence("block", F.lit(last).cast("long"))).alias("block_b"),
+    )
+    value_b = F.map_from_entries(F.transform("held", lambda x: F.struct(x.metric, x.value)))
+    b = numbered.select(
+        *side("b"), value_b.alias("held_b"), F.col("block").alias("block_b"),
+        F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("block_a"),
+    )
+    shared = F.transform(
+        F.filter("held_a", lambda x: F.map_contains_key("held_b", x.metric)),
+        lambda x: F.struct(x.metric.alias("metric"), x.value.alias("value_a"),
+                           F.col("held_b")[x.metric].alias("value_b"), x.direction.alias("direction")),
+    )
+    better = lambda x: signed(x.value_a, x.direction) < signed(x.value_b, x.direction)
+    tied = lambda x: x.value_a == x.value_b
+    b_wins = lambda x: ~better(x) if tie == "second" else ~better(x) & ~tied(x)
+    number = lambda test: F.size(F.filter("shared", test)).cast("long")
+    pairs = a.join(b, ["block_a", "block_b"]).filter("n_a < n_b").withColumn("shared", shared).filter("size(shared) > 0")
+    return pairs.select(
+        "name_a", "version_a", "name_b", "version_b", number(better).alias("wins_a"), number(b_wins).alias("wins_b"),
+        number(tied).alias("ties"), F.size("shared").cast("long").alias("n_shared"),
+        F.transform("shared", lambda x: F.struct(x.metric.alias("metric"), x.value_a.alias("value_a"), x.value_b.alias("value_b"))).alias("metrics"),
+    )
+
+
 def pairwise_models(mm: DataFrame, pairs: DataFrame, tie: str = "apart") -> DataFrame:
     """Wins of each given pair (name_a, version_a, name_b, version_b) over their shared metrics.
 

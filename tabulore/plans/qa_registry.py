@@ -63,7 +63,8 @@ def qa_model_info(versions: DataFrame) -> DataFrame:
     ])
 
 
-def qa_model_comparison(mm: DataFrame) -> DataFrame:
+def qa_model_comparison(mm: DataFrame, compared: DataFrame | None = None) -> DataFrame:
+    """Rankings, leaders and comparisons of two versions: of every pair, or of the given pairs ``compared``."""
     item = clause("ranked", model="name", version="version", value=VALUE)
     at = lambda k: F.expr(f"max(case when rank = {k} then struct(name, version, value) end)")
     ranked = reg.rank_metrics(mm).filter("n_models >= 2")
@@ -72,7 +73,7 @@ def qa_model_comparison(mm: DataFrame) -> DataFrame:
         F.expr(joined(ordered(f"rank, {item} as text"), "; ")).alias("ranking")
     ).join(leaders, "metric")
     frame = leaders
-    duel = reg.pairwise_models(mm, reg.neighbours(mm)).selectExpr(
+    duel = (reg.pairwise_all(mm) if compared is None else reg.pairwise_models(mm, compared)).selectExpr(
         "*", f"{reg.label('name_a', 'version_a')} as label_a", f"{reg.label('name_b', 'version_b')} as label_b"
     )
     part = clause(
@@ -235,11 +236,11 @@ def qa_fitness(versions: DataFrame, mm: DataFrame) -> DataFrame:
     ])
 
 
-def qa_registry(versions: DataFrame, match: str = "token") -> DataFrame:
-    """Every question-answer pair of a registry."""
+def qa_registry(versions: DataFrame, match: str = "token", compared: DataFrame | None = None) -> DataFrame:
+    """Every question-answer pair of a registry; versions are compared as in ``qa_model_comparison``."""
     mm = reg.model_metrics(versions, match)
     return union_all([
-        qa_model_info(versions), qa_model_comparison(mm), qa_overall(versions, mm), qa_speed(mm), qa_accuracy(mm),
+        qa_model_info(versions), qa_model_comparison(mm, compared), qa_overall(versions, mm), qa_speed(mm), qa_accuracy(mm),
         qa_deployment(versions), qa_trade_off(versions, mm), qa_overview(versions, mm), qa_reliability(versions, mm),
         qa_reproducibility(versions), qa_fitness(versions, mm),
     ])

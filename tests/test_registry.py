@@ -56,6 +56,20 @@ def test_pairwise_ties(spark):
     assert (second.wins_a, second.wins_b) == (1, 1)
 
 
+@pytest.mark.parametrize("block", [2, 128])
+def test_every_two_versions_are_compared(mm, monkeypatch, block):
+    monkeypatch.setattr(reg, "PAIR_BLOCK", block)
+    versions = sorted((r["name"], r.version) for r in mm.select("name", "version").distinct().collect())
+    pairs = [(*a, *b) for i, a in enumerate(versions) for b in versions[i + 1 :]]
+    named = mm.sparkSession.createDataFrame(pairs, "name_a string, version_a int, name_b string, version_b int")
+    for tie in ("apart", "second"):
+        got = [tuple(r) for r in reg.pairwise_all(mm, tie).collect()]
+        assert sorted(got) == sorted(tuple(r) for r in reg.pairwise_models(mm, named, tie).collect())
+    assert len(got) == len(pairs) > len(versions)
+    texts = qa_registry.qa_model_comparison(mm).filter("template_id = 'pairwise'")
+    assert texts.count() == len(pairs)
+
+
 def test_runs_are_attached_per_version(spark):
     versions = spark.createDataFrame(
         [("m", 1, "Production", "", "r1"), ("m", 2, "Staging", "own", "r2"), ("m", 3, "None", None, "gone")],
