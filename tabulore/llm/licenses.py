@@ -100,11 +100,17 @@ SPELLINGS = (
     (r"&", " and "),
 )
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
+#: COPYRIGHT without lines of a wrapped text that go on about copyright, unless they have a year or sign; the SQL cannot
+#: look ahead and has COPYRIGHT.
+NOTICE = COPYRIGHT.replace("(copyright|", (
+    r"(copyright(?![^\n\p{L}\p{N}]+(notice|holder|owner|law|licen[cs]e|statement)s?([^\p{L}\p{N}]|$)"
+    r"(?![^\n]*((19|20)[0-9][0-9]|\(c\)|©)))|"
+), 1)
 
 
 def canonical_lines(text: Column) -> Column:
     """The lines of a text in canonical form: words with single blanks between them, empty lines left out."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT, "\n")
+    out = F.regexp_replace(F.lower(text), NOTICE, "\n")
     for pattern, spelling in SPELLINGS:
         out = F.regexp_replace(out, pattern, spelling)
     lines = F.transform(F.split(F.regexp_replace(out, PUNCTUATION, " "), "\n"), lambda x: F.trim(x))

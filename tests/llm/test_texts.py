@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -89,6 +90,18 @@ def test_licenses(spark, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def test_licenses_in_wrapped_lines(spark):
+    rows = [
+        (i * 100 + width, "Copyright Some Body, 2020\n\n" + "\n\n".join(textwrap.fill(x, width) for x in text.split("\n\n")))
+        for i, (_, text) in enumerate(licenses.FULL_TEXTS) for width in range(60, 81)
+    ]
+    want = {k: licenses.FULL_TEXTS[k // 100][0] for k, _ in rows}
+    heads = ("Copyright 2020\nLicense", "Copyright holder: A, 2020", "Copyright 2020 Law Office", "© A")  # three notices, "License" stays
+    rows += [(-1 - i, f"{head}\n\n{licenses.FULL_TEXTS[0][1]}") for i, head in enumerate(heads)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.text_license for r in got.collect()} == want | {-1: None, -2: "MIT", -3: "MIT", -4: "MIT"}
+
+
 def test_line_dedup(spark, no_docs):
     head = "Site menu"
     rows = [(i, f"{head}\nstory {i}\n\n{head} \nend", "h") for i in range(10)]
