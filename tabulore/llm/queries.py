@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulore.llm import (
-    bpe, embedding_dedup, fingerprints, jaccard_join, language_id, licenses, line_dedup, packing, quality, token_counts,
+    bpe, embedding_dedup, fingerprints, hard_negatives, jaccard_join, language_id, licenses, line_dedup, packing, quality,
+    token_counts, url_filters,
 )
 
 TOKENIZERS = "/opt/tokenizers"
 
+#: The entries that op13 applies.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,6 +71,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), good)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(rows.withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0)
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``run`` of corpus_pipeline.py at the repository top."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -83,11 +99,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_url_filters": op13_url_filters,
     "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
     "op1_licenses": licenses.scan_sql(),
+    "op12_hard_negatives": hard_negatives.mining_sql(),
+    "op13_url_filters": url_filters.judge_sql(URL_RULES),
     "op5_line_dedup": f"""
 WITH pages AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
 lines AS (
