@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulore.llm import (
-    bpe, embedding_dedup, fingerprints, hard_negatives, jaccard_join, language_id, licenses, line_dedup, packing, quality,
-    token_counts, url_filters,
+    bpe, embedding_dedup, fingerprints, hard_negatives, jaccard_join, language_id, licenses, line_dedup, packing, phrases,
+    quality, token_counts, url_filters,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -71,6 +71,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), good)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_url_filters": op13_url_filters,
     "pipeline": pipeline,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_licenses": licenses.scan_sql(),
+    "op11_phrases": phrases.phrases_sql(),
     "op12_hard_negatives": hard_negatives.mining_sql(),
     "op13_url_filters": url_filters.judge_sql(URL_RULES),
     "op5_line_dedup": f"""
