@@ -177,6 +177,10 @@ def _meet(rows: DataFrame, anchors: DataFrame, order: dict[int, list[int]], coun
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(found.items(), kinds, strict=True)})
 
+    # One task for few cells each: left to itself Spark would join small partitions, whatever work they are.
+    cells = sizes.agg(F.sum(F.col("row_blocks") * F.col("anchor_blocks"))).first()[0] or 1
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells)
+    met = met.repartition(tasks, "dims", "anchor_block", "row_block")
     return met.groupBy("dims", "anchor_block", "row_block").applyInArrow(cell, FOUND)
 
 

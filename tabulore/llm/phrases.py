@@ -11,8 +11,8 @@ least ``least`` times are counted exactly:
   pass brings no failure; with phrases of n words there are at most n whole passes.
 
 Proposals go to the executors as bit arrays of fixed size (``FILTER_BITS``); a phrase that shares its bit with a proposal is
-counted without need, exactly, so that results never depend on them. Counts are made per block of text, by 64-bit hashes
-of the words inside the block and by the phrase itself between blocks.
+counted without need, exactly, so that results never depend on them. Counts are made per block of text and then per
+bucket of hashes; phrases of a language and length are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ SAMPLE = 8  # one of so many texts proposes phrases
 FILTER_BITS = 1 << 25
 BLOCK = 2 << 20  # bytes of text counted at a time
 SALTS = 64
+BUCKET = 32 << 20  # bytes of phrases summed at a time
 TYPES = "lang string, words int, phrase string, proposed boolean, n long"
+PACKED = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrases", pa.binary()), ("sizes", pa.binary()), ("proposed", pa.binary())])
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -119,18 +121,16 @@ class Words:
                 self.hashes[k] = mix(self.hashes[k - 1] * _STEP + last)
         return self.hashes[words]
 
-    def phrases(self, first: np.ndarray, words: int) -> pa.Array:
-        """Phrases that begin at the given words, in lower case, with one blank between words."""
+    def phrases(self, first: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and offsets of the phrases that begin at the given words: lower case, a blank between words, a line break after each."""
         at = (first[:, None] + np.arange(words)[None, :]).ravel()
         starts, sizes = self.starts[at], self.ends[at] - self.starts[at]
-        room = sizes + 1
-        room[words - 1 :: words] -= 1  # no blank after the last word
-        begins = np.concatenate([[0], np.cumsum(room)])
+        begins = np.concatenate([[0], np.cumsum(sizes + 1)])
         out = np.full(int(begins[-1]), 0x20, np.uint8)
+        out[begins[words::words] - 1] = 0x0A
         within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         out[np.repeat(begins[:-1], sizes) + within] = _LOWER[self.data[np.repeat(starts, sizes) + within]]
-        offsets = begins[::words].astype(np.int64)
-        return pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+        return out, begins[::words]
 
 
 def _lang_hash(lang: str) -> int:
@@ -139,7 +139,7 @@ def _lang_hash(lang: str) -> int:
     return int(mix(found * _STEP + np.uint64(1))[0])  # not the hash of the word that is spelled alike
 
 
-def _word_blocks(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[tuple[Words, list[str]]]:
+def _word_blocks(batches: Iterator[pa.RecordBatch], ahead: int, size: int = BLOCK) -> Iterator[tuple[Words, list[str]]]:
     """Blocks of words of batches (lang, text)."""
     for batch in small_batches(batches, 1):
         langs = batch.column(0).dictionary_encode()
@@ -147,24 +147,28 @@ def _word_blocks(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[tupl
         hashes = np.array([_lang_hash(x) for x in names], np.uint64)
         number = langs.indices.to_numpy()
         data, offsets = text_buffers(batch.column(1))
-        for at, end, more in _blocks(data, offsets, BLOCK, ahead):
+        for at, end, more in _blocks(data, offsets, size, ahead):
             low, high = int(np.searchsorted(offsets, at, "right")) - 1, int(np.searchsorted(offsets, more, "left"))
             inner = np.clip(offsets[low : high + 1], at, more) - at
             yield Words(data[at:more], inner, number[low:high], hashes, end - at), names
 
 
-def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], first: bool) -> DataFrame:
+def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], first: bool, least: int, block_bytes: int) -> DataFrame:
     """Counts (TYPES) of the phrases that the last of ``rounds`` (filters by length) adds to those before.
 
     The first pass also counts all words and gives the number of words of each language (0 words, no phrase).
+    The phrases of a block go out packed by bucket of their hash, so that a bucket is summed without a row a phrase.
     """
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # Each word begins a phrase of every length.
+    buckets = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), size * max_words * (max_words + 1) // 2 // BUCKET + 1)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, names in _word_blocks(batches, max_words - 1):
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, names in _word_blocks(batches, max_words - 1, block_bytes):
             if first and block.own:
                 totals = np.bincount(block.langs[: block.own], minlength=len(names))
-                yield _batch([x for x, t in zip(names, totals, strict=True) if t], 0, pa.nulls(int((totals > 0).sum()), pa.large_string()),
-                             np.ones(int((totals > 0).sum()), bool), totals[totals > 0])
+                rows = [(i % buckets, x, 0, b"", np.uint32(t).tobytes(), b"") for i, (x, t) in enumerate(zip(names, totals, strict=True)) if t]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
             for k in range(1 if first else 2, max_words + 1):
                 begins = block.follow(k)
                 begins[block.own :] = False
@@ -181,15 +185,51 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
                 order = np.argsort(hashes, kind="stable")
                 ranked = hashes[order]
                 new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-                place = places[order[new]]
+                place, sizes = places[order[new]], np.diff(np.append(new, len(ranked))).astype(np.uint32)
                 known = _held(rounds[-1][k].value, ranked[new]) if k < max_words else np.ones(len(new), bool)
-                sizes = np.diff(np.append(new, len(ranked)))
-                langs = pa.DictionaryArray.from_arrays(pa.array(block.langs[place].astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
-                yield _batch(langs, k, block.phrases(place, k), known, sizes)
-
-    parts = texts.mapInArrow(counted, TYPES)
-    sums = parts.groupBy("lang", "words", "phrase").agg(F.min("proposed").alias("proposed"), F.sum("n").alias("n"))
-    return sums
+                group = block.langs[place].astype(np.int64) * buckets + (ranked[new] >> np.uint64(33)).astype(np.int64) % buckets
+                order = np.argsort(group, kind="stable")
+                group, place, sizes, known = group[order], place[order], sizes[order], known[order]
+                data, offsets = block.phrases(place, k)
+                cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+                rows = [(int(group[p] % buckets), names[group[p] // buckets], k, data[offsets[p] : offsets[q]].tobytes(), sizes[p:q].tobytes(), known[p:q].tobytes())
+                        for p, q in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
+
+    def summed(table: pa.Table) -> pa.Table:
+        groups: dict[tuple[str, int], list[tuple[bytes, bytes, bytes]]] = {}
+        for _, lang, k, data, sizes, known in zip(*(table[c].to_pylist() for c in PACKED.names), strict=True):
+            groups.setdefault((lang, k), []).append((data, sizes, known))
+        out = []
+        for (lang, k), rows in groups.items():
+            sizes = np.frombuffer(b"".join(x[1] for x in rows), np.uint32).astype(np.int64)
+            if not k:
+                out.append(_counts(lang, 0, pa.nulls(1, pa.string()), np.ones(1, bool), sizes.sum(keepdims=True)))
+                continue
+            data = np.frombuffer(b"".join(x[0] for x in rows), np.uint8)
+            known = np.frombuffer(b"".join(x[2] for x in rows), bool)
+            ends = np.flatnonzero(data == 0x0A)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            hashes = span_hashes(data, starts, ends)
+            order = np.argsort(hashes, kind="stable")
+            ranked = hashes[order]
+            new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+            n = np.add.reduceat(sizes[order], new)
+            keep = n >= least
+            at, n = order[new][keep], n[keep]
+            chosen = [data[p:q].tobytes().decode() for p, q in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            out.append(_counts(lang, k, pa.array(chosen, pa.string()), known[at], n))
+        return pa.concat_tables(out)
+
+    parts = texts.mapInArrow(packed, "bucket long, lang string, words int, phrases binary, sizes binary, proposed binary")
+    return parts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(summed, TYPES)
+
+
+def _counts(lang: str, words: int, phrases: pa.Array, known: np.ndarray, n: np.ndarray) -> pa.Table:
+    return pa.table({
+        "lang": pa.array([lang] * len(n), pa.string()), "words": pa.array(np.full(len(n), words, np.int32)), "phrase": phrases,
+        "proposed": pa.array(known), "n": pa.array(n.astype(np.int64)),
+    })
 
 
 def _both(bits: np.ndarray, part: np.ndarray) -> np.ndarray:
@@ -199,13 +239,6 @@ def _both(bits: np.ndarray, part: np.ndarray) -> np.ndarray:
     return out
 
 
-def _batch(langs, words: int, phrases: pa.Array, known: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(langs, pa.string()) if isinstance(langs, list) else langs, pa.array(np.full(len(n), words, np.int32)),
-        phrases.cast(pa.string()), pa.array(known), pa.array(n.astype(np.int64)),
-    ], names=["lang", "words", "phrase", "proposed", "n"])
-
-
 def _filters(slots: DataFrame, lengths: range) -> dict[int, object]:
     """Bit arrays by number of words from rows (words, slot, bits); at most FILTER_BITS / 64 rows a length are collected."""
     context = slots.sparkSession.sparkContext
@@ -227,11 +260,11 @@ def _slot_rows(words: int, hashes: np.ndarray) -> pa.RecordBatch:
         [pa.array(np.full(len(new), words, np.int32)), pa.array(slot[new]), pa.array(bits.view(np.int64))], names=["words", "slot", "bits"])
 
 
-def _proposed(sample: DataFrame, max_words: int) -> dict[int, object]:
+def _proposed(sample: DataFrame, max_words: int, block_bytes: int) -> dict[int, object]:
     """Filters of the phrases that the sample holds."""
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _ in _word_blocks(batches, max_words - 1):
+        for block, _ in _word_blocks(batches, max_words - 1, block_bytes):
             for k in range(1, max_words):
                 begins = block.follow(k)
                 begins[block.own :] = False
@@ -258,18 +291,17 @@ def _known(frequent: DataFrame, max_words: int) -> dict[int, object]:
 
 
 def frequent_phrases(
-    df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, max_words: int = 3, sample: int = SAMPLE,
+    df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, max_words: int = 3, sample: int = SAMPLE, block: int = BLOCK,
 ) -> DataFrame:
     """(lang, words, phrase, n): phrases of 1 to ``max_words`` words with at least ``least`` occurrences, stored.
 
-    The row of 0 words and no phrase has the number of all words of the language. Overlapping occurrences count.
+    The rows of 0 words and no phrase sum up to the number of all words of the language. Overlapping occurrences count.
     """
     texts = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     drawn = texts.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(sample)) == 0)
-    rounds, found = [_proposed(drawn, max_words)], None
+    rounds, found = [_proposed(drawn, max_words, block)], None
     while True:
-        counts = cut_lineage(_count(texts, max_words, rounds, first=found is None).where(
-            (F.col("words") == 0) | (F.col("n") >= least)).select("lang", "words", "phrase", "proposed", "n"))
+        counts = cut_lineage(_count(texts, max_words, rounds, found is None, least, block))
         found = counts if found is None else found.unionByName(counts)
         failures = counts.where((F.col("words") > 0) & (F.col("words") < max_words) & ~F.col("proposed"))
         if failures.isEmpty():
@@ -279,7 +311,7 @@ def frequent_phrases(
 
 def collocations(
     df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, max_words: int = 3, within: int = 50,
-    top: int | None = 2000, sample: int = SAMPLE,
+    top: int | None = 2000, sample: int = SAMPLE, block: int = BLOCK,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the phrases of 2 to ``max_words`` words that hold together best.
 
@@ -291,7 +323,7 @@ def collocations(
     A null language is called und and a null text is empty. Repeated rows count as often as they occur; keys and other
     columns are not looked at. Products are exact for up to 10**16 occurrences. An empty table gives no rows.
     """
-    known = frequent_phrases(df, text, lang, least, max_words, sample)
+    known = frequent_phrases(df, text, lang, least, max_words, sample, block)
     counts = known.where("words > 0").select("lang", "phrase", "n")
     long = known.where("words > 1").select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
     long = long.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("w") - 1)))
@@ -309,7 +341,7 @@ def collocations(
     scored = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
     kept = scored.join(_covered(known, within, max_words), ["lang", "phrase"], "left_anti") if max_words > 2 else scored
     flat = kept.select("lang", "phrase", "a", F.col("best.l").alias("l"), F.col("best.r").alias("r"), F.col("best.score").alias("score"))
-    totals = known.where("words = 0").select("lang", F.col("n"))  # one row a language
+    totals = known.where("words = 0").groupBy("lang").agg(F.sum("n").alias("n"))  # one row a language
     return _ranked(flat, top).join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
