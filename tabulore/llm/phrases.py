@@ -17,7 +17,7 @@ bucket of hashes; phrases of a language and length are told apart by 64-bit hash
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,10 @@ BLOCK = 2 << 20  # bytes of text counted at a time
 SALTS = 64
 BUCKET = 32 << 20  # bytes of phrases summed at a time
 TYPES = "lang string, words int, phrase string, proposed boolean, n long"
-PACKED = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrases", pa.binary()), ("sizes", pa.binary()), ("proposed", pa.binary())])
+PACKED = pa.schema([
+    ("bits", pa.int64()), ("slice", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrases", pa.binary()), ("sizes", pa.binary()), ("proposed", pa.binary())])
+PACKED_TYPES = "bits long, slice long, lang string, words int, phrases binary, sizes binary, proposed binary"
+RADIX = 64  # a power of two
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -157,18 +160,18 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
     """Counts (TYPES) of the phrases that the last of ``rounds`` (filters by length) adds to those before.
 
     The first pass also counts all words and gives the number of words of each language (0 words, no phrase).
-    The phrases of a block go out packed by bucket of their hash, so that a bucket is summed without a row a phrase.
+    The phrases of a block go out packed by the first bits of their hash, ``RADIX`` rows a language and length, and are
+    summed in groups of about ``BUCKET`` bytes. While the groups of one value of the bits are several, each packs its sums
+    by the next bits, so the rows moved grow with the text and not with the number of groups.
     """
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    # Each word begins a phrase of every length.
-    buckets = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), size * max_words * (max_words + 1) // 2 // BUCKET + 1)
+    groups = size * max_words * (max_words + 1) // 2 // BUCKET + 1  # each word begins a phrase of every length
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, names in _word_blocks(batches, max_words - 1, block_bytes):
             if first and block.own:
                 totals = np.bincount(block.langs[: block.own], minlength=len(names))
-                rows = [(i % buckets, x, 0, b"", np.uint32(t).tobytes(), b"") for i, (x, t) in enumerate(zip(names, totals, strict=True)) if t]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
+                yield _rows([(0, 0, x, 0, b"", np.int64(t).tobytes(), b"") for x, t in zip(names, totals, strict=True) if t])
             for k in range(1 if first else 2, max_words + 1):
                 begins = block.follow(k)
                 begins[block.own :] = False
@@ -185,44 +188,78 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
                 order = np.argsort(hashes, kind="stable")
                 ranked = hashes[order]
                 new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-                place, sizes = places[order[new]], np.diff(np.append(new, len(ranked))).astype(np.uint32)
+                place, sizes = places[order[new]], np.diff(np.append(new, len(ranked)))
                 known = _held(rounds[-1][k].value, ranked[new]) if k < max_words else np.ones(len(new), bool)
-                group = block.langs[place].astype(np.int64) * buckets + (ranked[new] >> np.uint64(33)).astype(np.int64) % buckets
-                order = np.argsort(group, kind="stable")
-                group, place, sizes, known = group[order], place[order], sizes[order], known[order]
+                lang, slice_of = block.langs[place], int(ranked[0] >> np.uint64(33))
                 data, offsets = block.phrases(place, k)
-                cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-                rows = [(int(group[p] % buckets), names[group[p] // buckets], k, data[offsets[p] : offsets[q]].tobytes(), sizes[p:q].tobytes(), known[p:q].tobytes())
-                        for p, q in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
-
-    def summed(table: pa.Table) -> pa.Table:
-        groups: dict[tuple[str, int], list[tuple[bytes, bytes, bytes]]] = {}
-        for _, lang, k, data, sizes, known in zip(*(table[c].to_pylist() for c in PACKED.names), strict=True):
-            groups.setdefault((lang, k), []).append((data, sizes, known))
+                bits = _bits(span_hashes(data, offsets[:-1], offsets[1:] - 1), 1)
+                order = np.lexsort((bits, lang))
+                data, offsets = _taken(data, offsets, order)
+                yield _rows(_packed(names, lang[order], bits[order], slice_of, k, data, offsets, sizes[order], known[order]))
+
+    def summed(table: pa.Table, level: int, last: bool) -> pa.Table:
+        parts: dict[tuple[str, int], list[tuple[bytes, bytes, bytes]]] = {}
+        for _, _, lang, k, *row in zip(*(table[c].to_pylist() for c in PACKED.names), strict=True):
+            parts.setdefault((lang, k), []).append(row)
         out = []
-        for (lang, k), rows in groups.items():
-            sizes = np.frombuffer(b"".join(x[1] for x in rows), np.uint32).astype(np.int64)
+        for (lang, k), rows in parts.items():
+            data, sizes, known = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*rows, strict=True), (np.uint8, np.int64, bool), strict=True))
             if not k:
-                out.append(_counts(lang, 0, pa.nulls(1, pa.string()), np.ones(1, bool), sizes.sum(keepdims=True)))
+                out.append(_counts(lang, 0, pa.nulls(1, pa.string()), np.ones(1, bool), sizes.sum(keepdims=True)) if last else
+                           pa.Table.from_batches([_rows([(0, 0, lang, 0, b"", sizes.sum().tobytes(), b"")])]))
                 continue
-            data = np.frombuffer(b"".join(x[0] for x in rows), np.uint8)
-            known = np.frombuffer(b"".join(x[2] for x in rows), bool)
-            ends = np.flatnonzero(data == 0x0A)
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            hashes = span_hashes(data, starts, ends)
+            offsets = np.concatenate([[0], np.flatnonzero(data == 0x0A) + 1])
+            hashes = span_hashes(data, offsets[:-1], offsets[1:] - 1)
             order = np.argsort(hashes, kind="stable")
             ranked = hashes[order]
             new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
             n = np.add.reduceat(sizes[order], new)
-            keep = n >= least
-            at, n = order[new][keep], n[keep]
-            chosen = [data[p:q].tobytes().decode() for p, q in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            out.append(_counts(lang, k, pa.array(chosen, pa.string()), known[at], n))
+            if last:
+                at, n = order[new][n >= least], n[n >= least]
+                found = pa.array([data[p:q].tobytes().decode() for p, q in zip(offsets[at].tolist(), (offsets[at + 1] - 1).tolist(), strict=True)], pa.string())
+                out.append(_counts(lang, k, found, known[at], n))
+            else:
+                bits, at = _bits(ranked[new], level + 1), order[new]  # hashes rise, and so do their first bits
+                data, offsets = _taken(data, offsets, at)
+                rows = _packed([lang], np.zeros(len(at), int), bits, int(ranked[0] & np.uint64(0x7FFFFFFF)), k, data, offsets, n, known[at])
+                out.append(pa.Table.from_batches([_rows(rows)]))
         return pa.concat_tables(out)
 
-    parts = texts.mapInArrow(packed, "bucket long, lang string, words int, phrases binary, sizes binary, proposed binary")
-    return parts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(summed, TYPES)
+    def at(level: int, last: bool) -> Callable[[pa.Table], pa.Table]:
+        return lambda table: summed(table, level, last)
+
+    moved, level = texts.mapInArrow(packed, PACKED_TYPES), 1
+    while True:
+        slices = -(-groups // RADIX**level)
+        tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(groups, RADIX**level * slices))
+        dealt = moved.withColumn("slice", F.col("slice") % slices).repartition(tasks, "bits", "slice").groupBy("bits", "slice")
+        if slices == 1:
+            return dealt.applyInArrow(at(level, True), TYPES)
+        moved, level = dealt.applyInArrow(at(level, False), PACKED_TYPES), level + 1
+
+
+def _bits(hashes: np.ndarray, level: int) -> np.ndarray:
+    """The first bits of hashes, as many as tell ``RADIX`` to the power of ``level`` apart."""
+    return (hashes >> np.uint64(64 - level * (RADIX.bit_length() - 1))).astype(np.int64)
+
+
+def _taken(data: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of ``data`` in another order."""
+    sizes = np.diff(offsets)[order]
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    return data[np.repeat(offsets[:-1][order] - begins[:-1], sizes) + np.arange(int(begins[-1]))], begins
+
+
+def _packed(names, lang, bits, slice_of, k, data, offsets, sizes, known) -> list[tuple]:
+    """Rows of PACKED for phrases in the order of language and bits."""
+    cuts = np.flatnonzero(np.concatenate([[True], (bits[1:] != bits[:-1]) | (lang[1:] != lang[:-1]), [True]]))
+    return [
+        (int(bits[p]), slice_of, names[lang[p]], k, data[offsets[p] : offsets[q]].tobytes(), sizes[p:q].astype(np.int64).tobytes(), known[p:q].tobytes())
+        for p, q in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), PACKED, strict=True)], schema=PACKED)
 
 
 def _counts(lang: str, words: int, phrases: pa.Array, known: np.ndarray, n: np.ndarray) -> pa.Table:
