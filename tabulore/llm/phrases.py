@@ -37,7 +37,7 @@ TYPES = "lang string, words int, phrase string, proposed boolean, n long"
 PACKED = pa.schema([
     ("bits", pa.int64()), ("slice", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrases", pa.binary()), ("sizes", pa.binary()), ("proposed", pa.binary())])
 PACKED_TYPES = "bits long, slice long, lang string, words int, phrases binary, sizes binary, proposed binary"
-RADIX = 64  # a power of two
+RADIX = 1024  # a power of two
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -161,10 +161,11 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
 
     The first pass also counts all words and gives the number of words of each language (0 words, no phrase).
     The phrases of a block go out packed by the first bits of their hash, ``RADIX`` rows a language and length, and are
-    summed in groups of about ``BUCKET`` bytes. While the groups of one value of the bits are several, each packs its sums
-    by the next bits, so the rows moved grow with the text and not with the number of groups.
+    summed in groups of about ``BUCKET`` bytes. While there are more groups than values of the bits, the rows of one value
+    are summed in several groups, which pack their sums by the next bits. So the rows moved grow with the text alone.
     """
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    radix = RADIX
     groups = size * max_words * (max_words + 1) // 2 // BUCKET + 1  # each word begins a phrase of every length
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
                 known = _held(rounds[-1][k].value, ranked[new]) if k < max_words else np.ones(len(new), bool)
                 lang, slice_of = block.langs[place], int(ranked[0] >> np.uint64(33))
                 data, offsets = block.phrases(place, k)
-                bits = _bits(span_hashes(data, offsets[:-1], offsets[1:] - 1), 1)
+                bits = _bits(span_hashes(data, offsets[:-1], offsets[1:] - 1), radix, 1)
                 order = np.lexsort((bits, lang))
                 data, offsets = _taken(data, offsets, order)
                 yield _rows(_packed(names, lang[order], bits[order], slice_of, k, data, offsets, sizes[order], known[order]))
@@ -219,7 +220,7 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
                 found = pa.array([data[p:q].tobytes().decode() for p, q in zip(offsets[at].tolist(), (offsets[at + 1] - 1).tolist(), strict=True)], pa.string())
                 out.append(_counts(lang, k, found, known[at], n))
             else:
-                bits, at = _bits(ranked[new], level + 1), order[new]  # hashes rise, and so do their first bits
+                bits, at = _bits(ranked[new], radix, level + 1), order[new]  # hashes rise, and so do their first bits
                 data, offsets = _taken(data, offsets, at)
                 rows = _packed([lang], np.zeros(len(at), int), bits, int(ranked[0] & np.uint64(0x7FFFFFFF)), k, data, offsets, n, known[at])
                 out.append(pa.Table.from_batches([_rows(rows)]))
@@ -230,17 +231,20 @@ def _count(texts: DataFrame, max_words: int, rounds: list[dict[int, object]], fi
 
     moved, level = texts.mapInArrow(packed, PACKED_TYPES), 1
     while True:
-        slices = -(-groups // RADIX**level)
-        tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(groups, RADIX**level * slices))
+        values = radix**level
+        slices = -(-groups // values)
+        tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(groups, values * slices))
+        if slices == 1:  # neighbouring values of the bits share a group
+            moved = moved.withColumn("bits", F.floor(F.col("bits") * (groups / values)))
         dealt = moved.withColumn("slice", F.col("slice") % slices).repartition(tasks, "bits", "slice").groupBy("bits", "slice")
         if slices == 1:
             return dealt.applyInArrow(at(level, True), TYPES)
         moved, level = dealt.applyInArrow(at(level, False), PACKED_TYPES), level + 1
 
 
-def _bits(hashes: np.ndarray, level: int) -> np.ndarray:
-    """The first bits of hashes, as many as tell ``RADIX`` to the power of ``level`` apart."""
-    return (hashes >> np.uint64(64 - level * (RADIX.bit_length() - 1))).astype(np.int64)
+def _bits(hashes: np.ndarray, radix: int, level: int) -> np.ndarray:
+    """The first bits of hashes, as many as tell ``radix`` to the power of ``level`` apart."""
+    return (hashes >> np.uint64(64 - level * (radix.bit_length() - 1))).astype(np.int64)
 
 
 def _taken(data: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,6 +151,17 @@ def resample(
     comes from a hash of key and text, so that repeated rows share it and runs repeat. Without target rows all
     weights are 0. An empty table gives an empty result.
     """
+    found = _resample(df, target_ids, key, text, k, slack, target_docs)
+    return found.select(F.col("_key").alias(key), "log_weight", "sample_key", "selected")
+
+
+def _draw(key: Column, text: Column) -> Column:
+    """A row's number, which its variate comes from: the same for the same key and text."""
+    return F.xxhash64(key, text, F.lit("gumbel"))
+
+
+def _resample(df: DataFrame, target_ids: DataFrame, key: str, text: str, k: int | None, slack: float, target_docs: int) -> DataFrame:
+    """(_key, _draw, log_weight, sample_key, selected) per row."""
     name = target_ids.columns[0]
     wanted = target_ids.select(F.col(f"`{name}`").alias("_target")).where("_target IS NOT NULL").distinct()
     wanted = cut_lineage(wanted.orderBy(F.xxhash64("_target"), "_target").limit(target_docs))
@@ -164,18 +175,26 @@ def resample(
             weights = pa.array(text_log_weights(batch.column(2), ratios))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), weights], names=schema.names)
 
-    draw = F.xxhash64("_key", "_text", F.lit("gumbel"))
-    weighed = rows.select("_key", draw.alias("_draw"), "_text").mapInArrow(run, schema)
+    weighed = rows.select("_key", _draw(F.col("_key"), F.col("_text")).alias("_draw"), "_text").mapInArrow(run, schema)
     uniform = (F.shiftrightunsigned("_draw", 11).cast("double") + 0.5) * F.lit(2.0**-53)
     weighed = weighed.withColumn("sample_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    weighed = cut_lineage(weighed.drop("_draw"))
+    weighed = cut_lineage(weighed)
     k = weighed.where(F.col("log_weight") >= -slack).count() if k is None else k
     least = kth_largest(weighed, "sample_key", min(k, weighed.count()))
     selected = F.lit(False) if least is None else F.col("sample_key") >= F.lit(least)
-    return weighed.select(F.col("_key").alias(key), "log_weight", "sample_key", selected.alias("selected"))
+    return weighed.withColumn("selected", selected)
 
 
-def selected_rows(df: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that ``resample`` selects; rows of one key go or stay together, those without key stay."""
-    others = resample(df, target_ids, key, text, **options).where("NOT selected").select(F.col(key).alias("_other")).distinct()
-    return df.join(others, F.col(key) == F.col("_other"), "left_anti")
+def selected_rows(
+    df: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text", k: int | None = None, slack: float = SLACK,
+    target_docs: int = TARGET_DOCS,
+) -> DataFrame:
+    """The rows of ``df`` that ``resample`` selects, row by row.
+
+    Key and text decide, so a row does not go because another of the same key goes, and repeated rows go or stay together.
+    All columns come through, whatever they are called.
+    """
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    rows = df.select(_draw(quoted(key), quoted(text)).alias("draw"), F.struct(*map(quoted, df.columns)).alias("row"))
+    others = _resample(df, target_ids, key, text, k, slack, target_docs).where("NOT selected").select(F.col("_draw").alias("other")).distinct()
+    return rows.join(others, F.col("draw") == F.col("other"), "left_anti").select("row.*")

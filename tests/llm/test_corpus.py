@@ -53,6 +53,28 @@ def test_jaccard_edges(spark, docs, no_docs):
     assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [2, 3, 4, 7, 8, 9, 10, 11, None]
 
 
+def test_one_row_of_each_class_by_row(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    kept = lambda rows: sorted(map(tuple, jaccard_join.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string, _other int, `a.b` int")).collect()), key=str)
+    assert kept([(1, a, 1, 1), (2, a, 1, 1), (2, b, 1, 1)]) == [(1, a, 1, 1), (2, b, 1, 1)]  # two texts share a key
+    assert kept([(1, a, 1, 1), (1, a, 1, 1), (None, a, 1, 1)]) == [(1, a, 1, 1)]  # repeated rows and a null key
+    assert kept([(None, a, 7, 1), (None, a, 7, 1)]) == [(None, a, 7, 1)]
+    assert len(kept([(1, None, 1, 1), (1, None, 1, 1), (2, "", 1, 1)])) == 3  # no words: each row is its own class
+
+
+def test_selection_by_row(spark):
+    good = " ".join(f"w{i % 9}" for i in range(60))
+    rows = [(i, good) for i in range(20)] + [(3, "zq xj " * 30), (None, good), (5, good)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_other", F.lit(1)).withColumn("draw", F.lit(2))
+    labels = spark.createDataFrame([(i,) for i in range(10)], "doc_id long")
+    decided = {r._draw: r.selected for r in quality._resample(frame, labels, "doc_id", "text", None, quality.SLACK, 100).collect()}
+    drawn = frame.select("doc_id", "text", quality._draw(F.col("doc_id"), F.col("text")).alias("d")).collect()
+    got = quality.selected_rows(frame, labels)
+    assert got.columns == frame.columns
+    want = Counter((r.doc_id, r.text) for r in drawn if decided[r.d])
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == want and want[(5, good)] == 2
+
+
 def test_batches_of_equal_texts_in_another_order(spark):
     a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
     rows = [(1, a), (2, b), (3, b), (4, a)]

@@ -64,7 +64,8 @@ def test_collocations_equal_brute_force(spark, monkeypatch, block, least, top, s
     # The second case proposes nothing, so that every frequent phrase is a border failure.
     rows = some_texts(3, 80)
     if block < 100:  # so many groups that counts are packed twice
-        monkeypatch.setattr(phrases, "BUCKET", 500)
+        monkeypatch.setattr(phrases, "BUCKET", 5000)
+        monkeypatch.setattr(phrases, "RADIX", 4)
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     got = phrases.collocations(df, least=least, top=top, sample=sample, block=block)
     assert sorted(map(tuple, got.collect())) == sorted(collocations(rows, least, top))
