@@ -1,7 +1,7 @@
 """Table profiles in a few passes per table.
 
-Pass 1  one aggregation: row count, nulls, numeric statistics; then one sum per
-        pair of numeric columns for the correlations, centred on the means.
+Pass 1  one aggregation: row count, nulls, numeric statistics; then one scan for
+        the correlations, from matrices of products around the means.
 Pass 2  digests of categorical cells counted, the top ones kept per column.
 Pass 3  statistics of the numeric columns within the top categories.
 Pass 4  exact quartiles, then conditional counts around fences and midpoints.
@@ -15,12 +15,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulore.functions.text import g6, ref, sql
+from tabulore.operators import gram
 from tabulore.operators.quantiles import (
     BUCKETS, DIRECT_LIMIT, Target, clean_double, select_ranks,
 )
@@ -46,51 +46,14 @@ NUMERIC_FIELDS = (
     "struct<column:string,position:int,is_fractional:boolean,n:bigint,min:double,max:double,avg:double,"
     "stddev:double,min_raw:string,max_raw:string>"
 )
-PAIR_FIELDS = "struct<col_a:string,pos_a:int,col_b:string,pos_b:int,r:double>"
 GROUP_FIELDS = "struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>"
 
 
-@dataclass(frozen=True)
-class Moments:
-    """What pass 1 found out about a numeric column."""
-
-    role: ColumnRole
-    n_rows: int
-    n: int
-    avg: float | None
-    stddev: float | None
-
-    @property
-    def centred(self) -> str:
-        """SQL: distance from the mean."""
-        return f"({number(self.role.name)} - double('{self.avg!r}'))"
-
-
 def number(name: str) -> str:
     """SQL: a numeric column as double; NaN is a missing value."""
     return clean_double(f"cast({ref(name)} as double)")
 
 
-def pearson(a: Moments, b: Moments) -> str | None:
-    """SQL: correlation over rows where both are present; NULL when either is constant.
-
-    Values are centred on the known means, so plain sums of products lose no
-    digits, and a pair without NULLs costs a single sum. With NULLs the moments
-    of the rows where both are present are summed as well.
-    """
-    if not (a.stddev and b.stddev):
-        return None
-    da, db = a.centred, b.centred
-    if a.n == a.n_rows and b.n == b.n_rows:
-        return f"sum({da} * {db}) / ({a.n - 1} * double('{a.stddev!r}') * double('{b.stddev!r}'))"
-    both = f"filter (where {da} is not null and {db} is not null)"
-    n = f"count({da} * {db})"
-    sa, sb = f"sum({da}) {both}", f"sum({db}) {both}"
-    spread_a, spread_b = f"(sum({da} * {da}) {both} - {sa} * {sa} / {n})", f"(sum({db} * {db}) {both} - {sb} * {sb} / {n})"
-    varies = f"min({da}) {both} < max({da}) {both} and min({db}) {both} < max({db}) {both}"
-    return f"case when {varies} then (sum({da} * {db}) - {sa} * {sb} / {n}) / sqrt({spread_a} * {spread_b}) end"
-
-
 def array_of(items: list[str], fields: str) -> str:
     return f"cast(array({', '.join(items)}) as array<{fields}>)"
 
@@ -203,17 +166,14 @@ class Profile:
         return {(row["table"], row["column"]): (row["n_rows"], row["n"], row["avg"], row["stddev"]) for row in rows}
 
     def _pairs(self, table: str) -> DataFrame | None:
-        known = [
-            Moments(r, *self._moments[table, r.name]) for r in self.numeric_roles(table)
-        ]
-        structs = [
-            f"struct({sql(a.role.name)}, {a.role.position}, {sql(b.role.name)}, {b.role.position}, {r})"
-            for a, b in combinations(known, 2) if (r := pearson(a, b)) is not None
-        ]
-        if not structs:
+        moments = {r.name: self._moments[table, r.name] for r in self.numeric_roles(table)}
+        known = [r for r in self.numeric_roles(table) if moments[r.name][3]]  # with a deviation
+        if len(known) < 2:
             return None
-        summed = self.tables.tables[table].agg(F.expr(array_of(structs, PAIR_FIELDS)).alias("pairs"))
-        return summed.select(F.lit(table).alias("table"), F.inline("pairs"))
+        found = gram.correlations(self.tables.tables[table], [number(r.name) for r in known], [moments[r.name][2] for r in known])
+        names, positions = F.lit([r.name for r in known]), F.lit([r.position for r in known])
+        side = lambda x: (F.get(names, F.col(x)).alias(f"col_{x}"), F.get(positions, F.col(x)).alias(f"pos_{x}"))
+        return found.select(F.lit(table).alias("table"), *side("a"), *side("b"), "r")
 
     @cached_property
     def correlations(self) -> DataFrame:

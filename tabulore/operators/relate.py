@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulore.functions.text import ref
+from tabulore.session import cut_lineage
 from tabulore.sources.tables import TableSet, literal_rows, union_all
 
-
-WORD = 62  # table bits per bigint
+SLOTS = 4096  # hash slots of a column's sketch
+PLANNED = 64  # tables in one plan
 
 
 def shared_columns(columns: DataFrame) -> DataFrame:
@@ -43,75 +47,104 @@ def _common_type(types: list[T.DataType]) -> str:
     return "string"
 
 
-def column_overlap(tables: TableSet) -> DataFrame:
-    """Distinct values of each shared column per table pair, and how many are common.
-
-    A value is reduced to the set of tables that hold it, kept as bits so that
-    the aggregation has fixed-size buffers and combines map-side; then equal
-    sets are counted. Pairs are only formed from those few counted sets, never
-    from rows. NULL is not a value.
-    """
+def _shared_holders(tables: TableSet) -> dict[str, list[str]]:
+    """Columns that several tables have, with the tables, in order of first appearance."""
     holders: dict[str, list[str]] = {}
     for name in tables.names:
         for role in tables.roles[name]:
             if role.role != "nested":
                 holders.setdefault(role.name, []).append(name)
-    shared = {column: names for column, names in holders.items() if len(names) > 1}
+    return {column: names for column, names in holders.items() if len(names) > 1}
+
+
+def _keys(tables: TableSet, shared: dict[str, list[str]], wanted: set[tuple[str, str]] | None = None) -> list[DataFrame]:
+    """One frame a table: (column, value, held_by) of the cells of its shared columns, NULLs left out.
+
+    All shared columns of a table come from one projection of it, so the plan has a branch a table and not a cell.
+    """
+    common = {
+        column: _common_type([tables.tables[name].schema[column].dataType for name in names]) for column, names in shared.items()
+    }
+    number = {column: n for n, column in enumerate(shared)}
+    cells: dict[str, list[str]] = {}
+    for column, names in shared.items():
+        value = f"cast(cast({ref(column)} as {common[column]}) as string)"
+        # Long texts travel as a digest: only equality matters here.
+        key = f"md5({value})" if common[column] == "string" else value
+        for name in names:
+            if wanted is None or (column, name) in wanted:
+                cells.setdefault(name, []).append(f"named_struct('column', {number[column]}, 'value', {key})")
+    position = {name: index for index, name in enumerate(tables.names)}
+    return [
+        tables.tables[name].selectExpr(f"inline(array({', '.join(exprs)}))").where("value is not null")
+        .withColumn("held_by", F.lit(position[name]))
+        for name, exprs in cells.items()
+    ]
+
+
+def _blocks(frames: list[DataFrame], reduce_block: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """``reduce_block`` of the union of every ``PLANNED`` frames; several blocks are stored one by one, so no plan holds them all."""
+    blocks = [reduce_block(union_all(frames[i : i + PLANNED])) for i in range(0, len(frames), PLANNED)]
+    if not blocks:
+        return None
+    return blocks[0] if len(blocks) == 1 else union_all(cut_lineage(b) for b in blocks)
+
+
+def hopeful_holders(tables: TableSet) -> set[tuple[str, str]]:
+    """(column, table) pairs that may have a value in common with another table.
+
+    Each column of a table is sketched as the set of the ``SLOTS`` hash slots its values fall into; sketches merge by
+    union. Columns without a slot in common have no value in common, so what is left out here cannot overlap. The
+    driver gets names only.
+    """
+    shared = _shared_holders(tables)
+    slots = lambda df: df.select("column", F.pmod(F.xxhash64("value"), F.lit(SLOTS)).alias("slot"), "held_by").distinct()
+    sketch = _blocks(_keys(tables, shared), slots)
+    if sketch is None:
+        return set()
+    met = sketch.groupBy("column", "slot").agg(F.collect_set("held_by").alias("held_by")).where(F.size("held_by") > 1)
+    found = met.select("column", F.explode("held_by").alias("held_by")).distinct().collect()
+    columns = list(shared)
+    return {(columns[r["column"]], tables.names[r["held_by"]]) for r in found}
+
+
+def column_overlap(tables: TableSet, skip_hopeless: bool = True) -> DataFrame:
+    """Distinct values of each shared column per table pair, and how many are common.
+
+    A value is reduced to the set of tables that hold it, and equal sets are counted. Pairs are formed from those
+    counted sets, never from rows and never from all tables: only pairs with a common value appear. With
+    ``skip_hopeless`` a sketch finds the columns that cannot overlap with any other, which are then not counted.
+    NULL is not a value.
+    """
     schema = (
         "column string, table_a string, table_b string, n_a bigint, n_b bigint, n_overlap bigint, "
         "pct_of_smaller double"
     )
-    if not shared:
+    shared = _shared_holders(tables)
+    wanted = hopeful_holders(tables) if skip_hopeless and shared else None
+    cells = _keys(tables, shared, wanted)
+    if not cells:
         return literal_rows(tables.spark, [], schema)
-
-    cells, pairs = [], []
-    position = {name: index for index, name in enumerate(tables.names)}
-    for order, (column, names) in enumerate(shared.items()):
-        types = {name: tables.tables[name].schema[column].dataType for name in names}
-        common = _common_type(list(types.values()))
-        for name in names:
-            value = F.col(f"`{column}`").cast(common).cast("string")
-            # Long texts travel as a digest: only equality matters here.
-            key = F.md5(value) if common == "string" else value
-            cells.append(
-                tables.tables[name].filter(F.col(f"`{column}`").isNotNull()).select(
-                    F.lit(column).alias("column"), key.alias("value"), F.lit(position[name]).alias("held_by")
-                )
-            )
-        pairs += [
-            (column, order, a, b, position[a], position[b])
-            for i, a in enumerate(names) for b in names[i + 1:]
-        ]
-    words = range(-(-len(tables.names) // WORD))
-    bits = [
-        F.bit_or(F.expr(f"if(held_by div {WORD} = {w}, shiftleft(1L, held_by % {WORD}), 0L)")).alias(f"word_{w}")
-        for w in words
-    ]
-    names = [f"word_{w}" for w in words]
-    signatures = (
-        union_all(cells).groupBy("column", "value").agg(*bits)
-        .groupBy("column", *names).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("held_by", F.array(*names))
-    )
-    pair_rows = literal_rows(
-        tables.spark, pairs, "column string, column_order int, table_a string, table_b string, a int, b int"
-    )
-    has_a, has_b = (
-        F.expr(f"(shiftright(held_by[{side} div {WORD}], {side} % {WORD}) & 1) = 1") for side in ("a", "b")
-    )
-    counted = (
-        signatures.join(F.broadcast(pair_rows), "column")
-        .groupBy("column", "column_order", "table_a", "table_b", "a", "b")
-        .agg(
-            F.sum(F.when(has_a, F.col("n")).otherwise(0)).alias("n_a"),
-            F.sum(F.when(has_b, F.col("n")).otherwise(0)).alias("n_b"),
-            F.sum(F.when(has_a & has_b, F.col("n")).otherwise(0)).alias("n_overlap"),
-        )
-        .filter(F.col("n_overlap") > 0)
+    held = _blocks(cells, lambda df: df.distinct())
+    sets = (
+        held.groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
+        .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.select(
-        "column", "table_a", "table_b", "n_a", "n_b", "n_overlap",
-        (F.lit(100.0) * F.col("n_overlap") / F.least("n_a", "n_b")).alias("pct_of_smaller"),
+    sets = cut_lineage(sets)
+    sizes = sets.select("column", F.explode("held_by").alias("held_by"), "n").groupBy("column", "held_by").agg(F.sum("n").alias("size"))
+    with_later = F.transform("held_by", lambda a, i: F.struct(a.alias("a"), F.slice("held_by", i + 2, F.size("held_by")).alias("later")))
+    pairs = sets.where(F.size("held_by") > 1).select("column", "n", F.explode(with_later).alias("p"))
+    pairs = pairs.select("column", "n", F.col("p.a").alias("a"), F.explode("p.later").alias("b"))
+    counted = pairs.groupBy("column", "a", "b").agg(F.sum("n").alias("n_overlap"))
+
+    def side(key: str) -> DataFrame:
+        return sizes.select("column", F.col("held_by").alias(key), F.col("size").alias(f"n_{key}"))
+
+    named = counted.join(side("a"), ["column", "a"]).join(side("b"), ["column", "b"])
+    columns, names = F.lit(list(shared)), F.lit(list(tables.names))
+    return named.select(
+        F.get(columns, F.col("column")).alias("column"), F.get(names, F.col("a")).alias("table_a"), F.get(names, F.col("b")).alias("table_b"),
+        "n_a", "n_b", "n_overlap", (F.lit(100.0) * F.col("n_overlap") / F.least("n_a", "n_b")).alias("pct_of_smaller"),
     )
 
 
