@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,15 +23,15 @@ from tabulore.session import cut_lineage
 
 FIT_DOCS = 500  # labelled texts per language
 ROUNDS = 3
-LONGEST_PIECE = 10
 KNOWN_WORDS = 400_000  # words whose likelihoods a worker keeps
-LONGEST_WORD = 48  # longer runs of letters are scored in parts
+LONGEST_WORD = 48  # longer runs of letters are taken in parts
 UNKNOWN = 1e-7
 UNDETERMINED = "und"
 START = "▁"
 _LETTER_BYTES = np.zeros(256, bool)
 _LETTER_BYTES[97:123] = True
-_LETTER_BYTES[128:] = True  # letters outside ASCII, and rarer signs, which are unknown pieces to every language
+_LETTER_BYTES[128:] = True  # letters outside ASCII; other signs have gone
+_SIGNS = regex.compile(r"[^\p{L}\x00-\x7f]+")
 
 
 def vocabulary_pieces(model_file: str) -> list[str]:
@@ -39,7 +40,7 @@ def vocabulary_pieces(model_file: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if 0 < len(p) <= LONGEST_PIECE and (p == START or p.removeprefix(START).isalpha()))
+    return sorted(p for p in pieces if p and (p == START or p.removeprefix(START).isalpha()))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -57,7 +58,7 @@ class Pieces:
     """Finds which piece starts at each place of a text."""
 
     def __init__(self, pieces: Sequence[str]):
-        self.size = len(pieces)
+        self.size, self.longest = len(pieces), max(map(len, pieces), default=1)
         codes = _codes("".join(pieces))
         ends = np.cumsum([len(p) for p in pieces]) if len(pieces) else np.zeros(0, np.int64)
         self.hashes = self._of(_sums(codes), ends - np.array([len(p) for p in pieces], np.int64), ends)
@@ -99,7 +100,7 @@ class Lattice:
         self.lengths, self.starts, self.nodes = lengths[self.order], starts[self.order], len(codes)
         sums = _sums(codes)
         self.longest = int(self.lengths.max()) if len(words) else 0
-        self.ids = [None] + [pieces.at(sums, n) for n in range(1, min(LONGEST_PIECE, self.longest) + 1)]
+        self.ids = [None] + [pieces.at(sums, n) for n in range(1, min(pieces.longest, self.longest) + 1)]
         self.size = pieces.size
 
     def steps(self) -> Iterator[tuple[int, np.ndarray]]:
@@ -115,7 +116,7 @@ class Lattice:
         alpha[self.starts] = 1
         for k, starts in self.steps():
             total = np.zeros((len(starts), chances.shape[1]))
-            for n in range(1, min(k, LONGEST_PIECE) + 1):
+            for n in range(1, min(k + 1, len(self.ids))):
                 begin = starts + k - n
                 ids = self.ids[n][begin]
                 if n == 1:
@@ -144,7 +145,7 @@ class Lattice:
         for k in range(self.longest, 0, -1):
             starts = self.starts[: active[k]]
             end = beta[starts + k]
-            for n in range(1, min(k, LONGEST_PIECE) + 1):
+            for n in range(1, min(k + 1, len(self.ids))):
                 begin = starts + k - n
                 ids = self.ids[n][begin]
                 hit = np.arange(len(ids)) if n == 1 else np.flatnonzero(ids < self.size)
@@ -156,16 +157,23 @@ class Lattice:
 
 
 def _lower(column: pa.Array) -> pa.Array:
-    return pa.array([x.lower() if x else "" for x in column.to_pylist()], pa.large_string())
+    """Texts in lower case with a blank for every run of signs outside ASCII that are no letters, as fitting has it."""
+    return pa.array([(x if x.isascii() else _SIGNS.sub(" ", x)).lower() if x else "" for x in column.to_pylist()], pa.large_string())
 
 
-def word_log_likelihoods(words: Sequence[str], pieces: Pieces, chances: np.ndarray) -> np.ndarray:
-    """A row per word; words over ``LONGEST_WORD`` letters are the product of their parts."""
+def word_parts(words: Sequence[str]) -> tuple[list[str], list[int]]:
+    """Words in parts of at most ``LONGEST_WORD`` letters, and the number of the word of each part."""
     parts, owner = [], []
     for i, w in enumerate(words):
         for j in range(0, len(w), LONGEST_WORD):
             parts.append(w[j : j + LONGEST_WORD])
             owner.append(i)
+    return parts, owner
+
+
+def word_log_likelihoods(words: Sequence[str], pieces: Pieces, chances: np.ndarray) -> np.ndarray:
+    """A row per word; words over ``LONGEST_WORD`` letters are the product of their parts."""
+    parts, owner = word_parts(words)
     each = Lattice(parts, pieces).log_likelihoods(chances)
     if len(parts) == len(words):
         return each
@@ -252,9 +260,10 @@ def fit(df: DataFrame, model_file: str, text: str = "text", lang: str = "lang",
         for batch in batches:
             for at in range(0, batch.num_rows, 20_000):
                 part = batch.slice(at, 20_000)
-                given_words = [w[:LONGEST_WORD] for w in part.column(1).to_pylist()]
+                given_words, owner = word_parts(part.column(1).to_pylist())
                 times = np.zeros((len(given_words), len(languages)))
-                times[np.arange(len(given_words)), [column[x] for x in part.column(0).to_pylist()]] = part.column(2).to_numpy()
+                languages_of = np.array([column[x] for x in part.column(0).to_pylist()], np.int64)
+                times[np.arange(len(given_words)), languages_of[owner]] = part.column(2).to_numpy()[owner]
                 counts += Lattice(given_words, finder).expected_counts(chances, times)
         piece, language = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(language), pa.array(counts[piece, language])], names=["piece", "language", "uses"])

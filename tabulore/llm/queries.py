@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,6 @@ from tabulore.llm import (
     quality, token_counts, url_filters,
 )
 
-TOKENIZERS = "/opt/tokenizers"
 
 #: The entries that op13 applies.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -37,7 +37,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,14 +55,14 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    model = language_id.fit(documents.where(~F.coalesce(held_out, F.lit(False))), f"{TOKENIZERS}/piece_bpe_32k.model")
+    model = language_id.fit(documents.where(~F.coalesce(held_out, F.lit(False))), public_tokenizers.path("piece_bpe_32k.model"))
     rows = documents.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     return language_id.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.count_tokens(documents, f"{TOKENIZERS}/word_bpe_49k.json")
+    counted = token_counts.count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

@@ -121,7 +121,7 @@ def all_segmentations(word, chance, unknown):
     if not word:
         return 1.0
     total = 0.0
-    for n in range(1, min(len(word), language_id.LONGEST_PIECE) + 1):
+    for n in range(1, len(word) + 1):
         p = chance.get(word[:n], unknown if n == 1 else 0.0)
         total += p * all_segmentations(word[n:], chance, unknown) if p else 0.0
     return total
@@ -153,6 +153,11 @@ def test_language_id(spark, docs, no_docs):
     got = {r.doc_id: r for r in language_id.identify(test.withColumn("score", F.lit("clash")), model).collect()}
     assert [got[i].lang_pred for i in range(1, 7)] == ["de", "en", "und", "und", "und", "und"]
     assert got[1].score > 0.9 and got[3].score == 0
+    # A typographic apostrophe ends a word in scoring as in fitting, and long runs of letters are read whole.
+    pairs = [(1, "the’water’house’through"), (2, "the'water'house'through"), (3, "wasser" * 40 + "the"), (4, "wasser" * 40)]
+    pairs = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}
+    assert pairs[1].score == pairs[2].score and pairs[1].lang_pred == "en" and pairs[3].score != pairs[4].score or pairs[4].score == 1
+    assert language_id.word_parts(["a" * 100, "b"]) == (["a" * 48, "a" * 48, "aaaa", "b"], [0, 0, 0, 1])
     assert language_id.identify(docs, model).count() == len(ROWS)
     empty = language_id.fit(no_docs, PIECES)
     assert empty.languages == [] and {r.lang_pred for r in language_id.identify(docs, empty).collect()} == {"und"}
