@@ -54,7 +54,7 @@ def corpus_sql() -> dict[str, str]:
         "length_filter": "SELECT doc_id, text FROM documents WHERE length(text) BETWEEN 100 AND 50000",
         "drop_blank": f"SELECT page_id, url FROM pages WHERE html IS NOT NULL AND NOT {blank('html')}",
         "drop_blanked": "SELECT page_id, url FROM pages WHERE page_id % 3 <> 0 AND page_id % 5 <> 0",
-        "table_overwrite": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 1",
+        "table_overwrite": "SELECT o_orderkey, o_totalprice FROM orders",
         "json_result": "SELECT s_suppkey, s_name AS name, s_nationkey AS nation FROM supplier",
         "catalog_tables": """SELECT 'nation' AS "table", count(*) AS n_rows FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier""",
         "overlap_types": """WITH w AS (SELECT DISTINCT o_orderkey AS k FROM orders), e AS (SELECT DISTINCT o_orderkey * 2 AS k FROM orders)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.tables_sql import FULL_NAME, KEYS, RELATED, TABLES, gaps_sql
 from tabulore.functions.text import fixed, format_value, g6, metric_text, yes_no
 from tabulore.functions.values import head_map, lenient_json, user_tags
-from tabulore.operators import corpus, evals, groups, instruct, ranking, registry, relate
+from tabulore.operators import corpus, evals, groups, instruct, ranking, registry, relate, subwords
 from tabulore.operators.profile import Profile, ProfileOptions
 from tabulore.plans import prompts, qa_registry, qa_tables, verbalize
 from tabulore.session import cut_lineage, ensure_checkpoint_dir
@@ -217,6 +217,24 @@ def mask_spans(spark, sf_dir):
     )
 
 
+def subword_masks(spark, sf_dir):
+    """Masks over subword tokens of all turn pairs; labels as their number and sum."""
+    masked = subwords.subword_masks(instruct.to_instruct(turn_pairs(spark, sf_dir)), vocabulary())
+    return masked.select(
+        "conv_id", "turn", "n_tokens", "n_masked", "n_trainable",
+        F.aggregate("labels", F.lit(0).cast("long"), lambda total, x: total + x).alias("label_sum"))
+
+
+def subword_budget(spark, sf_dir):
+    return rounded(subwords.subword_budget(read(spark, sf_dir, "documents"), vocabulary(), by=["lang"]), 6, "pct_truncated")
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def cap_pairs(spark, sf_dir):
     qa = combined_pairs(spark, sf_dir)
     return ranking.cap_pairs(qa, 150, ("schema",)).select("category", "instruction", "response")
@@ -481,11 +499,10 @@ def drop_blanked(spark, sf_dir):
 
 
 def table_overwrite(spark, sf_dir):
-    """The second of two tables saved under one name."""
+    """All orders, saved under the name of a table that held all customers."""
     name = f"overwritten_{uuid.uuid4().hex}"
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    files.save_table(orders.filter("o_orderkey % 2 = 0"), name)
-    files.save_table(orders.filter("o_orderkey % 2 = 1"), name)
+    files.save_table(read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), name)
+    files.save_table(read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), name)
     return spark.table(name)
 
 
@@ -581,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "chat_prompt": lambda s, d: instruct.chat_prompt(read(s, d, "conversations")),
     "extract_response": extract_response,
     "mask_spans": mask_spans,
+    "subword_masks": subword_masks,
+    "subword_budget": subword_budget,
     # values
     "number_texts": number_texts,
     "json_values": json_values,

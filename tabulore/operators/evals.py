@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabulore.operators.corpus import words
 from tabulore.session import cut_lineage
 
-SALTS = 16
+HEAVY_SHARE = 1000
 
 
 def perplexity(losses: DataFrame, by: Sequence[str] = (), loss: str = "loss", tokens: str = "n_tokens") -> DataFrame:
@@ -32,22 +32,27 @@ def token_counts(df: DataFrame, by: Sequence[str], column: str = "text") -> Data
     )
 
 
-def unigram_losses(train: DataFrame, evaluated: DataFrame, key: str, column: str = "text", salts: int = SALTS) -> DataFrame:
+def unigram_losses(train: DataFrame, evaluated: DataFrame, key: str, column: str = "text", heavy_share: int = HEAVY_SHARE) -> DataFrame:
     """(key, n_tokens, loss): mean negative log likelihood of each evaluated text.
 
-    The model is an add-one smoothed unigram count of the training texts, with
-    one extra class for unseen tokens. A frequent token occurs in nearly every
-    text, so the join key carries a salt of the text key and each vocabulary row
-    is repeated once per salt; Spark broadcasts the vocabulary where it is small.
+    The model is an add-one smoothed unigram count of the training texts, with one extra class for unseen tokens. Counts
+    of both sides are partitioned by token, so each row of the vocabulary is moved once. Tokens that make up
+    one of ``heavy_share`` evaluated (text, token) rows or more would meet in one task; there are at most
+    ``heavy_share`` of them, and their rows stay where they are and get the model's part by broadcast.
     """
     model = cut_lineage(token_counts(train, [], column).withColumnRenamed("n", "n_seen"))
     size = model.agg(F.count(F.lit(1)).alias("types"), F.coalesce(F.sum("n_seen"), F.lit(0)).alias("tokens")).first()
     total = float(size["tokens"] + size["types"] + 1)
-    counted = token_counts(evaluated, [key], column)
-    salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = counted.withColumn("_salt", F.pmod(F.hash(key), F.lit(salts))).join(salted, ["token", "_salt"], "left")
+    counted = cut_lineage(token_counts(evaluated, [key], column))
+    least = F.lit(max(1, -(-counted.count() // heavy_share)))
+    found = counted.groupBy("token").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= least).select("token")
+    heavy = F.broadcast(cut_lineage(found.join(model, "token", "left").withColumn("heavy", F.lit(True))))
+    # At most ``heavy_share`` rows are broadcast.
+    split = counted.join(heavy, "token", "left")
+    common = split.where("heavy").drop("heavy")
+    rare = split.where("heavy IS NULL").drop("heavy", "n_seen").join(model, "token", "left")
     nll = -F.log((F.coalesce("n_seen", F.lit(0)) + 1) / F.lit(total))
-    return joined.groupBy(key).agg(
+    return common.select(key, "n", "n_seen").unionByName(rare.select(key, "n", "n_seen")).groupBy(key).agg(
         F.sum("n").alias("n_tokens"), (F.sum(F.col("n") * nll) / F.sum("n")).alias("loss")
     )
 

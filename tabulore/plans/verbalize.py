@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,26 +49,63 @@ def row_to_text(df: DataFrame, table: str, roles: Sequence[ColumnRole], keep: Se
     return df.select(*keep, F.expr(row_text(table, roles)).alias("text"))
 
 
+def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(closed, open): groups of ``size`` consecutive rows of ``lines`` (row, text), rows numbered from 1.
+
+    Runs of consecutive rows are gathered where they stand. A run that is a whole group is closed: (passage_id, lines).
+    Of the others, at the borders of files and tasks, the rows are returned as they are: (passage_id, row, text).
+    """
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in itertools.chain(batches, [None]):
+            table = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks() if rest is not None or batch is not None else None
+            if table is None or not table.num_rows:
+                continue
+            row, text = table["row"].to_numpy(), table["text"].combine_chunks()
+            group = (row - 1) // size
+            cuts = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 1) | (np.diff(group) != 0), [True]]))
+            if batch is not None:  # the last run may go on in the next batch
+                rest = table.slice(cuts[-2]).to_batches()[0]
+                cuts = cuts[:-1]
+            if len(cuts) < 2:
+                continue
+            first, length = cuts[:-1], np.diff(cuts)
+            whole = length == np.minimum(size, n_rows - group[first] * size)
+            inside = np.repeat(whole, length)
+            taken = text.take(pa.array(np.flatnonzero(inside)))
+            offsets = np.concatenate([[0], np.cumsum(length[whole])]).astype(np.int32)
+            nothing = pa.nulls(int(whole.sum()), pa.int64()), pa.nulls(int(whole.sum()), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group[first[whole]]), pa.ListArray.from_arrays(pa.array(offsets), taken), *nothing], names=names)
+            apart = np.flatnonzero(~inside)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group[apart]), pa.nulls(len(apart), pa.list_(pa.string())), pa.array(row[apart]), text.take(pa.array(apart))], names=names)
+
+    names = ["passage_id", "lines", "row", "text"]
+    found = lines.select("row", "text").mapInArrow(gather, "passage_id long, lines array<string>, row long, text string")
+    return found.where("lines is not null").select("passage_id", "lines"), found.where("lines is null").select("passage_id", "row", "text")
+
+
 def build_passages(
     df: DataFrame, table: str, roles: Sequence[ColumnRole], n_rows: int,
     order_by: Sequence[str] = (), rows_per_passage: int = ROWS_PER_PASSAGE,
 ) -> DataFrame:
     """(table, passage_id, text): consecutive rows in groups of ``rows_per_passage``.
 
-    Only the order's columns and the finished sentences are numbered and moved.
+    Only the order's columns and the finished sentences are numbered and moved, once: passages are closed inside the
+    range partitions, and only the rows of the open ones at the borders travel again.
     """
     keys = [f"_key{i}" for i in range(len(order_by))]
     told = df.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys, strict=True)], F.expr(row_text(table, roles)).alias("text"))
-    lines = number_rows(told, keys, "_row").selectExpr(
-        f"(_row - 1) div {rows_per_passage} as passage_id", "_row as row", "text"
-    )
+    lines = number_rows(told, keys, "_row").select(F.col("_row").alias("row"), "text")
     passage = fill(
         PASSAGES["passage"], readable=sql(readable_name(table)), table=sql(table), name=sql(plain_name(table)),
-        rows=joined("lines", "\n"), n_rows=str(n_rows), n_cols=str(len(roles)),
-    )
-    return lines.groupBy("passage_id").agg(F.expr(ordered("row, text")).alias("lines")).selectExpr(
-        f"{sql(table)} as table", "passage_id", f"{passage} as text"
+        rows="array_join(lines, '\n')", n_rows=str(n_rows), n_cols=str(len(roles)),
     )
+    closed, apart = closed_groups(lines, rows_per_passage, n_rows)
+    apart = apart.groupBy("passage_id").agg(F.expr(f"transform({ordered('row, text')}, i -> i.text)").alias("lines"))
+    return closed.unionByName(apart).selectExpr(f"{sql(table)} as table", "passage_id", f"{passage} as text")
 
 
 def readable_tables(profile: Profile) -> DataFrame:

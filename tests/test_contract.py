@@ -15,11 +15,15 @@ QUICK = (
 SMALL = contract.SMALL
 
 
+# SQL has no subword tokenizer; test_new_operators.py compares these with the library.
+WITHOUT_SQL = {"subword_masks", "subword_budget"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - WITHOUT_SQL <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", QUERIES if os.environ.get("ALL_QUERIES") else QUICK)
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL) if os.environ.get("ALL_QUERIES") else QUICK)
 def test_query_equals_sql(spark, name):
     problem, _ = difference(spark, connect(SMALL), SMALL, name, contract.oracle_sql()[name])
     assert not problem
