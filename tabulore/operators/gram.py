@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulore.sources.tables import union_all
+
 BLOCK = 64
 FAN_IN = 32
 ROWS = 4096  # rows multiplied at a time
@@ -72,21 +74,22 @@ def _added(table: pa.Table) -> np.ndarray:
     return total
 
 
-def correlations(df: DataFrame, columns: Sequence[str], centres: Sequence[float]) -> DataFrame:
-    """(a, b, n, r) for all pairs a < b of column numbers: rows with both, and Pearson's r over these.
+def table_correlations(tables: Sequence[tuple[str, DataFrame, Sequence[str], Sequence[float]]]) -> DataFrame:
+    """(table, a, b, n, r) for all pairs a < b of the column numbers of each table.
 
-    r is NULL where one of the two is constant over these rows (up to rounding) or there are fewer than two.
+    ``tables`` has names, frames, columns and centres as for ``gram``. n is the number of rows with both values, r is
+    Pearson's over these; NULL where one of the two is constant there (up to rounding) or there are fewer than two.
+    The matrices of all tables are added in the same two steps.
     """
-    count = len(columns)
+    counts = {name: len(columns) for name, _, columns, _ in tables}
+    kinds = "table string, " + MATRICES
 
     def add(table: pa.Table) -> pa.Table:
-        return pa.table({
-            "a": table["a"].slice(0, 1), "b": table["b"].slice(0, 1), "part": table["part"].slice(0, 1),
-            "sums": pa.array([_added(table).tobytes()], pa.binary())})
+        return table.slice(0, 1).drop_columns("sums").append_column("sums", pa.array([_added(table).tobytes()], pa.binary()))
 
     def finish(table: pa.Table) -> pa.Table:
-        i, j = table["a"][0].as_py(), table["b"][0].as_py()
-        wide, high = min(BLOCK, count - i * BLOCK), min(BLOCK, count - j * BLOCK)
+        name, i, j = (table[c][0].as_py() for c in ("table", "a", "b"))
+        wide, high = (min(BLOCK, counts[name] - k * BLOCK) for k in (i, j))
         n, sx, sy, sxx, syy, sxy = _added(table).reshape(KINDS, wide, high)
         with np.errstate(all="ignore"):
             spread_x, spread_y = sxx - sx * sx / n, syy - sy * sy / n
@@ -95,8 +98,15 @@ def correlations(df: DataFrame, columns: Sequence[str], centres: Sequence[float]
         a, b = np.meshgrid(np.arange(wide) + i * BLOCK, np.arange(high) + j * BLOCK, indexing="ij")
         keep = a < b
         return pa.table({
+            "table": pa.array([name] * int(keep.sum()), pa.string()),
             "a": pa.array(a[keep].astype(np.int32)), "b": pa.array(b[keep].astype(np.int32)), "n": pa.array(n[keep].astype(np.int64)),
             "r": pa.array(r[keep], mask=~(varies & np.isfinite(r))[keep])})
 
-    parts = gram(df, columns, centres).groupBy("a", "b", "part").applyInArrow(add, MATRICES)
-    return parts.groupBy("a", "b").applyInArrow(finish, "a int, b int, n long, r double")
+    parts = union_all([gram(df, columns, centres).select(F.lit(name).alias("table"), "a", "b", "part", "sums") for name, df, columns, centres in tables])
+    summed = parts.groupBy("table", "a", "b", "part").applyInArrow(add, kinds)
+    return summed.groupBy("table", "a", "b").applyInArrow(finish, "table string, a int, b int, n long, r double")
+
+
+def correlations(df: DataFrame, columns: Sequence[str], centres: Sequence[float]) -> DataFrame:
+    """(a, b, n, r): ``table_correlations`` of one table."""
+    return table_correlations([("", df, columns, centres)]).drop("table")

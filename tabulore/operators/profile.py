@@ -165,20 +165,18 @@ class Profile:
         rows = self.numeric.select("table", "column", "n_rows", "n", "avg", "stddev").collect()
         return {(row["table"], row["column"]): (row["n_rows"], row["n"], row["avg"], row["stddev"]) for row in rows}
 
-    def _pairs(self, table: str) -> DataFrame | None:
-        moments = {r.name: self._moments[table, r.name] for r in self.numeric_roles(table)}
-        known = [r for r in self.numeric_roles(table) if moments[r.name][3]]  # with a deviation
-        if len(known) < 2:
-            return None
-        found = gram.correlations(self.tables.tables[table], [number(r.name) for r in known], [moments[r.name][2] for r in known])
-        names, positions = F.lit([r.name for r in known]), F.lit([r.position for r in known])
-        side = lambda x: (F.get(names, F.col(x)).alias(f"col_{x}"), F.get(positions, F.col(x)).alias(f"pos_{x}"))
-        return found.select(F.lit(table).alias("table"), *side("a"), *side("b"), "r")
+    def _varying(self, table: str) -> list[ColumnRole]:
+        """Numeric columns with a deviation."""
+        return [r for r in self.numeric_roles(table) if self._moments[table, r.name][3]]
 
     @cached_property
     def correlations(self) -> DataFrame:
         """(table, col_a, pos_a, col_b, pos_b, r, rank) with rank by |r| descending."""
-        frames = [f for f in (self._pairs(name) for name in self.tables.names) if f is not None]
+        varying = {name: roles for name in self.tables.names if len(roles := self._varying(name)) > 1}
+        frames = [
+            (name, self.tables.tables[name], [number(r.name) for r in roles], [self._moments[name, r.name][2] for r in roles])
+            for name, roles in varying.items()
+        ]
         # Equal up to rounding errors counts as equal.
         by_size = Window.partitionBy("table").orderBy(F.round(F.abs("r"), 12).desc(), "pos_a", "pos_b")
         if not frames:
@@ -186,8 +184,16 @@ class Profile:
                 self.tables.spark, [],
                 "table string, col_a string, pos_a int, col_b string, pos_b int, r double, rank int",
             )
+        names = literal_rows(
+            self.tables.spark, [(name, n, r.name, r.position) for name, roles in varying.items() for n, r in enumerate(roles)],
+            "table string, n int, column string, position int",
+        )
+        side = lambda x: names.select(
+            "table", F.col("n").alias(x), F.col("column").alias(f"col_{x}"), F.col("position").alias(f"pos_{x}"))
+        found = gram.table_correlations(frames).where("r is not null")
+        named = found.join(side("a"), ["table", "a"]).join(side("b"), ["table", "b"])
         return self._kept(
-            union_all(frames).filter(F.col("r").isNotNull()).withColumn("rank", F.row_number().over(by_size))
+            named.select("table", "col_a", "pos_a", "col_b", "pos_b", "r").withColumn("rank", F.row_number().over(by_size))
         )
 
     # ---- passes 2 and 3 -----------------------------------------------------

@@ -108,13 +108,13 @@ def hopeful_holders(tables: TableSet) -> set[tuple[str, str]]:
     return {(columns[r["column"]], tables.names[r["held_by"]]) for r in found}
 
 
-def column_overlap(tables: TableSet, skip_hopeless: bool = True) -> DataFrame:
+def column_overlap(tables: TableSet, skip_hopeless: bool = False) -> DataFrame:
     """Distinct values of each shared column per table pair, and how many are common.
 
     A value is reduced to the set of tables that hold it, and equal sets are counted. Pairs are formed from those
     counted sets, never from rows and never from all tables: only pairs with a common value appear. With
-    ``skip_hopeless`` a sketch finds the columns that cannot overlap with any other, which are then not counted.
-    NULL is not a value.
+    ``skip_hopeless`` one more scan sketches the columns and finds those that cannot overlap with any other, which are
+    then not counted; it pays where most shared names are chance. NULL is not a value.
     """
     schema = (
         "column string, table_a string, table_b string, n_a bigint, n_b bigint, n_overlap bigint, "
@@ -130,7 +130,6 @@ def column_overlap(tables: TableSet, skip_hopeless: bool = True) -> DataFrame:
         held.groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
         .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
     )
-    sets = cut_lineage(sets)
     sizes = sets.select("column", F.explode("held_by").alias("held_by"), "n").groupBy("column", "held_by").agg(F.sum("n").alias("size"))
     with_later = F.transform("held_by", lambda a, i: F.struct(a.alias("a"), F.slice("held_by", i + 2, F.size("held_by")).alias("later")))
     pairs = sets.where(F.size("held_by") > 1).select("column", "n", F.explode(with_later).alias("p"))
