@@ -137,10 +137,10 @@ def _by_join(named: DataFrame, entries: DataFrame) -> DataFrame:
     most = entries.agg(F.max(labels), F.max(slashes)).first()
     best = entries.groupBy("host", "path").agg(F.min("verdict").alias("verdict"))  # allow comes before block
     best = best.select(
-        "host", F.when(slashes > 0, F.substring_index("path", "/", slashes)).otherwise("").alias("directory"), "path", "verdict")
+        "host", F.when(slashes > 0, F.call_function("substring_index", F.col("path"), F.lit("/"), slashes)).otherwise("").alias("directory"), "path", "verdict")
     places = named.select("at.host", "at.path").distinct().withColumn("place", F.struct("host", "path"))
-    ends = F.transform(F.sequence(F.lit(1), F.least(labels, F.lit(most[0]))), lambda i: F.substring_index("host", ".", -i))
-    starts = F.transform(F.sequence(F.lit(0), F.least(slashes, F.lit(most[1]))), lambda i: F.when(i > 0, F.substring_index("path", "/", i)).otherwise(""))
+    ends = F.transform(F.sequence(F.lit(1), F.least(labels, F.lit(most[0]))), lambda i: F.call_function("substring_index", F.col("host"), F.lit("."), -i))
+    starts = F.transform(F.sequence(F.lit(0), F.least(slashes, F.lit(most[1]))), lambda i: F.when(i > 0, F.call_function("substring_index", F.col("path"), F.lit("/"), i)).otherwise(""))
     keyed = places.select("place", F.explode(ends).alias("host"), starts.alias("starts"))
     keyed = keyed.select("place", "host", F.posexplode("starts").alias("depth", "directory"))
     length = F.size(F.split("path", "/")) - 1
