@@ -83,10 +83,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``df`` with the packed fingerprint of ``text``; a column of that name is replaced. No row moves."""
-    kept = [c for c in df.columns if c.lower() != name.lower()]
-    out = with_bits(df.select(*[F.col(f"`{c}`") for c in kept]), text, "_bits")
-    return out.withColumn(name, packed(F.col("_bits"))).drop("_bits")
+    """``df`` with the packed fingerprint of ``text``; a column of that name is replaced. No row moves.
+
+    Other columns come through, whatever they are called.
+    """
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    rows = df.select(F.struct(*map(quoted, df.columns)).alias("row"), quoted(text).alias("text"))
+    kept = [F.col(f"row.`{c.replace('`', '``')}`").alias(c) for c in df.columns if c.lower() != name.lower()]
+    return with_bits(rows, "text", "bits").select(*kept, packed(F.col("bits")).alias(name))
 
 
 def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

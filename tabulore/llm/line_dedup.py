@@ -56,26 +56,27 @@ def drop_boilerplate(
     Other lines, blank ones included, keep their order. A null text stays null and an empty one empty (0
     dropped). Rows without a host belong to no site and stay as they are, and count for no host. A line that a
     page repeats counts once for the page and is dropped everywhere in it. Repeated rows are pages of their
-    own. Every row stays; a page of nothing but boilerplate keeps an empty text. A column ``n_dropped`` of
-    ``df`` is replaced.
+    own. Every row stays; a page of nothing but boilerplate keeps an empty text. Other columns come through,
+    whatever they are called; a column ``n_dropped`` of ``df`` is replaced.
     """
     kept = [c for c in df.columns if c.lower() != "n_dropped"]
     lines = (
         boilerplate_lines(df, text, host, ratio, least_pages)
-        .groupBy("host").agg(F.collect_list("line_md5").alias("_boilerplate"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .withColumnRenamed("host", "_host")
+        .groupBy("host").agg(F.collect_list("line_md5").alias("boilerplate"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    pages = df.select(*[F.col(f"`{c}`") for c in kept]).withColumn(
-        "_page_salt", F.pmod(F.xxhash64(F.col(text)), F.lit(SALTS)).cast("int")
-    )
-    joined = pages.join(lines, (F.col(host) == F.col("_host")) & (F.col("_page_salt") == F.col("_salt")), "left")
+    # The row travels as one column, so that no name of the table meets a name used here.
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    pages = df.select(F.struct(*map(quoted, kept)).alias("row"), quoted(host).alias("of"), quoted(text).alias("text"))
+    pages = pages.withColumn("page_salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+    joined = pages.join(lines, (F.col("of") == F.col("host")) & (F.col("page_salt") == F.col("salt")), "left")
     left = F.filter(
-        page_lines(F.col(text)), lambda x: ~F.array_contains(F.col("_boilerplate"), F.md5(line_key(x).cast("binary")))
+        page_lines(F.col("text")), lambda x: ~F.array_contains(F.col("boilerplate"), F.md5(line_key(x).cast("binary")))
     )
-    clean = F.when(F.col("_boilerplate").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    joined = joined.withColumn("_clean", clean)
-    breaks = F.size(page_lines(F.col(text)))
-    dropped = F.when(F.col("_boilerplate").isNull() | F.col(text).isNull(), F.lit(0)).otherwise(breaks - F.size(left))
-    joined = joined.withColumn("n_dropped", dropped.cast("long"))
-    return joined.select(*[F.col("_clean").alias(c) if c == text else F.col(f"`{c}`") for c in kept], "n_dropped")
+    clean = F.when(F.col("boilerplate").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    joined = joined.withColumn("clean", clean)
+    breaks = F.size(page_lines(F.col("text")))
+    dropped = F.when(F.col("boilerplate").isNull() | F.col("text").isNull(), F.lit(0)).otherwise(breaks - F.size(left))
+    joined = joined.withColumn("dropped", dropped.cast("long"))
+    out = [F.col("clean" if c == text else f"row.`{c.replace('`', '``')}`").alias(c) for c in kept]
+    return joined.select(*out, F.col("dropped").alias("n_dropped"))

@@ -151,6 +151,11 @@ def test_fingerprints(spark, docs, no_docs):
     assert len({r.fingerprint for r in repeated if r.doc_id in (2, 5)}) == 1
     assert fingerprints.edited_fingerprints(no_docs).count() == 0
     assert fingerprints.fingerprint(docs.withColumn("fingerprint", F.lit(1))).columns[-1] == "fingerprint"
+    clash = ["_words", "_sorted", "_filled", "_bins", "_bits", "row", "bits"]
+    got = fingerprints.fingerprint(docs.withColumns({c: F.lit(c) for c in clash}))
+    assert got.columns == [*docs.columns, *clash, "fingerprint"]
+    plain = Counter(r.fingerprint for r in fingerprints.fingerprint(docs).collect())
+    assert Counter(r.fingerprint for r in got.collect()) == plain and all(r.bits == "bits" for r in got.collect())
 
 
 def test_quality(spark, docs, no_docs):

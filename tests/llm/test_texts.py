@@ -117,6 +117,15 @@ def test_line_dedup(spark, no_docs):
     assert ("h", 12, 14) in shares and ("lone", 1, 1) in shares
 
 
+def test_line_dedup_and_clashing_names(spark):
+    rows = [(i, f"menu\nown line {i}", "a", i, -i, f"x{i}") for i in range(6)]
+    names = ["doc_id", "text", "source"]
+    for clash in (["_host", "_salt", "_boilerplate"], ["host", "salt", "boilerplate"], ["row", "of", "clean"], ["dropped", "page_salt", "a.b"]):
+        got = line_dedup.drop_boilerplate(spark.createDataFrame(rows, names + clash))
+        assert got.columns == [*names, *clash, "n_dropped"]
+        assert sorted(map(tuple, got.collect())) == [(i, f"own line {i}", "a", i, -i, f"x{i}", 1) for i in range(6)]
+
+
 def all_segmentations(word, chance, unknown):
     if not word:
         return 1.0
