@@ -17,7 +17,7 @@ HEADLINE = (
     "numeric_profile", "null_profile", "value_counts", "correlations", "iqr_outliers", "multi_outliers", "compare_groups",
     "column_overlap", "clean_text", "dedup_exact", "corpus_stats", "split_exact", "split_hash", "replay_mix",
     "numbered_rows", "chat_prompt", "mask_spans", "number_texts", "row_text", "passages", "schema_overview",
-    "rank_metrics", "pairwise_models", "qa_registry", "unigram_losses", "perplexity", "qa_tables",
+    "rank_metrics", "version_wins", "pareto_items", "search_index", "pairwise_neighbours", "qa_registry_neighbours", "unigram_losses", "perplexity", "qa_tables",
 )
 
 

@@ -32,6 +32,7 @@ TURNS = """(SELECT a.conv_id, a.turn, a.text AS instruction, b.text AS response,
     FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant')"""
 COMBINED = f"""(SELECT instruction, response, category FROM {TURNS} UNION ALL
     SELECT 'Which language is document ' || doc_id || '?', lang, 'document' FROM documents)"""
+SEARCHED = "(VALUES ('THE '), ('ab'), ('Licensed under'), ('wxyzq')) t(term)"
 TEXT_COLUMNS = {
     "region": "r_name", "nation": "n_name", "customer": "c_name", "supplier": "s_name", "part": "p_name", "orders": "o_orderstatus",
     "lineitem": "l_returnflag", "events": "event_type", "documents": "text", "pages": "url", "benchmark": "text", "conversations": "text",
@@ -84,6 +85,11 @@ def corpus_sql() -> dict[str, str]:
         "instruct": f"SELECT conv_id, turn, {instruct_text} AS text FROM {TURNS}",
         "combine_qa": f"SELECT * FROM {COMBINED}",
         "category_counts": f"SELECT category, count(*) AS n FROM {COMBINED} GROUP BY category",
+        "search_index": f"SELECT q.*, t.term FROM {COMBINED} q, {SEARCHED} WHERE contains(lower(instruction), lower(term)) OR contains(lower(response), lower(term))",
+        "search_documents": f"SELECT doc_id, lang, term FROM documents, {SEARCHED} WHERE contains(lower(text), lower(term))",
+        "pareto_items": """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem a WHERE NOT EXISTS (SELECT 1 FROM
+            (SELECT DISTINCT l_quantity AS q, l_extendedprice AS p, l_discount AS d, l_tax AS t FROM lineitem) b
+            WHERE q >= l_quantity AND p <= l_extendedprice AND d >= l_discount AND t <= l_tax AND (q > l_quantity OR p < l_extendedprice OR d > l_discount OR t < l_tax))""",
         "search_qa": f"SELECT * FROM {COMBINED} WHERE contains(lower(instruction), 'the ') OR contains(lower(response), 'the ') ORDER BY instruction, response LIMIT 5",
         "cap_pairs": f"""WITH q AS (SELECT * FROM {COMBINED}), f AS (SELECT * FROM q WHERE category = 'schema'), o AS (SELECT * FROM q WHERE category <> 'schema')
             SELECT category, instruction, response FROM q WHERE (SELECT count(*) FROM q) <= 150
@@ -271,16 +277,19 @@ def registry_qa_sql() -> dict[str, list[str]]:
 
 def registry_sql() -> dict[str, str]:
     head = say(PROMPTS["model_head"], index="i", model="name", version="version")
-    block = f"""(SELECT string_agg(concat_ws(chr(10), {head}, {say(PROMPTS['model_stage'], stage='stage')},
+    texts = f"""(SELECT (i - 1) // BLOCK_SIZE AS block, string_agg(concat_ws(chr(10), {head}, {say(PROMPTS['model_stage'], stage='stage')},
         CASE WHEN description <> '' THEN {say(PROMPTS['model_description'], description='description')} END, 'Metrics:', mlist,
-        CASE WHEN plist IS NOT NULL THEN 'Parameters:' END, plist, ''), chr(10) ORDER BY i) FROM
+        CASE WHEN plist IS NOT NULL THEN 'Parameters:' END, plist, ''), chr(10) ORDER BY i) AS models FROM
         (SELECT m.*, row_number() OVER (ORDER BY name, version) AS i,
           (SELECT string_agg({say(PROMPTS['model_entry'], key='x.metric', value=fixed('x.value', 4))}, chr(10) ORDER BY x.metric) FROM mm x WHERE x.name = m.name AND x.version = m.version) AS mlist,
           (SELECT string_agg({say(PROMPTS['model_entry'], key='x.p', value='x.v')}, chr(10) ORDER BY x.p) FROM params x WHERE x.name = m.name AND x.version = m.version) AS plist
-         FROM mv m QUALIFY row_number() OVER (ORDER BY name, version) <= 10))"""
+         FROM mv m) GROUP BY block)"""
+    by_25 = texts.replace("BLOCK_SIZE", "25")
+    block = "(SELECT models FROM " + texts.replace("BLOCK_SIZE", "10") + " WHERE block = 0)"
     task = "'Forecast demand in ' || n_name"
     criteria = say(PROMPTS["criteria"], criteria="'Region ' || n_regionkey")
     prompt = say(PROMPTS["recommendation"], task=task, models=block, criteria=f"CASE WHEN n_regionkey % 2 = 0 THEN {criteria} ELSE '' END")
+    prompts = say(PROMPTS["recommendation"], task=task, models="models", criteria=f"CASE WHEN n_regionkey % 2 = 0 THEN {criteria} ELSE '' END")
     ops = "CASE t.op WHEN '>' THEN value > threshold WHEN '>=' THEN value >= threshold WHEN '<' THEN value < threshold ELSE value <= threshold END"
     sql = {
         "registry_models": """SELECT s_name AS name, CASE WHEN s_nationkey % 2 = 0 THEN 'Model of nation ' || s_nationkey ELSE '' END AS description
@@ -296,7 +305,6 @@ def registry_sql() -> dict[str, str]:
             CASE WHEN has_run THEN 't' || version ELSE 'none' END AS team, 2 AS n_tags FROM mv m""",
         "run_tags": BASE + """SELECT run_id, 'team' AS keys, CASE WHEN version % 2 = 1 THEN 'accuracy, f1' ELSE 'accuracy, inference_latency_ms' END AS first_metrics FROM ver WHERE version <> 7""",
         "rank_metrics": REG + "SELECT name, version, metric, direction, value, rnk AS rank, worst AS worst_rank, k AS n_models FROM ranked",
-        "pairwise_models": REG + "SELECT name_a, version_a, name_b, version_b, wins_a, wins_b, ties, n_shared FROM duel",
         "overall_winner": REG + "SELECT name, version, wins, n_metrics FROM winner",
         "fastest": REG + "SELECT metric, f.name, f.version, value, (SELECT name FROM acc1) AS accurate_name, (SELECT version FROM acc1) AS accurate_version FROM fast f",
         "metric_leaders": REG + """SELECT metric, k AS n_models, name, version, stage, value, 'accuracy' AS kind FROM best_acc
@@ -313,6 +321,13 @@ def registry_sql() -> dict[str, str]:
         "acceptance": REG + f"""SELECT name, version, m.metric, value, op, threshold::DOUBLE AS threshold, CASE WHEN {ops} THEN 'PASS' ELSE 'FAIL' END AS result,
             CASE WHEN bool_and({ops}) OVER (PARTITION BY name, version) THEN 'PASS' ELSE 'FAIL' END AS overall FROM mm m
             JOIN (VALUES ('r2', '>', 0.8), ('rmse', '<', 0.05), ('inference_latency_ms', '<=', 40), ('f1', '>=', 0.95)) t(metric, op, threshold) ON m.metric = t.metric""",
+        "version_wins": REG + """SELECT a.name, a.version, count(*) AS n_duels, count(*) FILTER (WHERE a.cost < b.cost) AS wins, count(*) FILTER (WHERE b.cost < a.cost) AS losses,
+            count(*) FILTER (WHERE a.value = b.value) AS ties FROM mm a JOIN mm b ON a.metric = b.metric AND (a.name <> b.name OR a.version <> b.version) GROUP BY ALL""",
+        "pareto_versions": REG + """, m4 AS (SELECT name, version, accuracy, inference_latency_ms, rmse, r2 FROM mv WHERE has_run)
+            SELECT * FROM m4 a WHERE NOT EXISTS (SELECT 1 FROM m4 b WHERE b.accuracy >= a.accuracy AND b.inference_latency_ms <= a.inference_latency_ms AND b.rmse <= a.rmse
+            AND b.r2 >= a.r2 AND (b.accuracy > a.accuracy OR b.inference_latency_ms < a.inference_latency_ms OR b.rmse < a.rmse OR b.r2 > a.r2))""",
+        "models_blocks": REG + f"SELECT * FROM {by_25}",
+        "recommendation_prompts": REG + f"SELECT {task} AS task, block, {prompts} AS prompt FROM nation, {by_25}",
         "models_block": REG + f"SELECT {block} AS models",
         "recommendation_prompt": REG + f"SELECT {task} AS task, {prompt} AS prompt FROM nation",
         "recommendation_record": REG + f"""SELECT {task} AS task, 'Use the first model for: ' || {task} AS recommendation, length({prompt})::INT AS prompt_chars,
@@ -320,11 +335,15 @@ def registry_sql() -> dict[str, str]:
     }
     families = registry_qa_sql()
     sql |= {key: REG + union(parts) for key, parts in families.items()}
-    sql["qa_registry"] = REG + union(part for parts in families.values() for part in parts)
+    sql["qa_model_comparison_neighbours"] = sql["qa_model_comparison"]
+    sql["pairwise_neighbours"] = REG + "SELECT name_a, version_a, name_b, version_b, wins_a, wins_b, ties, n_shared FROM duel"
+    sql["qa_registry_neighbours"] = REG + union(part for parts in families.values() for part in parts)
     every = {key: [part.replace(" FROM duel WHERE ", " FROM duel_all WHERE ") for part in parts] for key, parts in families.items()}
     sql["qa_model_comparison_all"] = EVERY + union(every["qa_model_comparison"])
     sql["qa_registry_all"] = EVERY + union(part for parts in every.values() for part in parts)
     sql["pairwise_all"] = EVERY + "SELECT name_a, version_a, name_b, version_b, wins_a, wins_b, ties, n_shared FROM duel_all"
+    # Under their plain names these compare every two versions.
+    sql |= {key: sql[f"{key}_all"] for key in ("qa_model_comparison", "qa_registry")} | {"pairwise_models": sql["pairwise_all"]}
     return sql
 
 

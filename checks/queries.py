@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.tables_sql import FULL_NAME, KEYS, RELATED, TABLES, gaps_sql
 from tabulore.functions.text import fixed, format_value, g6, metric_text, yes_no
 from tabulore.functions.values import head_map, lenient_json, user_tags
-from tabulore.operators import corpus, evals, groups, instruct, ranking, registry, relate, subwords
+from tabulore.operators import corpus, evals, groups, instruct, ranking, registry, relate, search, skyline, subwords
 from tabulore.operators.profile import Profile, ProfileOptions
 from tabulore.plans import prompts, qa_registry, qa_tables, verbalize
 from tabulore.session import cut_lineage, ensure_checkpoint_dir
@@ -20,6 +20,7 @@ from tabulore.sources import registry as models
 from tabulore.sources.tables import TableSet, extract_text, load_schema_text, union_all
 
 Query = Callable[[SparkSession, str], DataFrame]
+SEARCHED = ("THE ", "ab", "Licensed under", "wxyzq")
 GIVEN = [name for name in TABLES if name != "labelled"]
 
 
@@ -357,6 +358,28 @@ def pairwise_all(spark, sf_dir):
     return registry.pairwise_all(metric_rows(spark, sf_dir)).drop("metrics")
 
 
+def pareto_versions(spark, sf_dir):
+    return registry.pareto_versions(metric_rows(spark, sf_dir), ["accuracy", "inference_latency_ms", "rmse", "r2"])
+
+
+def pareto_items(spark, sf_dir):
+    """Items that no other is at least as good as in quantity, price, discount and tax and better in one of them."""
+    items = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return skyline.pareto_front(items, ["l_extendedprice", "l_tax"], ["l_quantity", "l_discount"])
+
+
+def search_index(spark, sf_dir):
+    """All pairs that mention each of some terms, one of them too short for trigrams, found by a stored index."""
+    index = search.TrigramIndex.build(combined_pairs(spark, sf_dir), ["instruction", "response"])
+    return union_all(index.search(term).withColumn("term", F.lit(term)) for term in SEARCHED)
+
+
+def search_documents(spark, sf_dir):
+    index = search.TrigramIndex.build(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["text"])
+    return union_all(index.search(term).select("doc_id", "lang", F.lit(term).alias("term")) for term in SEARCHED)
+
+
 def overall_winner(spark, sf_dir):
     return registry.overall_winner(registry.rank_metrics(metric_rows(spark, sf_dir))).select(
         "name", "version", "wins", "n_metrics")
@@ -593,6 +616,8 @@ QUERIES: dict[str, Query] = {
     "instruct": lambda s, d: instruct.to_instruct(turn_pairs(s, d)).select("conv_id", "turn", "text"),
     "combine_qa": combined_pairs,
     "category_counts": lambda s, d: instruct.category_counts(combined_pairs(s, d)),
+    "search_index": search_index,
+    "search_documents": search_documents,
     "search_qa": lambda s, d: instruct.search_qa(combined_pairs(s, d), "THE "),
     "cap_pairs": cap_pairs,
     "chat_prompt": lambda s, d: instruct.chat_prompt(read(s, d, "conversations")),
@@ -656,8 +681,12 @@ QUERIES: dict[str, Query] = {
     "attach_runs": attached,
     "run_tags": run_tags,
     "rank_metrics": ranked,
-    "pairwise_models": pairwise,
+    "pairwise_models": pairwise_all,
+    "pairwise_neighbours": pairwise,
     "pairwise_all": pairwise_all,
+    "version_wins": lambda s, d: registry.version_wins(metric_rows(s, d)),
+    "pareto_versions": pareto_versions,
+    "pareto_items": pareto_items,
     "overall_winner": overall_winner,
     "fastest": fastest,
     "metric_leaders": leaders,
@@ -672,10 +701,14 @@ QUERIES: dict[str, Query] = {
     "limitations": limitations,
     "acceptance": acceptance,
     "models_block": lambda s, d: prompts.models_block(model_versions(s, d), 10),
+    "models_blocks": lambda s, d: prompts.models_blocks(model_versions(s, d), 25),
+    "recommendation_prompts": lambda s, d: prompts.recommendation_prompts(tasks(s, d), model_versions(s, d), 25).select(
+        "task", "block", "prompt"),
     "recommendation_prompt": lambda s, d: prompts.recommendation_prompt(tasks(s, d), model_versions(s, d), 10).select("task", "prompt"),
     "recommendation_record": recommendation_record,
     "qa_model_info": registry_family(lambda v, mm: qa_registry.qa_model_info(v)),
-    "qa_model_comparison": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm, registry.neighbours(mm))),
+    "qa_model_comparison": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm)),
+    "qa_model_comparison_neighbours": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm, registry.neighbours(mm))),
     "qa_model_comparison_all": registry_family(lambda v, mm: qa_registry.qa_model_comparison(mm)),
     "qa_recommendation": registry_family(lambda v, mm: union_all(
         [qa_registry.qa_overall(v, mm), qa_registry.qa_speed(mm), qa_registry.qa_accuracy(mm)])),
@@ -685,7 +718,8 @@ QUERIES: dict[str, Query] = {
     "qa_reliability": registry_family(qa_registry.qa_reliability),
     "qa_registry_reproducibility": registry_family(lambda v, mm: qa_registry.qa_reproducibility(v)),
     "qa_fitness": registry_family(qa_registry.qa_fitness),
-    "qa_registry": registry_qa,
+    "qa_registry": registry_qa_all,
+    "qa_registry_neighbours": registry_qa,
     "qa_registry_all": registry_qa_all,
     # evaluation
     "unigram_losses": unigram_losses,

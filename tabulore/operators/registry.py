@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabulore.functions.text import fill
 from tabulore.operators.ranking import number_rows
+from tabulore.operators.skyline import pareto_front
 from tabulore.plans.templates import CLAUSES
 from tabulore.session import cut_lineage
 
@@ -143,6 +144,34 @@ def pairwise_all(mm: DataFrame, tie: str = "apart") -> DataFrame:
     )
 
 
+def version_wins(mm: DataFrame) -> DataFrame:
+    """(name, version, n_duels, wins, losses, ties): each version against all others that record the same metrics.
+
+    The sums of ``pairwise_all`` over all opponents, without its pairs: in the order of a metric the versions behind a
+    version and its equals are those it beats, and the versions before them beat it.
+    """
+    ranked = rank_metrics(mm)
+    ties = ranked.groupBy("metric", "value").agg(F.min("rank").alias("first"))
+    placed = ranked.join(ties, ["metric", "value"]).select(
+        *VERSION, (F.col("n_models") - 1).alias("duels"), (F.col("worst_rank") - 1).alias("won"), (F.col("first") - 1).alias("lost")
+    )
+    totals = placed.groupBy(*VERSION).agg(
+        F.sum("duels").alias("n_duels"), F.sum("won").alias("wins"), F.sum("lost").alias("losses")
+    )
+    return totals.filter("n_duels > 0").withColumn("ties", F.expr("n_duels - wins - losses"))
+
+
+def pareto_versions(mm: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Versions that record all the metrics and that no other one beats: (name, version, one column per metric).
+
+    The direction of each metric follows from its name.
+    """
+    wide = mm.filter(F.col("metric").isin(list(metrics))).groupBy(*VERSION).pivot("metric", list(metrics)).agg(F.first("value"))
+    low = {r["metric"] for r in mm.sparkSession.createDataFrame([(m,) for m in metrics], "metric string").filter(
+        direction(F.col("metric")) == "lowest").collect()}
+    return pareto_front(wide, [m for m in metrics if m in low], [m for m in metrics if m not in low])
+
+
 def pairwise_models(mm: DataFrame, pairs: DataFrame, tie: str = "apart") -> DataFrame:
     """Wins of each given pair (name_a, version_a, name_b, version_b) over their shared metrics.
 

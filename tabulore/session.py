@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,23 @@ def build_session(app_name: str = "tabulore", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+#: Folders stored inside the blocks of ``stored_frames`` that are open, the innermost last.
+_stored: list[list[str]] = []
+
+
+@contextmanager
+def stored_frames(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``cut_lineage`` stored inside the block when it ends; frames from inside must have been used by then."""
+    _stored.append([])
+    try:
+        yield
+    finally:
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _stored.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(configuration).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the folder named in ``spark.checkpoint.dir``, or one beside the warehouse, which executors share too."""
     context = spark.sparkContext
@@ -33,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not context.master.startswith("local") and (warehouse.startswith("file:") or ":" not in warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{warehouse.rstrip('/')}/_checkpoints"
     context.setCheckpointDir(folder)
     return folder
 
@@ -46,5 +68,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tabulore/{uuid.uuid4().hex}"
+    if _stored:
+        _stored[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from checks.queries import QUERIES
 # The quick ones; set ALL_QUERIES=1 to compare every query with its SQL.
 QUICK = (
     "table_profile", "column_overlap", "overlap_types", "metric_direction", "gaps_numeric", "table_overwrite", "json_result", "top_categories", "clean_text", "dedup_exact", "split_exact", "replay_mix", "cap_pairs",
-    "numbered_rows", "chat_prompt", "mask_spans", "json_values", "row_text", "attach_runs", "pairwise_models", "qa_trade_off",
+    "numbered_rows", "chat_prompt", "mask_spans", "json_values", "row_text", "attach_runs", "pairwise_models", "version_wins", "pareto_versions", "search_index", "recommendation_prompts", "qa_trade_off",
     "recommendation_prompt", "perplexity", "training_summary",
 )
 SMALL = contract.SMALL

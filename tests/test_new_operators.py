@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabulore.operators import evals, gram, instruct, relate, subwords
+from tabulore.operators import evals, gram, instruct, registry, relate, search, skyline, subwords
 from tabulore.plans import verbalize
+from tabulore.session import cut_lineage, stored_frames
 from tabulore.sources.tables import TableSet
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -140,3 +141,73 @@ def test_unigram_losses_equal_brute_force(spark, share):
     for i, tokens in want.items():
         loss = -sum(math.log((seen[w] + 1) / total) for w in tokens) / len(tokens)
         assert got[i][0] == len(tokens) and abs(got[i][1] - loss) < 1e-9
+
+
+@pytest.mark.parametrize("shape", ["ties", "wide front"])
+def test_pareto_front_equals_brute_force(spark, monkeypatch, shape):
+    monkeypatch.setattr(skyline, "BLOCK", 50)  # many blocks
+    draw = random.Random(4)
+    rows = []
+    for i in range(1500):
+        x, y = draw.random(), draw.gauss(0, 1)
+        if shape == "ties":
+            x, y = round(x, 1), draw.choice([round(y, 1), None, math.nan, math.inf, -0.0, 0.0])
+        # On the wide front a better x costs z, so that most rows stay.
+        rows.append((i, x, y, -x * 1e6 if shape == "wide front" else float(draw.randint(0, 3))))
+    df = spark.createDataFrame(rows, "number long, `a.b` double, costs double, row double").repartition(5)
+    got = sorted(r.number for r in skyline.pareto_front(df, ["a.b", "row"], ["costs"]).collect())
+    fine = [r for r in rows if r[2] is not None and math.isfinite(r[2])]
+    beats = lambda p, q: p[1] <= q[1] and p[2] >= q[2] and p[3] <= q[3] and p[1:] != q[1:]
+    assert got == [q[0] for q in fine if not any(beats(p, q) for p in fine)]
+    assert shape == "ties" or len(got) > 1000
+    assert skyline.pareto_front(df.limit(0), ["costs"]).columns == df.columns and skyline.pareto_front(df.limit(0), ["costs"]).count() == 0
+    with pytest.raises(ValueError, match="measure"):
+        skyline.pareto_front(df)
+
+
+def test_version_wins_are_the_sums_of_all_pairs(spark):
+    draw = random.Random(6)
+    versions = [
+        (f"m{i // 3}", i % 3 + 1, "Staging", {m: float(draw.randint(0, 4)) for m in ("f1", "rmse", "r2") if draw.random() < 0.8} | {f"own{i}_loss": 1.0})
+        for i in range(40)
+    ]
+    mm = registry.model_metrics(spark.createDataFrame(versions, "name string, version int, stage string, metrics map<string,double>"))
+    want = Counter()
+    for p in registry.pairwise_all(mm).collect():
+        for key, won, lost in (((p.name_a, p.version_a), p.wins_a, p.wins_b), ((p.name_b, p.version_b), p.wins_b, p.wins_a)):
+            want.update({(key, "duels"): p.n_shared, (key, "won"): won, (key, "lost"): lost, (key, "tied"): p.ties})
+    got = Counter()
+    for r in registry.version_wins(mm).collect():
+        got.update({((r.name, r.version), k): v for k, v in (("duels", r.n_duels), ("won", r.wins), ("lost", r.losses), ("tied", r.ties))})
+    assert +got == +want
+
+
+def test_search_with_and_without_index(spark, monkeypatch):
+    draw = random.Random(7)
+    text = lambda: draw.choice([None, "", "".join(draw.choices("abcÀÉ \n😀", k=draw.randint(1, 60)))])
+    rows = [(text(), text(), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "instruction string, response string, row long").repartition(3)
+    index = search.TrigramIndex.build(df, ["instruction", "response"])
+    for few in (1000, 3):  # rows read by number, rows read by a join
+        monkeypatch.setattr(search, "FEW_ROWS", few)
+        for term in ("a", "", "AB", "abc", "àé", "c\na", "😀a b", "b😀", "abcabcabcabcabcabcabcabc", "c" * 70):
+            wanted = sorted(r.row for r in instruct.search_qa(df, term, 1000).collect())
+            assert sorted(r.row for r in index.search(term).collect()) == wanted
+    order = ["instruction", "response", "row"]
+    assert index.search("ca", 5, order).collect() == instruct.search_qa(df, "ca", 5, order).collect()
+    assert search.TrigramIndex.build(df.limit(0), ["response"]).search("abc").count() == 0
+
+
+def test_stored_frames_are_deleted(spark, tmp_path):
+    with stored_frames(spark):
+        kept = cut_lineage(spark.range(5))
+        with stored_frames(spark):
+            inner = cut_lineage(spark.range(3))
+            assert inner.count() == 3
+        assert not inner_files(spark, inner) and inner_files(spark, kept) and kept.count() == 5
+    assert not inner_files(spark, kept)
+
+
+def inner_files(spark, df):
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0])
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
