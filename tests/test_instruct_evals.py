@@ -47,12 +47,13 @@ def test_perplexity(spark):
     assert (row.std_loss, row.num_samples, row.total_tokens) == (1.0, 2, 40)
 
 
-def test_unigram_losses_do_not_depend_on_salts(spark):
+def test_unigram_losses_do_not_depend_on_heavy_tokens(spark):
     train = spark.createDataFrame([("the cat the dog",), ("the end",)], "text string")
     held = spark.createDataFrame([(1, "the the new"), (2, "cat dog"), (3, "the")], "id int, text string")
     key = lambda df: [(r.id, r.n_tokens, round(r.loss, 12)) for r in df.orderBy("id").collect()]
     small = key(evals.unigram_losses(train, held, "id"))
-    assert small == key(evals.unigram_losses(train, held, "id", salts=1))
+    # No token is heavy with a share of one, all are with the default.
+    assert small == key(evals.unigram_losses(train, held, "id", heavy_share=1))
     # 6 tokens, 4 types, one class for unseen tokens: the smoothed total is 11.
     assert small[0] == (1, 3, round((-2 * math.log(4 / 11) - math.log(1 / 11)) / 3, 12))
 
