@@ -23,6 +23,9 @@ from tabulore.sources.tables import union_all
 DIRECT_LIMIT = 10_000  # rows in a bracket that are ranked one by one
 BUCKETS = 4096
 LARGEST = 1.7e308
+SKETCH_SIZE = 4096
+SKETCH_MARGIN = 0.002  # rank error to either side that a sketch of this size stays below with over 99 %
+SKETCH_PARTS = 64  # tasks that merge the sketches of all input partitions first
 
 
 @dataclass
@@ -94,10 +97,82 @@ def _long(sources: Sequence[tuple[DataFrame, Sequence[Target]]], cell) -> tuple[
             owners[len(owners)] = waiting
             cells.append(f"named_struct('id', {len(owners) - 1}, 'bucket', {cell(value, lo, hi)}, 'value', {value})")
         if cells:
-            frames.append(df.selectExpr(f"inline(array({', '.join(cells)}))").filter("bucket is not null"))
+            frames.append(df.selectExpr(f"inline(filter(array({', '.join(cells)}), c -> c.bucket is not null))"))
     return union_all(frames), owners
 
 
+def _sketch_ends(sources: Sequence[tuple[DataFrame, Sequence[Target]]]) -> dict[str, tuple[float, float]]:
+    """Proposed ends of the brackets, by target key; every input partition adds one sketch per value."""
+    frames, owners = [], {}
+    for df, targets in sources:
+        values: dict[str, list[Target]] = {}
+        for t in targets:
+            values.setdefault(t.value, []).append(t)
+        if not values:
+            continue
+        first = len(owners)
+        owners.update(enumerate(values.values(), first))
+        sketches = [F.expr(f"kll_sketch_agg_double({x}, {SKETCH_SIZE})").alias(f"sketch_{n}") for n, x in enumerate(values)]
+        name = _free_name(df)
+        parts = df.withColumn(name, F.spark_partition_id() % SKETCH_PARTS)
+        each = ", ".join(f"named_struct('id', {first + n}, 'sketch', sketch_{n})" for n in range(len(values)))
+        frames.append(parts.groupBy(name).agg(*sketches).selectExpr(f"inline(array({each}))"))
+    def points(t: Target) -> list[float]:
+        share = t.rank / t.inside if t.share is None else t.share
+        return [min(max(share + side, 0.0), 1.0) for side in (-SKETCH_MARGIN, SKETCH_MARGIN)]
+
+    # The function takes one literal list of shares; quartiles of many columns have the same four.
+    wanted = sorted({p for waiting in owners.values() for t in waiting for p in points(t)})
+    merged = union_all(frames).groupBy("id").agg(F.expr(f"kll_merge_agg_double(sketch, {SKETCH_SIZE})").alias("sketch"))
+    listed = ", ".join(f"{p!r}D" for p in wanted)
+    found = {}
+    for row in merged.selectExpr("id", f"kll_sketch_get_quantile_double(sketch, array({listed})) as ends").collect():
+        at = dict(zip(wanted, row["ends"], strict=True))
+        for t in owners[row["id"]]:
+            found[t.key] = tuple(at[p] for p in points(t))
+    return found
+
+
+def _free_name(df: DataFrame) -> str:
+    taken, name = {c.lower() for c in df.columns}, "part"
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _narrow_by_sketch(sources: Sequence[tuple[DataFrame, Sequence[Target]]]) -> None:
+    """Replace the brackets of all given targets, which hold every value, by what a sketch and one exact count give."""
+    ends = _sketch_ends(sources)
+    frames, owners = [], []
+    for df, targets in sources:
+        counts = []
+        for t in targets:
+            lo, hi = map(_literal, ends[t.key])
+            counts.append(
+                f"named_struct('id', {len(owners)}, 'below', count_if({t.value} < {lo}), 'at_lo', count_if({t.value} = {lo}), "
+                f"'between', count_if({t.value} > {lo} and {t.value} < {hi}), 'at_hi', count_if({t.value} = {hi}))"
+            )
+            owners.append(t)
+        if counts:
+            frames.append(df.agg(F.expr(f"array({', '.join(counts)})").alias("counts")).select(F.inline("counts")))
+    for row in union_all(frames).collect():  # one row per target
+        t = owners[row["id"]]
+        lo, hi = ends[t.key]
+        at_hi = row["at_hi"] if hi > lo else 0
+        parts = [
+            (row["below"], t.lo, math.nextafter(lo, -math.inf)), (row["at_lo"], lo, lo),
+            (row["between"], math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf)), (at_hi, hi, hi),
+            (t.inside - row["below"] - row["at_lo"] - row["between"] - at_hi, math.nextafter(hi, math.inf), t.hi),
+        ]
+        for n, low, high in parts:
+            if t.rank <= t.below + n:
+                t.inside, t.lo, t.hi = n, low, high
+                break
+            t.below += n
+        if t.lo == t.hi:
+            t.result = t.lo
+
+
 def select_ranks(
     sources: Sequence[tuple[DataFrame, Sequence[Target]]],
     direct_limit: int = DIRECT_LIMIT,
@@ -122,6 +197,13 @@ def select_ranks(
         elif t.lo == t.hi:
             t.result = t.lo
 
+    def wide_doubles(group: Sequence[Target]) -> list[Target]:
+        return [t for t in group if not t.done and t.inside > direct_limit and t.below == 0 and isinstance(t.lo, float)]
+
+    doubles = [(df, wide_doubles(group)) for df, group in sources]
+    if any(group for _, group in doubles):
+        _narrow_by_sketch(doubles)
+
     logarithmic = False
     while any(not t.done and t.inside > direct_limit for t in targets):
         wide = [(df, [t for t in group if not t.done and t.inside > direct_limit]) for df, group in sources]

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabulore.operators import corpus, ranking
+from tabulore.operators import corpus, quantiles, ranking
 from tabulore.operators.quantiles import Target, clean_double, select_ranks
 
 
@@ -42,6 +42,22 @@ def test_order_statistics_of_close_large_integers(spark):
     assert found == {"1": 5, "61": 2**60, "62": 2**60 + 1, "131": 2**60 + 1}
 
 
+@pytest.mark.parametrize("shift", [0, -40, 40])
+def test_order_statistics_when_the_sketch_misses(spark, monkeypatch, shift):
+    """The counts decide, wherever the proposed bracket lies."""
+    values = [float(v) for v in range(300)] * 2 + [150.0] * 400 + [float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "part double").repartition(3)
+    shares = (0.0005, 0.1, 0.4, 0.5, 0.9, 1.0)
+    found = quantiles._sketch_ends
+
+    def moved(sources):
+        return {key: (lo + shift, hi + shift) for key, (lo, hi) in found(sources).items()}
+
+    monkeypatch.setattr(quantiles, "_sketch_ends", moved)
+    got = select_ranks([(df, [Target(str(s), "part", share=s) for s in shares])], direct_limit=20, buckets=8)
+    assert got == {str(s): brute(values, s) for s in shares}
+
+
 def test_order_statistics_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert select_ranks([(df, [Target("q", "x", share=0.5)])]) == {}
