@@ -13,8 +13,10 @@ question-answer templates are projections over them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from tabulore.operators.quantiles import (
     BUCKETS, DIRECT_LIMIT, Target, clean_double, select_ranks,
 )
 from tabulore.plans.templates import METADATA_KINDS
-from tabulore.session import cut_lineage
+from tabulore.session import cut_lineage, cut_lineage_of_blocks
 from tabulore.sources.tables import ColumnRole, TableSet, literal_rows, union_all
 
 
@@ -37,6 +39,7 @@ class ProfileOptions:
     fence_factor: float = 1.5
     direct_limit: int = DIRECT_LIMIT
     buckets: int = BUCKETS
+    tables_per_plan: int = 64
     exclude_columns: frozenset[str] = field(default_factory=frozenset)
     id_columns: dict[str, str] = field(default_factory=dict)
 
@@ -73,6 +76,13 @@ class Profile:
     def _kept(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df.repartition("table")) if self.keep else df
 
+    def _kept_union(self, frames: Iterable[DataFrame]) -> DataFrame:
+        """The union of one frame per table; stored ones are planned ``tables_per_plan`` at a time and appended."""
+        if not self.keep:
+            return union_all(frames)
+        blocks = batched(frames, self.options.tables_per_plan)
+        return cut_lineage_of_blocks(union_all(block).repartition("table") for block in blocks)
+
     def numeric_roles(self, table: str) -> list[ColumnRole]:
         return [
             r for r in self.tables.roles[table]
@@ -108,7 +118,7 @@ class Profile:
     @cached_property
     def summary(self) -> DataFrame:
         """One row per table: n_rows, nulls[], numeric[]."""
-        return self._kept(union_all(self._summarise(name) for name in self.tables.names))
+        return self._kept_union(self._summarise(name) for name in self.tables.names)
 
     @cached_property
     def table_sizes(self) -> DataFrame:
@@ -233,7 +243,7 @@ class Profile:
     def top_digests(self) -> DataFrame | None:
         """(table, column, digest, rank, n_values): the ``top_values`` most and the one least frequent value per column."""
         frames = [f for f in (self._top_digests(name) for name in self.tables.names) if f is not None]
-        return self._kept(union_all(frames)) if frames else None
+        return self._kept_union(frames) if frames else None
 
     def _group(self, table: str, with_numeric: bool) -> DataFrame | None:
         numeric = self.numeric_roles(table) if with_numeric else []
@@ -260,11 +270,11 @@ class Profile:
                 self.tables.spark, [], "table string, column string, position int, rank bigint, n_values bigint, value string, n bigint, "
                 f"stats array<{GROUP_FIELDS}>",
             )
-        return union_all(frames)
+        return self._kept_union(frames) if with_numeric else union_all(frames)
 
     @cached_property
     def _group_frame(self) -> DataFrame:
-        return self._kept(self._grouped(with_numeric=True))
+        return self._grouped(with_numeric=True)
 
     @cached_property
     def _value_frame(self) -> DataFrame:
@@ -371,7 +381,7 @@ class Profile:
     def spread(self) -> DataFrame:
         """(table, column, position, n_outlier, n_lower_half, n_upper_half, n_middle)."""
         frames = [f for f in (self._count_spread(name) for name in self.tables.names) if f is not None]
-        return self._kept(union_all(frames))
+        return self._kept_union(frames)
 
     @cached_property
     def outliers(self) -> DataFrame:
@@ -403,7 +413,7 @@ class Profile:
         frames = [f for f in (self._multi_outliers(name) for name in self.tables.names) if f is not None]
         if not frames:
             return literal_rows(self.tables.spark, [], "table string, id string, n_outlier int")
-        return self._kept(union_all(frames))
+        return self._kept_union(frames)
 
     # ---- frames derived from the passes ------------------------------------
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,9 +66,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Like a checkpoint it survives the loss of executors, and being a Parquet
     table later passes read only the columns they need.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tabulore/{uuid.uuid4().hex}"
-    if _stored:
-        _stored[-1].append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return cut_lineage_of_blocks([df])
+
+
+def cut_lineage_of_blocks(blocks: Iterable[DataFrame]) -> DataFrame:
+    """The same for the union of frames with equal columns: each is planned, written and forgotten before the next is built."""
+    path, first = None, None
+    for df in blocks:
+        if first is None:
+            first = df
+            path = f"{ensure_checkpoint_dir(df.sparkSession)}/tabulore/{uuid.uuid4().hex}"
+            if _stored:
+                _stored[-1].append(path)
+        df.write.mode("append").parquet(path)
+    if first is None:
+        raise ValueError("no frame to store")
+    return first.sparkSession.read.schema(first.schema).parquet(path)

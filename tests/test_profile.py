@@ -195,3 +195,18 @@ def test_row_questions(profile):
     assert whole["What are the measurements for id a in the T Nulls data?"] == (
         "For id a in the t_nulls table: Measurements: a of 1; b of 2. Properties: s is  .")
     assert all("id" not in r.instruction.split("for")[0] for r in asked if r.template_id == "row_cell")
+
+
+def test_stored_profiles_are_planned_in_blocks_of_tables(spark):
+    """Seven tables in blocks of three give what one plan over all gives, in one stored frame."""
+    frames = {
+        f"t{n}": spark.range(30 + n).selectExpr("id", "cast(id % 7 as double) as x", f"id * {n + 1}.5D as y", "cast(id % 3 as string) as kind")
+        for n in range(7)
+    }
+    frames["t3"] = frames["t3"].drop("kind")
+    tables = TableSet(spark, frames)
+    stored, planned = Profile(tables, ProfileOptions(tables_per_plan=3), keep=True), Profile(tables)
+    for name in ("summary", "spread", "values", "groups"):
+        rows = [sorted(map(str, getattr(p, name).collect())) for p in (stored, planned)]
+        assert rows[0] == rows[1] and rows[0], name
+    assert len({f.rsplit("/", 1)[0] for f in stored.summary.inputFiles()}) == 1
