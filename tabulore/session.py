@@ -71,14 +71,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def cut_lineage_of_blocks(blocks: Iterable[DataFrame]) -> DataFrame:
     """The same for the union of frames with equal columns: each is planned, written and forgotten before the next is built."""
-    path, first = None, None
+    path, first, mode = None, None, "error"
     for df in blocks:
         if first is None:
             first = df
             path = f"{ensure_checkpoint_dir(df.sparkSession)}/tabulore/{uuid.uuid4().hex}"
             if _stored:
                 _stored[-1].append(path)
-        df.write.mode("append").parquet(path)
+        df.write.mode(mode).parquet(path)
+        mode = "append"
     if first is None:
         raise ValueError("no frame to store")
     return first.sparkSession.read.schema(first.schema).parquet(path)
