@@ -70,6 +70,35 @@ def test_every_two_versions_are_compared(mm, monkeypatch, block):
     assert texts.count() == len(pairs)
 
 
+def test_pairs_are_compared_by_columns(spark, monkeypatch):
+    """NaN, zeros of both signs, NULL values and names, sparse metrics: as by the joins, without a lambda for each pair."""
+    monkeypatch.setattr(reg, "PAIR_BLOCK", 3)
+    nan = float("nan")
+    values = [
+        {"rmse": 1.0, "f1": nan}, {"rmse": nan, "f1": 0.5}, {"rmse": nan, "z": 0.0}, {"z": -0.0, "f1": nan}, {"f1": 0.5, "é": 1.0},
+        {"é": 0.25, "A": 7.0}, {}, {"rmse": float("inf"), "f1": float("-inf"), "A": 12345.678}, {"alone": 1.0},
+    ]
+    rows = [(f"v{i}", i % 2, "None", "", None, x, {}, {}) for i, x in enumerate(values)]
+    mm = reg.model_metrics(spark.createDataFrame(rows, src.MODEL_VERSION_SCHEMA))
+    mm = mm.withColumn("value", F.when((F.col("name") != "v0") | (F.col("metric") != "rmse"), F.col("value")))
+    versions = sorted((r["name"], r.version) for r in mm.select("name", "version").distinct().collect())
+    named = spark.createDataFrame(
+        [(*a, *b) for i, a in enumerate(versions) for b in versions[i + 1 :]], "name_a string, version_a int, name_b string, version_b int")
+    for tie in ("apart", "second"):
+        got, want = reg.pairwise_all(mm, tie), reg.pairwise_models(mm, named, tie)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        bare = reg.pairwise_all(mm, tie, columns=())
+        assert sorted(map(str, bare.collect())) == sorted(map(str, want.drop("metrics").collect()))
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    texts = [sorted(tuple(r) for r in qa_registry.qa_model_comparison(mm, of).filter("template_id = 'pairwise'").collect()) for of in (None, named)]
+    assert texts[0] == texts[1] and len(texts[0]) == want.count()
+    nameless = mm.withColumn("name", F.when(F.col("name") != "v1", F.col("name")))
+    assert reg.pairwise_all(nameless).count() == want.count()
+    with pytest.raises(Exception, match="a metric twice"):
+        reg.pairwise_all(mm.union(mm))
+
+
 def test_runs_are_attached_per_version(spark):
     versions = spark.createDataFrame(
         [("m", 1, "Production", "", "r1"), ("m", 2, "Staging", "own", "r2"), ("m", 3, "None", None, "gone")],
