@@ -8,15 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import cache
+from typing import TYPE_CHECKING
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulore.operators.instruct import IGNORED_LABEL
 from tabulore.plans.templates import PROMPTS
 
-BATCH_BYTES = 4 << 20
+if TYPE_CHECKING:
+    from tokenizers import Encoding
+
+BATCH_BYTES = 1 << 18  # of text encoded at a time; its tokens take up some fifty times that
 
 
 @cache
@@ -29,16 +35,15 @@ def _tokenizer(path: str):
     return found
 
 
-def _encoded(texts: Sequence[str], path: str) -> Iterator:
-    """The encoding of each text, in order, some ``BATCH_BYTES`` of text at a time."""
-    at = 0
+def _encoded(texts: pa.Array, path: str) -> Iterator[tuple[str, Encoding]]:
+    """Each text, '' for NULL, with its encoding, in order; some ``BATCH_BYTES`` of text at a time are Python objects."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    at, seen = 0, 0
     while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_BYTES):
-            size += len(texts[end])
-            end += 1
-        yield from _tokenizer(path).encode_batch(list(texts[at:end]), add_special_tokens=False)
-        at = end
+        end = max(at + 1, int(np.searchsorted(upto, seen + BATCH_BYTES, "right")))
+        some = [x or "" for x in texts.slice(at, end - at).to_pylist()]
+        yield from zip(some, _tokenizer(path).encode_batch(some, add_special_tokens=False), strict=True)
+        at, seen = end, int(upto[end - 1])
 
 
 def subword_masks(df: DataFrame, path: str, max_len: int = 1024, column: str = "text") -> DataFrame:
@@ -49,22 +54,28 @@ def subword_masks(df: DataFrame, path: str, max_len: int = 1024, column: str = "
     span of the instruction is measured in characters and compared with the tokens' offsets.
     """
     end = PROMPTS["instruction_end"]
+    new = ["n_tokens", "n_masked", "n_trainable", "labels"]
 
-    @F.pandas_udf("struct<n_tokens int, n_masked int, n_trainable int, labels array<int>>")
-    def masked(texts):
-        import pandas as pd
-
-        whole = [x or "" for x in texts]
-        rows = []
-        for text, found in zip(whole, _encoded(whole, path), strict=True):
+    @F.arrow_udf("struct<n_tokens int, n_masked int, n_trainable int, labels array<int>>")
+    def masked(texts: pa.Array) -> pa.Array:
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        sizes, heads, labels = [], [], []
+        for text, found in _encoded(texts, path):
             at = text.find(end)
             head = at + len(end) if at >= 0 else 0
-            ids = found.ids[:max_len]
+            ids = np.array(found.ids[:max_len], np.int32)
             n = sum(a < head for a, _ in found.offsets[:max_len])
-            rows.append((len(ids), n, len(ids) - n, [IGNORED_LABEL] * n + ids[n:]))
-        return pd.DataFrame(rows, columns=["n_tokens", "n_masked", "n_trainable", "labels"])
+            ids[:n] = IGNORED_LABEL
+            sizes.append(len(ids))
+            heads.append(n)
+            labels.append(ids)
+        n_tokens, n_masked = np.array(sizes, np.int32), np.array(heads, np.int32)
+        offsets = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *labels])))
+        return pa.StructArray.from_arrays(
+            [pa.array(n_tokens), pa.array(n_masked), pa.array(n_tokens - n_masked), listed], names=new)
 
-    new = ["n_tokens", "n_masked", "n_trainable", "labels"]
     kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
     return df.select(*kept, masked(F.col(f"`{column}`")).alias("_mask")).select(*kept, *[F.col("_mask")[c].alias(c) for c in new])
 
@@ -74,7 +85,7 @@ def subword_budget(df: DataFrame, path: str, max_len: int = 2048, column: str =
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(x.ids) for x in _encoded([x or "" for x in batch.column(len(by)).to_pylist()], path)]
+            sizes = [len(x) for _, x in _encoded(batch.column(len(by)), path)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(by)], pa.array(sizes, pa.int64())], names=schema.names)
 
     keys = df.select(*[F.col(f"`{c}`") for c in by])
