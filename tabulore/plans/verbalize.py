@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from tabulore.sources.tables import ColumnRole, has_hint, literal_rows, union_al
 # Hints that make a string column an identification field.
 IDENTIFICATION_HINTS = ("id", "name", "code", "key", "sample")
 ROWS_PER_PASSAGE = 5
+PIECE_BYTES = 1 << 20  # of text gathered into passages at a time
 
 
 def _group_of(role: ColumnRole) -> str:
@@ -49,16 +51,29 @@ def row_to_text(df: DataFrame, table: str, roles: Sequence[ColumnRole], keep: Se
     return df.select(*keep, F.expr(row_text(table, roles)).alias("text"))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut where more than ``PIECE_BYTES`` of text would come together; a batch is let go before the next is read."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy().astype(np.int64))
+        at, seen = 0, 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, seen + PIECE_BYTES, "right")))
+            yield batch.slice(at, end - at)
+            at, seen = end, int(upto[end - 1])
+        del batch
+
+
 def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame, DataFrame]:
     """(closed, open): groups of ``size`` consecutive rows of ``lines`` (row, text), rows numbered from 1.
 
     Runs of consecutive rows are gathered where they stand. A run that is a whole group is closed: (passage_id, lines).
-    Of the others, at the borders of files and tasks, the rows are returned as they are: (passage_id, row, text).
+    Of the others, at the borders of files and tasks, the rows are returned as they are: (passage_id, row, text). Besides
+    the batch that came, a task holds copies of some ``PIECE_BYTES`` of text.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
-        for batch in itertools.chain(batches, [None]):
+        for batch in itertools.chain(_pieces(batches), [None]):
             table = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks() if rest is not None or batch is not None else None
             if table is None or not table.num_rows:
                 continue
