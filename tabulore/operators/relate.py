@@ -125,10 +125,18 @@ def column_overlap(tables: TableSet, skip_hopeless: bool = False) -> DataFrame:
     cells = _keys(tables, shared, wanted)
     if not cells:
         return literal_rows(tables.spark, [], schema)
-    held = _blocks(cells, lambda df: df.distinct())
-    sets = (
-        held.groupBy("column", "value").agg(F.sort_array(F.collect_set("held_by")).alias("held_by"))
-        .groupBy("column", "held_by").agg(F.count(F.lit(1)).alias("n"))
+    # The tables that hold a value are the bits of whole numbers, 64 tables in each, so a cell is moved once.
+    held = _blocks(cells, lambda df: df.groupBy("column", "value", F.expr("held_by div 64").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, held_by % 64))").alias("bits")))
+    word = F.struct("word", "bits")
+    if len(tables.names) > 64 or len(cells) > PLANNED:
+        held = held.groupBy("column", "value").agg(F.sort_array(F.collect_list(word)).alias("held"))
+    else:
+        held = held.select("column", F.array(word).alias("held"))
+    positions = "flatten(transform(held, w -> transform(filter(sequence(0, 63), i -> getbit(w.bits, i) = 1), i -> cast(w.word * 64 + i as int))))"
+    # Few rows, and read three times below.
+    sets = cut_lineage(
+        held.groupBy("column", "held").agg(F.count(F.lit(1)).alias("n")).select("column", F.expr(f"array_sort({positions})").alias("held_by"), "n")
     )
     sizes = sets.select("column", F.explode("held_by").alias("held_by"), "n").groupBy("column", "held_by").agg(F.sum("n").alias("size"))
     with_later = F.transform("held_by", lambda a, i: F.struct(a.alias("a"), F.slice("held_by", i + 2, F.size("held_by")).alias("later")))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,42 @@ def test_stored_frames_are_deleted(spark, tmp_path):
 def inner_files(spark, df):
     path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0])
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_cells_of_an_overlap_are_moved_once(spark):
+    """70 tables, so two words of bits; every other value is NULL or comes twice."""
+    holds = {f"t{i:02d}": {v for v in range(40) if (v * 7 + i) % (i % 9 + 2) == 0} for i in range(70)}
+    values = lambda found: [(v,) for v in found] + [(v,) for v in found if v % 2] + [(None,)]
+    frames = {name: spark.createDataFrame(values(found), "id long") for name, found in holds.items()}
+    overlap = relate.column_overlap(TableSet(spark, frames))
+    got = {(r.table_a, r.table_b): (r.n_a, r.n_b, r.n_overlap) for r in overlap.collect()}
+    names = sorted(holds)
+    want = {
+        (a, b): (len(holds[a]), len(holds[b]), len(holds[a] & holds[b]))
+        for i, a in enumerate(names) for b in names[i + 1 :] if holds[a] & holds[b]
+    }
+    assert got == want
+    plan = overlap._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation [id" not in plan and "LogicalRDD [id" not in plan  # the tables are not read again
+
+
+def test_masks_hold_few_python_objects(spark, monkeypatch):
+    """Texts are encoded some bytes at a time, at any place of the cuts, and the labels of a batch are no Python lists."""
+    from pyspark.sql.types import ArrayType
+
+    monkeypatch.setattr(subwords, "BATCH_BYTES", 7)
+    texts = pa.array(["", None, "naïve", "a b c d e f g h", "x", "", "y z"])
+    assert [(t, len(e)) for t, e in subwords._encoded(texts.slice(1), PATH)] == [
+        (t, len(subwords._tokenizer(PATH).encode(t, add_special_tokens=False))) for t in ["", "naïve", "a b c d e f g h", "x", "", "y z"]]
+    masked = subwords.subword_masks(spark.createDataFrame(TEXTS, "id long, text string"), PATH, 8)
+    assert "ArrowEvalPython" in masked._jdf.queryExecution().executedPlan().toString()
+    assert isinstance(masked.schema["labels"].dataType, ArrayType)
+
+
+def test_pieces_of_a_batch_are_bounded(monkeypatch):
+    monkeypatch.setattr(verbalize, "PIECE_BYTES", 10)
+    texts = ["a" * n for n in (3, 3, 5, 40, 0, 0, 10, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1, 10), pa.int64()), pa.array(texts)], names=["row", "text"])
+    pieces = [p["text"].to_pylist() for p in verbalize._pieces(iter([batch.slice(0, 0), batch.slice(1)]))]
+    assert [t for p in pieces for t in p] == texts[1:]
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 10 for p in pieces) and len(pieces) > 3
