@@ -141,3 +141,21 @@ def test_documents(spark):
     assert (stats.n_docs, stats.n_chars, stats.est_tokens, stats.avg_chars) == (2, 6, 1.5, 3.0)
     steps = corpus.funnel({"raw": docs, "dedup": once}).orderBy("step").collect()
     assert [(r.stage, r.n_before, r.n_after) for r in steps] == [("raw", 100, 100), ("dedup", 100, 5)]
+
+
+def test_counting_aggregations_stay_small(spark, monkeypatch):
+    """Quartiles of six columns: no aggregation of the counts holds more than a few of them, and all are found."""
+    seen, united = [], quantiles.union_all
+
+    def recorded(frames):
+        frames = list(frames)
+        seen.extend(f._jdf.queryExecution().analyzed().toString().count("count_if(") for f in frames)
+        return united(frames)
+
+    monkeypatch.setattr(quantiles, "union_all", recorded)
+    df = spark.range(500, numPartitions=3).selectExpr(*[f"cast((id * {k + 3}) % 499 as double) as c{k}" for k in range(6)])
+    targets = [Target(f"c{k} {share}", f"c{k}", share=share) for k in range(6) for share in (0.25, 0.75)]
+    found = select_ranks([(df, targets)], direct_limit=20)
+    rows = df.collect()
+    assert found == {f"c{k} {share}": brute([r[k] for r in rows], share) for k in range(6) for share in (0.25, 0.75)}
+    assert 0 < max(seen) <= 4 * quantiles.COUNTED
