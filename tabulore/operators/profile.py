@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabulore.functions.text import g6, ref, sql
 from tabulore.operators import gram
 from tabulore.operators.quantiles import (
-    BUCKETS, DIRECT_LIMIT, Target, clean_double, select_ranks,
+    BUCKETS, COUNTED, DIRECT_LIMIT, Target, clean_double, select_ranks,
 )
 from tabulore.plans.templates import METADATA_KINDS
 from tabulore.session import cut_lineage, cut_lineage_of_blocks
@@ -374,7 +374,10 @@ class Profile:
         fields = (
             "struct<column:string,position:int,n_outlier:bigint,n_lower_half:bigint,n_upper_half:bigint,n_middle:bigint>"
         )
-        counted = self.tables.tables[table].agg(F.expr(array_of(counts, fields)).alias("counts"))
+        # Few columns in one aggregation, as for the order statistics.
+        counted = union_all(
+            self.tables.tables[table].agg(F.expr(array_of(list(some), fields)).alias("counts")) for some in batched(counts, COUNTED // 2)
+        )
         return counted.select(F.lit(table).alias("table"), F.inline("counts"))
 
     @cached_property
