@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulore.functions.text import clean_name, fill, g6, joined, ordered, plain_name, readable_name, ref, sql, yes_no
 from tabulore.operators.profile import Profile
 from tabulore.operators.ranking import number_rows
 from tabulore.operators.relate import shared_columns
 from tabulore.plans.templates import PASSAGES
+from tabulore.session import cut_lineage
 from tabulore.sources.tables import ColumnRole, has_hint, literal_rows, union_all
 
 # Hints that make a string column an identification field.
 IDENTIFICATION_HINTS = ("id", "name", "code", "key", "sample")
 ROWS_PER_PASSAGE = 5
 PIECE_BYTES = 1 << 20  # of text gathered into passages at a time
+MOVED_AS_THEY_ARE = (T.NumericType, T.BooleanType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _group_of(role: ColumnRole) -> str:
@@ -32,12 +35,12 @@ def _group_of(role: ColumnRole) -> str:
     return "properties"
 
 
-def row_text(table: str, roles: Sequence[ColumnRole]) -> str:
-    """SQL: one row as a sentence; NULL cells and empty groups are left out."""
+def row_text(table: str, roles: Sequence[ColumnRole], cell: Callable[[ColumnRole], str] = lambda role: ref(role.name)) -> str:
+    """SQL: one row as a sentence; NULL cells and empty groups are left out. ``cell`` names the column of a role."""
     groups: dict[str, list[str]] = {"identification": [], "measurements": [], "properties": []}
     for role in roles:
         if role.role != "nested":
-            x = ref(role.name)
+            x = cell(role)
             shown = g6(x) if role.is_fractional else yes_no(x) if role.is_boolean else x
             groups[_group_of(role)].append(fill(PASSAGES["field"], name=sql(plain_name(role.name)), value=shown))
     parts = [sql(PASSAGES["record"].format(readable=readable_name(table), table=table))]
@@ -68,7 +71,8 @@ def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame,
 
     Runs of consecutive rows are gathered where they stand. A run that is a whole group is closed: (passage_id, lines).
     Of the others, at the borders of files and tasks, the rows are returned as they are: (passage_id, row, text). Besides
-    the batch that came, a task holds copies of some ``PIECE_BYTES`` of text.
+    the batch that came, a task holds copies of some ``PIECE_BYTES`` of text. What is gathered is stored, as both results
+    come from it and have to see the same borders.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +102,8 @@ def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame,
                 [pa.array(group[apart]), pa.nulls(len(apart), pa.list_(pa.string())), pa.array(row[apart]), text.take(pa.array(apart))], names=names)
 
     names = ["passage_id", "lines", "row", "text"]
-    found = lines.select("row", "text").mapInArrow(gather, "passage_id long, lines array<string>, row long, text string")
-    return found.where("lines is not null").select("passage_id", "lines"), found.where("lines is null").select("passage_id", "row", "text")
+    found = cut_lineage(lines.select("row", "text").mapInArrow(gather, "passage_id long, lines array<string>, row long, text string"))
+    return found.where("row is null").select("passage_id", "lines"), found.where("row is not null").select("passage_id", "row", "text")
 
 
 def build_passages(
@@ -108,12 +112,21 @@ def build_passages(
 ) -> DataFrame:
     """(table, passage_id, text): consecutive rows in groups of ``rows_per_passage``.
 
-    Only the order's columns and the finished sentences are numbered and moved, once: passages are closed inside the
-    range partitions, and only the rows of the open ones at the borders travel again.
+    The cells are numbered and moved, once; sentences are written where the numbered rows stand, since numbering in an
+    order passes over its rows twice. Passages are closed inside the range partitions, and only the rows of the open ones
+    at the borders travel again.
     """
-    keys = [f"_key{i}" for i in range(len(order_by))]
-    told = df.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys, strict=True)], F.expr(row_text(table, roles)).alias("text"))
-    lines = number_rows(told, keys, "_row").select(F.col("_row").alias("row"), "text")
+    shown = [r for r in roles if r.role != "nested"]
+    place = lambda role: f"_cell{role.position}"
+    cells = [
+        (F.col(ref(r.name)) if isinstance(r.data_type, MOVED_AS_THEY_ARE) else F.col(ref(r.name)).cast("string")).alias(place(r))
+        for r in shown
+    ]
+    moved = {r.name: place(r) for r in shown if isinstance(r.data_type, MOVED_AS_THEY_ARE)}
+    apart_keys = {c: f"_key{i}" for i, c in enumerate(order_by) if c not in moved}
+    keys = [moved.get(c) or apart_keys[c] for c in order_by]
+    numbered = number_rows(df.select(*[F.col(c).alias(k) for c, k in apart_keys.items()], *cells), keys, "_row")
+    lines = numbered.select(F.col("_row").alias("row"), F.expr(row_text(table, roles, place)).alias("text"))
     passage = fill(
         PASSAGES["passage"], readable=sql(readable_name(table)), table=sql(table), name=sql(plain_name(table)),
         rows="array_join(lines, '\n')", n_rows=str(n_rows), n_cols=str(len(roles)),
