@@ -2,7 +2,7 @@
 
 Pass 1  one aggregation: row count, nulls, numeric statistics; then one scan for
         the correlations, from matrices of products around the means.
-Pass 2  digests of categorical cells counted, the top ones kept per column.
+Pass 2  categorical cells counted (long ones by their digests), the top ones kept per column.
 Pass 3  statistics of the numeric columns within the top categories.
 Pass 4  exact quartiles, then conditional counts around fences and midpoints.
 
@@ -20,6 +20,7 @@ from itertools import batched
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulore.functions.text import g6, ref, sql
 from tabulore.operators import gram
@@ -49,6 +50,9 @@ NUMERIC_FIELDS = (
     "struct<column:string,position:int,is_fractional:boolean,n:bigint,min:double,max:double,avg:double,"
     "stddev:double,min_raw:string,max_raw:string>"
 )
+DIGEST_BYTES = 32
+#: Types whose cells are shown in fewer bytes than a digest.
+ALWAYS_SHORT = (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 GROUP_FIELDS = "struct<num:string,num_position:int,n:bigint,avg:double,stddev:double,min:double,max:double>"
 
 
@@ -57,6 +61,11 @@ def number(name: str) -> str:
     return clean_double(f"cast({ref(name)} as double)")
 
 
+def cell_key(value: str) -> str:
+    """SQL: what tells a cell apart; a value shorter than a digest stands for itself, so no two kinds are equal."""
+    return f"if(octet_length({value}) < {DIGEST_BYTES}, {value}, md5({value}))"
+
+
 def array_of(items: list[str], fields: str) -> str:
     return f"cast(array({', '.join(items)}) as array<{fields}>)"
 
@@ -208,9 +217,9 @@ class Profile:
 
     # ---- passes 2 and 3 -----------------------------------------------------
 
-    def _cells(self, table: str, keep: list[str]) -> DataFrame | None:
+    def _cells(self, table: str, keep: list[str], roles: list[ColumnRole] | None = None) -> DataFrame | None:
         """Categorical cells of a table in long form, next to the ``keep`` expressions."""
-        roles = self.categorical_roles(table)
+        roles = self.categorical_roles(table) if roles is None else roles
         if not roles:
             return None
         cells = ", ".join(
@@ -223,37 +232,43 @@ class Profile:
         if cells is None:
             return None
         counts = (
-            cells.select("column", "position", F.md5("value").alias("digest"))
-            .groupBy("column", "position", "digest").agg(F.count(F.lit(1)).alias("n"))
+            cells.selectExpr("column", "position", f"{cell_key('value')} as key")
+            .groupBy("column", "position", "key").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("digest", F.expr(f"if(octet_length(key) < {DIGEST_BYTES}, md5(key), key)"))
         )
         order = Window.partitionBy("column", "position").orderBy(F.desc("n"), F.asc_nulls_last("digest"))
         top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= self.options.top_values)
         # NULL takes one of the top places and is dropped afterwards.
         again = F.row_number().over(Window.partitionBy("column", "position").orderBy("rank"))
-        top = top.filter(F.col("digest").isNotNull()).select("column", "digest", again.cast("bigint").alias("rank"))
-        # The least frequent value, whose rank is the number of distinct values.
-        last = counts.filter(F.col("digest").isNotNull()).groupBy("column", "position").agg(
-            F.max_by("digest", F.struct(-F.col("n"), F.col("digest"))).alias("digest"), F.count(F.lit(1)).alias("rank")
-        ).select("column", "digest", "rank")
-        both = top.unionByName(last).groupBy("column", "digest").agg(F.min("rank").alias("rank"), F.max("rank").alias("n_values"))
+        fields = ["column", "position", "key", "digest", "n"]
+        top = top.filter(F.col("digest").isNotNull()).select(*fields, again.cast("bigint").alias("rank"))
+        # The least frequent value, whose rank is the number of distinct values. NULL is left out here and not by a filter
+        # before, with which the cells would be counted a second time.
+        place = F.when(F.col("digest").isNotNull(), F.struct(-F.col("n"), F.col("digest")))
+        last = counts.groupBy("column", "position").agg(
+            F.max_by(F.struct("key", "digest", "n"), place).alias("last"), F.count("digest").alias("rank")
+        ).filter(F.col("rank") > 0).select("column", "position", "last.key", "last.digest", "last.n", "rank")
+        both = top.unionByName(last).groupBy(*fields).agg(F.min("rank").alias("rank"), F.max("rank").alias("n_values"))
         is_last = F.max("n_values").over(Window.partitionBy("column"))
-        return both.withColumn("n_values", is_last).select(F.lit(table).alias("table"), "column", "digest", "rank", "n_values")
+        return both.withColumn("n_values", is_last).select(F.lit(table).alias("table"), *fields, "rank", "n_values")
 
     @cached_property
     def top_digests(self) -> DataFrame | None:
-        """(table, column, digest, rank, n_values): the ``top_values`` most and the one least frequent value per column."""
+        """(table, column, position, key, digest, n, rank, n_values): the ``top_values`` most and the one least frequent value per column."""
         frames = [f for f in (self._top_digests(name) for name in self.tables.names) if f is not None]
         return self._kept_union(frames) if frames else None
 
-    def _group(self, table: str, with_numeric: bool) -> DataFrame | None:
-        numeric = self.numeric_roles(table) if with_numeric else []
+    def _top(self, table: str) -> DataFrame | None:
+        return self.top_digests.filter(F.col("table") == table) if self.keep else self._top_digests(table)
+
+    def _group(self, table: str) -> DataFrame | None:
+        numeric = self.numeric_roles(table)
         cells = self._cells(table, [f"{number(r.name)} as num_{r.position}" for r in numeric])
         if cells is None:
             return None
-        top = self.top_digests.filter(F.col("table") == table) if self.keep else self._top_digests(table)
         # Bounded: top_values + 1 rows per categorical column of one table.
-        matched = cells.withColumn("digest", F.md5("value")).join(
-            F.broadcast(top.select("column", "digest", "rank", "n_values")), ["column", "digest"]
+        matched = cells.withColumn("key", F.expr(cell_key("value"))).join(
+            F.broadcast(self._top(table).select("column", "key", "rank", "n_values")), ["column", "key"]
         )
         stats = [
             f"struct({sql(r.name)}, {r.position}, count({x}), avg({x}), stddev_samp({x}), min({x}), max({x}))"
@@ -263,23 +278,53 @@ class Profile:
             F.expr("count(1)").alias("n"), F.expr(array_of(stats, GROUP_FIELDS)).alias("stats")
         ).select(F.lit(table).alias("table"), "*")
 
-    def _grouped(self, with_numeric: bool) -> DataFrame:
-        frames = [f for f in (self._group(name, with_numeric) for name in self.tables.names) if f is not None]
+    @cached_property
+    def _group_frame(self) -> DataFrame:
+        frames = [f for f in (self._group(name) for name in self.tables.names) if f is not None]
         if not frames:
             return literal_rows(
                 self.tables.spark, [], "table string, column string, position int, rank bigint, n_values bigint, value string, n bigint, "
                 f"stats array<{GROUP_FIELDS}>",
             )
-        return self._kept_union(frames) if with_numeric else union_all(frames)
+        return self._kept_union(frames)
 
     @cached_property
-    def _group_frame(self) -> DataFrame:
-        return self._grouped(with_numeric=True)
+    def _long_columns(self) -> dict[str, set[str]]:
+        """Columns per table with top values that are not their own keys; on the driver, at most one row per column."""
+        found: dict[str, set[str]] = {}
+        if self.keep and self.top_digests is not None:
+            for row in self.top_digests.filter(f"octet_length(key) >= {DIGEST_BYTES}").select("table", "column").distinct().collect():
+                found.setdefault(row["table"], set()).add(row["column"])
+        elif not self.keep:
+            for name in self.tables.names:
+                found[name] = {r.name for r in self.categorical_roles(name) if not isinstance(r.data_type, ALWAYS_SHORT)}
+        return found
+
+    def _value(self, table: str) -> DataFrame | None:
+        """The top values with the counts of pass 2; only long ones are looked up in the table."""
+        top = self._top(table) if self.categorical_roles(table) else None
+        if top is None:
+            return None
+        is_short = F.octet_length("key") < DIGEST_BYTES
+        fields = ["table", "column", "position", "rank", "n_values", "value", "n"]
+        known = top.filter(is_short).withColumn("value", F.col("key")).select(*fields)
+        roles = [r for r in self.categorical_roles(table) if r.name in self._long_columns.get(table, ())]
+        if not roles:
+            return known
+        sought = top.filter(~is_short).select("column", "key", "rank", "n_values", "n")
+        # Bounded: top_values + 1 rows per categorical column of one table.
+        cells = self._cells(table, [], roles).filter(F.octet_length("value") >= DIGEST_BYTES).withColumn("key", F.md5("value"))
+        looked_up = cells.join(F.broadcast(sought), ["column", "key"]).select(F.lit(table).alias("table"), *fields[1:]).distinct()
+        return known.unionByName(looked_up)
 
     @cached_property
     def _value_frame(self) -> DataFrame:
-        source = self._group_frame if self.keep else self._grouped(with_numeric=False)
-        return source.select("table", "column", "position", "rank", "n_values", "value", "n")
+        if self.keep and "_group_frame" in self.__dict__:
+            return self._group_frame.select("table", "column", "position", "rank", "n_values", "value", "n")
+        frames = [f for f in (self._value(name) for name in self.tables.names) if f is not None]
+        if not frames:
+            return self._group_frame.select("table", "column", "position", "rank", "n_values", "value", "n")
+        return self._kept_union(frames)
 
     @cached_property
     def values(self) -> DataFrame:
