@@ -66,13 +66,13 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         del batch
 
 
-def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame, DataFrame]:
+def closed_groups(lines: DataFrame, size: int, n_rows: int, written: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(closed, open): groups of ``size`` consecutive rows of ``lines`` (row, text), rows numbered from 1.
 
     Runs of consecutive rows are gathered where they stand. A run that is a whole group is closed: (passage_id, lines).
     Of the others, at the borders of files and tasks, the rows are returned as they are: (passage_id, row, text). Besides
     the batch that came, a task holds copies of some ``PIECE_BYTES`` of text. What is gathered is stored, as both results
-    come from it and have to see the same borders.
+    come from it and have to see the same borders; with ``written``, SQL over ``lines``, closed is (passage_id, written).
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,8 +102,10 @@ def closed_groups(lines: DataFrame, size: int, n_rows: int) -> tuple[DataFrame,
                 [pa.array(group[apart]), pa.nulls(len(apart), pa.list_(pa.string())), pa.array(row[apart]), text.take(pa.array(apart))], names=names)
 
     names = ["passage_id", "lines", "row", "text"]
-    found = cut_lineage(lines.select("row", "text").mapInArrow(gather, "passage_id long, lines array<string>, row long, text string"))
-    return found.where("row is null").select("passage_id", "lines"), found.where("row is not null").select("passage_id", "row", "text")
+    found = lines.select("row", "text").mapInArrow(gather, "passage_id long, lines array<string>, row long, text string")
+    whole = "lines" if written is None else "written"
+    found = cut_lineage(found.selectExpr("passage_id", f"{written or 'lines'} as {whole}", "row", "text"))
+    return found.where("row is null").select("passage_id", whole), found.where("row is not null").select("passage_id", "row", "text")
 
 
 def build_passages(
@@ -131,9 +133,10 @@ def build_passages(
         PASSAGES["passage"], readable=sql(readable_name(table)), table=sql(table), name=sql(plain_name(table)),
         rows="array_join(lines, '\n')", n_rows=str(n_rows), n_cols=str(len(roles)),
     )
-    closed, apart = closed_groups(lines, rows_per_passage, n_rows)
+    closed, apart = closed_groups(lines, rows_per_passage, n_rows, passage)
     apart = apart.groupBy("passage_id").agg(F.expr(f"transform({ordered('row, text')}, i -> i.text)").alias("lines"))
-    return closed.unionByName(apart).selectExpr(f"{sql(table)} as table", "passage_id", f"{passage} as text")
+    apart = apart.selectExpr("passage_id", f"{passage} as written")
+    return closed.unionByName(apart).select(F.lit(table).alias("table"), "passage_id", F.col("written").alias("text"))
 
 
 def readable_tables(profile: Profile) -> DataFrame:
