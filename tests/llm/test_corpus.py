@@ -82,6 +82,22 @@ def test_batches_of_equal_texts_in_another_order(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 2, 4: 1}
 
 
+@pytest.mark.parametrize("most", [jaccard_join.MOST_SLOTS, 64])
+def test_copies_of_unlike_texts_are_counted_once(spark, monkeypatch, most):
+    """Copies over many partitions bring no shingle back: all but the texts that share a passage own their shingles."""
+    monkeypatch.setattr(jaccard_join, "MOST_SLOTS", most)
+    texts = [" ".join(f"{i}x{k}" for k in range(40)) for i in range(30)] + [" ".join([f"s{k}" for k in range(40)] + [f"{i}t{k}" for k in range(8)]) for i in range(2)] + [None, ""]
+    rows = [(c * len(texts) + i, x) for c in range(9) for i, x in enumerate(texts)]
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), TEXTS)
+    assert Counter(r.text for r in jaccard_join.distinct_texts(frame, "text").collect()) == Counter(texts)
+    assert jaccard_join.distinct_texts(frame.limit(0), "text").count() == 0
+    points = jaccard_join.shared_points(frame, "text", 5, 75, np.zeros(0, np.uint64), 3)
+    assert points.count() == 2
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(frame).collect()}
+    assert {got[i] for i, x in rows if x} == {i for i, x in enumerate(texts) if x}
+
+
 def test_threshold_is_inclusive(spark):
     # n and n + 1 words share n - 4 of n - 3 shingles.
     for n, linked in ((7, True), (6, False)):
