@@ -1,6 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tabulore.operators import duels
 from tabulore.operators import registry as reg
 from tabulore.plans import prompts, qa_registry
 from tabulore.sources import registry as src
@@ -99,6 +101,47 @@ def test_pairs_are_compared_by_columns(spark, monkeypatch):
         reg.pairwise_all(mm.union(mm))
 
 
+@pytest.mark.parametrize("block", [4, 128])
+def test_versions_with_the_same_metrics_are_compared_whole(spark, monkeypatch, block):
+    """Pieces of cells in which all versions record the same metrics, names that are null, metrics with two directions."""
+    monkeypatch.setattr(reg, "PAIR_BLOCK", block)
+    monkeypatch.setattr(duels, "PIECE", 25)
+    nan = float("nan")
+    rows = [(f"v{i:02d}", i % 3, "None", "", None, {"rmse": [1.0, nan, -0.0, 0.0, 0.5][i % 5], "f1": i % 4 / 3, "é;": float(i % 2)}, {}, {}) for i in range(14)]
+    mm = reg.model_metrics(spark.createDataFrame(rows, src.MODEL_VERSION_SCHEMA))
+    mm = mm.withColumn("direction", F.when((F.col("metric") == "f1") & (F.col("version") == 1), "lowest").otherwise(F.col("direction")))
+    versions = sorted((r["name"], r.version) for r in mm.select("name", "version").distinct().collect())
+    named = spark.createDataFrame(
+        [(*a, *b) for i, a in enumerate(versions) for b in versions[i + 1 :]], "name_a string, version_a int, name_b string, version_b int")
+    for tie in ("apart", "second"):
+        want = reg.pairwise_models(mm, named, tie)
+        assert sorted(map(str, reg.pairwise_all(mm, tie).collect())) == sorted(map(str, want.collect()))
+    for of in (mm, mm.withColumn("value", F.when((F.col("name") != "v03") | (F.col("metric") != "f1"), F.col("value")))):
+        texts = [sorted(tuple(r) for r in qa_registry.qa_model_comparison(of, x).filter("template_id = 'pairwise'").collect()) for x in (None, named)]
+        assert texts[0] == texts[1] and len(texts[0]) == want.count()
+    shown = mm.withColumn("a_or_b", F.when(F.col("name") != "v03", F.lit("x")))
+    parts = reg.pairwise_all(shown, columns=["a_or_b"], template="<{a_or_b_b}{metric}{a_or_b_a}>").filter("name_a = 'v02' and name_b < 'v05'").collect()
+    assert {r.name_b: r.parts for r in parts} == {"v03": "", "v04": "<xf1x>; <xrmsex>; <xé;x>"}
+    nameless = mm.withColumn("name", F.when(F.col("name") != "v01", F.col("name")))
+    assert reg.pairwise_all(nameless).count() == want.count()
+
+
+def test_versions_move_once_for_every_block(spark, monkeypatch):
+    """Blocks grow with the versions, unless they record too many metrics, so rows of cells are few beside the pairs."""
+    rows = [(f"v{i:03d}", 1, "None", "", None, {"rmse": float(i), "f1": 1.0}, {}, {}) for i in range(300)]
+    mm = reg.model_metrics(spark.createDataFrame(rows, src.MODEL_VERSION_SCHEMA))
+    monkeypatch.setattr(reg, "PAIR_BLOCK", 2)
+    monkeypatch.setattr(reg, "PAIR_BLOCKS", 3)
+    moved = []
+    monkeypatch.setattr(reg, "compare_cells", lambda *a: lambda table: pa.table({
+        "name_a": [""], "version_a": pa.array([1], pa.int32()), "name_b": [""], "version_b": pa.array([1], pa.int32()), "wins_a": [0], "wins_b": [0],
+        "ties": [0], "n_shared": [table.num_rows]}))
+    for entries in (1 << 17, 60):
+        monkeypatch.setattr(reg, "BLOCK_ENTRIES", entries)
+        moved.append(sum(r.n_shared for r in reg.pairwise_all(mm, columns=()).collect()))
+    assert moved == [300 * 3, 300 * 10]
+
+
 def test_runs_are_attached_per_version(spark):
     versions = spark.createDataFrame(
         [("m", 1, "Production", "", "r1"), ("m", 2, "Staging", "own", "r2"), ("m", 3, "None", None, "gone")],
