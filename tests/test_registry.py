@@ -2,6 +2,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from tabulore.operators import duels
 from tabulore.operators import registry as reg
 from tabulore.plans import prompts, qa_registry
@@ -126,6 +127,17 @@ def test_versions_with_the_same_metrics_are_compared_whole(spark, monkeypatch, b
     assert reg.pairwise_all(nameless).count() == want.count()
 
 
+def test_pairwise_models_runs_the_whole_comparison(mm, monkeypatch):
+    """Cells list the values they compare, as reg.pairwise_models does; the query shows the counts."""
+    monkeypatch.setattr(queries, "metric_rows", lambda spark, sf_dir: mm)
+    listed, cells = [], duels.compare_cells
+    monkeypatch.setattr(reg, "compare_cells", lambda tie, columns, *rest: listed.append(tuple(columns)) or cells(tie, columns, *rest))
+    got = {name: queries.QUERIES[name](mm.sparkSession, "") for name in ("pairwise_models", "pairwise_all")}
+    assert listed == [("value",), ()]
+    assert got["pairwise_models"].columns == got["pairwise_all"].columns
+    assert sorted(got["pairwise_models"].collect()) == sorted(got["pairwise_all"].collect())
+
+
 def test_versions_move_once_for_every_block(spark, monkeypatch):
     """Blocks grow with the versions, unless they record too many metrics, so rows of cells are few beside the pairs."""
     rows = [(f"v{i:03d}", 1, "None", "", None, {"rmse": float(i), "f1": 1.0}, {}, {}) for i in range(300)]
